@@ -45,7 +45,7 @@ STREAM_FIELDS = [
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem ⋈ orders ⋈ customer ⋈ nation ⋈ region as the wide order table."""
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"
+        "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"
     )
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
@@ -73,6 +73,8 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("l_orderkey").alias("order_key"),
         F.col("l_linenumber").alias("line_number"),
+        F.col("o_custkey").alias("customer_key"),
+        F.col("l_suppkey").alias("supplier_key"),
         F.col("r_name").alias("market"),
         F.col("n_name").alias("order_region"),
         F.col("c_mktsegment").alias("customer_segment"),
@@ -126,3 +128,56 @@ def agg_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn("batch_id", (F.unix_timestamp("ts") / 3600).cast("long"))
     )
+
+
+# CSV-style headers of the raw order export, mapped to the
+# fixture columns they carry.
+RAW_HEADERS = {
+    "Order Id": "order_id",
+    "Customer Id": "customer_id",
+    "Market": "market",
+    "Order Region": "order_region",
+    "Customer Segment": "customer_segment",
+    "Shipping Mode": "shipping_mode",
+    "order date (DateOrders)": "order_date_dateorders",
+    "shipping date (DateOrders)": "shipping_date_dateorders",
+    "Days for shipment (scheduled)": "days_for_shipment_scheduled",
+    "Days for shipping (real)": "days_for_shipping_real",
+    "Benefit per order": "benefit_per_order",
+    "Sales": "sales",
+    "Order Item Product Price": "order_item_product_price",
+    "Order Item Quantity": "num_orders",
+}
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order table as the raw export names its columns."""
+    s = shipments(spark, sf_dir)
+    return s.select(*[F.col(src).alias(raw) for raw, src in RAW_HEADERS.items()])
+
+
+def dirty_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``shipments`` with missing values injected by a rule on the order key.
+
+    sales null when key % 7 = 0, customer_segment blank when key % 11 = 0,
+    order_region null when key % 13 = 0, delivery_days null when key % 17 = 0,
+    benefit_per_order NaN when key % 19 = 0.  Every row is kept.
+    """
+    s = shipments(spark, sf_dir)
+    k = F.col("order_key")
+    return s.select(
+        "order_id", "customer_id", "order_key", "line_number", "market",
+        F.when(k % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("order_region")).alias("order_region"),
+        F.when(k % 11 == 0, F.lit("  ")).otherwise(F.col("customer_segment")).alias("customer_segment"),
+        "shipping_mode",
+        F.when(k % 17 == 0, F.lit(None).cast("int")).otherwise(F.col("delivery_days")).alias("delivery_days"),
+        F.when(k % 19 == 0, F.lit(float("nan"))).otherwise(F.col("benefit_per_order")).alias("benefit_per_order"),
+        F.when(k % 7 == 0, F.lit(None).cast("double")).otherwise(F.col("sales")).alias("sales"),
+        "num_orders",
+        "late_delivery_risk",
+    )
+
+
+def coordinates(key: str) -> tuple:
+    """Synthetic (lat, lon) for a numeric key: the tables carry no coordinates."""
+    return (F.col(key) % 180) - 90, (F.col(key) % 360) - 180

@@ -44,7 +44,7 @@ def ingest_time() -> Column:
 def epoch_or_iso_to_ts(c: str | Column) -> Column:
     """Epoch seconds (number or numeric text) or ISO-8601 text to a UTC timestamp."""
     col = _col(c)
-    as_num = F.try_cast(F.trim(col.cast("string")), "double")
+    as_num = F.trim(col.cast("string")).try_cast("double")
     return F.coalesce(
         F.timestamp_micros((as_num * F.lit(1_000_000)).cast("long")),
         F.try_to_timestamp(F.trim(col.cast("string"))),

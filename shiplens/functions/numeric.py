@@ -46,7 +46,7 @@ def haversine_km(
 
 def coerce_double(c: str | Column) -> Column:
     """Text or number to double; anything that does not parse becomes null."""
-    return F.try_cast(F.trim(_col(c).cast("string")), "double")
+    return F.trim(_col(c).cast("string")).try_cast("double")
 
 
 def coerce_long(c: str | Column) -> Column:

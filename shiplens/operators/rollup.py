@@ -98,7 +98,7 @@ def dashboard_kpis(df: DataFrame) -> DataFrame:
         (F.sum(F.col("avg_delivery_days") * F.col("n_orders")) / F.sum(
             F.when(F.col("avg_delivery_days").isNotNull(), F.col("n_orders"))
         )).alias("weighted_avg_delivery_days"),
-        F.coalesce(F.sum("sum_sales"), F.lit(0.0)).alias("total_sales"),
+        F.coalesce(money_sum("sum_sales"), F.lit(0.0)).alias("total_sales"),
     )
 
 
@@ -110,7 +110,7 @@ def rollup_of_rollups(df: DataFrame, key: str = "market") -> DataFrame:
         .agg(
             F.sum("n_orders").cast("long").alias("n_orders"),
             F.avg("avg_delivery_days").alias("avg_delivery_days"),
-            F.sum("sum_sales").alias("sum_sales"),
+            money_sum("sum_sales").alias("sum_sales"),
         )
     )
 

@@ -93,7 +93,7 @@ def cast_columns(df: DataFrame, types: dict[str, str], lenient: bool = False) ->
         if c not in types:
             return F.col(c)
         target = types[c]
-        return (F.try_cast(F.col(c), target) if lenient else F.col(c).cast(target)).alias(c)
+        return (F.col(c).try_cast(target) if lenient else F.col(c).cast(target)).alias(c)
 
     return df.select(*[conv(c) for c in df.columns])
 

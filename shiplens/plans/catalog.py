@@ -2,7 +2,8 @@
 
 Each query reads the driver's tables (or data Spark derives from them) in
 full.  Result columns are named exactly as in :mod:`shiplens.plans.oracle_sql`;
-timestamps are rendered as ``yyyy-MM-dd HH:mm:ss`` text for the comparison.
+timestamps are rendered as ``yyyy-MM-dd HH:mm:ss`` text for the comparison,
+and floating results that depend on summation order are rounded.
 """
 
 from __future__ import annotations
@@ -13,7 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiplens import fixtures
-from shiplens.operators import rollup
+from shiplens.functions.dates import parse_timestamp
+from shiplens.functions.numeric import coerce_double, haversine_km, late_flag, money_sum
+from shiplens.operators import clean, features, lateness, profile, rollup, schema
+from shiplens.sources import lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +36,301 @@ def ts_text(c: str | Column) -> Column:
     return F.date_format(col, "yyyy-MM-dd HH:mm:ss")
 
 
+def history_text(df: DataFrame) -> DataFrame:
+    """Stored aggregates with ``ts`` as text."""
+    return df.select(
+        ts_text("ts").alias("ts"), "market", "n_orders", "avg_delivery_days", "sum_sales", "batch_id"
+    )
+
+
+# ---------------------------------------------------------------- rollups
 @query("market_summary")
 def q_market_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.market_summary(fixtures.shipments(spark, sf_dir))
+
+
+@query("resolve_group_column")
+def q_resolve_group_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # no market column: the rollup falls back to the region
+    df = fixtures.shipments(spark, sf_dir).drop("market")
+    key = schema.resolve(df, rollup.GROUP_ALIASES)
+    return rollup.market_summary(df, out_key="group_value").select(
+        F.lit(key).alias("group_by"), "*"
+    )
+
+
+@query("region_stats")
+def q_region_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.region_stats(fixtures.shipments(spark, sf_dir))
+
+
+@query("join_group_stats")
+def q_join_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.dirty_shipments(spark, sf_dir)
+    stats = rollup.region_stats(df)
+    return rollup.join_group_stats(df, stats, "order_region").select(
+        "order_key", "line_number", "order_region",
+        "region_order_count", "region_avg_sales", "region_avg_delivery_days",
+    )
+
+
+@query("filter_time_range")
+def q_filter_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = fixtures.agg_history(spark, sf_dir)
+    return history_text(rollup.filter_time_range(hist, "2024-01-05", "2024-01-10"))
+
+
+@query("filter_market")
+def q_filter_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = fixtures.agg_history(spark, sf_dir)
+    return history_text(rollup.filter_market(hist, " click "))
+
+
+@query("dashboard_kpis")
+def q_dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = rollup.dashboard_kpis(fixtures.agg_history(spark, sf_dir))
+    return k.select(
+        "total_orders",
+        F.round("avg_delivery_days", 6).alias("avg_delivery_days"),
+        F.round("weighted_avg_delivery_days", 6).alias("weighted_avg_delivery_days"),
+        "total_sales",
+    )
+
+
+@query("rollup_of_rollups")
+def q_rollup_of_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = rollup.rollup_of_rollups(fixtures.agg_history(spark, sf_dir))
+    return r.select("market", "n_orders", F.round("avg_delivery_days", 6).alias("avg_delivery_days"), "sum_sales")
+
+
+@query("resample_hourly")
+def q_resample_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # one market only, so that empty hours exist and are filled with 0
+    hist = rollup.filter_market(fixtures.agg_history(spark, sf_dir), "click")
+    r = rollup.resample_hourly(hist)
+    return r.select(ts_text("ts").alias("ts"), "n_orders")
+
+
+@query("distinct_markets")
+def q_distinct_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.distinct_values(fixtures.agg_history(spark, sf_dir), "market")
+
+
+@query("latest_n")
+def q_latest_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = fixtures.agg_history(spark, sf_dir)
+    return history_text(rollup.latest_n(hist, 200, "ts", tie_break=["market"]))
+
+
+# ---------------------------------------------------------------- schema
+@query("normalize_columns")
+def q_normalize_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schema.normalize_columns(fixtures.raw_orders(spark, sf_dir))
+
+
+@query("select_present")
+def q_select_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = [
+        "order_id", "customer_id", "market", "order_region", "shipping_mode",
+        "customer_segment", "delivery_days", "sales", "prediction", "prob_class_1",
+    ]
+    return schema.select_present(fixtures.shipments(spark, sf_dir), wanted)
+
+
+@query("ensure_column")
+def q_ensure_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.shipments(spark, sf_dir).drop("delivery_days", "num_orders", "late_delivery_risk")
+    out = features.add_delivery_features(df)
+    return out.select(
+        "order_key", "line_number", "delivery_days", "geo_distance_km", "num_orders", "late_delivery_risk"
+    )
+
+
+@query("cast_numeric")
+def q_cast_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.shipments(spark, sf_dir).select("order_id", "customer_id", "line_number")
+    return schema.cast_columns(df, {"order_id": "bigint", "customer_id": "bigint"})
+
+
+@query("surrogate_key")
+def q_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.shipments(spark, sf_dir)
+    return df.select(
+        "order_key", "line_number",
+        schema.surrogate_key(["order_id", "line_number", "customer_id", "market"]).alias("row_key"),
+    )
+
+
+# ---------------------------------------------------------------- columns
+@query("late_label")
+def q_late_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.dirty_shipments(spark, sf_dir)
+    return df.select("order_key", "line_number", "delivery_days", late_flag("delivery_days").alias("late"))
+
+
+@query("parse_dates")
+def q_parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.shipments(spark, sf_dir)
+    return df.select(
+        "order_key", "line_number",
+        ts_text(parse_timestamp(F.concat(F.lit("  "), F.col("order_date_dateorders")))).alias("order_ts"),
+        ts_text(parse_timestamp("shipping_date_dateorders")).alias("shipping_ts"),
+    )
+
+
+@query("delivery_days")
+def q_delivery_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shiplens.functions.dates import day_diff
+
+    df = fixtures.shipments(spark, sf_dir)
+    return df.select(
+        "order_key", "line_number",
+        day_diff(parse_timestamp("shipping_date_dateorders"), parse_timestamp("order_date_dateorders")).alias(
+            "delivery_days"
+        ),
+    )
+
+
+@query("coerce_numeric")
+def q_coerce_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fixtures.typed_events(spark, sf_dir)
+    text = F.when(F.col("event_id") % 5 == 0, F.lit("n/a")).otherwise(
+        F.concat(F.lit(" "), F.col("value").cast("string"))
+    )
+    return ev.select("event_id", coerce_double(text).alias("value_num"))
+
+
+@query("haversine")
+def q_haversine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.shipments(spark, sf_dir)
+    clat, clon = fixtures.coordinates("customer_key")
+    slat, slon = fixtures.coordinates("supplier_key")
+    return df.select(
+        "order_key", "line_number", F.round(haversine_km(slat, slon, clat, clon), 6).alias("geo_distance_km")
+    )
+
+
+@query("impute_constant")
+def q_impute_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.dirty_shipments(spark, sf_dir)
+    cols = ["order_region", "customer_segment", "delivery_days", "benefit_per_order", "sales"]
+    return clean.impute_constant(df, cols).select("order_key", "line_number", *cols)
+
+
+@query("impute_median")
+def q_impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.dirty_shipments(spark, sf_dir)
+    cols = ["order_region", "delivery_days", "sales"]
+    return clean.impute_median(df, cols, exact=True).select("order_key", "line_number", *cols)
+
+
+@query("median_columns")
+def q_median_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.dirty_shipments(spark, sf_dir)
+    cols = ["delivery_days", "sales", "num_orders"]
+    med = clean.column_medians(df, cols, exact=True)
+    return spark.createDataFrame(
+        [(c, None if med[c] is None else float(med[c])) for c in cols], "column_name string, median double"
+    )
+
+
+# ---------------------------------------------------------------- profile
+@query("profile_missing")
+def q_profile_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.profile_missing(fixtures.dirty_shipments(spark, sf_dir))
+
+
+@query("profile_counts")
+def q_profile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.profile_counts(fixtures.dirty_shipments(spark, sf_dir))
+
+
+@query("drop_sparse_columns")
+def q_drop_sparse_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.dirty_shipments(spark, sf_dir).select(
+        "order_key", "line_number", "order_region", "customer_segment", "sales"
+    )
+    # sales is missing on 1/7 of rows, above the 0.1 threshold used here
+    return profile.drop_sparse_columns(df, threshold=0.1)
+
+
+@query("correlation_matrix")
+def q_correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.dirty_shipments(spark, sf_dir)
+    return profile.correlation_matrix(df, ["delivery_days", "sales", "num_orders", "benefit_per_order"])
+
+
+@query("histogram")
+def q_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.histogram(fixtures.shipments(spark, sf_dir), "delivery_days", 30)
+
+
+@query("density_curve")
+def q_density_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.density_curve(fixtures.shipments(spark, sf_dir), "delivery_days", 50)
+
+
+# ---------------------------------------------------------------- sampling
+@query("sample_hash")
+def q_sample_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.shipments(spark, sf_dir)
+    return features.sample_hash(df, ["order_id", "line_number"], 0.1).select("order_key", "line_number", "sales")
+
+
+@query("split_hash")
+def q_split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = features.split_hash(fixtures.shipments(spark, sf_dir), ["order_id", "line_number"], 0.8)
+    return df.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("late_delivery_risk").alias("n_late"),
+        money_sum("sales").alias("sum_sales"),
+    )
+
+
+@query("feature_table")
+def q_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.dirty_shipments(spark, sf_dir).withColumn("geo_distance_km", F.lit(0.0))
+    return features.feature_table(df)
+
+
+# ---------------------------------------------------------------- JSON
+@query("json_decode")
+def q_json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fixtures.typed_events(spark, sf_dir)
+    from pyspark.sql import types as T
+
+    k = F.from_json("props", T.StructType([T.StructField("k", T.IntegerType())]))
+    return ev.select("event_id", k.getField("k").alias("k"))
+
+
+def keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = fixtures.shipments(spark, sf_dir)
+    return s.select("order_key", F.to_json(F.struct(*fixtures.STREAM_FIELDS)).alias("value"))
+
+
+@query("json_roundtrip")
+def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.decode_json(fixtures.order_lines_json(spark, sf_dir))
+
+
+@query("json_quarantine")
+def q_json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = keyed_lines(spark, sf_dir)
+    damaged = lines.damaged_lines(raw, F.col("order_key"))
+    tagged = lines.decode_with_quarantine(damaged)
+    return tagged.groupBy("status").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        money_sum("sales").alias("sum_sales"),
+    )
+
+
+@query("late_events")
+def q_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # arrival order: order key then line; event time: the order date
+    s = fixtures.shipments(spark, sf_dir).select(
+        (F.col("order_key") * 8 + F.col("line_number")).alias("arrival"), "order_key", "line_number", "order_ts"
+    )
+    out = lateness.late_events(s, "arrival", "order_ts", delay_seconds=30 * 86400)
+    return out.select(
+        "order_key", "line_number", ts_text("prior_max_ts").alias("prior_max_ts"), "is_late"
+    )

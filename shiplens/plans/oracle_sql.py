@@ -19,6 +19,8 @@ shipments AS (
     CAST(o.o_custkey AS VARCHAR) AS customer_id,
     l.l_orderkey AS order_key,
     l.l_linenumber AS line_number,
+    o.o_custkey AS customer_key,
+    l.l_suppkey AS supplier_key,
     r.r_name AS market,
     n.n_name AS order_region,
     c.c_mktsegment AS customer_segment,
@@ -45,6 +47,19 @@ shipments AS (
   JOIN region r ON n.n_regionkey = r.r_regionkey
 )"""
 
+DIRTY_CTE = """
+dirty AS (
+  SELECT order_id, customer_id, order_key, line_number, market,
+    CASE WHEN order_key % 13 = 0 THEN NULL ELSE order_region END AS order_region,
+    CASE WHEN order_key % 11 = 0 THEN '  ' ELSE customer_segment END AS customer_segment,
+    shipping_mode,
+    CASE WHEN order_key % 17 = 0 THEN NULL ELSE delivery_days END AS delivery_days,
+    CASE WHEN order_key % 19 = 0 THEN CAST('NaN' AS DOUBLE) ELSE benefit_per_order END AS benefit_per_order,
+    CASE WHEN order_key % 7 = 0 THEN NULL ELSE sales END AS sales,
+    num_orders, late_delivery_risk
+  FROM shipments
+)"""
+
 EVENTS_CTE = """
 ev AS (SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value, props FROM events)"""
 
@@ -83,3 +98,434 @@ SELECT market,
 FROM shipments GROUP BY market""",
     ),
 )
+
+
+def _hist_text(where: str = "", extra: str = "") -> str:
+    return with_ctes(
+        EVENTS_CTE,
+        AGG_HISTORY_CTE,
+        body=f"""
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, market, n_orders, avg_delivery_days, sum_sales, batch_id
+FROM agg_history {where} {extra}""",
+    )
+
+
+register(
+    "resolve_group_column",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="""
+SELECT 'order_region' AS group_by, order_region AS group_value,
+       count(*) AS n_orders,
+       avg(delivery_days) AS avg_delivery_days,
+       CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) AS sum_sales
+FROM shipments GROUP BY order_region""",
+    ),
+)
+
+_REGION_STATS = """
+SELECT order_region,
+       count(*) AS region_order_count,
+       CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) / count(sales) AS region_avg_sales,
+       avg(delivery_days) AS region_avg_delivery_days
+FROM {src} GROUP BY order_region"""
+
+register("region_stats", with_ctes(SHIPMENTS_CTE, body=_REGION_STATS.format(src="shipments")))
+
+register(
+    "join_group_stats",
+    with_ctes(
+        SHIPMENTS_CTE,
+        DIRTY_CTE,
+        "stats AS (" + _REGION_STATS.format(src="dirty") + ")",
+        body="""
+SELECT d.order_key, d.line_number, d.order_region,
+       s.region_order_count, s.region_avg_sales, s.region_avg_delivery_days
+FROM dirty d LEFT JOIN stats s ON d.order_region = s.order_region""",
+    ),
+)
+
+register(
+    "filter_time_range",
+    _hist_text("WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-10 23:59:59.999999'"),
+)
+register("filter_market", _hist_text("WHERE market = 'click'"))
+
+register(
+    "dashboard_kpis",
+    with_ctes(
+        EVENTS_CTE,
+        AGG_HISTORY_CTE,
+        body="""
+SELECT CAST(coalesce(sum(n_orders), 0) AS BIGINT) AS total_orders,
+       round(avg(avg_delivery_days), 6) AS avg_delivery_days,
+       round(sum(avg_delivery_days * n_orders) / sum(CASE WHEN avg_delivery_days IS NOT NULL THEN n_orders END), 6)
+         AS weighted_avg_delivery_days,
+       coalesce(CAST(sum(CAST(sum_sales AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS total_sales
+FROM agg_history""",
+    ),
+)
+
+register(
+    "rollup_of_rollups",
+    with_ctes(
+        EVENTS_CTE,
+        AGG_HISTORY_CTE,
+        body="""
+SELECT market, CAST(sum(n_orders) AS BIGINT) AS n_orders,
+       round(avg(avg_delivery_days), 6) AS avg_delivery_days,
+       CAST(sum(CAST(sum_sales AS DECIMAL(18,2))) AS DOUBLE) AS sum_sales
+FROM agg_history WHERE market IS NOT NULL GROUP BY market""",
+    ),
+)
+
+register(
+    "resample_hourly",
+    with_ctes(
+        EVENTS_CTE,
+        AGG_HISTORY_CTE,
+        """
+h AS (SELECT date_trunc('hour', ts) AS hour, sum(n_orders) AS total FROM agg_history
+      WHERE market = 'click' GROUP BY 1),
+spine AS (SELECT unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour FROM h)""",
+        body="""
+SELECT strftime(spine.hour, '%Y-%m-%d %H:%M:%S') AS ts, CAST(coalesce(h.total, 0) AS BIGINT) AS n_orders
+FROM spine LEFT JOIN h ON spine.hour = h.hour""",
+    ),
+)
+
+register(
+    "distinct_markets",
+    with_ctes(EVENTS_CTE, AGG_HISTORY_CTE, body="SELECT DISTINCT market FROM agg_history WHERE market IS NOT NULL"),
+)
+
+register("latest_n", _hist_text("", "ORDER BY ts DESC, market DESC LIMIT 200"))
+
+register(
+    "normalize_columns",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="""
+SELECT order_id, customer_id, market, order_region, customer_segment, shipping_mode,
+       order_date_dateorders, shipping_date_dateorders, days_for_shipment_scheduled,
+       days_for_shipping_real, benefit_per_order, sales, order_item_product_price,
+       num_orders AS order_item_quantity
+FROM shipments""",
+    ),
+)
+
+register(
+    "select_present",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="""
+SELECT order_id, customer_id, market, order_region, shipping_mode, customer_segment, delivery_days, sales
+FROM shipments""",
+    ),
+)
+
+register(
+    "ensure_column",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="""
+SELECT order_key, line_number, days_for_shipping_real AS delivery_days, 0.0 AS geo_distance_km,
+       1 AS num_orders, CASE WHEN days_for_shipping_real > 5 THEN 1 ELSE 0 END AS late_delivery_risk
+FROM shipments""",
+    ),
+)
+
+register(
+    "cast_numeric",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="SELECT CAST(order_id AS BIGINT) AS order_id, CAST(customer_id AS BIGINT) AS customer_id, line_number "
+        "FROM shipments",
+    ),
+)
+
+register(
+    "surrogate_key",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="""
+SELECT order_key, line_number,
+       md5(concat_ws(':', coalesce(order_id, ''), coalesce(CAST(line_number AS VARCHAR), ''),
+                     coalesce(customer_id, ''), coalesce(market, ''))) AS row_key
+FROM shipments""",
+    ),
+)
+
+register(
+    "late_label",
+    with_ctes(
+        SHIPMENTS_CTE,
+        DIRTY_CTE,
+        body="SELECT order_key, line_number, delivery_days, CASE WHEN delivery_days > 5 THEN 1 ELSE 0 END AS late "
+        "FROM dirty",
+    ),
+)
+
+register(
+    "parse_dates",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="""
+SELECT order_key, line_number,
+       strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_ts,
+       strftime(shipping_ts, '%Y-%m-%d %H:%M:%S') AS shipping_ts
+FROM shipments""",
+    ),
+)
+
+register(
+    "delivery_days",
+    with_ctes(SHIPMENTS_CTE, body="SELECT order_key, line_number, delivery_days FROM shipments"),
+)
+
+register(
+    "coerce_numeric",
+    """
+SELECT event_id,
+       TRY_CAST(trim(CASE WHEN event_id % 5 = 0 THEN 'n/a' ELSE ' ' || CAST(value AS VARCHAR) END) AS DOUBLE)
+         AS value_num
+FROM events""",
+)
+
+_LAT = "(({k} % 180) - 90)"
+_LON = "(({k} % 360) - 180)"
+
+
+def _haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    return (
+        f"coalesce(2 * 6371.0 * asin(least(sqrt(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + "
+        f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2)), 1.0)), 0.0)"
+    )
+
+
+register(
+    "haversine",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body=f"""
+SELECT order_key, line_number,
+       round({_haversine_sql(_LAT.format(k='supplier_key'), _LON.format(k='supplier_key'),
+                             _LAT.format(k='customer_key'), _LON.format(k='customer_key'))}, 6) AS geo_distance_km
+FROM shipments""",
+    ),
+)
+
+register(
+    "impute_constant",
+    with_ctes(
+        SHIPMENTS_CTE,
+        DIRTY_CTE,
+        body="""
+SELECT order_key, line_number,
+       coalesce(order_region, 'unknown') AS order_region,
+       coalesce(customer_segment, 'unknown') AS customer_segment,
+       coalesce(delivery_days, 0) AS delivery_days,
+       CASE WHEN benefit_per_order IS NULL OR isnan(benefit_per_order) THEN 0.0 ELSE benefit_per_order END
+         AS benefit_per_order,
+       CASE WHEN sales IS NULL OR isnan(sales) THEN 0.0 ELSE sales END AS sales
+FROM dirty""",
+    ),
+)
+
+register(
+    "impute_median",
+    with_ctes(
+        SHIPMENTS_CTE,
+        DIRTY_CTE,
+        "m AS (SELECT quantile_disc(delivery_days, 0.5) AS md, quantile_disc(sales, 0.5) AS ms FROM dirty)",
+        body="""
+SELECT order_key, line_number,
+       coalesce(order_region, 'unknown') AS order_region,
+       coalesce(delivery_days, m.md) AS delivery_days,
+       coalesce(sales, m.ms) AS sales
+FROM dirty, m""",
+    ),
+)
+
+register(
+    "median_columns",
+    with_ctes(
+        SHIPMENTS_CTE,
+        DIRTY_CTE,
+        body="""
+SELECT 'delivery_days' AS column_name, CAST(quantile_disc(delivery_days, 0.5) AS DOUBLE) AS median FROM dirty
+UNION ALL SELECT 'sales', CAST(quantile_disc(sales, 0.5) AS DOUBLE) FROM dirty
+UNION ALL SELECT 'num_orders', CAST(quantile_disc(num_orders, 0.5) AS DOUBLE) FROM dirty""",
+    ),
+)
+
+DIRTY_COLUMNS = [
+    "order_id", "customer_id", "order_key", "line_number", "market", "order_region", "customer_segment",
+    "shipping_mode", "delivery_days", "benefit_per_order", "sales", "num_orders", "late_delivery_risk",
+]
+
+
+def _missing_sql() -> str:
+    parts = [
+        f"SELECT '{c}' AS column_name, "
+        f"CAST(sum(CASE WHEN {c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '' THEN 1 ELSE 0 END) AS BIGINT) AS n_missing, "
+        f"count(*) AS n_rows FROM dirty"
+        for c in DIRTY_COLUMNS
+    ]
+    return with_ctes(
+        SHIPMENTS_CTE,
+        DIRTY_CTE,
+        "p AS (" + "\nUNION ALL ".join(parts) + ")",
+        body="SELECT column_name, n_missing, n_rows, "
+        "CASE WHEN n_rows > 0 THEN n_missing / n_rows END AS missing_ratio FROM p",
+    )
+
+
+register("profile_missing", _missing_sql())
+register(
+    "profile_counts",
+    with_ctes(SHIPMENTS_CTE, DIRTY_CTE, body=f"SELECT count(*) AS n_rows, {len(DIRTY_COLUMNS)} AS n_columns FROM dirty"),
+)
+register(
+    "drop_sparse_columns",
+    with_ctes(SHIPMENTS_CTE, DIRTY_CTE, body="SELECT order_key, line_number, order_region, customer_segment FROM dirty"),
+)
+
+_CORR_COLS = ["delivery_days", "sales", "num_orders", "benefit_per_order"]
+
+
+def _corr_sql() -> str:
+    def v(c: str) -> str:
+        return f"CASE WHEN NOT isnan(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END"
+
+    parts = [
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({v(a)}, {v(b)}), 6) AS r FROM dirty"
+        for a in _CORR_COLS
+        for b in _CORR_COLS
+    ]
+    return with_ctes(SHIPMENTS_CTE, DIRTY_CTE, body="\nUNION ALL ".join(parts))
+
+
+register("correlation_matrix", _corr_sql())
+
+register(
+    "histogram",
+    with_ctes(
+        SHIPMENTS_CTE,
+        """
+x AS (SELECT CAST(delivery_days AS DOUBLE) AS x FROM shipments WHERE delivery_days IS NOT NULL),
+b AS (SELECT min(x) AS lo, max(x) AS hi, (max(x) - min(x)) / 30.0 AS w FROM x),
+c AS (SELECT CAST(least(floor((x.x - b.lo) / b.w), 29) AS INTEGER) AS bin, count(*) AS n FROM x, b GROUP BY 1),
+spine AS (SELECT CAST(range AS INTEGER) AS bin FROM range(30))""",
+        body="""
+SELECT spine.bin, b.lo + spine.bin * b.w AS bin_lo, b.lo + (spine.bin + 1) * b.w AS bin_hi,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM spine CROSS JOIN b LEFT JOIN c ON spine.bin = c.bin""",
+    ),
+)
+
+register(
+    "density_curve",
+    with_ctes(
+        SHIPMENTS_CTE,
+        """
+x AS (SELECT CAST(delivery_days AS DOUBLE) AS x FROM shipments WHERE delivery_days IS NOT NULL),
+st AS (SELECT count(*) AS n, min(x) AS lo, max(x) AS hi, stddev_samp(x) AS sd FROM x),
+prm AS (SELECT n, lo, (hi - lo) / 49 AS step, sd * pow(n, -1.0 / 5.0) AS h FROM st),
+grid AS (SELECT CAST(range AS INTEGER) AS point, prm.lo + range * prm.step AS g, prm.h, prm.n FROM range(50), prm)""",
+        body="""
+SELECT grid.point, grid.g AS x,
+       round(sum(exp(-0.5 * pow((grid.g - x.x) / grid.h, 2))) * (1.0 / (grid.n * grid.h * sqrt(2.0 * pi()))), 12)
+         AS density
+FROM grid, x GROUP BY grid.point, grid.g, grid.h, grid.n""",
+    ),
+)
+
+_HASH_KEY = "substr(md5(concat_ws(':', coalesce(order_id, ''), coalesce(CAST(line_number AS VARCHAR), ''))), 1, 8)"
+
+register(
+    "sample_hash",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body=f"SELECT order_key, line_number, sales FROM shipments WHERE {_HASH_KEY} < '{format(int(0.1 * 16**8), '08x')}'",
+    ),
+)
+
+register(
+    "split_hash",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body=f"""
+SELECT CASE WHEN {_HASH_KEY} < '{format(int(0.8 * 16**8), '08x')}' THEN 'train' ELSE 'test' END AS split,
+       count(*) AS n_rows, CAST(sum(late_delivery_risk) AS BIGINT) AS n_late,
+       CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) AS sum_sales
+FROM shipments GROUP BY 1""",
+    ),
+)
+
+register(
+    "feature_table",
+    with_ctes(
+        SHIPMENTS_CTE,
+        DIRTY_CTE,
+        body="""
+SELECT 0.0 AS geo_distance_km,
+       coalesce(order_region, 'unknown') AS order_region,
+       coalesce(shipping_mode, 'unknown') AS shipping_mode,
+       coalesce(customer_segment, 'unknown') AS customer_segment,
+       CASE WHEN sales IS NULL OR isnan(sales) THEN 0.0 ELSE sales END AS sales,
+       coalesce(delivery_days, 0) AS delivery_days,
+       coalesce(num_orders, 0) AS num_orders,
+       late_delivery_risk, order_id, customer_id, market
+FROM dirty""",
+    ),
+)
+
+register(
+    "json_decode",
+    "SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
+)
+
+register(
+    "json_roundtrip",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="""
+SELECT order_id, customer_id, market, customer_segment, shipping_mode, order_date_dateorders,
+       shipping_date_dateorders, days_for_shipment_scheduled, days_for_shipping_real, benefit_per_order,
+       sales, order_item_product_price
+FROM shipments""",
+    ),
+)
+
+register(
+    "json_quarantine",
+    with_ctes(
+        SHIPMENTS_CTE,
+        """
+tagged AS (
+  SELECT CASE WHEN order_key % 50 = 0 OR order_key % 97 = 0 OR order_key % 89 = 0 THEN 'quarantine' ELSE 'ok' END
+           AS status,
+         sales
+  FROM shipments)""",
+        body="""
+SELECT status, count(*) AS n_lines,
+       CAST(sum(CASE WHEN status = 'ok' THEN CAST(sales AS DECIMAL(18,2)) END) AS DOUBLE) AS sum_sales
+FROM tagged GROUP BY status""",
+    ),
+)
+
+register(
+    "late_events",
+    with_ctes(
+        SHIPMENTS_CTE,
+        """
+k AS (SELECT order_key * 8 + line_number AS arrival, max(order_ts) AS kmax FROM shipments GROUP BY 1),
+p AS (SELECT arrival, max(kmax) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior
+      FROM k)""",
+        body="""
+SELECT s.order_key, s.line_number, strftime(p.prior, '%Y-%m-%d %H:%M:%S') AS prior_max_ts,
+       coalesce(s.order_ts < p.prior - INTERVAL 30 DAY, false) AS is_late
+FROM shipments s JOIN p ON s.order_key * 8 + s.line_number = p.arrival""",
+    ),
+)
