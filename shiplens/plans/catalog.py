@@ -334,3 +334,195 @@ def q_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "order_key", "line_number", ts_text("prior_max_ts").alias("prior_max_ts"), "is_late"
     )
+
+
+# ---------------------------------------------------------------- sources and sinks
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint location."""
+    import uuid
+
+    from shiplens.session import scratch_path
+
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@query("src_csv_roundtrip")
+def q_src_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shiplens.sinks.files import write_csv
+    from shiplens.sources.tables import read_csv
+
+    raw = fixtures.raw_orders(spark, sf_dir)
+    path = scratch(spark, "raw-orders-csv")
+    write_csv(raw, path)
+    back = read_csv(spark, path, schema=raw.schema)
+    return schema.normalize_columns(back)
+
+
+@query("sink_parquet_idempotent")
+def q_sink_parquet_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shiplens.sinks.files import write_parquet_batch
+
+    hist = fixtures.agg_history(spark, sf_dir)
+    first_half = F.dayofmonth("ts") <= 15
+    path = scratch(spark, "history-batches")
+    write_parquet_batch(hist.where(first_half), path, 0, col="micro_batch")
+    write_parquet_batch(hist.where(~first_half), path, 1, col="micro_batch")
+    # batch 1 replayed after a failure: replaces itself, adds nothing
+    write_parquet_batch(hist.where(~first_half), path, 1, col="micro_batch")
+    return history_text(spark.read.parquet(path).drop("micro_batch"))
+
+
+@query("sink_parquet_overwrite")
+def q_sink_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shiplens.sinks.files import write_parquet
+
+    summary = rollup.market_summary(fixtures.shipments(spark, sf_dir))
+    path = scratch(spark, "market-summary-parquet")
+    write_parquet(summary, path)
+    write_parquet(summary, path)  # overwrite, not append
+    return spark.read.parquet(path)
+
+
+@query("sink_csv_market_summary")
+def q_sink_csv_market_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shiplens.sinks.files import write_csv
+    from shiplens.sources.tables import read_csv
+
+    summary = rollup.market_summary(fixtures.shipments(spark, sf_dir))
+    path = scratch(spark, "market-summary-csv")
+    write_csv(summary, path, single_file=True)  # one row per market
+    return read_csv(spark, path, schema=summary.schema)
+
+
+@query("agg_documents")
+def q_agg_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shiplens.sinks.files import aggregate_documents, write_documents
+
+    summary = rollup.market_summary(fixtures.shipments(spark, sf_dir))
+    docs = aggregate_documents(summary, "market")
+    path = scratch(spark, "documents")
+    write_documents(docs, path)
+    back = spark.read.schema(docs.schema).json(path)
+    return back.drop("ts")
+
+
+@query("agg_readback")
+def q_agg_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shiplens.sinks.files import write_parquet
+
+    hist = fixtures.agg_history(spark, sf_dir).withColumn("day", F.to_date("ts"))
+    path = scratch(spark, "history-by-day")
+    write_parquet(hist, path, partition_by=["day"])
+    stored = spark.read.parquet(path)
+    # the day predicate prunes partitions; ts/market are pushed to the scan
+    stored = stored.where((F.col("day") >= F.lit("2024-01-05")) & (F.col("day") <= F.lit("2024-01-10")))
+    picked = rollup.filter_market(rollup.filter_time_range(stored, "2024-01-05", "2024-01-10"), "view")
+    return history_text(picked)
+
+
+# ---------------------------------------------------------------- streaming
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a file stream source with ``ts`` as event time."""
+    from shiplens.sources.tables import read_table
+
+    schema_ = read_table(spark, sf_dir, "events").schema
+    src = (
+        spark.readStream.schema(schema_)
+        .option("pathGlobFilter", "events.parquet")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(sf_dir)
+    )
+    return src.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def window_text(df: DataFrame) -> DataFrame:
+    return df.select(
+        F.col("event_type").alias("market"),
+        "n_events",
+        F.round("avg_sales", 6).alias("avg_sales"),
+        ts_text("window_start").alias("window_start"),
+        ts_text("window_end").alias("window_end"),
+    )
+
+
+@query("window_tumbling")
+def q_window_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shiplens.streaming.windows import windowed_stats
+
+    ev = fixtures.typed_events(spark, sf_dir)
+    out = windowed_stats(ev, "ts", key="event_type", window="1 hour", watermark=None, days_col=None,
+                         sales_col="value")
+    return window_text(out)
+
+
+@query("stream_window")
+def q_stream_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shiplens.streaming.windows import run_available, windowed_stats
+
+    out = windowed_stats(events_stream(spark, sf_dir), "ts", key="event_type", window="1 hour",
+                         watermark="30 seconds", days_col=None, sales_col="value")
+    base = scratch(spark, "stream-window")
+    res = run_available(out, f"{base}/out", f"{base}/checkpoint", mode="complete")
+    return window_text(res)
+
+
+@query("stream_window_append")
+def q_stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shiplens.streaming.windows import run_available, windowed_stats
+
+    out = windowed_stats(events_stream(spark, sf_dir), "ts", key="event_type", window="1 hour",
+                         watermark="30 seconds", days_col=None, sales_col="value")
+    base = scratch(spark, "stream-window-append")
+    res = run_available(out, f"{base}/out", f"{base}/checkpoint", mode="append")
+    return window_text(res)
+
+
+def write_line_files(spark: SparkSession, sf_dir: str, parts: int = 4) -> str:
+    """The order lines as text files in a fresh folder, several files per stream."""
+    path = scratch(spark, "order-lines")
+    keyed = keyed_lines(spark, sf_dir)
+    keyed.repartition(parts, "order_key").select("value").write.text(path)
+    return path
+
+
+@query("stream_lines")
+def q_stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shiplens.streaming.windows import run_available
+
+    path = write_line_files(spark, sf_dir)
+    src = lines.read_lines_stream(spark, "text", path, {"maxFilesPerTrigger": 1})
+    base = scratch(spark, "stream-lines")
+    landed = run_available(src, f"{base}/out", f"{base}/checkpoint", mode="append")
+    return landed.agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@query("stream_enrich")
+def q_stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shiplens.streaming.windows import enrich_orders, run_available
+
+    path = write_line_files(spark, sf_dir)
+    src = lines.read_lines_stream(spark, "text", path, {"maxFilesPerTrigger": 1})
+    enriched = enrich_orders(lines.decode_json(src)).drop("ingest_ts")
+    base = scratch(spark, "stream-enrich")
+    landed = run_available(enriched, f"{base}/out", f"{base}/checkpoint", mode="append")
+    return landed.select(
+        "order_id", ts_text("order_ts").alias("order_ts"), ts_text("shipping_ts").alias("shipping_ts"),
+        "delivery_days",
+    )
+
+
+@query("stream_batch_rollup")
+def q_stream_batch_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shiplens.streaming.windows import batch_rollup_writer, enrich_orders, run_streams, start_foreach
+
+    path = write_line_files(spark, sf_dir)
+    src = lines.read_lines_stream(spark, "text", path, {"maxFilesPerTrigger": 1})
+    enriched = enrich_orders(lines.decode_json(src))
+    base = scratch(spark, "stream-rollup")
+    q = start_foreach(enriched, batch_rollup_writer(f"{base}/docs"), f"{base}/checkpoint")
+    run_streams([q], timeout_sec=600)
+    docs = spark.read.parquet(f"{base}/docs")
+    return docs.groupBy("market").agg(
+        F.sum("n_orders").cast("long").alias("n_orders"),
+        money_sum("sum_sales").alias("sum_sales"),
+    )

@@ -529,3 +529,72 @@ SELECT s.order_key, s.line_number, strftime(p.prior, '%Y-%m-%d %H:%M:%S') AS pri
 FROM shipments s JOIN p ON s.order_key * 8 + s.line_number = p.arrival""",
     ),
 )
+
+_NORMALIZED = ORACLE["normalize_columns"]
+register("src_csv_roundtrip", _NORMALIZED)
+register("sink_parquet_idempotent", _hist_text())
+register("sink_parquet_overwrite", ORACLE["market_summary"])
+register("sink_csv_market_summary", ORACLE["market_summary"])
+register(
+    "agg_documents",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="""
+SELECT market, count(*) AS n_orders, avg(delivery_days) AS avg_delivery_days,
+       coalesce(CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS sum_sales,
+       'market' AS group_by, market AS region_or_market
+FROM shipments GROUP BY market""",
+    ),
+)
+register(
+    "agg_readback",
+    _hist_text(
+        "WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-10 23:59:59.999999' "
+        "AND market = 'view'"
+    ),
+)
+
+_WINDOWS_CTE = """
+w AS (
+  SELECT event_type AS market, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+         time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+         count(*) AS n_events, round(avg(value), 6) AS avg_sales
+  FROM ev GROUP BY 1, 2
+)"""
+
+_WINDOW_SELECT = """
+SELECT market, n_events, avg_sales,
+       strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end
+FROM w"""
+
+register("window_tumbling", with_ctes(EVENTS_CTE, _WINDOWS_CTE, body=_WINDOW_SELECT))
+register("stream_window", with_ctes(EVENTS_CTE, _WINDOWS_CTE, body=_WINDOW_SELECT))
+register(
+    "stream_window_append",
+    with_ctes(
+        EVENTS_CTE,
+        _WINDOWS_CTE,
+        body=_WINDOW_SELECT + " WHERE window_end <= (SELECT max(ts) - INTERVAL 30 SECOND FROM ev)",
+    ),
+)
+register("stream_lines", with_ctes(SHIPMENTS_CTE, body="SELECT count(*) AS n_lines FROM shipments"))
+register(
+    "stream_enrich",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="""
+SELECT order_id, strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_ts,
+       strftime(shipping_ts, '%Y-%m-%d %H:%M:%S') AS shipping_ts, delivery_days
+FROM shipments""",
+    ),
+)
+register(
+    "stream_batch_rollup",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="""
+SELECT market, count(*) AS n_orders, CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) AS sum_sales
+FROM shipments GROUP BY market""",
+    ),
+)
