@@ -598,3 +598,46 @@ SELECT market, count(*) AS n_orders, CAST(sum(CAST(sales AS DECIMAL(18,2))) AS D
 FROM shipments GROUP BY market""",
     ),
 )
+
+
+def _index_sql(col: str) -> str:
+    return f"""
+SELECT '{col}' AS column_name, value, CAST(row_number() OVER (ORDER BY n DESC, value ASC) - 1 AS INTEGER) AS idx, n
+FROM (SELECT {col} AS value, count(*) AS n FROM shipments GROUP BY 1)"""
+
+
+register(
+    "string_index",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="\nUNION ALL ".join(_index_sql(c) for c in ("shipping_mode", "customer_segment", "order_region")),
+    ),
+)
+
+register(
+    "one_hot",
+    with_ctes(
+        SHIPMENTS_CTE,
+        """
+ix AS (SELECT value, n, CAST(row_number() OVER (ORDER BY n DESC, value ASC) - 1 AS INTEGER) AS idx,
+              count(*) OVER () AS k
+       FROM (SELECT customer_segment AS value, count(*) AS n FROM shipments GROUP BY 1))""",
+        body="""
+SELECT value AS customer_segment,
+       concat(repeat('0,', idx), '1', repeat(',0', CAST(k - 1 - idx AS INTEGER))) AS one_hot,
+       n
+FROM ix""",
+    ),
+)
+
+register(
+    "standard_scale",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="""
+SELECT order_key, line_number,
+       round(sales / stddev_samp(sales) OVER (), 6) AS scaled_sales,
+       round(delivery_days / stddev_samp(delivery_days) OVER (), 6) AS scaled_delivery_days
+FROM shipments""",
+    ),
+)
