@@ -38,7 +38,11 @@ def haversine_km(
     dlat = p2 - p1
     dlon = F.radians(_col(lon2)) - F.radians(_col(lon1))
     a = F.pow(F.sin(dlat / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlon / 2), 2)
-    dist = F.lit(2.0 * radius_km) * F.asin(F.least(F.sqrt(a), F.lit(1.0)))
+    root = F.sqrt(a)
+    # clamp without least(): least() skips nulls and would turn a missing
+    # coordinate into asin(1)
+    clamped = F.when(root > 1.0, F.lit(1.0)).otherwise(root)
+    dist = F.lit(2.0 * radius_km) * F.asin(clamped)
     if null_as_zero:
         dist = F.coalesce(dist, F.lit(0.0))
     return dist

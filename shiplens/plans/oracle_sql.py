@@ -297,10 +297,11 @@ _LON = "(({k} % 360) - 180)"
 
 
 def _haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    return (
-        f"coalesce(2 * 6371.0 * asin(least(sqrt(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + "
-        f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2)), 1.0)), 0.0)"
+    root = (
+        f"sqrt(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + "
+        f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2))"
     )
+    return f"coalesce(2 * 6371.0 * asin(CASE WHEN {root} > 1.0 THEN 1.0 ELSE {root} END), 0.0)"
 
 
 register(

@@ -1,0 +1,151 @@
+"""Sources, sinks, streams and the model: contracts that need a DataFrame."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from shiplens import fixtures
+from shiplens.operators import features, model as ml
+from shiplens.sinks import files as sinks
+from shiplens.sources import lines
+from shiplens.streaming import windows
+from tests.conftest import SF_SMALL
+
+
+def test_quarantine_cases(spark):
+    good = '{"order_id":"1","market":"EU","sales":10.5,"days_for_shipping_real":3}'
+    wrong_type = '{"order_id":"2","market":"EU","sales":"abc"}'
+    df = spark.createDataFrame(
+        [(good,), (wrong_type,), ("not json",), ("__heartbeat__",), ("",), (None,), ('{"order_id":"3"}',)],
+        "value string",
+    )
+    tagged = lines.decode_with_quarantine(df).collect()
+    status = [r["status"] for r in tagged]
+    assert status == ["ok", "quarantine", "quarantine", "quarantine", "quarantine", "quarantine", "ok"]
+    ok, bad = lines.split_quarantine(lines.decode_with_quarantine(df))
+    assert ok.count() == 2 and bad.count() == 5
+    assert "status" not in ok.columns
+
+
+def test_json_encode_decode_roundtrip(spark):
+    df = fixtures.shipments(spark, SF_SMALL).select(*fixtures.STREAM_FIELDS)
+    back = lines.decode_json(lines.encode_json(df))
+    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+
+
+def test_parquet_batch_replay_is_idempotent(spark, tmp_dir):
+    df = spark.range(10).withColumnRenamed("id", "x")
+    path = os.path.join(tmp_dir, "out")
+    sinks.write_parquet_batch(df, path, 0)
+    sinks.write_parquet_batch(df, path, 1)
+    sinks.write_parquet_batch(df, path, 1)  # replay
+    back = spark.read.parquet(path)
+    assert back.count() == 20
+    assert {r[0] for r in back.select("batch_id").distinct().collect()} == {0, 1}
+
+
+def test_fan_out_runs_every_sink_then_raises(spark):
+    seen = []
+
+    def ok(d):
+        seen.append(d.count())
+
+    def boom(d):
+        raise OSError("down")
+
+    df = spark.range(3)
+    with pytest.raises(sinks.SinkErrors) as err:
+        sinks.fan_out(df, [sinks.Sink("a", boom), sinks.Sink("b", ok)])
+    assert seen == [3] and "a" in err.value.failures
+    # an optional sink only reports
+    failures = sinks.fan_out(df, [sinks.Sink("a", boom, optional=True), sinks.Sink("b", ok)])
+    assert "a" in failures
+
+
+def test_jdbc_column_types(spark):
+    df = spark.createDataFrame([("x", 1.0, 2)], "order_id string, sales double, n int")
+    assert sinks.jdbc_column_types(df) == "order_id VARCHAR(255)"
+    assert sinks.jdbc_column_types(df, {"sales": "DOUBLE"}) == "order_id VARCHAR(255), sales DOUBLE"
+
+
+def test_aggregate_documents_null_rules(spark):
+    agg = spark.createDataFrame([("EU", None, None, None)], "market string, n_orders long, avg_delivery_days double, sum_sales double")
+    doc = sinks.aggregate_documents(agg, "market", batch_id=3).first()
+    assert (doc["n_orders"], doc["avg_delivery_days"], doc["sum_sales"], doc["batch_id"]) == (0, None, 0.0, 3)
+    doc = sinks.aggregate_documents(agg, "market").first()
+    assert doc["group_by"] == "market" and doc["region_or_market"] == "EU"
+
+
+def _event_stream(spark):
+    ev = spark.read.parquet(os.path.join(SF_SMALL, "events.parquet"))
+    src = (
+        spark.readStream.schema(ev.schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(SF_SMALL)
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+    )
+    return windows.windowed_stats(src, "ts", key="event_type", window="1 hour", watermark="30 seconds",
+                                  days_col=None, sales_col="value")
+
+
+def test_stream_append_is_subset_of_batch_and_restart_adds_nothing(spark, tmp_dir):
+    out, ck = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
+    res = windows.run_available(_event_stream(spark), out, ck, mode="append")
+    n1 = res.count()
+    batch = fixtures.typed_events(spark, SF_SMALL)
+    full = windows.windowed_stats(batch, "ts", key="event_type", window="1 hour", watermark=None,
+                                  days_col=None, sales_col="value")
+    assert 0 < n1 <= full.count()
+    assert res.select("event_type", "window_start", "n_events").exceptAll(
+        full.select("event_type", "window_start", "n_events")).count() == 0
+    # restart from the same checkpoint: the source has nothing new
+    res2 = windows.run_available(_event_stream(spark), out, ck, mode="append")
+    assert res2.count() == n1
+
+
+def test_run_streams_stops_all_on_failure(spark, tmp_dir):
+    src = spark.readStream.format("rate").option("rowsPerSecond", 5).load()
+
+    def fail(batch, batch_id):
+        raise ValueError("sink down")
+
+    bad = windows.start_foreach(src, fail, os.path.join(tmp_dir, "ck1"), trigger={"processingTime": "1 second"})
+    slow = windows.start_foreach(src, lambda b, i: None, os.path.join(tmp_dir, "ck2"),
+                                 trigger={"processingTime": "1 second"})
+    with pytest.raises(RuntimeError):
+        windows.run_streams([bad, slow], timeout_sec=120)
+    assert not slow.isActive
+
+
+def test_leak_guard(spark):
+    with pytest.raises(ml.LeakError):
+        ml.leak_check(["sales", "delivery_days"], "delivery_days")
+    ml.leak_check(["sales", "delivery_days"], "delivery_days", allow_leak=True)
+    ml.leak_check(["sales"], "delivery_days")
+
+
+def test_model_pipeline_unseen_category_and_required_inputs(spark):
+    df = fixtures.shipments(spark, SF_SMALL).withColumn("geo_distance_km", F.lit(0.0))
+    table = features.split_hash(features.feature_table(df), ["order_id"], 0.8)
+    res = ml.train_late_model(table, allow_leak=True, num_trees=5)
+    assert 0.0 <= res.accuracy <= 1.0 and res.auc > 0.9  # the label leaks through delivery_days
+    assert ml.required_raw_inputs(res.model) == [
+        "shipping_mode", "customer_segment", "order_region", "geo_distance_km", "sales", "delivery_days", "num_orders",
+    ] or set(ml.required_raw_inputs(res.model)) == {
+        "shipping_mode", "customer_segment", "order_region", "geo_distance_km", "sales", "delivery_days", "num_orders",
+    }
+    one = df.limit(1).withColumn("order_region", F.lit("NEVER-SEEN"))
+    scored = ml.score(res.model, one).first()
+    assert 0.0 <= scored["prob_class_1"] <= 1.0
+    # an unseen category becomes the all-zero one-hot slot block
+    ohe = res.model.transform(one).select("order_region_ohe").first()[0]
+    assert ohe.numNonzeros() == 0
+    assert ml.missing_inputs(res.model, one.drop("sales")) == ["sales"]
+
+
+def test_feature_table_without_model_columns(spark):
+    df = spark.createDataFrame([("1", 3)], "order_id string, days_for_shipping_real int")
+    out = features.add_delivery_features(df)
+    row = out.first()
+    assert (row["delivery_days"], row["late_delivery_risk"], row["geo_distance_km"], row["num_orders"]) == (3, 0, 0.0, 1)
