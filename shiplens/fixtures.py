@@ -60,9 +60,12 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust_geo = cust.join(geo, cust.c_nationkey == geo.n_nationkey).select(
         "c_custkey", "c_mktsegment", "n_name", "r_name"
     )
-    joined = li.join(orders, li.l_orderkey == orders.o_orderkey).join(
-        cust_geo, F.col("o_custkey") == F.col("c_custkey")
-    )
+    # Enrich the orders first (orders-sized), then join the line items once on
+    # the order key: the line-item side, the largest by far, is shuffled one
+    # time only.  A customer or order holding a third of all rows is split by
+    # AQE's skew-join handling rather than landing in one task.
+    orders_geo = orders.join(cust_geo, orders.o_custkey == cust_geo.c_custkey)
+    joined = li.join(orders_geo, li.l_orderkey == orders_geo.o_orderkey)
 
     order_ts = F.col("o_orderdate").cast("timestamp")
     ship_ts = F.col("l_shipdate").cast("timestamp")

@@ -23,7 +23,21 @@ def parse_timestamp(c: str | Column, layouts: Sequence[str] = DEFAULT_LAYOUTS) -
     Surrounding blanks are trimmed first.
     """
     text = F.trim(_col(c))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in layouts])
+    return F.coalesce(*[F.when(_looks_like(text, fmt), F.try_to_timestamp(text, F.lit(fmt))) for fmt in layouts])
+
+
+def _looks_like(text: Column, layout: str) -> Column:
+    """Cheap guard: every separator of the layout occurs in the text.
+
+    A failed parse costs an exception inside the JVM; skipping layouts that
+    cannot match keeps the common path exception-free.  The guard only ever
+    skips texts the layout would reject anyway.
+    """
+    seps = sorted({ch for ch in layout if not ch.isalnum() and ch not in " '"})
+    cond = F.lit(True)
+    for ch in seps:
+        cond = cond & (F.instr(text, ch) > 0)
+    return cond
 
 
 def to_day(c: str | Column) -> Column:

@@ -32,83 +32,77 @@ def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
     q: float = 0.5,
-    bins: int = 64,
-    max_rounds: int = 64,
+    bins: int = 4096,
+    max_rounds: int = 200,
+    materialize: bool = True,
 ) -> dict[str, float | None]:
-    """Exact discrete quantile per numeric column (nulls and NaN ignored)."""
+    """Exact discrete quantile per numeric column (nulls and NaN ignored).
+
+    The projected columns are checkpointed once to the shared checkpoint
+    folder (``materialize``), so the rounds re-read a written table instead
+    of recomputing upstream joins, and a lost executor costs a re-read only.
+    Each round cuts every column's remaining window into ``bins`` equal-width
+    bins and runs one aggregation grouped by (column, bin) returning count,
+    min and max -- at most ``columns x bins`` rows reach the driver.  The bin
+    holding the target rank becomes the next window ``[min, max]``; its ends
+    fall into different bins, so the window shrinks every round, and a bin
+    holding one distinct value ends the search.
+    """
+    from shiplens.session import checkpoint_dir
+
     cols = list(cols)
     if not cols:
         return {}
-    vals = {c: F.col(c).cast("double") for c in cols}
+    names = {c: f"c{i}" for i, c in enumerate(cols)}
+    base = df.select(*[F.col(c).cast("double").alias(names[c]) for c in cols])
+    if materialize:
+        checkpoint_dir(df.sparkSession)
+        base = base.checkpoint(eager=True)
+    vals = {c: F.col(names[c]) for c in cols}
     valid = {c: vals[c].isNotNull() & ~F.isnan(vals[c]) for c in cols}
-    counts = df.agg(*[F.count(F.when(valid[c], 1)).alias(c) for c in cols]).first()
-    # target rank (1-based) and the half-open window [lo, hi] still searched
-    state: dict[str, dict] = {}
+
+    first = base.agg(
+        *[F.count(F.when(valid[c], 1)).alias(f"{names[c]}__n") for c in cols],
+        *[F.min(F.when(valid[c], vals[c])).alias(f"{names[c]}__min") for c in cols],
+        *[F.max(F.when(valid[c], vals[c])).alias(f"{names[c]}__max") for c in cols],
+    ).first()
+
     result: dict[str, float | None] = {}
+    state: dict[str, dict] = {}
     for c in cols:
-        n = counts[c]
+        n = first[f"{names[c]}__n"]
+        lo, hi = first[f"{names[c]}__min"], first[f"{names[c]}__max"]
         if not n:
             result[c] = None
-            continue
-        state[c] = {"k": max(1, math.ceil(q * n)), "lo": None, "hi": None, "below": 0}
-
-    def in_window(c: str):
-        s = state[c]
-        cond = valid[c]
-        if s["lo"] is not None:
-            cond = cond & (vals[c] >= F.lit(s["lo"]))
-        if s["hi"] is not None:
-            cond = cond & (vals[c] <= F.lit(s["hi"]))
-        return cond
+        elif lo == hi:
+            result[c] = lo
+        else:
+            state[c] = {"k": max(1, math.ceil(q * n)), "lo": lo, "hi": hi, "below": 0}
 
-    probs = [i / bins for i in range(1, bins)]
     for _ in range(max_rounds):
         active = [c for c in state if c not in result]
         if not active:
             break
-        # 1) edges of the remaining window, min and max, one aggregation
-        aggs = []
+        triples = []
         for c in active:
-            w = F.when(in_window(c), vals[c])
-            aggs += [
-                F.min(w).alias(f"{c}__min"),
-                F.max(w).alias(f"{c}__max"),
-                F.percentile_approx(w, probs, 10 * bins).alias(f"{c}__edges"),
-            ]
-        row = df.agg(*aggs).first()
-        plan = {}
-        for c in active:
-            lo, hi = row[f"{c}__min"], row[f"{c}__max"]
-            if lo == hi:
-                result[c] = lo
-                continue
-            edges = sorted(set(e for e in (row[f"{c}__edges"] or []) if lo < e <= hi))
-            if not edges:  # sketch could not split the window: bisect it
-                mid = lo + (hi - lo) / 2
-                edges = [mid if lo < mid <= hi else hi]
-            # bins are (-inf, e1), [e1, e2), ..., [eB, +inf) within the window
-            plan[c] = edges
-        if not plan:
-            break
-        # 2) rows per bin and the smallest value per bin, one aggregation
-        stacked = []
-        for c, edges in plan.items():
-            idx = F.lit(0)
-            for e in edges:
-                idx = idx + F.when(vals[c] >= F.lit(e), 1).otherwise(0)
-            stacked.append(
-                F.when(in_window(c), F.struct(F.lit(c).alias("name"), idx.alias("bin"), vals[c].alias("v")))
-            )
-        exploded = df.select(F.explode(F.filter(F.array(*stacked), lambda x: x.isNotNull())).alias("s"))
+            s = state[c]
+            width = (s["hi"] - s["lo"]) / bins
+            idx = F.least(F.floor((vals[c] - F.lit(s["lo"])) / F.lit(width)).cast("int"), F.lit(bins - 1))
+            in_window = valid[c] & (vals[c] >= F.lit(s["lo"])) & (vals[c] <= F.lit(s["hi"]))
+            triples += [F.lit(c), idx, F.when(in_window, vals[c])]
+        # one row per (column, value) in its window; stack stays in codegen
+        rows = base.select(F.stack(F.lit(len(active)), *triples).alias("name", "bin", "v")).where(
+            F.col("v").isNotNull()
+        )
         per_bin = (
-            exploded.groupBy(F.col("s.name").alias("name"), F.col("s.bin").alias("bin"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("s.v").alias("vmin"), F.max("s.v").alias("vmax"))
-            .collect()
+            rows.groupBy("name", "bin")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"))
+            .collect()  # at most columns x bins rows
         )
         by_col: dict[str, list] = {}
         for r in per_bin:
             by_col.setdefault(r["name"], []).append(r)
-        for c, edges in plan.items():
+        for c in active:
             s = state[c]
             acc = s["below"]
             for r in sorted(by_col.get(c, []), key=lambda r: r["bin"]):
@@ -116,9 +110,9 @@ def exact_quantiles(
                     if r["vmin"] == r["vmax"]:
                         result[c] = r["vmin"]
                     else:
-                        s["lo"], s["hi"], s["below"] = r["vmin"], r["vmax"], acc
+                        s.update(lo=r["vmin"], hi=r["vmax"], below=acc)
                     break
                 acc += r["n"]
-    for c in state:
+    for c in cols:
         result.setdefault(c, None)
     return result
