@@ -68,9 +68,12 @@ def q_region_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_join_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = fixtures.dirty_shipments(spark, sf_dir)
     stats = rollup.region_stats(df)
+    # the count is null for rows without a region; carried as double so both
+    # engines hand the nullable column over in the same type
     return rollup.join_group_stats(df, stats, "order_region").select(
         "order_key", "line_number", "order_region",
-        "region_order_count", "region_avg_sales", "region_avg_delivery_days",
+        F.col("region_order_count").cast("double").alias("region_order_count"),
+        "region_avg_sales", "region_avg_delivery_days",
     )
 
 
@@ -165,7 +168,11 @@ def q_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("late_label")
 def q_late_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = fixtures.dirty_shipments(spark, sf_dir)
-    return df.select("order_key", "line_number", "delivery_days", late_flag("delivery_days").alias("late"))
+    return df.select(
+        "order_key", "line_number",
+        F.col("delivery_days").cast("double").alias("delivery_days"),  # nullable: compared as double
+        late_flag("delivery_days").alias("late"),
+    )
 
 
 @query("parse_dates")

@@ -140,7 +140,7 @@ register(
         "stats AS (" + _REGION_STATS.format(src="dirty") + ")",
         body="""
 SELECT d.order_key, d.line_number, d.order_region,
-       s.region_order_count, s.region_avg_sales, s.region_avg_delivery_days
+       CAST(s.region_order_count AS DOUBLE) AS region_order_count, s.region_avg_sales, s.region_avg_delivery_days
 FROM dirty d LEFT JOIN stats s ON d.order_region = s.order_region""",
     ),
 )
@@ -261,7 +261,8 @@ register(
     with_ctes(
         SHIPMENTS_CTE,
         DIRTY_CTE,
-        body="SELECT order_key, line_number, delivery_days, CASE WHEN delivery_days > 5 THEN 1 ELSE 0 END AS late "
+        body="SELECT order_key, line_number, CAST(delivery_days AS DOUBLE) AS delivery_days, "
+        "CASE WHEN delivery_days > 5 THEN 1 ELSE 0 END AS late "
         "FROM dirty",
     ),
 )
