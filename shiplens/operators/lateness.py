@@ -15,7 +15,9 @@ in three bounded steps:
 3. inside each range a window over the *distinct keys* of that range adds the
    maximum of earlier keys of the same range.
 
-The per-key answer is then joined back to the rows on the arrival key.
+The per-key answer is then joined back to the rows on the arrival key (AQE
+splits a hot key on the row side; the per-key side holds one row per key).
+The input is read twice: once for the per-key maxima, once for the join.
 """
 
 from __future__ import annotations
@@ -36,8 +38,14 @@ def late_events(
     ``arrival_col`` must be an integer arrival sequence (offset, line number);
     rows sharing a value arrived together.
     """
+    from shiplens.session import checkpoint_dir
+
     key = F.col(arrival_col).cast("long")
     per_key = df.groupBy(key.alias("__k")).agg(F.max(ts_col).alias("__kmax"))
+    # per_key feeds the key range and the scan: write it once to the shared
+    # checkpoint folder instead of recomputing the input for each use
+    checkpoint_dir(df.sparkSession)
+    per_key = per_key.checkpoint(eager=True)
     b = per_key.agg(F.min("__k").alias("lo"), F.max("__k").alias("hi")).first()
     if b["lo"] is None:
         return df.withColumn("prior_max_ts", F.lit(None).cast("timestamp")).withColumn(
