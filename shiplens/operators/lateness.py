@@ -15,8 +15,8 @@ in three bounded steps:
 3. inside each range a window over the *distinct keys* of that range adds the
    maximum of earlier keys of the same range.
 
-The per-key answer is then joined back to the rows on the arrival key (AQE
-splits a hot key on the row side; the per-key side holds one row per key).
+The per-key answer is then joined back to the rows on the arrival key with
+:func:`rollup.join_group_stats`, which salts a hot arrival key.
 The input is read twice: once for the per-key maxima, once for the join.
 """
 
@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shiplens.operators.rollup import join_group_stats
+
 
 def late_events(
     df: DataFrame,
@@ -41,7 +43,7 @@ def late_events(
     from shiplens.session import checkpoint_dir
 
     key = F.col(arrival_col).cast("long")
-    per_key = df.groupBy(key.alias("__k")).agg(F.max(ts_col).alias("__kmax"))
+    per_key = df.groupBy(key.alias("__k")).agg(F.max(ts_col).alias("__kmax"), F.count(F.lit(1)).alias("__n"))
     # per_key feeds the key range and the scan: write it once to the shared
     # checkpoint folder instead of recomputing the input for each use
     checkpoint_dir(df.sparkSession)
@@ -63,10 +65,11 @@ def late_events(
 
     # step 3: greatest time among earlier keys inside the same range
     earlier_keys = Window.partitionBy("__b").orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
-    within = keyed.select("__k", "__b", F.max("__kmax").over(earlier_keys).alias("__before_k"))
+    within = keyed.select("__k", "__b", "__n", F.max("__kmax").over(earlier_keys).alias("__before_k"))
     prior = within.join(F.broadcast(bucket_prefix), "__b").select(
-        "__k", F.greatest("__before_k", "__before_b").alias("prior_max_ts")
+        "__k", "__n", F.greatest("__before_k", "__before_b").alias("prior_max_ts")
     )
-    out = df.withColumn("__k", key).join(prior, "__k", "left").drop("__k")
+    # rows back onto their key; a hot arrival key is salted over several tasks
+    out = join_group_stats(df.withColumn("__k", key), prior, "__k", count_col="__n").drop("__k", "__n")
     lag = F.col("prior_max_ts") - F.make_interval(secs=F.lit(delay_seconds))
     return out.withColumn("is_late", F.coalesce(F.col(ts_col) < lag, F.lit(False)))

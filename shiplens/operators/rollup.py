@@ -56,17 +56,52 @@ def region_stats(
     )
 
 
-def join_group_stats(df: DataFrame, stats: DataFrame, key: str) -> DataFrame:
+def hot_keys(stats: DataFrame, key: str, count_col: str, hot_fraction: float = 0.001, max_salt: int = 64) -> DataFrame:
+    """Keys holding more than ``hot_fraction`` of all rows, with a salt count each.
+
+    At most ``1 / hot_fraction`` keys can pass the threshold (their counts sum
+    to at most the row total), so the result has a proven size bound and is
+    safe to broadcast.  Each hot key gets ``ceil(count / threshold)`` salts,
+    capped at ``max_salt``.
+    """
+    total = stats.agg(F.sum(count_col)).first()[0] or 0
+    threshold = max(1, int(total * hot_fraction))
+    return stats.where(F.col(count_col) > threshold).select(
+        key, F.least(F.ceil(F.col(count_col) / F.lit(threshold)), F.lit(max_salt)).cast("int").alias("__s")
+    )
+
+
+def join_group_stats(
+    df: DataFrame,
+    stats: DataFrame,
+    key: str,
+    count_col: str | None = None,
+    hot_fraction: float = 0.001,
+    max_salt: int = 64,
+) -> DataFrame:
     """Left-join per-group statistics back onto every row (JON-1).
 
-    A null key gets null statistics (unlike a window over the key).  The
-    stats side has one row per distinct key; no broadcast is forced: AQE
-    switches to a broadcast hash join when the *measured* size of the stats
-    shuffle is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and
-    keeps a shuffled join otherwise, so a high-cardinality key never blows up
-    executor memory.  Unlike a window, the big side is not gathered per key.
+    A null key gets null statistics (unlike a window over the key).  When the
+    stats side is small, AQE turns the join into a broadcast from its measured
+    size.  Otherwise it stays a shuffled join, and with ``count_col`` given,
+    hot keys are salted: a key holding a third of all rows is spread over up
+    to ``max_salt`` tasks.  The stats rows of hot keys only are replicated
+    once per salt; every row matches exactly one replica, so the result is
+    exact whatever salt a row draws.
     """
-    return df.join(stats, on=key, how="left")
+    if count_col is None:
+        return df.join(stats, on=key, how="left")
+    from shiplens.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    stats = stats.checkpoint(eager=True)  # used for the threshold and the join
+    hot = F.broadcast(hot_keys(stats, key, count_col, hot_fraction, max_salt))
+    salts = F.coalesce(F.col("__s"), F.lit(1))
+    left = df.join(hot, on=key, how="left").withColumn("__salt", F.floor(F.rand(17) * salts).cast("int"))
+    right = stats.join(hot, on=key, how="left").withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), salts - 1))
+    ).drop("__s")
+    return left.join(right, on=[key, "__salt"], how="left").drop("__s", "__salt")
 
 
 def filter_time_range(df: DataFrame, date_from: str, date_to: str, ts_col: str = "ts") -> DataFrame:

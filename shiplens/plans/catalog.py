@@ -70,7 +70,7 @@ def q_join_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = rollup.region_stats(df)
     # the count is null for rows without a region; carried as double so both
     # engines hand the nullable column over in the same type
-    return rollup.join_group_stats(df, stats, "order_region").select(
+    return rollup.join_group_stats(df, stats, "order_region", count_col="region_order_count").select(
         "order_key", "line_number", "order_region",
         F.col("region_order_count").cast("double").alias("region_order_count"),
         "region_avg_sales", "region_avg_delivery_days",
