@@ -43,3 +43,33 @@ def test_hot_region_join_and_rollup(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_aqe_splits_hot_key_in_shuffled_join(spark):
+    """The fixture's fact-to-dimension joins rely on AQE skew handling."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        big = spark.range(60_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("k"), F.col("id").alias("v")
+        )
+        dim = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        j = big.join(dim, "k")
+        assert len(j.collect()) == 60_000
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
