@@ -51,7 +51,7 @@ def region_stats(
     """Per-region order count, mean sales and mean delivery days (AGG-2)."""
     return df.groupBy(key).agg(
         F.count(F.lit(1)).alias("region_order_count"),
-        (money_sum(sales_col) / F.count(sales_col)).alias("region_avg_sales"),
+        F.try_divide(money_sum(sales_col), F.count(sales_col)).alias("region_avg_sales"),
         F.avg(days_col).alias("region_avg_delivery_days"),
     )
 
@@ -130,9 +130,10 @@ def dashboard_kpis(df: DataFrame) -> DataFrame:
     return df.agg(
         F.coalesce(F.sum("n_orders"), F.lit(0)).cast("long").alias("total_orders"),
         F.avg("avg_delivery_days").alias("avg_delivery_days"),
-        (F.sum(F.col("avg_delivery_days") * F.col("n_orders")) / F.sum(
-            F.when(F.col("avg_delivery_days").isNotNull(), F.col("n_orders"))
-        )).alias("weighted_avg_delivery_days"),
+        F.try_divide(
+            F.sum(F.col("avg_delivery_days") * F.col("n_orders")),
+            F.sum(F.when(F.col("avg_delivery_days").isNotNull(), F.col("n_orders"))),
+        ).alias("weighted_avg_delivery_days"),
         F.coalesce(money_sum("sum_sales"), F.lit(0.0)).alias("total_sales"),
     )
 
