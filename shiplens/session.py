@@ -21,6 +21,7 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -51,6 +52,23 @@ def build_session(
     return spark
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20, max_partitions: int = 200_000) -> dict:
+    """Shuffle sizing for a cluster run over ``input_bytes`` of input.
+
+    AQE can merge small shuffle partitions but cannot split a normal one, so
+    the initial count must be large enough that each partition of the
+    largest shuffle fits a task (~``target_partition_bytes``); AQE then
+    coalesces down to the advisory size.  Pass the result as ``extra_conf``.
+    """
+    n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
