@@ -205,3 +205,36 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "json", schema_=No
     if "ts" in df.columns and dict(df.dtypes)["ts"] not in ("timestamp",):
         df = df.withColumn("ts", epoch_or_iso_to_ts("ts"))
     return df.withColumn("n_orders", F.col("n_orders").cast("long"))
+
+
+def run_order_streams(
+    spark: SparkSession,
+    source_path: str,
+    model_path: str,
+    base_path: str,
+    trigger: dict | None = None,
+    timeout_sec: float | None = None,
+    source_options: dict | None = None,
+    window: str = windows.WINDOW_DURATION,
+    watermark: str = windows.WATERMARK_DELAY,
+) -> dict[str, str]:
+    """STR-7/8: the window and scoring streams over one source, run together.
+
+    Each query keeps its own checkpoint under ``base_path``; the first failure
+    stops the other (``run_streams``).  Returns the output folders.
+    """
+    import os
+
+    out = {
+        "windows": os.path.join(base_path, "windows"),
+        "predictions": os.path.join(base_path, "predictions"),
+        "quarantine": os.path.join(base_path, "quarantine"),
+        "documents": os.path.join(base_path, "documents"),
+    }
+    q1 = stream_windows(spark, source_path, out["windows"], os.path.join(base_path, "ck-windows"),
+                        window=window, watermark=watermark, trigger=trigger, source_options=source_options)
+    q2 = stream_score(spark, source_path, model_path, out["predictions"], os.path.join(base_path, "ck-score"),
+                      quarantine_path=out["quarantine"], documents_path=out["documents"], trigger=trigger,
+                      source_options=source_options)
+    windows.run_streams([q1, q2], timeout_sec=timeout_sec)
+    return out

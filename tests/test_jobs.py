@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from shiplens import fixtures
+from shiplens.operators import features, model as ml
 from shiplens.plans import jobs
 from shiplens.sinks.files import write_csv
 from tests.conftest import SF_SMALL
@@ -69,3 +70,26 @@ def test_stream_windows_job_on_damaged_lines(spark, tmp_dir):
     good = s.where(~((F.col("order_key") % 50 == 0) | (F.col("order_key") % 97 == 0) | (F.col("order_key") % 89 == 0)))
     # append mode emits closed windows only: never more events than good lines
     assert 0 < got.agg(F.sum("n_events")).first()[0] <= good.count()
+
+
+def test_run_order_streams_together(spark, tmp_dir):
+    from shiplens.sources import lines
+
+    s = fixtures.shipments(spark, SF_SMALL)
+    keyed = s.select("order_key", F.to_json(F.struct(*fixtures.STREAM_FIELDS)).alias("value"))
+    src = os.path.join(tmp_dir, "lines")
+    lines.damaged_lines(keyed, F.col("order_key")).write.text(src)
+    # a model trained on the same table
+    table = features.split_hash(features.feature_table(s.withColumn("geo_distance_km", F.lit(0.0))), ["order_id"], 0.8)
+    res = ml.train_late_model(table, allow_leak=True, num_trees=5)
+    model_path = os.path.join(tmp_dir, "model")
+    ml.save_model(res.model, model_path)
+    out = jobs.run_order_streams(spark, src, model_path, os.path.join(tmp_dir, "run"),
+                                 trigger={"availableNow": True}, timeout_sec=600, window="30 days", watermark="1 day")
+    preds = spark.read.parquet(out["predictions"])
+    bad = spark.read.parquet(out["quarantine"]).count()
+    assert preds.count() + bad == s.count()
+    assert bad > 0 and preds.where(F.col("prob_class_1").isNull()).count() == 0
+    docs = spark.read.json(out["documents"])
+    assert docs.agg(F.sum("n_orders")).first()[0] == preds.count()
+    assert spark.read.parquet(out["windows"]).count() > 0
