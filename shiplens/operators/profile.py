@@ -106,7 +106,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
         (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_lo"),
         (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_hi"),
         F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"),
-    )
+    ).orderBy("bin")
 
 
 def density_curve(df: DataFrame, col: str, points: int = 50, digits: int | None = 12) -> DataFrame:

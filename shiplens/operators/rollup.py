@@ -87,7 +87,8 @@ def join_group_stats(
     hot keys are salted: a key holding a third of all rows is spread over up
     to ``max_salt`` tasks.  The stats rows of hot keys only are replicated
     once per salt; every row matches exactly one replica, so the result is
-    exact whatever salt a row draws.
+    exact whatever salt a row draws.  The salt is derived from the row's
+    values, so retries are deterministic.
     """
     if count_col is None:
         return df.join(stats, on=key, how="left")
@@ -97,7 +98,10 @@ def join_group_stats(
     stats = stats.checkpoint(eager=True)  # used for the threshold and the join
     hot = F.broadcast(hot_keys(stats, key, count_col, hot_fraction, max_salt))
     salts = F.coalesce(F.col("__s"), F.lit(1))
-    left = df.join(hot, on=key, how="left").withColumn("__salt", F.floor(F.rand(17) * salts).cast("int"))
+    # the salt is a hash of the row itself, not rand(): a recomputed task
+    # (lost executor, stage retry) sends every row to the same replica again
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    left = df.join(hot, on=key, how="left").withColumn("__salt", F.pmod(row_hash, salts).cast("int"))
     right = stats.join(hot, on=key, how="left").withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), salts - 1))
     ).drop("__s")
@@ -168,7 +172,7 @@ def resample_hourly(df: DataFrame, ts_col: str = "ts", value_col: str = "n_order
     return spine.join(hourly, "hour", "left").select(
         F.col("hour").alias(ts_col),
         F.coalesce(F.col("total"), F.lit(0)).cast("long").alias(value_col),
-    )
+    ).orderBy(ts_col)
 
 
 def distinct_values(df: DataFrame, col: str = "market") -> DataFrame:

@@ -12,11 +12,20 @@ from pyspark.sql import SparkSession
 
 # Settings every job relies on.  UTC keeps timestamps comparable with the
 # stored aggregates and the SQL oracle; AQE lets Spark re-plan joins and
-# shuffles from measured sizes (broadcast a side only when its *measured*
-# shuffle output is below the threshold, split skewed partitions, coalesce
-# tiny ones).
+# shuffles from measured sizes (split skewed partitions, coalesce tiny ones).
+#
+# Broadcasts are decided from measured sizes only.  The static planner sizes
+# a Parquet scan by its compressed file size and, without table statistics,
+# estimates a join's output as the product of its inputs; with those numbers
+# it broadcast the line-item table and streamed the 5-row region scan, so
+# the whole star join ran in one task.  With the static threshold off, every
+# join starts as a shuffled join; once a side's shuffle is written, AQE sees
+# its real size and broadcasts it if it is below the adaptive threshold.
+BROADCAST_BYTES = "10m"
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": BROADCAST_BYTES,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
