@@ -39,6 +39,33 @@ PREDICTION_COLUMNS = [
 ]
 
 
+# Most distinct values a categorical feature may have.  The fitted indexer
+# keeps every label on the driver and the encoder makes one slot per label,
+# so an identifier column passed as a category must be refused, not fitted.
+MAX_CATEGORIES = 10_000
+
+
+class CardinalityError(ValueError):
+    """A categorical feature has too many distinct values to index."""
+
+
+def cardinality_check(df: DataFrame, categorical: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict:
+    """Approximate distinct counts of ``categorical`` in one pass; raise above the bound.
+
+    ``approx_count_distinct`` keeps a fixed-size sketch per column and task,
+    so the check itself never holds the values.
+    """
+    categorical = list(categorical)
+    if not categorical:
+        return {}
+    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
+    counts = {c: int(row[c]) for c in categorical}
+    too_many = {c: n for c, n in counts.items() if n > max_categories}
+    if too_many:
+        raise CardinalityError(f"categorical features above {max_categories} distinct values: {too_many}")
+    return counts
+
+
 class LeakError(ValueError):
     """The label was computed from one of the selected features."""
 
@@ -142,6 +169,7 @@ def train_late_model(
     train = table.where(F.col(split_col) == "train").persist()
     test = table.where(F.col(split_col) == "test")
     try:
+        cardinality_check(train, categorical)
         model = pipe.fit(train)
         n_train = train.count()
     finally:

@@ -484,6 +484,13 @@ def q_stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_text(res)
 
 
+# Rate limit of the line streams: a micro-batch has a fixed cost (planning,
+# commit log, sink writes), so each one should carry several files.  The
+# line files number the join's output partitions, so batches still grow
+# with the data.
+LINE_FILES_PER_TRIGGER = 8
+
+
 def write_line_files(spark: SparkSession, sf_dir: str) -> str:
     """The order lines as text files in a fresh folder.
 
@@ -501,7 +508,7 @@ def q_stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shiplens.streaming.windows import run_available
 
     path = write_line_files(spark, sf_dir)
-    src = lines.read_lines_stream(spark, "text", path, {"maxFilesPerTrigger": 1})
+    src = lines.read_lines_stream(spark, "text", path, {"maxFilesPerTrigger": LINE_FILES_PER_TRIGGER})
     base = scratch(spark, "stream-lines")
     landed = run_available(src, f"{base}/out", f"{base}/checkpoint", mode="append")
     return landed.agg(F.count(F.lit(1)).alias("n_lines"))
@@ -512,7 +519,7 @@ def q_stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shiplens.streaming.windows import enrich_orders, run_available
 
     path = write_line_files(spark, sf_dir)
-    src = lines.read_lines_stream(spark, "text", path, {"maxFilesPerTrigger": 1})
+    src = lines.read_lines_stream(spark, "text", path, {"maxFilesPerTrigger": LINE_FILES_PER_TRIGGER})
     enriched = enrich_orders(lines.decode_json(src)).drop("ingest_ts")
     base = scratch(spark, "stream-enrich")
     landed = run_available(enriched, f"{base}/out", f"{base}/checkpoint", mode="append")
@@ -527,7 +534,7 @@ def q_stream_batch_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shiplens.streaming.windows import batch_rollup_writer, enrich_orders, run_streams, start_foreach
 
     path = write_line_files(spark, sf_dir)
-    src = lines.read_lines_stream(spark, "text", path, {"maxFilesPerTrigger": 1})
+    src = lines.read_lines_stream(spark, "text", path, {"maxFilesPerTrigger": LINE_FILES_PER_TRIGGER})
     enriched = enrich_orders(lines.decode_json(src))
     base = scratch(spark, "stream-rollup")
     q = start_foreach(enriched, batch_rollup_writer(f"{base}/docs"), f"{base}/checkpoint")
@@ -662,7 +669,7 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     model, _ = trained_model(spark, sf_dir)
     path = write_line_files(spark, sf_dir)
-    src = lines.read_lines_stream(spark, "text", path, {"maxFilesPerTrigger": 1})
+    src = lines.read_lines_stream(spark, "text", path, {"maxFilesPerTrigger": LINE_FILES_PER_TRIGGER})
     tagged = lines.decode_with_quarantine(src)
     base = scratch(spark, "stream-score")
     q = start_foreach(tagged, scoring_writer(model, f"{base}/predictions", f"{base}/quarantine"), f"{base}/ck")

@@ -125,6 +125,14 @@ def test_leak_guard(spark):
     ml.leak_check(["sales"], "delivery_days")
 
 
+def test_cardinality_guard_refuses_identifier_columns(spark):
+    df = fixtures.shipments(spark, SF_SMALL)
+    counts = ml.cardinality_check(df, ["market", "customer_segment"])
+    assert counts["market"] == 5
+    with pytest.raises(ml.CardinalityError):
+        ml.cardinality_check(df, ["order_id"], max_categories=100)
+
+
 def test_model_pipeline_unseen_category_and_required_inputs(spark):
     df = fixtures.shipments(spark, SF_SMALL).withColumn("geo_distance_km", F.lit(0.0))
     table = features.split_hash(features.feature_table(df), ["order_id"], 0.8)
