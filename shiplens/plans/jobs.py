@@ -143,18 +143,15 @@ def stream_score(
     trigger: dict | None = None,
     source_options: dict | None = None,
 ):
-    """JOB-5: order lines → quarantine split → model scoring → predictions + per-batch rollups."""
+    """JOB-5: order lines → quarantine split → model scoring → predictions + per-batch rollups.
+
+    Predictions and rollup documents are written per batch (``batch_id``
+    partition, dynamic overwrite), so a replay after a failure adds nothing.
+    """
     model = ml.load_model(model_path)
     src = lines.read_lines_stream(spark, source_format, source_path, source_options)
     tagged = lines.decode_with_quarantine(src)
-    extra: list[Sink] = []
-    if documents_path:
-        def rollup_docs(d: DataFrame) -> None:
-            key = schema.resolve(d, rollup.GROUP_ALIASES)
-            write_documents(aggregate_documents(rollup.market_summary(d, out_key=key), key), documents_path)
-
-        extra.append(Sink("documents", rollup_docs))
-    fn = scoring.scoring_writer(model, predictions_path, quarantine_path, extra)
+    fn = scoring.scoring_writer(model, predictions_path, quarantine_path, documents_path=documents_path)
     return windows.start_foreach(tagged, fn, checkpoint, trigger or {"processingTime": "30 seconds"})
 
 

@@ -90,6 +90,7 @@ def test_run_order_streams_together(spark, tmp_dir):
     bad = spark.read.parquet(out["quarantine"]).count()
     assert preds.count() + bad == s.count()
     assert bad > 0 and preds.where(F.col("prob_class_1").isNull()).count() == 0
-    docs = spark.read.json(out["documents"])
+    docs = spark.read.parquet(out["documents"])
     assert docs.agg(F.sum("n_orders")).first()[0] == preds.count()
+    assert set(docs.columns) >= {"ts", "market", "n_orders", "avg_delivery_days", "sum_sales", "batch_id"}
     assert spark.read.parquet(out["windows"]).count() > 0
