@@ -427,6 +427,30 @@ def q_agg_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history_text(picked)
 
 
+# ---------------------------------------------------------------- jobs
+def run_prepare_job(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """JOB-1 over the raw order export written as CSV: (prepared table, sample path)."""
+    from shiplens.plans import jobs
+    from shiplens.sinks.files import write_csv
+
+    raw = fixtures.raw_orders(spark, sf_dir)
+    csv_path = scratch(spark, "raw-orders-export")
+    write_csv(raw, csv_path)
+    out = scratch(spark, "prepared")
+    stored = jobs.prepare(spark, csv_path, out, sample_path=out + "-sample", csv_schema=raw.schema)
+    return stored, out + "-sample"
+
+
+@query("job_prepare")
+def q_job_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_prepare_job(spark, sf_dir)[0]
+
+
+@query("job_prepare_sample")
+def q_job_prepare_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(run_prepare_job(spark, sf_dir)[1])
+
+
 # ---------------------------------------------------------------- streaming
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a file stream source with ``ts`` as event time."""

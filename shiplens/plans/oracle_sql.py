@@ -556,6 +556,24 @@ register(
     ),
 )
 
+# JOB-1: the raw export read back from CSV, names normalised, delivery
+# features derived, missing values imputed (the export has none).
+_PREPARED = with_ctes(
+    SHIPMENTS_CTE,
+    body="""
+SELECT 0.0 AS geo_distance_km, order_region, shipping_mode, customer_segment, sales,
+       days_for_shipping_real AS delivery_days, num_orders,
+       CASE WHEN days_for_shipping_real > 5 THEN 1 ELSE 0 END AS late_delivery_risk,
+       order_id, customer_id, market
+FROM shipments""",
+)
+register("job_prepare", _PREPARED)
+_ORDER_HASH = "substr(md5(concat_ws(':', coalesce(order_id, ''), coalesce(customer_id, ''))), 1, 8)"
+register(
+    "job_prepare_sample",
+    f"SELECT * FROM ({_PREPARED}) p WHERE {_ORDER_HASH} < '{format(int(0.1 * 16**8), '08x')}'",
+)
+
 _WINDOWS_CTE = """
 w AS (
   SELECT event_type AS market, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
