@@ -37,6 +37,23 @@ BASE_CONF = {
 }
 
 
+# The runtime SQL settings the query plans depend on (a subset of BASE_CONF
+# that can be changed on a running session).
+PLAN_CONF = (
+    "spark.sql.session.timeZone",
+    "spark.sql.autoBroadcastJoinThreshold",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold",
+    "spark.sql.adaptive.enabled",
+    "spark.sql.adaptive.skewJoin.enabled",
+)
+
+
+def apply_plan_conf(spark: SparkSession) -> None:
+    """Apply :data:`PLAN_CONF` to a session built elsewhere (a launcher, a notebook)."""
+    for k in PLAN_CONF:
+        spark.conf.set(k, BASE_CONF[k])
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "shiplens",
