@@ -56,18 +56,38 @@ def region_stats(
     )
 
 
-def hot_keys(stats: DataFrame, key: str, count_col: str, hot_fraction: float = 0.001, max_salt: int = 64) -> DataFrame:
-    """Keys holding more than ``hot_fraction`` of all rows, with a salt count each.
+# Rows one task of a salted join-back should hold, and the most keys that
+# may be split (the broadcast list of hot keys is at most this long).
+TARGET_ROWS_PER_TASK = 1_000_000
+MAX_HOT_KEYS = 100_000
 
-    At most ``1 / hot_fraction`` keys can pass the threshold (their counts sum
-    to at most the row total), so the result has a proven size bound and is
-    safe to broadcast.  Each hot key gets ``ceil(count / threshold)`` salts,
-    capped at ``max_salt``.
+
+def rows_per_task(total: int, target_rows: int = TARGET_ROWS_PER_TASK, max_hot_keys: int = MAX_HOT_KEYS) -> int:
+    """Rows per salt: ``target_rows``, raised so that fewer than ``max_hot_keys`` keys exceed it."""
+    return max(1, target_rows, -(-total // max_hot_keys))
+
+
+def hot_keys(
+    stats: DataFrame,
+    key: str,
+    count_col: str,
+    target_rows: int = TARGET_ROWS_PER_TASK,
+    max_hot_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
+    """Keys holding more rows than one task should, with a salt count each.
+
+    A key with ``count`` rows gets ``ceil(count / per_task)`` salts -- no cap,
+    so a key holding a third of all rows is cut into pieces of at most
+    ``per_task`` rows however large the table grows.  ``per_task`` is
+    ``target_rows``, raised to ``total / max_hot_keys`` on huge tables, so
+    fewer than ``max_hot_keys`` keys can pass: the result has a proven size
+    bound and is safe to broadcast.  The salts of all hot keys sum to less
+    than ``2 * total / per_task``, which bounds the replicated stats rows.
     """
     total = stats.agg(F.sum(count_col)).first()[0] or 0
-    threshold = max(1, int(total * hot_fraction))
-    return stats.where(F.col(count_col) > threshold).select(
-        key, F.least(F.ceil(F.col(count_col) / F.lit(threshold)), F.lit(max_salt)).cast("int").alias("__s")
+    per_task = rows_per_task(int(total), target_rows, max_hot_keys)
+    return stats.where(F.col(count_col) > per_task).select(
+        key, F.ceil(F.col(count_col) / F.lit(per_task)).cast("int").alias("__s")
     )
 
 
@@ -76,19 +96,19 @@ def join_group_stats(
     stats: DataFrame,
     key: str,
     count_col: str | None = None,
-    hot_fraction: float = 0.001,
-    max_salt: int = 64,
+    target_rows: int = TARGET_ROWS_PER_TASK,
+    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Left-join per-group statistics back onto every row (JON-1).
 
     A null key gets null statistics (unlike a window over the key).  When the
     stats side is small, AQE turns the join into a broadcast from its measured
     size.  Otherwise it stays a shuffled join, and with ``count_col`` given,
-    hot keys are salted: a key holding a third of all rows is spread over up
-    to ``max_salt`` tasks.  The stats rows of hot keys only are replicated
-    once per salt; every row matches exactly one replica, so the result is
-    exact whatever salt a row draws.  The salt is derived from the row's
-    values, so retries are deterministic.
+    hot keys are salted (:func:`hot_keys`): a key holding a third of all rows
+    is spread over as many tasks as its size needs.  The stats rows of hot
+    keys only are replicated once per salt; every row matches exactly one
+    replica, so the result is exact whatever salt a row draws.  The salt is
+    derived from the row's values, so retries are deterministic.
     """
     if count_col is None:
         return df.join(stats, on=key, how="left")
@@ -96,7 +116,7 @@ def join_group_stats(
 
     checkpoint_dir(df.sparkSession)
     stats = stats.checkpoint(eager=True)  # used for the threshold and the join
-    hot = F.broadcast(hot_keys(stats, key, count_col, hot_fraction, max_salt))
+    hot = F.broadcast(hot_keys(stats, key, count_col, target_rows, max_hot_keys))
     salts = F.coalesce(F.col("__s"), F.lit(1))
     # the salt is a hash of the row itself, not rand(): a recomputed task
     # (lost executor, stage retry) sends every row to the same replica again

@@ -28,9 +28,13 @@ def test_hot_region_join_and_rollup(spark):
             (F.col("id") % 17).cast("int").alias("delivery_days"),
         ).repartition(16)
         stats = rollup.region_stats(df)
-        joined = rollup.join_group_stats(df, stats, "order_region", count_col="region_order_count")
-        hot = {r["order_region"]: r["__s"] for r in rollup.hot_keys(stats, "order_region", "region_order_count").collect()}
-        assert hot.get("HOT", 1) > 1  # the hot key is spread over several tasks
+        # small per-task target so the fixture has a hot key: 10,000 rows of
+        # HOT are cut into ceil(10000 / 500) = 20 pieces, no cap
+        joined = rollup.join_group_stats(df, stats, "order_region", count_col="region_order_count",
+                                         target_rows=500)
+        hot = {r["order_region"]: r["__s"]
+               for r in rollup.hot_keys(stats, "order_region", "region_order_count", target_rows=500).collect()}
+        assert hot == {"HOT": 20}  # only the hot key is split, by its size
         rows = joined.select("order_region", "region_order_count").collect()
         assert len(rows) == n  # nothing dropped
         expect = Counter("HOT" if i % 3 == 0 else f"r{i % 50}" for i in range(n))
@@ -75,6 +79,15 @@ def test_aqe_splits_hot_key_in_shuffled_join(spark):
                 spark.conf.set(k, v)
 
 
+def test_salt_count_is_uncapped_and_hot_list_bounded():
+    per = rollup.rows_per_task
+    assert per(30_000, target_rows=500) == 500
+    # a huge table raises rows per task so fewer than max_hot_keys keys are hot
+    assert per(600_000_000_000) == 6_000_000
+    # a key with a third of 600 billion rows gets 33,334 salts, not a capped few
+    assert -(-200_000_000_000 // per(600_000_000_000)) == 33_334
+
+
 def test_small_side_hints_only_bounded_inputs(spark):
     from shiplens.operators.joins import small_side
 
