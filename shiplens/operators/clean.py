@@ -15,11 +15,16 @@ UNKNOWN = "unknown"
 
 
 def is_missing(df: DataFrame, c: str, blank_is_missing: bool = True) -> Column:
-    """Null, or (for text) blank after trimming."""
+    """Null, or (for text) blank after trimming.
+
+    Only text columns get the blank test: a number, date or boolean never
+    formats to blank text, so casting it to a string on every row would
+    change no answer and only cost time.
+    """
     col = F.col(c)
     cond = col.isNull()
-    if blank_is_missing:
-        cond = cond | (F.trim(col.cast("string")) == F.lit(""))
+    if blank_is_missing and isinstance(df.schema[c].dataType, (T.StringType, T.CharType, T.VarcharType)):
+        cond = cond | (F.trim(col) == F.lit(""))
     return cond
 
 
