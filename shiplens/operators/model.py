@@ -136,15 +136,31 @@ class TrainResult:
 
 def evaluate(predictions: DataFrame, label: str = LABEL) -> tuple[float, float]:
     """ROC AUC on the probability column and accuracy on the prediction (ML-7)."""
-    auc = BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol="probability", metricName="areaUnderROC"
-    ).evaluate(predictions)
-    acc = MulticlassClassificationEvaluator(
-        labelCol=label, predictionCol="prediction", metricName="accuracy"
-    ).evaluate(predictions)
+    auc, acc, _ = evaluate_with_count(predictions, label)
     return auc, acc
 
 
+def evaluate_with_count(predictions: DataFrame, label: str = LABEL) -> tuple[float, float, int]:
+    """AUC, accuracy and the number of rows evaluated.
+
+    The count and the two evaluators each make a pass, so only the three
+    columns they read are persisted between them, instead of recomputing the
+    upstream joins and the model transform for every pass.
+    """
+    scored = predictions.select(label, "probability", "prediction").persist()
+    try:
+        n = scored.count()
+        auc = BinaryClassificationEvaluator(
+            labelCol=label, rawPredictionCol="probability", metricName="areaUnderROC"
+        ).evaluate(scored)
+        acc = MulticlassClassificationEvaluator(
+            labelCol=label, predictionCol="prediction", metricName="accuracy"
+        ).evaluate(scored)
+    finally:
+        scored.unpersist()
+    return auc, acc, n
+
+
 def train_late_model(
     table: DataFrame,
     features: Sequence[str] = SELECTED_FEATURES,
@@ -174,12 +190,7 @@ def train_late_model(
         n_train = train.count()
     finally:
         train.unpersist()
-    preds = model.transform(test).persist()
-    try:
-        auc, acc = evaluate(preds, label)
-        n_test = preds.count()
-    finally:
-        preds.unpersist()
+    auc, acc, n_test = evaluate_with_count(model.transform(test), label)
     return TrainResult(model, auc, acc, n_train, n_test)
 
 
