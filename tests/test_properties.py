@@ -53,3 +53,19 @@ def test_split_is_disjoint_and_covers(spark, keys, frac):
     assert set(counts) <= {"train", "test"}
     again = features.split_hash(df.repartition(3), ["k"], frac)
     assert sorted(map(tuple, split.collect())) == sorted(map(tuple, again.collect()))
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.sampled_from(["a", "b", "c", "hot"])), min_size=1, max_size=300),
+       st.integers(1, 40))
+def test_salted_join_back_matches_brute_force(spark, keys, target_rows):
+    from collections import Counter
+
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, k string")
+    stats = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    out = rollup.join_group_stats(df, stats, "k", count_col="n", target_rows=target_rows).collect()
+    counts = Counter(keys)
+    # every row exactly once; a null key gets null stats, others their key's count
+    assert sorted(r["id"] for r in out) == list(range(len(keys)))
+    for r in out:
+        assert r["n"] == (None if r["k"] is None else counts[r["k"]])
