@@ -451,6 +451,25 @@ def q_job_prepare_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(run_prepare_job(spark, sf_dir)[1])
 
 
+@query("documents_readback")
+def q_documents_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored documents whose ``ts`` is epoch seconds or ISO-8601 text (SRC-6, FN-15).
+
+    Half the hourly documents carry ``ts`` as a JSON number, half as
+    ISO text with a zone suffix, as documents from different writers do;
+    the reader infers the column as text and parses both forms in place.
+    """
+    from shiplens.plans import jobs
+
+    hist = fixtures.agg_history(spark, sf_dir)
+    fields = ["market", "n_orders", "avg_delivery_days", "sum_sales", "batch_id"]
+    as_epoch = F.to_json(F.struct(F.unix_timestamp("ts").alias("ts"), *fields))
+    as_iso = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"), *fields))
+    path = scratch(spark, "documents-json")
+    hist.select(F.when(F.col("batch_id") % 2 == 0, as_epoch).otherwise(as_iso).alias("value")).write.text(path)
+    return history_text(jobs.read_documents(spark, path))
+
+
 # ---------------------------------------------------------------- streaming
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a file stream source with ``ts`` as event time."""

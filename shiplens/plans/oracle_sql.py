@@ -568,6 +568,7 @@ SELECT 0.0 AS geo_distance_km, order_region, shipping_mode, customer_segment, sa
 FROM shipments""",
 )
 register("job_prepare", _PREPARED)
+register("documents_readback", _hist_text())
 _ORDER_HASH = "substr(md5(concat_ws(':', coalesce(order_id, ''), coalesce(customer_id, ''))), 1, 8)"
 register(
     "job_prepare_sample",
