@@ -652,6 +652,7 @@ def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MODELS: dict[str, tuple] = {}
+_MODEL_PATHS: dict[str, str] = {}
 
 
 def trained_model(spark: SparkSession, sf_dir: str):
@@ -664,6 +665,7 @@ def trained_model(spark: SparkSession, sf_dir: str):
         path = scratch(spark, "late-model")
         ml.save_model(res.model, path)
         _MODELS[sf_dir] = (ml.load_model(path), res)
+        _MODEL_PATHS[sf_dir] = path
     return _MODELS[sf_dir]
 
 
@@ -705,6 +707,22 @@ def q_confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ml.confusion_counts(model.transform(test))
 
 
+@query("score_uploaded_csv")
+def q_score_uploaded_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-7: the raw order export as an uploaded CSV, scored by the saved model."""
+    from shiplens.plans import jobs
+    from shiplens.sinks.files import write_csv
+
+    trained_model(spark, sf_dir)
+    raw = fixtures.raw_orders(spark, sf_dir)
+    path = scratch(spark, "upload-csv")
+    write_csv(raw, path)
+    scored, missing = jobs.score_csv(spark, path, _MODEL_PATHS[sf_dir], csv_schema=raw.schema)
+    if missing:
+        raise ValueError(f"upload lacks required inputs {missing}")
+    return scored
+
+
 @query("stream_score")
 def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shiplens.streaming.scoring import scoring_writer
