@@ -84,10 +84,14 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20, max_
     AQE can merge small shuffle partitions but cannot split a normal one, so
     the initial count must be large enough that each partition of the
     largest shuffle fits a task (~``target_partition_bytes``); AQE then
-    coalesces down to the advisory size.  Pass the result as ``extra_conf``.
+    coalesces down to the advisory size.  ``parallelismFirst`` is turned off:
+    on a shared cluster AQE should merge toward the advisory size rather than
+    keep 1 MB partitions for parallelism (many tiny tasks).  Pass the result
+    as ``extra_conf``.
     """
     n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
     return {
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),

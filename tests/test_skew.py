@@ -129,3 +129,14 @@ def test_star_join_never_broadcasts_the_fact_table(spark):
     for sub in subtrees:
         assert "lineitem.parquet" not in sub and "orders.parquet" not in sub and "customer.parquet" not in sub
     assert df.count() == 60_000
+
+
+def test_cluster_conf_sizes_shuffles_for_the_input():
+    from shiplens.session import cluster_conf
+
+    small = cluster_conf(10 << 30)  # 10 GiB: the floor of 200 partitions
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    big = cluster_conf(100 << 40)  # 100 TiB at 128 MiB per partition, capped
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    assert big["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
