@@ -83,11 +83,6 @@ def add_delivery_features(df: DataFrame, threshold: int = 5) -> DataFrame:
     return df
 
 
-def label_is_derived_from(df: DataFrame, features: Sequence[str], derived_label: bool) -> list[str]:
-    """Features the label was computed from (the leak the guard refuses)."""
-    return [f for f in features if derived_label and f in DELIVERY_ALIASES]
-
-
 def feature_table(
     df: DataFrame,
     features: Sequence[str] = SELECTED_FEATURES,

@@ -179,3 +179,31 @@ def test_late_events_matches_brute_force(spark):
         prior = [tt for aa, tt in rows if aa < a]
         expect.append((a, t, bool(prior) and t < max(prior) - 30))
     assert got == sorted(expect)
+
+
+def test_small_helpers(spark):
+    import datetime as dt
+
+    from shiplens.functions.dates import to_day
+    from shiplens.functions.numeric import coerce_long
+    from shiplens.sources.tables import as_utc_timestamps
+
+    df = spark.createDataFrame([(1, ("a", 2)), (2, None)], "id int, s struct<x:string,y:int>")
+    flat = schema.flatten_struct(df, "s", prefix="s_")
+    assert flat.columns == ["id", "s_x", "s_y"]
+    assert sorted(flat.collect(), key=lambda r: r["id"]) == [(1, "a", 2), (2, None, None)]
+
+    rows = spark.createDataFrame([(3, None), (1, "b"), (2, "c")], "k int, v string")
+    assert [r["k"] for r in rollup.first_n(rows, 2, ["k"]).collect()] == [1, 2]
+    assert sorted(r["k"] for r in clean.drop_nulls(rows, ["v"]).collect()) == [1, 2]
+    assert clean.is_empty(rows.where("k > 5")) and not clean.is_empty(rows)
+
+    assert features.sample_fraction_for(100_001) == 0.02 and features.sample_fraction_for(100_000) == 1.0
+
+    text = spark.createDataFrame([(" 12 ",), ("12.0",), ("12.5",), ("x",)], "t string")
+    assert [r[0] for r in text.select(coerce_long("t")).collect()] == [12, 12, None, None]
+
+    ntz = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-05 23:30:00' AS ts, 1 AS n")
+    utc = as_utc_timestamps(ntz)
+    assert dict(utc.dtypes)["ts"] == "timestamp" and dict(utc.dtypes)["n"] == "int"
+    assert utc.select(to_day("ts")).first()[0] == dt.date(2024, 1, 5)
