@@ -6,9 +6,11 @@
 * ``agg_history``   -- the stored aggregate documents read by the dashboard
 
 Every builder is a plain DataFrame plan over the parquet tables, so its work
-grows with the tables.  Dimension tables (nation, region) are small by
-construction; AQE broadcasts them once their measured shuffle size is known
-(static broadcast from file sizes is off, see session.py).
+grows with the tables.  The nation and region dimensions are broadcast after a
+bounded row check (``operators.joins.small_side``); every other join starts
+as a shuffled join, and AQE broadcasts a side only once its measured shuffle
+size is below the adaptive threshold (static broadcast from file sizes is
+off, see session.py).
 """
 
 from __future__ import annotations
