@@ -70,18 +70,20 @@ def score(
     """JOB-3: table + model → predictions (Parquet, optional JDBC) + rollup documents.
 
     Rows without an id get a deterministic key, so every sink and every retry
-    sees the same key.
+    sees the same key.  The predictions are computed once, into Parquet in
+    shared storage; the JDBC sink and the rollup read that written table,
+    so nothing of table size is held in executor memory and a lost executor
+    costs a re-read, not a re-score.
     """
     model = ml.load_model(model_path)
     df = spark.read.parquet(input_path)
     if "order_id" not in df.columns:
         df = df.withColumn("order_id", schema.surrogate_key(df.columns))
-    scored = ml.score(model, df)
-    sinks = [Sink("parquet", lambda d: write_parquet(d, predictions_path))]
-    if jdbc:
-        sinks.append(Sink("jdbc", lambda d: write_jdbc(d, **jdbc), optional=jdbc.get("optional", False)))
-    fan_out(scored, sinks)
+    write_parquet(ml.score(model, df), predictions_path)
     stored = spark.read.parquet(predictions_path)
+    if jdbc:
+        fan_out(stored, [Sink("jdbc", lambda d: write_jdbc(d, **jdbc), optional=jdbc.get("optional", False))],
+                persist=False)
     if documents_path:
         key = schema.resolve(stored, rollup.GROUP_ALIASES)
         docs = aggregate_documents(rollup.market_summary(stored, out_key=key), key)

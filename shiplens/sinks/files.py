@@ -153,15 +153,22 @@ class SinkErrors(RuntimeError):
         super().__init__("sinks failed: " + ", ".join(f"{k}: {v!r}" for k, v in failures.items()))
 
 
-def fan_out(df: DataFrame, sinks: Sequence[Sink], storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> dict:
+def fan_out(
+    df: DataFrame,
+    sinks: Sequence[Sink],
+    storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    persist: bool = True,
+) -> dict:
     """Write one frame to several sinks; one failure does not stop the others (SNK-8).
 
-    The frame is persisted once so every sink reads the same computed rows.
-    After all sinks ran, failures of required sinks are raised together, so a
-    streaming batch is not committed with a lost write; optional sinks only
-    report.
+    A computed frame (a micro-batch) is persisted once so every sink reads
+    the same rows.  A frame that is already a scan of written files needs
+    no copy: pass ``persist=False``.  After all sinks ran, failures of
+    required sinks are raised together, so a streaming batch is not committed
+    with a lost write; optional sinks only report.
     """
-    df.persist(storage)
+    if persist:
+        df.persist(storage)
     failures: dict[str, BaseException] = {}
     try:
         for s in sinks:
@@ -170,7 +177,8 @@ def fan_out(df: DataFrame, sinks: Sequence[Sink], storage: StorageLevel = Storag
             except Exception as exc:  # collected and re-raised below
                 failures[s.name] = exc
     finally:
-        df.unpersist()
+        if persist:
+            df.unpersist()
     required = {k: v for k, v in failures.items() if not next(s for s in sinks if s.name == k).optional}
     if required:
         raise SinkErrors(required)
