@@ -175,21 +175,23 @@ def train_late_model(
     """Fit the pipeline on ``split == 'train'`` rows and evaluate on the rest (ML-6).
 
     ``table`` comes from :func:`features.feature_table` plus
-    :func:`features.split_hash`.  Training input is persisted once because the
-    forest makes one pass per tree level.
+    :func:`features.split_hash`.  The fit reads its input about six times
+    (cardinality check, indexer, scaler, forest metadata, split points,
+    binning), so the table is written once to Parquet in the shared folder
+    and both splits are read from there (:func:`session.stage_table`).
     """
+    from shiplens.session import stage_table
+
     feats = present(table, features)
     leak_check(feats, label_from, allow_leak)
     numeric, categorical = numeric_and_categorical(table, feats)
     pipe = build_pipeline(categorical, numeric, label, num_trees, max_depth, seed)
-    train = table.where(F.col(split_col) == "train").persist()
-    test = table.where(F.col(split_col) == "test")
-    try:
-        cardinality_check(train, categorical)
-        model = pipe.fit(train)
-        n_train = train.count()
-    finally:
-        train.unpersist()
+    staged = stage_table(table, "model-input")
+    train = staged.where(F.col(split_col) == "train")
+    test = staged.where(F.col(split_col) == "test")
+    cardinality_check(train, categorical)
+    model = pipe.fit(train)
+    n_train = train.count()
     auc, acc, n_test = evaluate_with_count(model.transform(test), label)
     return TrainResult(model, auc, acc, n_train, n_test)
 

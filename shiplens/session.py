@@ -118,3 +118,19 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def stage_table(df, name: str):
+    """Write ``df`` once to Parquet in the shared folder and return a scan of it.
+
+    For an input that several passes read (a model fit), this replaces
+    ``persist``: the rows are computed once, stored compressed and columnar,
+    each pass reads only its columns, and a lost executor costs a re-read
+    of files rather than a recompute of the upstream joins.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
