@@ -581,7 +581,7 @@ def q_stream_batch_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     enriched = enrich_orders(lines.decode_json(src))
     base = scratch(spark, "stream-rollup")
     q = start_foreach(enriched, batch_rollup_writer(f"{base}/docs"), f"{base}/checkpoint")
-    run_streams([q], timeout_sec=600)
+    run_streams([q])  # availableNow: ends once all input is processed
     docs = spark.read.parquet(f"{base}/docs")
     return docs.groupBy("market").agg(
         F.sum("n_orders").cast("long").alias("n_orders"),
@@ -734,5 +734,5 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = lines.decode_with_quarantine(src)
     base = scratch(spark, "stream-score")
     q = start_foreach(tagged, scoring_writer(model, f"{base}/predictions", f"{base}/quarantine"), f"{base}/ck")
-    run_streams([q], timeout_sec=900)
+    run_streams([q])  # availableNow: ends once all input is processed
     return spark.read.parquet(f"{base}/predictions")
