@@ -82,8 +82,9 @@ def score(
     write_parquet(ml.score(model, df), predictions_path)
     stored = spark.read.parquet(predictions_path)
     if jdbc:
-        fan_out(stored, [Sink("jdbc", lambda d: write_jdbc(d, **jdbc), optional=jdbc.get("optional", False))],
-                persist=False)
+        options = {k: v for k, v in jdbc.items() if k != "optional"}
+        sink = Sink("jdbc", lambda d: write_jdbc(d, **options), optional=bool(jdbc.get("optional", False)))
+        fan_out(stored, [sink], persist=False)
     if documents_path:
         key = schema.resolve(stored, rollup.GROUP_ALIASES)
         docs = aggregate_documents(rollup.market_summary(stored, out_key=key), key)

@@ -44,6 +44,30 @@ def test_prepare_train_score_report(spark, tmp_dir):
     assert missing == ["sales"] and scored.count() == 0
 
 
+def test_score_job_jdbc_sink_failure_is_optional_or_fatal(spark, tmp_dir):
+    """No database here: a URL no JDBC driver accepts fails at once, locally."""
+    import pytest
+
+    from shiplens.sinks.files import SinkErrors
+
+    s = fixtures.shipments(spark, SF_SMALL).withColumn("geo_distance_km", F.lit(0.0))
+    table = features.feature_table(s)
+    data = os.path.join(tmp_dir, "input")
+    table.write.parquet(data)
+    res = ml.train_late_model(features.split_hash(table, ["order_id"], 0.8), allow_leak=True, num_trees=3)
+    model = os.path.join(tmp_dir, "model")
+    ml.save_model(res.model, model)
+    bad = {"url": "jdbc:no-such-driver:nowhere", "table": "predictions"}
+
+    out = jobs.score(spark, data, model, os.path.join(tmp_dir, "p1"), os.path.join(tmp_dir, "d1"),
+                     jdbc={**bad, "optional": True})
+    assert out.count() == table.count()  # predictions and documents still written
+    assert jobs.read_documents(spark, os.path.join(tmp_dir, "d1")).agg(F.sum("n_orders")).first()[0] == table.count()
+    with pytest.raises(SinkErrors) as err:
+        jobs.score(spark, data, model, os.path.join(tmp_dir, "p2"), None, jdbc={**bad, "optional": False})
+    assert "jdbc" in err.value.failures and "optional" not in str(err.value.failures["jdbc"])
+
+
 def test_profile_table(spark):
     df = fixtures.dirty_shipments(spark, SF_SMALL)
     out = jobs.profile_table(df, "delivery_days", ["sales", "delivery_days"])
