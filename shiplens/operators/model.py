@@ -180,19 +180,29 @@ def train_late_model(
     binning), so the table is written once to Parquet in the shared folder
     and both splits are read from there (:func:`session.stage_table`).
     """
-    from shiplens.session import stage_table
+    from shiplens.session import remove_path, stage_table
 
     feats = present(table, features)
     leak_check(feats, label_from, allow_leak)
     numeric, categorical = numeric_and_categorical(table, feats)
     pipe = build_pipeline(categorical, numeric, label, num_trees, max_depth, seed)
-    staged = stage_table(table, "model-input")
-    train = staged.where(F.col(split_col) == "train")
-    test = staged.where(F.col(split_col) == "test")
-    cardinality_check(train, categorical)
-    model = pipe.fit(train)
-    n_train = train.count()
-    auc, acc, n_test = evaluate_with_count(model.transform(test), label)
+    staged, staged_path = stage_table(table, "model-input")
+    try:
+        train = staged.where(F.col(split_col) == "train")
+        test = staged.where(F.col(split_col) == "test")
+        cardinality_check(train, categorical)
+        model = pipe.fit(train)
+        n_train = train.count()
+        auc, acc, n_test = evaluate_with_count(model.transform(test), label)
+    finally:
+        # the fitted model and the metrics do not refer to the staged rows;
+        # a failed clean-up must not hide the training result or its error
+        try:
+            remove_path(table.sparkSession, staged_path)
+        except Exception as exc:  # reported, not raised
+            import warnings
+
+            warnings.warn(f"could not remove staged table {staged_path}: {exc}", stacklevel=2)
     return TrainResult(model, auc, acc, n_train, n_test)
 
 

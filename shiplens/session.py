@@ -121,16 +121,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def stage_table(df, name: str):
-    """Write ``df`` once to Parquet in the shared folder and return a scan of it.
+    """Write ``df`` once to Parquet in the shared folder; return (scan of it, path).
 
     For an input that several passes read (a model fit), this replaces
     ``persist``: the rows are computed once, stored compressed and columnar,
     each pass reads only its columns, and a lost executor costs a re-read
-    of files rather than a recompute of the upstream joins.
+    of files rather than a recompute of the upstream joins.  Remove the
+    table with :func:`remove_path` once no pass needs it.
     """
     import uuid
 
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of the shared storage (any Hadoop file system) recursively."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.delete(jpath, True))

@@ -136,8 +136,16 @@ def test_cardinality_guard_refuses_identifier_columns(spark):
 def test_model_pipeline_unseen_category_and_required_inputs(spark):
     df = fixtures.shipments(spark, SF_SMALL).withColumn("geo_distance_km", F.lit(0.0))
     table = features.split_hash(features.feature_table(df), ["order_id"], 0.8)
+    from shiplens.session import checkpoint_dir
+
+    def staged():
+        return {d for d in os.listdir(checkpoint_dir(spark)) if d.startswith("model-input-")}
+
+    before = staged()
     res = ml.train_late_model(table, allow_leak=True, num_trees=5)
     assert 0.0 <= res.accuracy <= 1.0 and res.auc > 0.9  # the label leaks through delivery_days
+    # the staged training input is removed from the shared folder afterwards
+    assert staged() <= before
     assert ml.required_raw_inputs(res.model) == [
         "shipping_mode", "customer_segment", "order_region", "geo_distance_km", "sales", "delivery_days", "num_orders",
     ] or set(ml.required_raw_inputs(res.model)) == {
