@@ -32,6 +32,9 @@ BASE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of operators (quantile rounds, late-event keys, salted
+    # join-backs) are deleted once nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
