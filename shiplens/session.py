@@ -102,17 +102,18 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20, max_
     }
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+def checkpoint_dir(spark: SparkSession, local_prefix: str = "shiplens-ckpt-") -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a folder chosen here;
-    on a cluster the setting names shared storage that survives executor loss.
+    Only when the setting is absent (local tests) is a local folder created
+    here, named with ``local_prefix``; on a cluster the setting names shared
+    storage that survives executor loss.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    path = fallback or tempfile.mkdtemp(prefix="shiplens-ckpt-")
+    path = tempfile.mkdtemp(prefix=local_prefix)
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path

@@ -16,8 +16,8 @@ def spark():
     from shiplens.session import build_session, checkpoint_dir
 
     s = build_session("local[4]", app_name="shiplens-tests", shuffle_partitions=8)
-    # tests have no cluster setting: use a fresh local folder for checkpoints
-    checkpoint_dir(s, tempfile.mkdtemp(prefix="shiplens-test-ckpt-"))
+    # the session setting wins; only without one is a fresh local folder used
+    checkpoint_dir(s, local_prefix="shiplens-test-ckpt-")
     yield s
     s.stop()
 
