@@ -51,3 +51,13 @@ def test_no_python_udf_in_query_plan(spark, name):
     plan = plan_text(E.queries()[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in plan, f"{name} runs Python per row: {node}"
+
+
+def test_registered_queries_apply_the_broadcast_policy(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")  # as a default session has
+    try:
+        E.queries()["market_summary"](spark, SF_SMALL)
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
