@@ -1,9 +1,14 @@
 """Registered queries of this subpackage and the SQL that states them."""
 
-from shiplens.llm import simhash
+from shiplens.llm import exact_dedup, language_id, quality, simhash
 
 QUERIES = {
+    "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_quality_classifier": quality.op7_quality_classifier,
+    "op8_language_id": language_id.op8_language_id,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_exact_dedup": exact_dedup.ORACLE_SQL,
+}
