@@ -131,16 +131,24 @@ def stage_table(df, name: str):
     ``persist``: the rows are computed once, stored compressed and columnar,
     each pass reads only its columns, and a lost executor costs a re-read
     of files rather than a recompute of the upstream joins.  Remove the
-    table with :func:`remove_path` once no pass needs it.
+    table with :func:`remove_path` once no pass needs it; what is left goes
+    when the driver ends.
     """
     import uuid
 
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    remove_at_exit(spark, path)
     df.write.parquet(path)
     return spark.read.parquet(path), path
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver's file system delete ``path`` when the driver ends."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder of the shared storage (any Hadoop file system) recursively."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
