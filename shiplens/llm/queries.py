@@ -1,8 +1,9 @@
 """Registered queries of this subpackage and the SQL that states them."""
 
-from shiplens.llm import exact_dedup, language_id, quality, simhash
+from shiplens.llm import exact_dedup, language_id, piece_codec, quality, simhash
 
 QUERIES = {
+    "op3_sentencepiece_codec": piece_codec.op3_sentencepiece_codec,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_quality_classifier": quality.op7_quality_classifier,
     "op8_language_id": language_id.op8_language_id,
