@@ -1,9 +1,10 @@
 """Registered queries of this subpackage and the SQL that states them."""
 
-from shiplens.llm import exact_dedup, language_id, piece_codec, quality, simhash
+from shiplens.llm import exact_dedup, language_id, mixing, piece_codec, quality, simhash
 
 QUERIES = {
     "op3_sentencepiece_codec": piece_codec.op3_sentencepiece_codec,
+    "op5_soft_mixing": mixing.op5_soft_mixing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_quality_classifier": quality.op7_quality_classifier,
     "op8_language_id": language_id.op8_language_id,
@@ -11,5 +12,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op5_soft_mixing": mixing.op5_soft_mixing,
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
 }
