@@ -1,8 +1,9 @@
 """Registered queries of this subpackage and the SQL that states them."""
 
-from shiplens.llm import chat_format, exact_dedup, language_id, mixing, piece_codec, quality, simhash
+from shiplens.llm import chat_format, exact_dedup, language_id, mixing, piece_codec, quality, simhash, warc
 
 QUERIES = {
+    "op1_warc": warc.op1_warc,
     "op2_chat_formatting": chat_format.op2_chat_formatting,
     "op3_sentencepiece_codec": piece_codec.op3_sentencepiece_codec,
     "op5_soft_mixing": mixing.op5_soft_mixing,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_warc": warc.ORACLE_SQL,
     "op2_chat_formatting": chat_format.ORACLE_SQL,
     "op5_soft_mixing": mixing.op5_soft_mixing,
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
