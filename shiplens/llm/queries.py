@@ -1,6 +1,6 @@
 """Registered queries of this subpackage and the SQL that states them."""
 
-from shiplens.llm import chat_format, exact_dedup, language_id, mixing, piece_codec, quality, simhash, warc
+from shiplens.llm import chat_format, exact_dedup, language_id, mixing, piece_codec, quality, simhash, topk_search, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_quality_classifier": quality.op7_quality_classifier,
     "op8_language_id": language_id.op8_language_id,
+    "op9_exact_topk": topk_search.op9_exact_topk,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
 }
 
@@ -18,4 +19,5 @@ ORACLE: dict[str, str] = {
     "op2_chat_formatting": chat_format.ORACLE_SQL,
     "op5_soft_mixing": mixing.op5_soft_mixing,
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op9_exact_topk": topk_search.ORACLE_SQL,
 }
