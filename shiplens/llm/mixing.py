@@ -146,14 +146,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     return docs.where("lang is not null").join(F.broadcast(sample), "doc_id").select("text", F.col("lang").alias("domain"))
 
 
-def rated(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, seed: int = SEED) -> DataFrame:
-    """``docs`` with ``_tokens``, ``_p0..`` (domains in name order), ``rate`` and ``copies``."""
+def rated(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, seed: int = SEED, carry: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``_tokens``, ``_p0..`` (domains in name order), ``rate`` and ``copies``.
+
+    The posteriors are staged with the columns to ``carry`` (default: all), so
+    the features are computed once and the steps of the fit read sums of a few
+    numeric columns.
+    """
     targets = targets or TARGETS
     weights = train(labelled, sorted(targets))
-    found = with_posteriors(docs, weights, sorted(targets))
     posterior = [f"_p{d}" for d in range(len(targets))]
-    small = staged(found.select("_tokens", *posterior), "mixing-posteriors")
-    steps = fit_rates(small, targets)
+    carried = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]
+    found = staged(with_posteriors(docs, weights, sorted(targets)).select(*carried, "_tokens", *posterior), "mixing-posteriors")
+    steps = fit_rates(found, targets)
     uniform = F.xxhash64(F.lit(seed), "doc_id").bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
     rows = found.withColumn("rate", rate_expression(steps))
     return rows.withColumn("copies", F.floor("rate") + (uniform < F.col("rate") - F.floor("rate")).cast("long"))
@@ -170,6 +175,6 @@ def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posteriors, rate and copies of every document for the default targets."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     labelled = labelled_sample(docs, read(spark, sf_dir, "labels"))
-    found = rated(docs, labelled)
+    found = rated(docs, labelled, carry=["doc_id"])
     shares = [F.col(f"_p{k}").alias(f"p_{d}") for k, d in enumerate(sorted(TARGETS))]
     return found.select("doc_id", F.col("_tokens").cast("long").alias("n_tokens"), *shares, "rate", "copies")
