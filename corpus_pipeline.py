@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiplens.llm import exact_dedup, mixing, piece_codec, quality, simhash
-from shiplens.llm.common import read, staged
+from shiplens.llm.common import as_row, from_row, read, staged
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     weights = quality.fit(docs, read(spark, sf_dir, "labels"))
-    kept = quality.scored(docs, weights).where(F.col("quality_score") >= quality.REJECT_BELOW)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = quality.scored(as_row(docs), weights, text="row.text")
+    return from_row(rows.where(F.col("quality_score") >= quality.REJECT_BELOW))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

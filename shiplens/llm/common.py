@@ -34,6 +34,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def as_row(df: DataFrame) -> DataFrame:
+    """``df`` as one struct column ``row``, so that no added column can clash with its names."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
+def from_row(rows: DataFrame) -> DataFrame:
+    """The columns that :func:`as_row` packed."""
+    return rows.select("row.*")
+
+
 def crc_fold(key: str, folds: int) -> Column:
     """``crc32(key as text) mod folds``; a null key has no fold (null)."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % F.lit(folds)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiplens.llm.common import bounded_batches, read, staged
+from shiplens.llm.common import as_row, bounded_batches, from_row, read, staged
 from shiplens.session import remove_at_exit, scratch_path
 
 CAPACITY = 10_000
@@ -183,12 +183,13 @@ def duplicate_groups(docs: DataFrame, **index_options) -> DataFrame:
 def exact_dedup(docs: DataFrame, **index_options) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns, each once."""
     found = duplicate_groups(docs, **index_options).where("kept")
-    keep = found.select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"), F.col("chars").alias("_chars")).distinct()
-    text = F.coalesce(F.col("text"), F.lit(""))
-    own = docs.withColumns({"_own_sha": F.sha2(F.regexp_replace(text, r"[ \t-\r]", ""), 256), "_own_chars": F.char_length(text)})
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own_sha") == F.col("_sha")) & (F.col("_own_chars") == F.col("_chars"))
-    kept = own.join(keep, same, "left_semi").dropDuplicates(["doc_id", "_own_sha", "_own_chars"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    keep = found.select(F.col("doc_id").alias("keep_id"), F.col("sha").alias("keep_sha"), F.col("chars").alias("keep_chars")).distinct()
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    rows = as_row(docs).withColumns(
+        {"id": F.col("row.doc_id"), "sha": F.sha2(F.regexp_replace(text, r"[ \t-\r]", ""), 256), "chars": F.char_length(text)}
+    )
+    same = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("sha") == F.col("keep_sha")) & (F.col("chars") == F.col("keep_chars"))
+    return from_row(rows.join(keep, same, "left_semi").dropDuplicates(["id", "sha", "chars"]))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

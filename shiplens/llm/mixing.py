@@ -36,7 +36,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiplens.llm.common import hash_below, read, staged
+from shiplens.llm.common import from_row, hash_below, read, staged
 
 TARGETS = {"de": 0.2, "en": 0.5, "es": 0.1, "fr": 0.2}
 TRAIN_ROWS = 4000
@@ -54,7 +54,7 @@ def _text() -> Column:
 
 
 def with_features(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_tokens`` (words) and ``_f0..`` (share of characters in each sequence)."""
+    """``docs(text, ...)`` with ``_tokens`` (words) and ``_f0..`` (share of characters in each sequence)."""
     size = F.greatest(F.char_length(_text()), F.lit(1))
     shares = {
         f"_f{k}": 100.0 * (F.char_length(_text()) - F.char_length(F.replace(_text(), F.lit(s), F.lit("")))) / size
@@ -143,32 +143,33 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     total = usable.count()
     # about `rows` ids at most by construction, so this side is small enough to broadcast
     sample = usable.where(hash_below(F.col("doc_id"), min(1.0, rows / max(total, 1))))
-    return docs.where("lang is not null").join(F.broadcast(sample), "doc_id").select("text", F.col("lang").alias("domain"))
+    known = docs.where("lang is not null").select("doc_id", "text", F.col("lang").alias("domain"))
+    return known.join(F.broadcast(sample), "doc_id").select("text", "domain")
 
 
 def rated(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, seed: int = SEED, carry: list[str] | None = None) -> DataFrame:
-    """``docs`` with ``_tokens``, ``_p0..`` (domains in name order), ``rate`` and ``copies``.
+    """``(row, id, _tokens, _p0.., rate, copies)`` for each row of ``docs``; domains in name order.
 
-    The posteriors are staged with the columns to ``carry`` (default: all), so
-    the features are computed once and the steps of the fit read sums of a few
-    numeric columns.
+    ``row`` holds the columns to ``carry`` (default: all).  The posteriors are
+    staged with it, so the features are computed once and the steps of the
+    fit read sums of a few numeric columns.
     """
     targets = targets or TARGETS
     weights = train(labelled, sorted(targets))
     posterior = [f"_p{d}" for d in range(len(targets))]
-    carried = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]
-    found = staged(with_posteriors(docs, weights, sorted(targets)).select(*carried, "_tokens", *posterior), "mixing-posteriors")
+    row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]).alias("row")
+    packed = docs.select(row, F.col("doc_id").alias("id"), "text")
+    found = staged(with_posteriors(packed, weights, sorted(targets)).select("row", "id", "_tokens", *posterior), "mixing-posteriors")
     steps = fit_rates(found, targets)
-    uniform = F.xxhash64(F.lit(seed), "doc_id").bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+    uniform = F.xxhash64(F.lit(seed), "id").bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
     rows = found.withColumn("rate", rate_expression(steps))
     return rows.withColumn("copies", F.floor("rate") + (uniform < F.col("rate") - F.floor("rate")).cast("long"))
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, seed: int = SEED) -> DataFrame:
     """The rows of ``docs``, each as often as its rate asks for, with the columns of ``docs``."""
-    rows = rated(docs, labelled, targets, seed).where("copies > 0")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*columns)
+    rows = rated(docs, labelled, targets, seed)
+    return from_row(rows.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))))
 
 
 def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,4 +178,4 @@ def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = labelled_sample(docs, read(spark, sf_dir, "labels"))
     found = rated(docs, labelled, carry=["doc_id"])
     shares = [F.col(f"_p{k}").alias(f"p_{d}") for k, d in enumerate(sorted(TARGETS))]
-    return found.select("doc_id", F.col("_tokens").cast("long").alias("n_tokens"), *shares, "rate", "copies")
+    return found.select(F.col("id").alias("doc_id"), F.col("_tokens").cast("long").alias("n_tokens"), *shares, "rate", "copies")

@@ -91,7 +91,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, shards: int
     # at most about `rows` labels are sampled, so this side of the join is small by construction
     sample = usable.where(hash_below(F.col("doc_id"), min(1.0, rows / max(total, 1))))
     bounded_batches(docs.sparkSession)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id")
     ordered = texts.select(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard"), "doc_id", "text", "label")
     ordered = ordered.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "label", "text")
 
@@ -113,8 +113,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, shards: int
     return out
 
 
-def scored(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
-    """``docs`` with a column ``quality_score``; other columns pass through unread."""
+def scored(docs: DataFrame, weights: np.ndarray, text: str = "text", bits: int = BITS) -> DataFrame:
+    """``docs`` with a column ``quality_score`` of the column ``text``; others pass through unread."""
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
 
@@ -128,7 +128,7 @@ def scored(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
                 out[k] = w[index] @ value + w[-1]
             yield pd.Series(1 / (1 + np.exp(-np.clip(out, -35, 35))))
 
-    return docs.withColumn("quality_score", score("text"))
+    return docs.withColumn("quality_score", score(text))
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

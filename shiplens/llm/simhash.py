@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiplens.llm.common import bounded_batches, read, runs, staged
+from shiplens.llm.common import as_row, bounded_batches, from_row, read, runs, staged
 from shiplens.llm.components import connected
 
 WORDS = 4
@@ -172,9 +172,10 @@ def near_dedup(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) ->
     Keeps all columns.  Of rows that repeat a kept doc_id, one stays.
     """
     found = near_duplicates(docs, words, max_bits)
-    keep = found.where("doc_id <=> component_id").select("doc_id").distinct()
-    kept = docs.join(keep.withColumnRenamed("doc_id", "_keep_id"), F.col("doc_id").eqNullSafe(F.col("_keep_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    keep = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("keep_id")).distinct()
+    rows = as_row(docs).withColumn("id", F.col("row.doc_id"))
+    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
+    return from_row(kept.dropDuplicates(["id"]))
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
