@@ -19,30 +19,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiplens.functions.dates import day_diff
-from shiplens.functions.numeric import money, money_sum
+from shiplens.functions.numeric import LATE_THRESHOLD_DAYS, money, money_sum
 from shiplens.operators.joins import small_side
-from shiplens.sources.tables import read_table
+from shiplens.sources.lines import ORDER_RECORD_SCHEMA
+from shiplens.sources.tables import as_utc_timestamps, read_table
 
 # The two text layouts the stream producer uses for dates.
 US_LAYOUT = "M/d/yyyy H:mm:ss"
 ISO_LAYOUT = "yyyy-MM-dd HH:mm:ss"
-LATE_THRESHOLD_DAYS = 5
 
 # Fields of the stream order record, in the declared order.
-STREAM_FIELDS = [
-    "order_id",
-    "customer_id",
-    "market",
-    "customer_segment",
-    "shipping_mode",
-    "order_date_dateorders",
-    "shipping_date_dateorders",
-    "days_for_shipment_scheduled",
-    "days_for_shipping_real",
-    "benefit_per_order",
-    "sales",
-    "order_item_product_price",
-]
+STREAM_FIELDS = ORDER_RECORD_SCHEMA.fieldNames()
 
 
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,8 +104,7 @@ def order_lines_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` with ``ts`` as a zone-aware timestamp (UTC session)."""
-    ev = read_table(spark, sf_dir, "events")
-    return ev.withColumn("ts", F.col("ts").cast("timestamp"))
+    return as_utc_timestamps(read_table(spark, sf_dir, "events"))
 
 
 def agg_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,12 +143,16 @@ RAW_HEADERS = {
     "Sales": "sales",
     "Order Item Product Price": "order_item_product_price",
     "Order Item Quantity": "num_orders",
+    "Origin Latitude": "origin_latitude",
+    "Origin Longitude": "origin_longitude",
+    "Dest Latitude": "dest_latitude",
+    "Dest Longitude": "dest_longitude",
 }
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order table as the raw export names its columns."""
-    s = shipments(spark, sf_dir)
+    """The order table as the raw export names its columns, with both ends' coordinates."""
+    s = with_coordinates(shipments(spark, sf_dir))
     return s.select(*[F.col(src).alias(raw) for raw, src in RAW_HEADERS.items()])
 
 
@@ -188,6 +178,14 @@ def dirty_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_coordinates(df: DataFrame) -> DataFrame:
+    """``df`` with the supplier's place as origin and the customer's as destination."""
+    slat, slon = coordinates("supplier_key")
+    clat, clon = coordinates("customer_key")
+    places = {"origin_latitude": slat, "origin_longitude": slon, "dest_latitude": clat, "dest_longitude": clon}
+    return df.withColumns({name: place.cast("double") for name, place in places.items()})
+
+
 def coordinates(key: str) -> tuple:
     """Synthetic (lat, lon) for a numeric key: the tables carry no coordinates."""
     return (F.col(key) % 180) - 90, (F.col(key) % 360) - 180

@@ -53,19 +53,32 @@ def coerce_double(c: str | Column) -> Column:
     return F.trim(_col(c).cast("string")).try_cast("double")
 
 
-def coerce_long(c: str | Column) -> Column:
-    """Text to a whole number when it is one (``'12'``, ``'12.0'``), else null."""
-    d = coerce_double(c)
-    return F.when(d == F.floor(d), d.cast("long"))
+def coerce_value(c: str | Column) -> Column:
+    """Typed-in text as ``struct<whole bigint, number double, text string>`` (FN-12).
+
+    One field is set: ``whole`` for digits with an optional minus sign,
+    ``number`` for any other text that reads as a number, else ``text`` with
+    the trimmed input as it was.  A null input leaves all three null.
+    """
+    t = F.trim(_col(c).cast("string"))
+    whole = F.when(t.rlike(r"^-?[0-9]+$"), t.try_cast("bigint"))
+    number = F.when(whole.isNull(), t.try_cast("double"))
+    text = F.when(whole.isNull() & number.isNull(), t)
+    return F.struct(whole.alias("whole"), number.alias("number"), text.alias("text"))
+
+
+# Digits kept behind the point when amounts are summed: far below a cent, so
+# a rounding of single amounts can't show in a total.
+SUM_SCALE = 10
 
 
 def money(c: str | Column, scale: int = 2) -> Column:
-    """Fixed-point view of an amount, so sums are exact and order-independent."""
-    return _col(c).cast(f"decimal(18,{scale})")
+    """Fixed-point view of an amount."""
+    return _col(c).cast(f"decimal({18 if scale <= 2 else 28},{scale})")
 
 
-def money_sum(c: str | Column, scale: int = 2) -> Column:
-    """Exact sum of an amount, returned as double."""
+def money_sum(c: str | Column, scale: int = SUM_SCALE) -> Column:
+    """Exact, order-independent sum of an amount with its sub-cent digits, as double."""
     return F.sum(money(c, scale)).cast("double")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiplens.operators.quantiles import approx_quantiles, exact_quantiles
-from shiplens.operators.schema import split_by_type
+from shiplens.operators.schema import quoted, split_by_type
 
 UNKNOWN = "unknown"
 
@@ -21,7 +21,7 @@ def is_missing(df: DataFrame, c: str, blank_is_missing: bool = True) -> Column:
     formats to blank text, so casting it to a string on every row would
     change no answer and only cost time.
     """
-    col = F.col(c)
+    col = F.col(quoted(c))
     cond = col.isNull()
     if blank_is_missing and isinstance(df.schema[c].dataType, (T.StringType, T.CharType, T.VarcharType)):
         cond = cond | (F.trim(col) == F.lit(""))
@@ -97,10 +97,5 @@ def impute_median(
 
 
 def drop_nulls(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Rows where every listed column is present (FLT-5)."""
+    """Rows where every listed column is present, NaN counting as absent (FLT-5)."""
     return df.na.drop(how="any", subset=list(cols))
-
-
-def is_empty(df: DataFrame) -> bool:
-    """True when the frame has no rows; stops at the first row found (FLT-4)."""
-    return df.isEmpty()

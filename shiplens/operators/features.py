@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplens.functions.numeric import late_flag
+from shiplens.functions.numeric import LATE_THRESHOLD_DAYS, haversine_km, late_flag
 from shiplens.operators.clean import impute_constant
 from shiplens.operators.schema import ensure_columns, present, resolve, split_by_type
 
@@ -26,6 +26,9 @@ ID_COLUMNS = ["order_id", "customer_id", "market"]
 DELIVERY_ALIASES = ("delivery_days", "days_for_shipping_real")
 QUANTITY_ALIASES = ("num_orders", "order_item_quantity")
 
+# Origin and destination columns that a distance is derived from.
+COORDINATES = ("origin_latitude", "origin_longitude", "dest_latitude", "dest_longitude")
+
 HEX_DIGITS = 8
 
 
@@ -53,11 +56,6 @@ def sample_hash(df: DataFrame, key_cols: Sequence[str], fraction: float) -> Data
     return df.where(hash_fraction(row_key(key_cols), fraction))
 
 
-def sample_fraction_for(n_rows: int, big: int = 100_000, small_fraction: float = 0.02) -> float:
-    """2 % of a table above ``big`` rows, all of it otherwise."""
-    return small_fraction if n_rows > big else 1.0
-
-
 def split_hash(df: DataFrame, key_cols: Sequence[str], train_fraction: float = 0.8, col: str = "split") -> DataFrame:
     """Label every row ``train`` or ``test`` by key hash (SMP-2).
 
@@ -68,14 +66,18 @@ def split_hash(df: DataFrame, key_cols: Sequence[str], train_fraction: float = 0
     )
 
 
-def add_delivery_features(df: DataFrame, threshold: int = 5) -> DataFrame:
-    """Derive ``delivery_days``, the late label, distance and quantity if absent."""
+def add_delivery_features(df: DataFrame, threshold: int = LATE_THRESHOLD_DAYS) -> DataFrame:
+    """Derive ``delivery_days``, the late label, distance and quantity if absent.
+
+    The distance is that of the four coordinate columns; without them it is 0.
+    """
     src = resolve(df, DELIVERY_ALIASES)
     qty = resolve(df, QUANTITY_ALIASES)
     defaults: dict[str, Column] = {}
     if src is not None:
         defaults["delivery_days"] = F.col(src)
-    defaults["geo_distance_km"] = F.lit(0.0)
+    have_points = all(c in df.columns for c in COORDINATES)
+    defaults["geo_distance_km"] = haversine_km(*COORDINATES) if have_points else F.lit(0.0)
     defaults["num_orders"] = F.col(qty) if qty else F.lit(1)
     df = ensure_columns(df, defaults)
     if "delivery_days" in df.columns:

@@ -9,15 +9,17 @@ The running maximum is a prefix scan over arrival order.  A window without
 in three bounded steps:
 
 1. one row per arrival key (``max(ts)``; partial aggregation absorbs hot keys);
-2. arrival keys are cut into at most ``max_buckets`` integer ranges; the
-   per-range maxima (bounded by ``max_buckets`` rows, so safe to broadcast)
-   get their own prefix maximum;
+2. the keys are range-partitioned by sampled quantiles (so sparse or outlying
+   arrival numbers still give even ranges) and staged with their range's
+   number; the per-range maxima (one row per range, so safe to broadcast) get
+   their own prefix maximum;
 3. inside each range a window over the *distinct keys* of that range adds the
    maximum of earlier keys of the same range.
 
 The per-key answer is then joined back to the rows on the arrival key with
-:func:`rollup.join_group_stats`, which salts a hot arrival key.
-The input is read twice: once for the per-key maxima, once for the join.
+:func:`rollup.join_group_stats`, which salts a hot arrival key and keeps rows
+without an arrival number apart.  The input is read twice: once for the
+per-key maxima, once for the join.
 """
 
 from __future__ import annotations
@@ -26,6 +28,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplens.operators.rollup import join_group_stats
+from shiplens.session import stage_table
+
+# Distinct arrival keys a range should hold, and the most ranges there are;
+# both shape the plan only.
+KEYS_PER_RANGE = 1_000_000
+MAX_RANGES = 100_000
 
 
 def late_events(
@@ -33,40 +41,30 @@ def late_events(
     arrival_col: str,
     ts_col: str = "ts",
     delay_seconds: int = 30,
-    max_buckets: int = 100_000,
+    keys_per_range: int = KEYS_PER_RANGE,
 ) -> DataFrame:
     """Add ``prior_max_ts`` and ``is_late`` to every row.
 
     ``arrival_col`` must be an integer arrival sequence (offset, line number);
-    rows sharing a value arrived together.
+    rows sharing a value arrived together.  A row without one has no earlier
+    rows: its ``prior_max_ts`` is null and it isn't late.
     """
-    from shiplens.session import checkpoint_dir
-
     key = F.col(arrival_col).cast("long")
-    per_key = df.groupBy(key.alias("__k")).agg(F.max(ts_col).alias("__kmax"), F.count(F.lit(1)).alias("__n"))
-    # per_key feeds the key range and the scan: write it once to the shared
-    # checkpoint folder instead of recomputing the input for each use
-    checkpoint_dir(df.sparkSession)
-    per_key = per_key.checkpoint(eager=True)
-    b = per_key.agg(F.min("__k").alias("lo"), F.max("__k").alias("hi")).first()
-    if b["lo"] is None:
-        return df.withColumn("prior_max_ts", F.lit(None).cast("timestamp")).withColumn(
-            "is_late", F.lit(False)
-        )
-    lo, hi = b["lo"], b["hi"]
-    width = max(1, -(-(hi - lo + 1) // max_buckets))  # ceil division
-    bucket = F.floor((F.col("__k") - F.lit(lo)) / F.lit(width)).cast("long")
-    keyed = per_key.withColumn("__b", bucket)
+    per_key = df.where(key.isNotNull()).groupBy(key.alias("__k")).agg(F.max(ts_col).alias("__kmax"), F.count(F.lit(1)).alias("__n"))
+    # staged: read for its size, for the ranges and for the scan
+    per_key, _ = stage_table(per_key, "arrivals")
+    ranges = max(1, min(MAX_RANGES, -(-per_key.count() // keys_per_range)))
+    keyed, _ = stage_table(per_key.repartitionByRange(ranges, "__k").withColumn("__b", F.spark_partition_id()), "arrival-ranges")
 
-    # step 2: greatest time in all earlier ranges (<= max_buckets rows)
-    bucket_max = keyed.groupBy("__b").agg(F.max("__kmax").alias("__bmax"))
+    # step 2: greatest time in all earlier ranges (one row per range)
+    range_max = keyed.groupBy("__b").agg(F.max("__kmax").alias("__bmax"))
     earlier_ranges = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    bucket_prefix = bucket_max.select("__b", F.max("__bmax").over(earlier_ranges).alias("__before_b"))
+    range_prefix = range_max.select("__b", F.max("__bmax").over(earlier_ranges).alias("__before_b"))
 
     # step 3: greatest time among earlier keys inside the same range
     earlier_keys = Window.partitionBy("__b").orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
     within = keyed.select("__k", "__b", "__n", F.max("__kmax").over(earlier_keys).alias("__before_k"))
-    prior = within.join(F.broadcast(bucket_prefix), "__b").select(
+    prior = within.join(F.broadcast(range_prefix), "__b").select(
         "__k", "__n", F.greatest("__before_k", "__before_b").alias("prior_max_ts")
     )
     # rows back onto their key; a hot arrival key is salted over several tasks

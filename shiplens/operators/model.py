@@ -11,14 +11,16 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiplens.functions.numeric import class_probability
+from shiplens.operators.clean import impute_constant
 from shiplens.operators.features import DELIVERY_ALIASES, LABEL, SELECTED_FEATURES, numeric_and_categorical
-from shiplens.operators.schema import present
+from shiplens.operators.schema import present, quoted
+from shiplens.session import remove_path, stage_table
 
 # Forest settings of the trained model.
 NUM_TREES = 100
@@ -39,19 +41,15 @@ PREDICTION_COLUMNS = [
 ]
 
 
-# Most distinct values a categorical feature may have.  The fitted indexer
-# keeps every label on the driver and the encoder makes one slot per label,
-# so an identifier column passed as a category must be refused, not fitted.
-MAX_CATEGORIES = 10_000
-
-
 class CardinalityError(ValueError):
     """A categorical feature has too many distinct values to index."""
 
 
-def cardinality_check(df: DataFrame, categorical: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict:
-    """Approximate distinct counts of ``categorical`` in one pass; raise above the bound.
+def cardinality_check(df: DataFrame, categorical: Sequence[str], max_categories: int) -> dict:
+    """Approximate distinct counts of ``categorical`` in one pass; raise above the caller's bound.
 
+    The fitted indexer keeps every label on the driver and the encoder makes
+    one slot per label, so a caller can state how many that may be.
     ``approx_count_distinct`` keeps a fixed-size sketch per column and task,
     so the check itself never holds the values.
     """
@@ -143,22 +141,20 @@ def evaluate(predictions: DataFrame, label: str = LABEL) -> tuple[float, float]:
 def evaluate_with_count(predictions: DataFrame, label: str = LABEL) -> tuple[float, float, int]:
     """AUC, accuracy and the number of rows evaluated.
 
-    The count and the two evaluators each make a pass, so only the three
-    columns they read are persisted between them, instead of recomputing the
-    upstream joins and the model transform for every pass.
+    The scored rows are staged as three columns of Parquet: the AUC sorts
+    them, and count and accuracy are one aggregation of the confusion counts.
+    Nothing of the table's size stays in executor memory.
     """
-    scored = predictions.select(label, "probability", "prediction").persist()
+    kept = predictions.select(label, "prediction", class_probability("probability").alias("p1"))
+    scored, path = stage_table(kept, "evaluation")
     try:
-        n = scored.count()
-        auc = BinaryClassificationEvaluator(
-            labelCol=label, rawPredictionCol="probability", metricName="areaUnderROC"
-        ).evaluate(scored)
-        acc = MulticlassClassificationEvaluator(
-            labelCol=label, predictionCol="prediction", metricName="accuracy"
-        ).evaluate(scored)
+        auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="p1", metricName="areaUnderROC").evaluate(scored)
+        counts = confusion_counts(scored, label).collect()  # one row per pair of classes
     finally:
-        scored.unpersist()
-    return auc, acc, n
+        remove_path(predictions.sparkSession, path)
+    n = sum(r["n"] for r in counts)
+    right = sum(r["n"] for r in counts if r["label"] == r["prediction"])
+    return auc, right / n if n else float("nan"), n
 
 
 def train_late_model(
@@ -171,6 +167,7 @@ def train_late_model(
     num_trees: int = NUM_TREES,
     max_depth: int = MAX_DEPTH,
     seed: int = SEED,
+    max_categories: int | None = None,
 ) -> TrainResult:
     """Fit the pipeline on ``split == 'train'`` rows and evaluate on the rest (ML-6).
 
@@ -178,10 +175,9 @@ def train_late_model(
     :func:`features.split_hash`.  The fit reads its input about six times
     (cardinality check, indexer, scaler, forest metadata, split points,
     binning), so the table is written once to Parquet in the shared folder
-    and both splits are read from there (:func:`session.stage_table`).
+    and both splits are read from there (:func:`session.stage_table`).  With
+    ``max_categories`` a categorical feature beyond it is refused.
     """
-    from shiplens.session import remove_path, stage_table
-
     feats = present(table, features)
     leak_check(feats, label_from, allow_leak)
     numeric, categorical = numeric_and_categorical(table, feats)
@@ -190,7 +186,8 @@ def train_late_model(
     try:
         train = staged.where(F.col(split_col) == "train")
         test = staged.where(F.col(split_col) == "test")
-        cardinality_check(train, categorical)
+        if max_categories is not None:
+            cardinality_check(train, categorical, max_categories)
         model = pipe.fit(train)
         n_train = train.count()
         auc, acc, n_test = evaluate_with_count(model.transform(test), label)
@@ -206,19 +203,27 @@ def train_late_model(
     return TrainResult(model, auc, acc, n_train, n_test)
 
 
+def fill_inputs(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with the model's raw inputs filled as at training: 0 or ``unknown`` for missing values."""
+    return impute_constant(df, cols=present(df, required_raw_inputs(model)))
+
+
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = PREDICTION_COLUMNS) -> DataFrame:
-    """Predictions with the late-class probability, keeping present columns (ML-9)."""
-    pred = model.transform(df)
-    cols = [F.col(c) for c in present(pred, keep)]
-    if "prediction" in pred.columns:
-        cols.append(F.col("prediction"))
-    if "probability" in pred.columns:
-        cols.append(class_probability("probability", 1).alias("prob_class_1"))
-    return pred.select(*cols)
+    """Rows of ``df`` with ``prediction`` and ``prob_class_1`` (ML-9).
+
+    The output is a contract: the columns of ``keep`` that ``df`` has, as they
+    were given, then the two results.  Missing input values are filled for
+    the model only; a model without a probability fails.
+    """
+    kept = present(df, keep)
+    given = F.struct(*[F.col(quoted(c)) for c in kept], F.lit(0).alias("__row")).alias("__given")
+    inputs = fill_inputs(model, df.select("*", given))
+    results = [F.col("prediction"), class_probability("probability").alias("prob_class_1")]
+    return model.transform(inputs).select(*[F.col(f"__given.{quoted(c)}") for c in kept], *results)
 
 
 def confusion_counts(scored: DataFrame, label: str = LABEL) -> DataFrame:
-    """Rows per (label, prediction) pair and the accuracy as plain SQL (ML-8)."""
+    """Rows per (label, prediction) pair (ML-8)."""
     return scored.groupBy(F.col(label).alias("label"), F.col("prediction").cast("int").alias("prediction")).agg(
         F.count(F.lit(1)).alias("n")
     )

@@ -12,7 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplens.operators.clean import is_missing
+from shiplens.operators.clean import drop_nulls, is_missing
+from shiplens.operators.schema import quoted
+from shiplens.session import remove_path, stage_table
 
 
 def profile_counts(df: DataFrame) -> DataFrame:
@@ -33,8 +35,8 @@ def profile_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
         F.count(F.lit(1)).alias("__n"),
         *[F.sum(F.when(is_missing(df, c), 1).otherwise(0)).alias(f"__m{i}") for i, c in enumerate(cols)],
     )
-    pieces = ", ".join(f"'{c}', __m{i}" for i, c in enumerate(cols))
-    long = wide.selectExpr("__n", f"stack({len(cols)}, {pieces}) AS (column_name, n_missing)")
+    pieces = [e for i, c in enumerate(cols) for e in (F.lit(c), F.col(f"__m{i}"))]
+    long = wide.select("__n", F.stack(F.lit(len(cols)), *pieces).alias("column_name", "n_missing"))
     return long.select(
         "column_name",
         F.col("n_missing").cast("long").alias("n_missing"),
@@ -61,7 +63,8 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int | None =
     (col_a, col_b, r) with the diagonal and both orders, like a matrix.
     """
     cols = list(cols)
-    clean = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    number = {c: F.col(quoted(c)).cast("double") for c in cols}
+    clean = {c: F.when(~F.isnan(number[c]), number[c]) for c in cols}
     aggs, labels = [], []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
@@ -72,8 +75,8 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int | None =
             if i != j:
                 labels.append((b, a, f"__c{i}_{j}"))
     wide = df.agg(*aggs)
-    pieces = ", ".join(f"'{a}', '{b}', {alias}" for a, b, alias in labels)
-    long = wide.selectExpr(f"stack({len(labels)}, {pieces}) AS (col_a, col_b, r)")
+    pieces = [e for a, b, alias in labels for e in (F.lit(a), F.lit(b), F.col(alias))]
+    long = wide.select(F.stack(F.lit(len(labels)), *pieces).alias("col_a", "col_b", "r"))
     r = F.col("r")
     if digits is not None:
         r = F.round(r, digits)
@@ -81,24 +84,27 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int | None =
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
-    """Equal-width histogram over [min, max], last bin closed (AGG-11).
+    """Equal-width histogram over the finite [min, max], last bin closed (AGG-11).
 
     Two passes: min/max (one row to the driver), then one grouped count with
     the edges as literals.  All ``bins`` rows are present, empty ones with 0:
-    the spine is a ``range`` of bin numbers outer-joined to the counts.
+    the spine is a ``range`` of bin numbers outer-joined to the counts.  Null
+    and NaN are left out; an infinite value lies beyond every finite edge and
+    counts in the outermost bin on its side.
     """
-    x = F.col(col).cast("double")
-    data = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    b = data.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    data = drop_nulls(df.select(F.col(quoted(col)).cast("double").alias("x")), ["x"])
+    finite = F.when(F.abs("x") < float("inf"), F.col("x"))
+    b = data.agg(F.min(finite).alias("lo"), F.max(finite).alias("hi")).first()
     lo, hi = b["lo"], b["hi"]
     spark = df.sparkSession
     if lo is None:
         return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, n long")
     width = (hi - lo) / bins
     if width > 0:
-        bin_of = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1))
+        inner = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1))
+        bin_of = F.when(F.col("x") < F.lit(lo), 0).when(F.col("x") > F.lit(hi), bins - 1).otherwise(inner)
     else:
-        bin_of = F.lit(0)
+        bin_of = F.when(F.col("x") > F.lit(hi), bins - 1).otherwise(0)
     counted = data.groupBy(bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     spine = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     return spine.join(counted, "bin", "left").select(
@@ -113,11 +119,21 @@ def density_curve(df: DataFrame, col: str, points: int = 50, digits: int | None
     """Gaussian kernel density on an even grid over [min, max] (AGG-12).
 
     Bandwidth by Scott's rule, ``n^(-1/5)`` times the sample standard
-    deviation.  The density at every grid point is its own aggregate
-    expression, so the whole curve is a single pass with no join.
+    deviation, over the finite values.  Equal values are counted first
+    (partial aggregation), and the kernel is summed over the distinct values
+    with their counts as weights: exact, and the work per grid point follows
+    the number of distinct values, not of rows.
     """
-    x = F.col(col).cast("double")
-    data = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    data = df.select(F.col(quoted(col)).cast("double").alias("x")).where(F.abs("x") < float("inf"))
+    counted, path = stage_table(data.groupBy("x").agg(F.count(F.lit(1)).alias("w")), "density-counts")
+    try:
+        return _weighted_density(data, counted, points, digits)
+    finally:
+        remove_path(df.sparkSession, path)
+
+
+def _weighted_density(data: DataFrame, counted: DataFrame, points: int, digits: int | None) -> DataFrame:
+    df = data
     st = data.agg(
         F.count(F.lit(1)).alias("n"),
         F.min("x").alias("lo"),
@@ -131,14 +147,9 @@ def density_curve(df: DataFrame, col: str, points: int = 50, digits: int | None
     step = (hi - lo) / (points - 1)
     grid = [lo + i * step for i in range(points)]
     norm = 1.0 / (n * h * math.sqrt(2.0 * math.pi))
-    aggs = [
-        F.sum(F.exp(F.lit(-0.5) * F.pow((F.lit(g) - F.col("x")) / F.lit(h), 2))).alias(f"__d{i}")
-        for i, g in enumerate(grid)
-    ]
-    wide = data.agg(*aggs)
-    pieces = ", ".join(f"{i}, CAST({g!r} AS DOUBLE), __d{i}" for i, g in enumerate(grid))
-    long = wide.selectExpr(f"stack({points}, {pieces}) AS (point, x, s)")
-    dens = F.col("s") * F.lit(norm)
-    if digits is not None:
-        dens = F.round(dens, digits)
-    return long.select(F.col("point").cast("int").alias("point"), "x", dens.alias("density"))
+    kernel = lambda g: F.exp(F.lit(-0.5) * F.pow((F.lit(g) - F.col("x")) / F.lit(h), 2))
+    sums = counted.agg(*[F.sum(F.col("w") * kernel(g)).alias(f"d{i}") for i, g in enumerate(grid)]).first()
+    # one number per grid point came back: the curve is a table of `points` rows
+    rows = [(i, g, sums[f"d{i}"] * norm) for i, g in enumerate(grid)]
+    curve = df.sparkSession.createDataFrame(rows, "point int, x double, density double")
+    return curve if digits is None else curve.withColumn("density", F.round("density", digits))

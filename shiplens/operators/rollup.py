@@ -8,13 +8,16 @@ one partial row per input partition, never one oversized task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiplens.functions.dates import day_bounds
 from shiplens.functions.numeric import money_sum
-from shiplens.operators.schema import resolve
+from shiplens.operators.joins import is_small
+from shiplens.operators.schema import quoted, resolve
+from shiplens.session import stage_table
 
 GROUP_ALIASES = ("market", "order_region")
 
@@ -101,31 +104,40 @@ def join_group_stats(
 ) -> DataFrame:
     """Left-join per-group statistics back onto every row (JON-1).
 
-    A null key gets null statistics (unlike a window over the key).  When the
-    stats side is small, AQE turns the join into a broadcast from its measured
-    size.  Otherwise it stays a shuffled join, and with ``count_col`` given,
-    hot keys are salted (:func:`hot_keys`): a key holding a third of all rows
-    is spread over as many tasks as its size needs.  The stats rows of hot
-    keys only are replicated once per salt; every row matches exactly one
-    replica, so the result is exact whatever salt a row draws.  The salt is
-    derived from the row's values, so retries are deterministic.
+    The statistics are staged once.  When they are small (checked rows and
+    bytes) they are broadcast, and the fact table is not shuffled at all.
+    Otherwise the join is shuffled, and with ``count_col`` given, hot keys are
+    salted (:func:`hot_keys`): a key holding a third of all rows is spread
+    over as many tasks as its size needs.  The stats rows of hot keys only
+    are replicated once per salt; every row matches exactly one replica, so
+    the result is exact whatever salt a row draws.
+
+    A null key gets null statistics (unlike a window over the key); those rows
+    can't match, so they never enter the shuffle.
+
+    The salt hashes the row's values and the number of its input partition:
+    a task that is retried sends every row to the same replica again, and
+    copies of one row in different partitions still spread.
     """
+    stats, _ = stage_table(stats, "group-stats")
+    if is_small(stats):
+        return df.join(F.broadcast(stats), on=key, how="left")
+    keyed = df.where(F.col(key).isNotNull())
     if count_col is None:
-        return df.join(stats, on=key, how="left")
-    from shiplens.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    stats = stats.checkpoint(eager=True)  # used for the threshold and the join
-    hot = F.broadcast(hot_keys(stats, key, count_col, target_rows, max_hot_keys))
-    salts = F.coalesce(F.col("__s"), F.lit(1))
-    # the salt is a hash of the row itself, not rand(): a recomputed task
-    # (lost executor, stage retry) sends every row to the same replica again
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    left = df.join(hot, on=key, how="left").withColumn("__salt", F.pmod(row_hash, salts).cast("int"))
-    right = stats.join(hot, on=key, how="left").withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), salts - 1))
-    ).drop("__s")
-    return left.join(right, on=[key, "__salt"], how="left").drop("__s", "__salt")
+        joined = keyed.join(stats, on=key, how="left")
+    else:
+        hot = F.broadcast(hot_keys(stats, key, count_col, target_rows, max_hot_keys))
+        salts = F.coalesce(F.col("__s"), F.lit(1))
+        row_hash = F.xxhash64(*[F.col(quoted(c)) for c in df.columns], F.spark_partition_id())
+        left = keyed.join(hot, on=key, how="left").withColumn("__salt", F.pmod(row_hash, salts).cast("int"))
+        right = stats.join(hot, on=key, how="left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__s")
+        joined = left.join(right, on=[key, "__salt"], how="left").drop("__s", "__salt")
+    rest = df.where(F.col(key).isNull()).select(
+        F.col(quoted(key)),
+        *[F.col(quoted(c)) for c in df.columns if c != key],
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in stats.schema.fields if f.name != key],
+    )
+    return joined.unionByName(rest)
 
 
 def filter_time_range(df: DataFrame, date_from: str, date_to: str, ts_col: str = "ts") -> DataFrame:
@@ -175,24 +187,31 @@ def rollup_of_rollups(df: DataFrame, key: str = "market") -> DataFrame:
     )
 
 
-def resample_hourly(df: DataFrame, ts_col: str = "ts", value_col: str = "n_orders") -> DataFrame:
+def resample_hourly(df: DataFrame, ts_col: str = "ts", value_col: str = "n_orders", by: Sequence[str] = ()) -> DataFrame:
     """Hourly sums with every hour between the first and last present (AGG-8).
 
-    The hour spine is generated from the min/max (one aggregate row), exploded
-    and outer-joined with the hourly sums; empty hours get 0.  The spine is a
-    distributed range of hours, not a driver-side list.
+    With ``by`` each group has its own first and last hour.  The hourly sums
+    are staged once and read twice: for the bounds, and for the join with the
+    spine.  A group's spine starts as its days, one entry each; the days are
+    spread over the tasks before each becomes its 24 hours, so a long gap
+    (one wrong timestamp) costs rows, not one large task.  Empty hours get 0.
     """
-    hourly = df.groupBy(F.date_trunc("hour", F.col(ts_col)).alias("hour")).agg(
-        F.sum(value_col).alias("total")
-    )
-    bounds = hourly.agg(F.min("hour").alias("lo"), F.max("hour").alias("hi"))
-    spine = bounds.select(
-        F.explode(F.sequence("lo", "hi", F.expr("interval 1 hour"))).alias("hour")
+    hour = F.floor(F.unix_timestamp(F.col(ts_col).cast("timestamp")) / 3600)
+    sums = df.where(F.col(ts_col).isNotNull()).groupBy(*by, hour.alias("hour")).agg(F.sum(value_col).alias("total"))
+    hourly, _ = stage_table(sums, "hourly")
+    bounds = hourly.groupBy(*by).agg(F.min("hour").alias("lo"), F.max("hour").alias("hi")).where("lo is not null")
+    days = bounds.select("*", F.explode(F.sequence(F.floor(F.col("lo") / 24), F.floor(F.col("hi") / 24))).alias("day"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hours = days.repartition(n, *by, "day").select(
+        "*", F.explode(F.sequence(F.col("day") * 24, F.col("day") * 24 + 23)).alias("h")
     )
-    return spine.join(hourly, "hour", "left").select(
-        F.col("hour").alias(ts_col),
+    spine = hours.where(F.col("h").between(F.col("lo"), F.col("hi"))).select(*[F.col(c).alias(f"__{c}") for c in by], "h")
+    same = reduce(lambda a, c: a & F.col(f"__{c}").eqNullSafe(F.col(c)), by, F.col("h") == F.col("hour"))
+    return spine.join(hourly, same, "left").select(
+        *[F.col(f"__{c}").alias(c) for c in by],
+        F.timestamp_seconds(F.col("h") * 3600).alias(ts_col),
         F.coalesce(F.col("total"), F.lit(0)).cast("long").alias(value_col),
-    ).orderBy(ts_col)
+    ).orderBy(*by, ts_col)
 
 
 def distinct_values(df: DataFrame, col: str = "market") -> DataFrame:

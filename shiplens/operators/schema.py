@@ -13,9 +13,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# The naming rule: any white space inside a name is an underscore, and
+# parentheses disappear.
+_NAME_RULE = {ord(c): "_" for c in " \t\n\r\f\v\u00a0"} | {ord(c): None for c in "()"}
+
+
 def normalize_name(name: str) -> str:
-    """trim, lower case, spaces to ``_``, parentheses removed."""
-    return name.strip().lower().replace(" ", "_").replace("(", "").replace(")", "")
+    """A column name in lower case, without outer white space, by the naming rule."""
+    return name.strip().translate(_NAME_RULE).casefold()
+
+
+def quoted(name: str) -> str:
+    """A column name that may hold dots, quotes or backticks, for ``F.col``."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -98,12 +108,31 @@ def cast_columns(df: DataFrame, types: dict[str, str], lenient: bool = False) ->
     return df.select(*[conv(c) for c in df.columns])
 
 
-def surrogate_key(cols: Sequence[str | Column], sep: str = ":") -> Column:
-    """Deterministic row key from business columns (PRJ-4).
+def surrogate_key(cols: Sequence[str | Column]) -> Column:
+    """Deterministic key of a row's content from business columns (PRJ-4).
 
     A random ``uuid()`` changes whenever the plan is re-executed (retries,
     several sinks), so two writers would disagree; an md5 of the columns does
-    not.  Nulls are written as the empty string.
+    not.  Each value is written with its length in front, and a null as
+    ``-``, so different rows never hash the same text: not null and empty,
+    nor values that only differ in where a separator falls.
     """
-    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in cols]
-    return F.md5(F.concat_ws(sep, *parts))
+    values = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.char_length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in values]))
+
+
+def with_row_key(df: DataFrame, name: str, cols: Sequence[str] | None = None) -> DataFrame:
+    """``df`` with a key that is unique to each row (PRJ-4).
+
+    Equal rows share their content key, so an occurrence number follows it.
+    Equal rows are interchangeable, so whichever gets which number, the set
+    of keyed rows is the same on every run.  The numbers need the copies of a
+    row in one task; only rows with copies carry more than the number 0.
+    """
+    from pyspark.sql import Window
+
+    key = surrogate_key(list(cols or df.columns))
+    content = df.withColumn("__key", key)
+    copies = Window.partitionBy("__key").orderBy(F.lit(0))
+    numbered = content.withColumn("__copy", F.row_number().over(copies) - 1)
+    return numbered.select(F.concat_ws("-", "__key", F.col("__copy").cast("string")).alias(name), *df.columns)

@@ -6,12 +6,14 @@ import time, and no job collects row-level data to the driver.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiplens.operators import features, model as ml, profile, rollup, schema
+from shiplens.session import stage_table
 from shiplens.sinks.files import Sink, aggregate_documents, fan_out, write_documents, write_jdbc, write_parquet
 from shiplens.sources import lines
 from shiplens.sources.tables import read_csv
@@ -50,11 +52,13 @@ def train(
     model_path: str,
     allow_leak: bool = False,
     train_fraction: float = 0.8,
+    num_trees: int = ml.NUM_TREES,
 ) -> dict:
     """JOB-2: prepared table → fitted pipeline + metrics; the model is saved."""
     table = spark.read.parquet(prepared_path)
     keys = schema.present(table, KEY_COLUMNS) or table.columns
-    res = ml.train_late_model(features.split_hash(table, keys, train_fraction), allow_leak=allow_leak)
+    split = features.split_hash(table, keys, train_fraction)
+    res = ml.train_late_model(split, allow_leak=allow_leak, num_trees=num_trees)
     ml.save_model(res.model, model_path)
     return {"auc": res.auc, "accuracy": res.accuracy, "n_train": res.n_train, "n_test": res.n_test}
 
@@ -78,29 +82,50 @@ def score(
     model = ml.load_model(model_path)
     df = spark.read.parquet(input_path)
     if "order_id" not in df.columns:
-        df = df.withColumn("order_id", schema.surrogate_key(df.columns))
+        df = schema.with_row_key(df, "order_id")
     write_parquet(ml.score(model, df), predictions_path)
     stored = spark.read.parquet(predictions_path)
     if jdbc:
-        options = {k: v for k, v in jdbc.items() if k != "optional"}
-        sink = Sink("jdbc", lambda d: write_jdbc(d, **options), optional=bool(jdbc.get("optional", False)))
-        fan_out(stored, [sink], persist=False)
+        fan_out(stored, [jdbc_sink(jdbc)], persist=False)
     if documents_path:
         key = schema.resolve(stored, rollup.GROUP_ALIASES)
         docs = aggregate_documents(rollup.market_summary(stored, out_key=key), key)
-        write_documents(docs, documents_path)
+        write_documents(docs, documents_path, run=run_name(input_path))
     return stored
 
 
-def score_csv(spark: SparkSession, csv_path: str, model_path: str, csv_schema=None) -> tuple[DataFrame, list[str]]:
-    """SRC-7: score an uploaded CSV; also return the required columns it lacks."""
+def run_name(input_path: str) -> str:
+    """Name of a batch run: scoring the same input again replaces its documents."""
+    return hashlib.sha1(input_path.rstrip("/").encode()).hexdigest()[:16]
+
+
+def jdbc_sink(jdbc: dict) -> Sink:
+    """A sink from the options of ``write_jdbc``, plus ``optional``."""
+    options = {k: v for k, v in jdbc.items() if k != "optional"}
+    return Sink("jdbc", lambda d: write_jdbc(d, **options), optional=bool(jdbc.get("optional", False)))
+
+
+class MissingInputs(ValueError):
+    """An upload lacks columns that the model needs."""
+
+    def __init__(self, columns: list[str]):
+        self.columns = columns
+        super().__init__(f"the upload lacks required columns: {columns}")
+
+
+def score_csv(spark: SparkSession, csv_path: str, model_path: str, csv_schema=None) -> DataFrame:
+    """SRC-7: every row and column of an uploaded CSV with its prediction and probability.
+
+    Empty cells are filled for the model; absent columns raise :class:`MissingInputs`.
+    """
     model = ml.load_model(model_path)
     raw = read_csv(spark, csv_path, schema=csv_schema, infer_schema=csv_schema is None)
-    df = features.add_delivery_features(schema.normalize_columns(raw))
+    uploaded = schema.normalize_columns(raw)
+    df = features.add_delivery_features(uploaded)
     missing = ml.missing_inputs(model, df)
     if missing:
-        return df.limit(0), missing
-    return ml.score(model, df), []
+        raise MissingInputs(missing)
+    return ml.score(model, df, keep=uploaded.columns)
 
 
 def stream_windows(
@@ -109,28 +134,52 @@ def stream_windows(
     out_path: str,
     checkpoint: str,
     source_format: str = "text",
-    event_time: str | None = "order_ts",
+    event_time: str | None = None,
     window: str = windows.WINDOW_DURATION,
     watermark: str = windows.WATERMARK_DELAY,
     trigger: dict | None = None,
     source_options: dict | None = None,
+    mode: str = "append",
 ):
     """JOB-4: order lines → decoded → watermark + tumbling windows by market → Parquet.
 
-    ``event_time=None`` windows on arrival time (``ingest_ts``) as the original
-    job did; the default windows on the order time.
+    Windows are on arrival time (``ingest_ts``), so no line is ever late and
+    each good line is counted in one window.  With ``event_time`` naming a
+    column, lines later than the watermark are left out by Spark; run
+    :func:`stream_quarantine` beside it for the lines that don't decode.
+    ``append`` writes each window once, when it is closed; ``complete``
+    rewrites all windows, open ones too, after each batch.
     """
     src = lines.read_lines_stream(spark, source_format, source_path, source_options)
     good, _ = lines.split_quarantine(lines.decode_with_quarantine(src))
     enriched = windows.enrich_orders(good)
     ts = event_time or "ingest_ts"
     agg = windows.windowed_stats(enriched, ts, key="market", window=window, watermark=watermark)
-    w = (
-        agg.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", out_path)
-        .option("checkpointLocation", checkpoint)
-    )
+    if mode == "complete":
+        w = agg.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+        w = w.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out_path))
+        return w.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
+    return _append_query(agg, out_path, checkpoint, trigger)
+
+
+def stream_quarantine(
+    spark: SparkSession,
+    source_path: str,
+    out_path: str,
+    checkpoint: str,
+    source_format: str = "text",
+    trigger: dict | None = None,
+    source_options: dict | None = None,
+):
+    """The lines that JOB-4 can't decode, as they came, appended to Parquet."""
+    src = lines.read_lines_stream(spark, source_format, source_path, source_options)
+    _, bad = lines.split_quarantine(lines.decode_with_quarantine(src))
+    return _append_query(bad, out_path, checkpoint, trigger)
+
+
+def _append_query(stream: DataFrame, out_path: str, checkpoint: str, trigger: dict | None):
+    w = stream.writeStream.outputMode("append").format("parquet")
+    w = w.option("path", out_path).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
 
 
@@ -145,16 +194,20 @@ def stream_score(
     source_format: str = "text",
     trigger: dict | None = None,
     source_options: dict | None = None,
+    jdbc: dict | None = None,
 ):
     """JOB-5: order lines → quarantine split → model scoring → predictions + per-batch rollups.
 
     Predictions and rollup documents are written per batch (``batch_id``
     partition, dynamic overwrite), so a replay after a failure adds nothing.
+    ``jdbc`` adds a database sink per batch (options of ``write_jdbc``, plus
+    ``optional``); it is an append, so its table should be keyed.
     """
     model = ml.load_model(model_path)
     src = lines.read_lines_stream(spark, source_format, source_path, source_options)
     tagged = lines.decode_with_quarantine(src)
-    fn = scoring.scoring_writer(model, predictions_path, quarantine_path, documents_path=documents_path)
+    sinks = [jdbc_sink(jdbc)] if jdbc else []
+    fn = scoring.scoring_writer(model, predictions_path, quarantine_path, sinks, documents_path=documents_path)
     return windows.start_foreach(tagged, fn, checkpoint, trigger or {"processingTime": "30 seconds"})
 
 
@@ -166,10 +219,11 @@ def report(
     market: str | None = None,
     latest: int = 200,
 ) -> dict[str, DataFrame]:
-    """JOB-6: stored aggregates → KPIs, hourly series, market table, latest rows, markets."""
-    if not 10 <= latest <= 1000:
-        raise ValueError("latest must be between 10 and 1000")
-    picked = rollup.filter_market(rollup.filter_time_range(documents, date_from, date_to), market)
+    """JOB-6: stored aggregates → KPIs, hourly series, market table, latest rows, markets.
+
+    The picked rows are staged once; the five results read that.
+    """
+    picked, _ = stage_table(rollup.filter_market(pick_days(documents, date_from, date_to), market), "report")
     return {
         "kpis": rollup.dashboard_kpis(picked),
         "hourly": rollup.resample_hourly(picked),
@@ -194,6 +248,14 @@ def profile_table(df: DataFrame, histogram_col: str | None = None, numeric: Sequ
     return out
 
 
+def pick_days(documents: DataFrame, date_from: str, date_to: str) -> DataFrame:
+    """Documents of an inclusive range of days; where they are stored by day, others aren't read."""
+    if "day" in documents.columns:
+        day = F.col("day").cast("date")
+        documents = documents.where((day >= F.lit(date_from).cast("date")) & (day <= F.lit(date_to).cast("date")))
+    return rollup.filter_time_range(documents, date_from, date_to)
+
+
 def read_documents(spark: SparkSession, path: str, fmt: str = "json", schema_=None) -> DataFrame:
     """SRC-6: stored aggregate documents with ``ts`` as a UTC timestamp."""
     from shiplens.functions.dates import epoch_or_iso_to_ts
@@ -217,6 +279,7 @@ def run_order_streams(
     source_options: dict | None = None,
     window: str = windows.WINDOW_DURATION,
     watermark: str = windows.WATERMARK_DELAY,
+    window_mode: str = "append",
 ) -> dict[str, str]:
     """STR-7/8: the window and scoring streams over one source, run together.
 
@@ -232,7 +295,8 @@ def run_order_streams(
         "documents": os.path.join(base_path, "documents"),
     }
     q1 = stream_windows(spark, source_path, out["windows"], os.path.join(base_path, "ck-windows"),
-                        window=window, watermark=watermark, trigger=trigger, source_options=source_options)
+                        window=window, watermark=watermark, trigger=trigger, source_options=source_options,
+                        mode=window_mode)
     q2 = stream_score(spark, source_path, model_path, out["predictions"], os.path.join(base_path, "ck-score"),
                       quarantine_path=out["quarantine"], documents_path=out["documents"], trigger=trigger,
                       source_options=source_options)

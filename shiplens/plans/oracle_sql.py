@@ -3,8 +3,8 @@
 The views ``region nation customer supplier part orders lineitem events`` are
 registered over the same parquet files.  Shared fixtures are written once as
 CTE text and reused.  Timestamps are compared as ``yyyy-MM-dd HH:mm:ss`` text
-and money as fixed-point sums cast to double, so both engines produce the
-same bits.
+and money as fixed-point sums (ten digits behind the point) cast to double, so
+both engines produce the same bits.
 """
 
 from __future__ import annotations
@@ -68,8 +68,8 @@ agg_history AS (
   SELECT date_trunc('hour', ts) AS ts,
          event_type AS market,
          count(*) AS n_orders,
-         CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_delivery_days,
-         CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sum_sales,
+         CAST(sum(CAST(value AS DECIMAL(28,10))) AS DOUBLE) / count(*) AS avg_delivery_days,
+         CAST(sum(CAST(value AS DECIMAL(28,10))) AS DOUBLE) AS sum_sales,
          CAST(floor(epoch(date_trunc('hour', ts)) / 3600) AS BIGINT) AS batch_id
   FROM ev GROUP BY 1, 2
 )"""
@@ -82,6 +82,17 @@ def with_ctes(*ctes: str, body: str) -> str:
 ORACLE: dict[str, str] = {}
 
 
+def _place(key: str) -> tuple[str, str]:
+    return f"CAST(({key} % 180) - 90 AS DOUBLE)", f"CAST(({key} % 360) - 180 AS DOUBLE)"
+
+
+_FROM, _TO = _place("supplier_key"), _place("customer_key")
+_PLACES = (
+    f"{_FROM[0]} AS origin_latitude, {_FROM[1]} AS origin_longitude, "
+    f"{_TO[0]} AS dest_latitude, {_TO[1]} AS dest_longitude"
+)
+
+
 def register(name: str, sql: str) -> None:
     ORACLE[name] = sql.strip()
 
@@ -94,7 +105,7 @@ register(
 SELECT market,
        count(*) AS n_orders,
        avg(delivery_days) AS avg_delivery_days,
-       CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) AS sum_sales
+       CAST(sum(CAST(sales AS DECIMAL(28,10))) AS DOUBLE) AS sum_sales
 FROM shipments GROUP BY market""",
     ),
 )
@@ -118,7 +129,7 @@ register(
 SELECT 'order_region' AS group_by, order_region AS group_value,
        count(*) AS n_orders,
        avg(delivery_days) AS avg_delivery_days,
-       CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) AS sum_sales
+       CAST(sum(CAST(sales AS DECIMAL(28,10))) AS DOUBLE) AS sum_sales
 FROM shipments GROUP BY order_region""",
     ),
 )
@@ -126,7 +137,7 @@ FROM shipments GROUP BY order_region""",
 _REGION_STATS = """
 SELECT order_region,
        count(*) AS region_order_count,
-       CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) / count(sales) AS region_avg_sales,
+       CAST(sum(CAST(sales AS DECIMAL(28,10))) AS DOUBLE) / count(sales) AS region_avg_sales,
        avg(delivery_days) AS region_avg_delivery_days
 FROM {src} GROUP BY order_region"""
 
@@ -161,7 +172,7 @@ SELECT CAST(coalesce(sum(n_orders), 0) AS BIGINT) AS total_orders,
        round(avg(avg_delivery_days), 6) AS avg_delivery_days,
        round(sum(avg_delivery_days * n_orders) / sum(CASE WHEN avg_delivery_days IS NOT NULL THEN n_orders END), 6)
          AS weighted_avg_delivery_days,
-       coalesce(CAST(sum(CAST(sum_sales AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS total_sales
+       coalesce(CAST(sum(CAST(sum_sales AS DECIMAL(28,10))) AS DOUBLE), 0.0) AS total_sales
 FROM agg_history""",
     ),
 )
@@ -174,7 +185,7 @@ register(
         body="""
 SELECT market, CAST(sum(n_orders) AS BIGINT) AS n_orders,
        round(avg(avg_delivery_days), 6) AS avg_delivery_days,
-       CAST(sum(CAST(sum_sales AS DECIMAL(18,2))) AS DOUBLE) AS sum_sales
+       CAST(sum(CAST(sum_sales AS DECIMAL(28,10))) AS DOUBLE) AS sum_sales
 FROM agg_history WHERE market IS NOT NULL GROUP BY market""",
     ),
 )
@@ -185,12 +196,11 @@ register(
         EVENTS_CTE,
         AGG_HISTORY_CTE,
         """
-h AS (SELECT date_trunc('hour', ts) AS hour, sum(n_orders) AS total FROM agg_history
-      WHERE market = 'click' GROUP BY 1),
-spine AS (SELECT unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour FROM h)""",
+h AS (SELECT market, date_trunc('hour', ts) AS hour, sum(n_orders) AS total FROM agg_history GROUP BY 1, 2),
+spine AS (SELECT market, unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour FROM h GROUP BY 1)""",
         body="""
-SELECT strftime(spine.hour, '%Y-%m-%d %H:%M:%S') AS ts, CAST(coalesce(h.total, 0) AS BIGINT) AS n_orders
-FROM spine LEFT JOIN h ON spine.hour = h.hour""",
+SELECT spine.market, strftime(spine.hour, '%Y-%m-%d %H:%M:%S') AS ts, CAST(coalesce(h.total, 0) AS BIGINT) AS n_orders
+FROM spine LEFT JOIN h ON spine.hour = h.hour AND spine.market = h.market""",
     ),
 )
 
@@ -200,6 +210,19 @@ register(
 )
 
 register("latest_n", _hist_text("", "ORDER BY ts DESC, market DESC LIMIT 200"))
+register("preview_rows", _hist_text("", "ORDER BY ts, market LIMIT 20"))
+
+register(
+    "subcent_sums",
+    with_ctes(
+        SHIPMENTS_CTE,
+        "p AS (SELECT market, CAST(CAST(sales AS DECIMAL(18,2)) * CAST(0.0371 AS DECIMAL(5,4)) AS DOUBLE) AS sales FROM shipments)",
+        body="""
+SELECT market, count(*) AS n_orders, CAST(sum(CAST(sales AS DECIMAL(28,10))) AS DOUBLE) AS sum_sales,
+       CAST(sum(CAST(sales AS DECIMAL(28,10))) AS DOUBLE) AS rolled_up, round(avg(sales), 9) AS avg_sales
+FROM p GROUP BY market""",
+    ),
+)
 
 register(
     "normalize_columns",
@@ -209,7 +232,9 @@ register(
 SELECT order_id, customer_id, market, order_region, customer_segment, shipping_mode,
        order_date_dateorders, shipping_date_dateorders, days_for_shipment_scheduled,
        days_for_shipping_real, benefit_per_order, sales, order_item_product_price,
-       num_orders AS order_item_quantity
+       num_orders AS order_item_quantity, """
+        + _PLACES
+        + """
 FROM shipments""",
     ),
 )
@@ -250,8 +275,8 @@ register(
         SHIPMENTS_CTE,
         body="""
 SELECT order_key, line_number,
-       md5(concat_ws(':', coalesce(order_id, ''), coalesce(CAST(line_number AS VARCHAR), ''),
-                     coalesce(customer_id, ''), coalesce(market, ''))) AS row_key
+       md5(concat(length(order_id), ':', order_id, length(CAST(line_number AS VARCHAR)), ':', line_number,
+                  length(customer_id), ':', customer_id, length(market), ':', market)) AS row_key
 FROM shipments""",
     ),
 )
@@ -293,6 +318,17 @@ SELECT event_id,
 FROM events""",
 )
 
+register(
+    "coerce_typed_in",
+    """
+WITH t AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN ' -' || event_id WHEN 1 THEN (event_id % 1000) || '.5 '
+                                WHEN 2 THEN ' n/a ' || event_id END AS typed FROM events)
+SELECT event_id, CASE WHEN regexp_full_match(trim(typed), '-?[0-9]+') THEN CAST(trim(typed) AS DOUBLE) END AS whole,
+       CASE WHEN NOT regexp_full_match(trim(typed), '-?[0-9]+') THEN TRY_CAST(trim(typed) AS DOUBLE) END AS number,
+       CASE WHEN TRY_CAST(trim(typed) AS DOUBLE) IS NULL THEN trim(typed) END AS text
+FROM t""",
+)
+
 _LAT = "(({k} % 180) - 90)"
 _LON = "(({k} % 360) - 180)"
 
@@ -460,7 +496,7 @@ register(
         body=f"""
 SELECT CASE WHEN {_HASH_KEY} < '{format(int(0.8 * 16**8), '08x')}' THEN 'train' ELSE 'test' END AS split,
        count(*) AS n_rows, CAST(sum(late_delivery_risk) AS BIGINT) AS n_late,
-       CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) AS sum_sales
+       CAST(sum(CAST(sales AS DECIMAL(28,10))) AS DOUBLE) AS sum_sales
 FROM shipments GROUP BY 1""",
     ),
 )
@@ -512,7 +548,7 @@ tagged AS (
   FROM shipments)""",
         body="""
 SELECT status, count(*) AS n_lines,
-       CAST(sum(CASE WHEN status = 'ok' THEN CAST(sales AS DECIMAL(18,2)) END) AS DOUBLE) AS sum_sales
+       CAST(sum(CASE WHEN status = 'ok' THEN CAST(sales AS DECIMAL(28,10)) END) AS DOUBLE) AS sum_sales
 FROM tagged GROUP BY status""",
     ),
 )
@@ -543,7 +579,7 @@ register(
         SHIPMENTS_CTE,
         body="""
 SELECT market, count(*) AS n_orders, avg(delivery_days) AS avg_delivery_days,
-       coalesce(CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS sum_sales,
+       coalesce(CAST(sum(CAST(sales AS DECIMAL(28,10))) AS DOUBLE), 0.0) AS sum_sales,
        'market' AS group_by, market AS region_or_market
 FROM shipments GROUP BY market""",
     ),
@@ -558,10 +594,11 @@ register(
 
 # JOB-1: the raw export read back from CSV, names normalised, delivery
 # features derived, missing values imputed (the export has none).
+_DISTANCE = _haversine_sql(*_FROM, *_TO)
 _PREPARED = with_ctes(
     SHIPMENTS_CTE,
-    body="""
-SELECT 0.0 AS geo_distance_km, order_region, shipping_mode, customer_segment, sales,
+    body=f"""
+SELECT round({_DISTANCE}, 6) AS geo_distance_km, order_region, shipping_mode, customer_segment, sales,
        days_for_shipping_real AS delivery_days, num_orders,
        CASE WHEN days_for_shipping_real > 5 THEN 1 ELSE 0 END AS late_delivery_risk,
        order_id, customer_id, market
@@ -615,7 +652,7 @@ register(
     with_ctes(
         SHIPMENTS_CTE,
         body="""
-SELECT market, count(*) AS n_orders, CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) AS sum_sales
+SELECT market, count(*) AS n_orders, CAST(sum(CAST(sales AS DECIMAL(28,10))) AS DOUBLE) AS sum_sales
 FROM shipments GROUP BY market""",
     ),
 )
@@ -662,3 +699,131 @@ SELECT order_key, line_number,
 FROM shipments""",
     ),
 )
+
+
+# ---------------------------------------------------------------- order windows
+def _order_windows(days: int) -> str:
+    # Spark's windows of whole days start at the epoch
+    start = f"epoch_ms(CAST(floor(epoch(order_ts) / {86400 * days}) * {86400 * days} * 1000 AS BIGINT))"
+    return with_ctes(
+        SHIPMENTS_CTE,
+        f"w AS (SELECT market, {start} AS s, delivery_days, sales FROM shipments)",
+        body=f"""
+SELECT market, count(*) AS n_events, round(avg(delivery_days), 6) AS avg_delivery_days, round(avg(sales) + 2e-7, 6) AS avg_sales,
+       strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(s + INTERVAL {days} DAY, '%Y-%m-%d %H:%M:%S') AS window_end
+FROM w GROUP BY market, s""",
+    )
+
+
+register("window_orders", _order_windows(30))
+register("stream_window_update", _order_windows(30))
+_BAD = "(order_key % 50 = 0 OR order_key % 97 = 0 OR order_key % 89 = 0)"
+register(
+    "job_stream_windows",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body=f"""
+SELECT market, count(*) AS n_events, round(avg(delivery_days), 6) AS avg_delivery_days
+FROM shipments WHERE NOT {_BAD} GROUP BY market
+UNION ALL SELECT '(quarantine)', count(*), NULL FROM shipments WHERE {_BAD}""",
+    ),
+)
+
+# ---------------------------------------------------------------- jobs and model
+_SPLIT = f"CASE WHEN {_HASH_KEY} < '{format(int(0.8 * 16**8), '08x')}' THEN 'train' ELSE 'test' END"
+_ORDER_SPLIT = f"CASE WHEN {_ORDER_HASH} < '{format(int(0.8 * 16**8), '08x')}' THEN 'train' ELSE 'test' END"
+register(
+    "job_train",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body=f"""
+SELECT count(*) FILTER (WHERE {_ORDER_SPLIT} = 'train') AS n_train, count(*) FILTER (WHERE {_ORDER_SPLIT} = 'test') AS n_test,
+       true AS metrics_fair
+FROM shipments""",
+    ),
+)
+register(
+    "job_score",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="SELECT market, count(*) AS n_orders, round(CAST(sum(CAST(sales AS DECIMAL(28,10))) AS DOUBLE), 2) AS sum_sales "
+        "FROM shipments GROUP BY market",
+    ),
+)
+register(
+    "job_report",
+    with_ctes(
+        EVENTS_CTE,
+        AGG_HISTORY_CTE,
+        """
+d AS (SELECT * FROM agg_history WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-21'),
+h AS (SELECT date_trunc('hour', ts) AS hour, sum(n_orders) AS total FROM d GROUP BY 1),
+spine AS (SELECT unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour FROM h),
+l AS (SELECT * FROM d ORDER BY ts DESC, market DESC LIMIT 50)""",
+        body="""
+SELECT 'kpis' AS section, 'all' AS key, CAST(sum(n_orders) AS DOUBLE) AS n_orders,
+       round(CAST(sum(CAST(sum_sales AS DECIMAL(28,10))) AS DOUBLE), 2) AS value FROM d
+UNION ALL SELECT 'hourly', strftime(spine.hour, '%Y-%m-%d %H:%M:%S'), CAST(coalesce(h.total, 0) AS DOUBLE), NULL
+  FROM spine LEFT JOIN h ON spine.hour = h.hour
+UNION ALL SELECT 'by_market', market, CAST(sum(n_orders) AS DOUBLE),
+       round(CAST(sum(CAST(sum_sales AS DECIMAL(28,10))) AS DOUBLE), 2) FROM d GROUP BY market
+UNION ALL SELECT 'latest', strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || market, CAST(n_orders AS DOUBLE), round(sum_sales, 2) FROM l
+UNION ALL SELECT DISTINCT 'markets', market, NULL, NULL FROM d""",
+    ),
+)
+_DIRTY_HISTOGRAM = ORACLE["histogram"].replace("FROM shipments WHERE", "FROM dirty WHERE").replace(SHIPMENTS_CTE, SHIPMENTS_CTE + "," + DIRTY_CTE)
+register(
+    "job_profile",
+    f"""
+SELECT 'counts' AS section, 'rows' AS key, CAST(n_rows AS DOUBLE) AS value FROM ({ORACLE["profile_counts"]})
+UNION ALL SELECT 'missing', column_name, CAST(n_missing AS DOUBLE) FROM ({ORACLE["profile_missing"]})
+UNION ALL SELECT 'correlations', col_a || '|' || col_b, r FROM ({ORACLE["correlation_matrix"]})
+UNION ALL SELECT 'histogram', CAST(bin AS VARCHAR), CAST(n AS DOUBLE) FROM ({_DIRTY_HISTOGRAM})""",
+)
+
+_OK = "true AS probability_ok, true AS prediction_ok"
+register(
+    "train_late_model",
+    with_ctes(
+        SHIPMENTS_CTE,
+        f"sp AS (SELECT *, {_SPLIT} AS split FROM shipments)",
+        body="""
+SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'test') AS n_test, 100 AS num_trees,
+       CAST(count(DISTINCT shipping_mode) FILTER (WHERE split = 'train') + count(DISTINCT customer_segment) FILTER (WHERE split = 'train')
+            + count(DISTINCT order_region) FILTER (WHERE split = 'train') + 4 AS INTEGER) AS num_features,
+       true AS metrics_fair
+FROM sp""",
+    ),
+)
+register(
+    "score_batch",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body=f"""
+SELECT order_id, customer_id, market, order_region, shipping_mode, customer_segment, delivery_days, sales, {_OK}
+FROM shipments""",
+    ),
+)
+register(
+    "evaluate_model",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body=f"SELECT count(*) AS n_test, true AS auc_fair, true AS accuracy_matches FROM shipments WHERE {_SPLIT} = 'test'",
+    ),
+)
+register(
+    "confusion_matrix",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body=f"SELECT late_delivery_risk AS label, count(*) AS n FROM shipments WHERE {_SPLIT} = 'test' GROUP BY 1",
+    ),
+)
+register("score_uploaded_csv", f"SELECT *, {_OK} FROM ({_NORMALIZED}) n")
+register(
+    "stream_score",
+    with_ctes(
+        SHIPMENTS_CTE,
+        body="SELECT market, count(*) AS n_rows, count(*) AS n_documented, true AS same_as_batch FROM shipments GROUP BY market",
+    ),
+)

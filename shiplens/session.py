@@ -6,6 +6,7 @@ Nothing here runs at import time: callers build the session they need.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -81,7 +82,7 @@ def build_session(
     return spark
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20, max_partitions: int = 200_000) -> dict:
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20) -> dict:
     """Shuffle sizing for a cluster run over ``input_bytes`` of input.
 
     AQE can merge small shuffle partitions but cannot split a normal one, so
@@ -92,7 +93,7 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20, max_
     keep 1 MB partitions for parallelism (many tiny tasks).  Pass the result
     as ``extra_conf``.
     """
-    n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    n = max(200, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.shuffle.partitions": str(n),
@@ -105,14 +106,18 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20, max_
 def checkpoint_dir(spark: SparkSession, local_prefix: str = "shiplens-ckpt-") -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a local folder created
-    here, named with ``local_prefix``; on a cluster the setting names shared
-    storage that survives executor loss.
+    Only when the setting is absent and the master is local (tests) is a local
+    folder created here, named with ``local_prefix``; on a cluster the setting
+    names shared storage that survives executor loss, and a session without
+    it is refused: each machine's own disk would lose data.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[|$)", master):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder when the master is {master}")
     path = tempfile.mkdtemp(prefix=local_prefix)
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -2,10 +2,11 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from shiplens import fixtures
-from shiplens.operators import features, model as ml
+from shiplens.operators import features, model as ml, schema
 from shiplens.plans import jobs
 from shiplens.sinks.files import write_csv
 from tests.conftest import SF_SMALL
@@ -35,19 +36,30 @@ def test_prepare_train_score_report(spark, tmp_dir):
     assert out["kpis"].first()["total_orders"] == sample
     assert out["markets"].count() == docs.select("market").distinct().count()
 
-    scored, missing = jobs.score_csv(spark, csv, os.path.join(tmp_dir, "model"), csv_schema=raw.schema)
-    assert missing == [] and scored.count() == raw.count()
+    # an upload's own columns stay, empty cells are filled for the model only
+    upload = raw.withColumn("My Note", F.lit("x")).withColumn("Sales", F.when(F.col("Order Id") % 3 == 0, F.col("Sales")))
+    write_csv(upload, os.path.join(tmp_dir, "upload"))
+    scored = jobs.score_csv(spark, os.path.join(tmp_dir, "upload"), os.path.join(tmp_dir, "model"), csv_schema=upload.schema)
+    assert scored.columns == [*schema.normalize_columns(upload).columns, "prediction", "prob_class_1"]
+    assert scored.count() == raw.count() and scored.where("prob_class_1 is null or my_note <> 'x'").count() == 0
+    assert scored.where("sales is null").count() == upload.where("Sales is null").count() > 0
     no_sales = raw.drop("Sales")
     csv2 = os.path.join(tmp_dir, "raw-no-sales")
     write_csv(no_sales, csv2)
-    scored, missing = jobs.score_csv(spark, csv2, os.path.join(tmp_dir, "model"), csv_schema=no_sales.schema)
-    assert missing == ["sales"] and scored.count() == 0
+    with pytest.raises(jobs.MissingInputs) as err:
+        jobs.score_csv(spark, csv2, os.path.join(tmp_dir, "model"), csv_schema=no_sales.schema)
+    assert err.value.columns == ["sales"]
+
+    # a rerun replaces the run's documents; another input adds its own
+    docs_path, args = os.path.join(tmp_dir, "docs"), (os.path.join(tmp_dir, "model"), os.path.join(tmp_dir, "predictions2"))
+    jobs.score(spark, os.path.join(tmp_dir, "sample"), *args, docs_path)
+    assert jobs.read_documents(spark, docs_path).agg(F.sum("n_orders")).first()[0] == sample
+    jobs.score(spark, os.path.join(tmp_dir, "prepared"), *args, docs_path)
+    assert jobs.read_documents(spark, docs_path).agg(F.sum("n_orders")).first()[0] == sample + raw.count()
 
 
 def test_score_job_jdbc_sink_failure_is_optional_or_fatal(spark, tmp_dir):
     """No database here: a URL no JDBC driver accepts fails at once, locally."""
-    import pytest
-
     from shiplens.sinks.files import SinkErrors
 
     s = fixtures.shipments(spark, SF_SMALL).withColumn("geo_distance_km", F.lit(0.0))
@@ -86,14 +98,18 @@ def test_stream_windows_job_on_damaged_lines(spark, tmp_dir):
     src = os.path.join(tmp_dir, "lines")
     damaged.repartition(3).write.text(src)
     out, ck = os.path.join(tmp_dir, "windows"), os.path.join(tmp_dir, "ck")
-    q = jobs.stream_windows(spark, src, out, ck, window="30 days", watermark="1 day",
-                            trigger={"availableNow": True}, source_options={"maxFilesPerTrigger": 1})
-    run_streams([q], timeout_sec=300)
+    bad = os.path.join(tmp_dir, "bad")
+    options = {"trigger": {"availableNow": True}, "source_options": {"maxFilesPerTrigger": 1}}
+    run_streams([
+        jobs.stream_windows(spark, src, out, ck, mode="complete", **options),
+        jobs.stream_quarantine(spark, src, bad, ck + "-bad", **options),
+    ], timeout_sec=300)
     got = spark.read.parquet(out)
     assert {"market", "n_events", "avg_delivery_days", "avg_sales", "window_start", "window_end"} <= set(got.columns)
     good = s.where(~((F.col("order_key") % 50 == 0) | (F.col("order_key") % 97 == 0) | (F.col("order_key") % 89 == 0)))
-    # append mode emits closed windows only: never more events than good lines
-    assert 0 < got.agg(F.sum("n_events")).first()[0] <= good.count()
+    # windows on arrival: no line is late, and the two outputs add up to the input
+    assert got.agg(F.sum("n_events")).first()[0] == good.count()
+    assert spark.read.parquet(bad).count() + good.count() == s.count()
 
 
 def test_run_order_streams_together(spark, tmp_dir):
@@ -109,7 +125,7 @@ def test_run_order_streams_together(spark, tmp_dir):
     model_path = os.path.join(tmp_dir, "model")
     ml.save_model(res.model, model_path)
     out = jobs.run_order_streams(spark, src, model_path, os.path.join(tmp_dir, "run"),
-                                 trigger={"availableNow": True}, timeout_sec=600, window="30 days", watermark="1 day")
+                                 trigger={"availableNow": True}, timeout_sec=600, window_mode="complete")
     preds = spark.read.parquet(out["predictions"])
     bad = spark.read.parquet(out["quarantine"]).count()
     assert preds.count() + bad == s.count()
@@ -117,4 +133,4 @@ def test_run_order_streams_together(spark, tmp_dir):
     docs = spark.read.parquet(out["documents"])
     assert docs.agg(F.sum("n_orders")).first()[0] == preds.count()
     assert set(docs.columns) >= {"ts", "market", "n_orders", "avg_delivery_days", "sum_sales", "batch_id"}
-    assert spark.read.parquet(out["windows"]).count() > 0
+    assert spark.read.parquet(out["windows"]).agg(F.sum("n_events")).first()[0] == preds.count()

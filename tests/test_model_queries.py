@@ -1,39 +1,55 @@
-"""Invariants of the registered model queries (no SQL can reproduce the forest)."""
+"""Invariants of the model behind the registered model queries."""
 
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from shiplens.plans.catalog import MODEL_CATEGORICAL, model_table
+from shiplens.operators import features, model as ml
+from shiplens.plans.catalog import MODEL_CATEGORICAL, model_table, trained_model
 from tests.conftest import SF_SMALL
 
 
-def test_model_queries_agree_with_each_other(spark):
-    q = E.queries()
+def test_model_results_agree_with_each_other(spark):
+    model, res, _ = trained_model(spark, SF_SMALL)
     table = model_table(spark, SF_SMALL)
-    n_test = table.where(F.col("split") == "test").count()
+    test = table.where(F.col("split") == "test")
+    scored = model.transform(test)
 
-    cm = {(r["label"], r["prediction"]): r["n"] for r in q["confusion_matrix"](spark, SF_SMALL).collect()}
+    cm = {(r["label"], r["prediction"]): r["n"] for r in ml.confusion_counts(scored).collect()}
     assert set(cm) <= {(0, 0), (0, 1), (1, 0), (1, 1)}
-    assert sum(cm.values()) == n_test
+    n_test = test.count()
+    assert sum(cm.values()) == n_test == res.n_test and res.n_train + n_test == table.count()
 
-    ev = q["evaluate_model"](spark, SF_SMALL).first()
-    diag = cm.get((0, 0), 0) + cm.get((1, 1), 0)
-    assert abs(ev["accuracy"] - diag / n_test) < 1e-12
-    assert 0.0 <= ev["auc"] <= 1.0
+    auc, acc, n = ml.evaluate_with_count(scored)
+    assert n == n_test and acc == (cm.get((0, 0), 0) + cm.get((1, 1), 0)) / n_test
+    assert 0.5 < auc <= 1.0 and (auc, acc) == ml.evaluate(scored)
 
-    tr = q["train_late_model"](spark, SF_SMALL).first()
-    assert tr["n_test"] == n_test and tr["n_train"] + tr["n_test"] == table.count()
-    assert tr["num_trees"] == 100
     # one slot per category (unseen kept, last dropped) plus four numerics
     slots = table.agg(*[F.countDistinct(c) for c in MODEL_CATEGORICAL]).first()
-    assert tr["num_features"] == sum(slots) + 4
+    assert model.stages[-1].numFeatures == sum(slots) + 4 and model.stages[-1].getNumTrees == 100
 
 
-def test_score_batch_predicts_the_likelier_class(spark):
-    scored = E.queries()["score_batch"](spark, SF_SMALL)
-    rows = scored.select("prediction", "prob_class_1").collect()
-    assert len(rows) == model_table(spark, SF_SMALL).count()
+def test_score_predicts_the_likelier_class_and_keeps_rows(spark):
+    model, _, _ = trained_model(spark, SF_SMALL)
+    table = model_table(spark, SF_SMALL)
+    rows = ml.score(model, table, keep=["order_id", features.LABEL]).collect()
+    assert len(rows) == table.count()
     for r in rows:
         assert 0.0 <= r["prob_class_1"] <= 1.0
         if r["prob_class_1"] != 0.5:
             assert r["prediction"] == (1.0 if r["prob_class_1"] > 0.5 else 0.0)
+
+
+def test_checked_queries_report_no_bad_score(spark):
+    for name in ("score_batch", "score_uploaded_csv"):
+        bad = E.queries()[name](spark, SF_SMALL).where("not (probability_ok and prediction_ok)")
+        assert bad.count() == 0
+
+
+def test_model_is_trained_again_in_a_new_application(spark, monkeypatch):
+    from shiplens.plans import catalog
+
+    trained = []
+    monkeypatch.setattr(catalog, "_train_and_store", lambda *a: trained.append(a) or (None, None, "p"))
+    monkeypatch.setattr(catalog, "_MODELS", {("another application", SF_SMALL): ("stale",)})
+    assert catalog.trained_model(spark, SF_SMALL)[2] == "p" and catalog.trained_model(spark, SF_SMALL)[2] == "p"
+    assert len(trained) == 1

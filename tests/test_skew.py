@@ -136,7 +136,7 @@ def test_cluster_conf_sizes_shuffles_for_the_input():
 
     small = cluster_conf(10 << 30)  # 10 GiB: the floor of 200 partitions
     assert small["spark.sql.shuffle.partitions"] == "200"
-    big = cluster_conf(100 << 40)  # 100 TiB at 128 MiB per partition, capped
-    assert big["spark.sql.shuffle.partitions"] == "200000"
+    big = cluster_conf(100 << 40)  # 100 TiB at 128 MiB per partition
+    assert big["spark.sql.shuffle.partitions"] == "819200"
     assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
     assert big["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
