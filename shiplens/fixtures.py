@@ -7,7 +7,7 @@
 
 Every builder is a plain DataFrame plan over the parquet tables, so its work
 grows with the tables.  The nation and region dimensions are broadcast after a
-bounded row check (``operators.joins.small_side``); every other join starts
+bounded row check (``operators.joins.is_small``); every other join starts
 as a shuffled join, and AQE broadcasts a side only once its measured shuffle
 size is below the adaptive threshold (static broadcast from file sizes is
 off, see session.py).
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from shiplens.functions.dates import day_diff
 from shiplens.functions.numeric import LATE_THRESHOLD_DAYS, money, money_sum
-from shiplens.operators.joins import small_side
-from shiplens.sources.lines import ORDER_RECORD_SCHEMA
+from shiplens.operators.joins import is_small
+from shiplens.sources.lines import ORDER_RECORD_SCHEMA, encode_json
 from shiplens.sources.tables import as_utc_timestamps, read_table
 
 # The two text layouts the stream producer uses for dates.
@@ -32,6 +32,18 @@ ISO_LAYOUT = "yyyy-MM-dd HH:mm:ss"
 STREAM_FIELDS = ORDER_RECORD_SCHEMA.fieldNames()
 
 
+# Outcome of the size checks per application and folder: a plan is built for
+# every query, the dimension needs to be measured once.
+_SMALL: dict[tuple, bool] = {}
+
+
+def _hinted(df: DataFrame, sf_dir: str, name: str) -> DataFrame:
+    key = (df.sparkSession.sparkContext.applicationId, sf_dir, name)
+    if key not in _SMALL:
+        _SMALL[key] = is_small(df)
+    return F.broadcast(df) if _SMALL[key] else df
+
+
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem ⋈ orders ⋈ customer ⋈ nation ⋈ region as the wide order table."""
     li = read_table(spark, sf_dir, "lineitem").select(
@@ -44,13 +56,13 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
-    region = small_side(region)
+    # nation x region is a fixed-size dimension; broadcast it (after a size
+    # check) so the customer table is never shuffled on its 25 nation keys
+    region = _hinted(region, sf_dir, "region")
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "r_name"
     )
-    # nation x region is a fixed-size dimension; broadcast it (after a size
-    # check) so the customer table is never shuffled on its 25 nation keys
-    geo = small_side(geo)
+    geo = _hinted(geo, sf_dir, "geo")
     cust_geo = cust.join(geo, cust.c_nationkey == geo.n_nationkey).select(
         "c_custkey", "c_mktsegment", "n_name", "r_name"
     )
@@ -98,8 +110,7 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_lines_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream record as text: ``value`` holds one JSON object per line."""
-    s = shipments(spark, sf_dir)
-    return s.select(F.to_json(F.struct(*STREAM_FIELDS)).alias("value"))
+    return encode_json(shipments(spark, sf_dir), STREAM_FIELDS)
 
 
 def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,6 +118,18 @@ def test_run_streams_stops_all_on_failure(spark, tmp_dir):
     assert not slow.isActive
 
 
+def test_csv_schema_inference_is_opt_in(spark, tmp_dir):
+    from shiplens.sources.tables import read_csv
+
+    df = spark.createDataFrame([(1, 2.5, "x"), (2, None, "y")], "n int, d double, s string")
+    sinks.write_csv(df, os.path.join(tmp_dir, "csv"))
+    text = read_csv(spark, os.path.join(tmp_dir, "csv"))
+    assert {t for _, t in text.dtypes} == {"string"} and text.count() == 2
+    typed = read_csv(spark, os.path.join(tmp_dir, "csv"), infer_schema=True)
+    assert dict(typed.dtypes) == {"n": "int", "d": "double", "s": "string"}
+    assert sorted(map(tuple, typed.collect())) == sorted(map(tuple, df.collect()))
+
+
 def test_leak_guard(spark):
     with pytest.raises(ml.LeakError):
         ml.leak_check(["sales", "delivery_days"], "delivery_days")
