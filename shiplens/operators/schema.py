@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shiplens.session import stage_table
+
 
 # The naming rule: any white space inside a name is an underscore, and
 # parentheses disappear.
@@ -121,18 +123,22 @@ def surrogate_key(cols: Sequence[str | Column]) -> Column:
     return F.md5(F.concat(*[F.coalesce(F.concat(F.char_length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in values]))
 
 
-def with_row_key(df: DataFrame, name: str, cols: Sequence[str] | None = None) -> DataFrame:
-    """``df`` with a key that is unique to each row (PRJ-4).
+def with_row_key(df: DataFrame, name: str, copies_per_task: int = 1_000_000) -> DataFrame:
+    """``df`` with a key in front that is unique to each row (PRJ-4).
 
     Equal rows share their content key, so an occurrence number follows it.
-    Equal rows are interchangeable, so whichever gets which number, the set
-    of keyed rows is the same on every run.  The numbers need the copies of a
-    row in one task; only rows with copies carry more than the number 0.
+    Equal rows are interchangeable: they are counted (copies collapse before
+    the shuffle) and written out again with numbers 0, 1, ..., so the keyed
+    rows are the same on every run.  A row with more copies than
+    ``copies_per_task`` is written out in pieces by several tasks.
     """
-    from pyspark.sql import Window
-
-    key = surrogate_key(list(cols or df.columns))
-    content = df.withColumn("__key", key)
-    copies = Window.partitionBy("__key").orderBy(F.lit(0))
-    numbered = content.withColumn("__copy", F.row_number().over(copies) - 1)
-    return numbered.select(F.concat_ws("-", "__key", F.col("__copy").cast("string")).alias(name), *df.columns)
+    cols = [F.col(quoted(c)) for c in df.columns]
+    counted, _ = stage_table(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")), "row-key")
+    few = counted.where(F.col("__n") <= copies_per_task).select("*", F.lit(0).cast("long").alias("__piece"))
+    pieces = F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / copies_per_task))
+    many = counted.where(F.col("__n") > copies_per_task).select("*", F.explode(pieces).alias("__piece"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = F.col("__piece") * copies_per_task
+    last = F.least(F.col("__n"), first + copies_per_task) - 1
+    rows = few.unionByName(many.repartition(n, *cols, "__piece")).withColumn("__copy", F.explode(F.sequence(first, last)))
+    return rows.select(F.concat_ws("-", surrogate_key(cols), F.col("__copy").cast("string")).alias(name), *cols)

@@ -51,6 +51,10 @@ def test_row_keys_are_unique_and_the_same_on_every_run(spark):
     ids = [r["id"] for r in keyed.collect()]
     assert keyed.columns == ["id", "x", "y"] and len(set(ids)) == len(rows)
     assert sorted(ids) == sorted(r["id"] for r in schema.with_row_key(df.repartition(5), "id").collect())
+    hot = spark.range(1000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("a.b"))
+    cut = schema.with_row_key(hot, "id", copies_per_task=50)
+    assert cut.select("id").distinct().count() == 1000
+    assert sorted(r["a.b"] or -1 for r in cut.collect()) == sorted(r["a.b"] or -1 for r in hot.collect())
 
 
 def test_parse_timestamp_layouts(spark):
