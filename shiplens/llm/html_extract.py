@@ -54,20 +54,26 @@ _HIDDEN = set("script style head template svg math iframe object noembed noframe
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _HEADING = set("h1 h2 h3 h4 h5 h6".split())
 _ARTICLE = set("article main".split())
-_BOILER_TAGS = set("nav header footer aside form menu dialog button fieldset".split())
+_BOILER_TAGS = set("nav footer aside menu dialog button".split())
+_PLACED_TAGS = set("form fieldset".split())
 _BOILER_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-_ARTICLE_NAMES = set("article content entry post story articlebody mainbody".split())
+_ARTICLE_NAMES = set("article articlebody content entry main maincontent post postbody story".split())
 _BOILER_NAMES = set(
-    "ad ads adv advert advertisement adverts alert banner breadcrumb breadcrumbs byline captcha comment comments consent cookie "
-    "cookies copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice "
-    "overlay pager pagination paywall popup promo promoted promotion recommended related replies reply respond search share "
-    "sharing sidebar signin signup skip social sponsor sponsored subscribe subscription tags teaser toc toolbar widget widgets".split()
+    "ad ads adv advert advertisement adverts comment comments consent cookie cookies disqus gdpr recommended related replies "
+    "respond sponsor sponsored".split()
 )
+_PLACED_NAMES = set(
+    "alert banner breadcrumb breadcrumbs captcha copyright disclaimer footer form login menu modal nav navbar navigation "
+    "newsletter notice overlay pager pagination paywall popup promo promoted promotion reply search share sharing sidebar signin "
+    "signup skip social subscribe subscription tags teaser toc toolbar widget widgets".split()
+)
+_HEADER_NAMES = set("header masthead".split())
 # comments and processing instructions, or a tag; a quoted value holds no "<", so scanning stays linear
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']++|"[^"<]*"|'[^'<]*'|["'])*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-_INNER_HEADER = {"header"}
+# what an element says about the text inside it
+ARTICLE, NEUTRAL, PLACED, HEADER, BOILER = 1, 0, -1, -2, -3
 
 
 class Block:
@@ -77,33 +83,33 @@ class Block:
         self.text, self.linked = text, linked
         self.parent, self.grand = path[-1][1], path[-2][1] if len(path) > 1 else 0
         self.heading = any(e[0] in _HEADING for e in path)
-        inside = [i for i, e in enumerate(path) if e[2] > 0]
-        self.article = bool(inside)
-        # a header inside the article belongs to it
-        self.boiler = any(e[2] < 0 and not (inside and i > inside[0] and e[0] in _INNER_HEADER) for i, e in enumerate(path))
+        parts = [e[2] for e in path if e[2]]
+        self.article = ARTICLE in parts
+        first = parts.index(ARTICLE) if self.article else len(parts)
+        # boilerplate anywhere around it; a header that isn't the article's own; or an element
+        # like a form or sidebar, unless the article lies inside that (a page in one form)
+        placed = [p for p in parts if p in (ARTICLE, PLACED)]
+        self.boiler = BOILER in parts or HEADER in parts[:first] or (bool(placed) and placed[-1] == PLACED)
 
 
 def _part(tag: str, attributes: str) -> int:
-    """1 for an element that holds an article, -1 for one that holds boilerplate, else 0."""
-    if tag in _BOILER_TAGS:
-        return -1
-    if attributes:
-        for name, a, b, c in _ATTRIBUTE.findall(attributes):
-            value = a or b or c
-            if name.lower() == "role":
-                if value.lower() in _BOILER_ROLES:
-                    return -1
-                if value.lower() in _ARTICLE:
-                    return 1
-            elif name.lower() == "hidden":
-                return -1
-            elif value:
-                words = {w.lower() for w in _WORDS.findall(value)}
-                if words & _BOILER_NAMES:
-                    return -1
-                if words & _ARTICLE_NAMES:
-                    return 1
-    return 1 if tag in _ARTICLE else 0
+    """What an element says about the text inside it, by its tag, role, class and id."""
+    if tag in ("html", "body"):  # their classes speak of the whole page
+        return NEUTRAL
+    found = [BOILER] if tag in _BOILER_TAGS else [HEADER] if tag == "header" else [PLACED] if tag in _PLACED_TAGS else []
+    for name, a, b, c in _ATTRIBUTE.findall(attributes) if attributes else ():
+        value = a or b or c
+        if name.lower() == "hidden":
+            found.append(BOILER)
+        elif name.lower() == "role":
+            found += [BOILER] * (value.lower() in _BOILER_ROLES) + [ARTICLE] * (value.lower() in _ARTICLE)
+        elif value:
+            words = {w.lower() for w in _WORDS.findall(value)}
+            for names, part in ((_BOILER_NAMES, BOILER), (_HEADER_NAMES, HEADER), (_PLACED_NAMES, PLACED), (_ARTICLE_NAMES, ARTICLE)):
+                if words & names:
+                    found.append(part)
+                    break
+    return min(found) if found and min(found) < 0 else ARTICLE if found or tag in _ARTICLE else NEUTRAL
 
 
 def blocks_of(page: str | None) -> list[Block]:

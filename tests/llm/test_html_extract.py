@@ -42,6 +42,21 @@ def test_parts_of_a_page():
     assert H.main_text(PAGE, W).split("\n") == ["The & title", "First éé bold line broken.", "Yes.", "Unclosed paragraph <b> 3 < 4"]
 
 
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<body class='post'><form id=aspnet><div class='page with-sidebar'><div id=main-content><p>Main.</p></div><div class=sidebar><p>Side.</p></div></div></form>", "Main."),
+        ("<article><div class='entry-header'><h1>Title</h1></div><p>Text.</p><div class=share>Share this</div></article>", "Title\nText."),
+        ("<main><p>Text.</p></main><section id=comments><article><p>A long comment, really.</p></article></section>", "Text."),
+        ("<header class=site-header><p>Name</p></header><div role=main><p>Text.</p><div role=complementary>More</div></div>", "Text."),
+        ("<article><p>One.</p><article class='related'><p>Other story.</p></article><p>Two.</p></article>", "One.\nTwo."),
+        ("<div class=article><p>One</p><nav>Next</nav><table><tr><td>Cell a<td>Cell b</table><pre>x  y</pre></div>", "One\nCell a\nCell b\nx y"),
+    ],
+)
+def test_parts_by_name_and_role(page, want):
+    assert H.main_text(page, W) == want
+
+
 def test_page_without_an_article_element():
     long = "A sentence, with words and marks, that goes on for a while. " * 4
     page = f"<body><ul><li><a href=x>Home</a><li><a href=y>News</a></ul><div><p>{long}</p><p>{long}</p></div><p class='footer'>x</p></body>"
