@@ -168,10 +168,15 @@ class _Block:
         return pa.RecordBatch.from_arrays([pa.array(np.repeat(self.ids, sizes)), *map(pa.array, joined)], names=_HIT_NAMES)
 
 
-def bounds(blocks: DataFrame, buckets: DataFrame, k: int) -> DataFrame:
-    """``blocks`` with ``thetas``, from the bucket of the longest vectors, and the least length needed."""
-    longest = buckets.orderBy(F.col("top").desc(), "bucket").limit(1)
-    first = longest.select(F.lit(0).alias("seed"), *[F.col(c).alias(f"c_{c}") for c in ("ids", "norms", "v")])
+def longest_bucket(buckets: DataFrame) -> int:
+    """Number of the bucket with the longest vectors (-1: there are none)."""
+    row = buckets.select("bucket", "top").orderBy(F.col("top").desc(), "bucket").first()
+    return -1 if row is None else row["bucket"]
+
+
+def bounds(blocks: DataFrame, buckets: DataFrame, longest: int, k: int) -> DataFrame:
+    """``blocks`` with ``thetas``, from the bucket they name, and the least length needed."""
+    first = buckets.where(F.col("bucket") == longest).select("bucket", *[F.col(c).alias(f"c_{c}") for c in ("ids", "norms", "v")])
 
     def bounded(batches):
         for b in batches:
@@ -184,8 +189,8 @@ def bounds(blocks: DataFrame, buckets: DataFrame, k: int) -> DataFrame:
                 out = {c: [r[c]] for c in ("block", "ids", "norms", "v")} | {"thetas": [block.thetas.tobytes()], "need": [float(need.min())]}
                 yield pa.RecordBatch.from_pydict(out)
 
-    # the seed side is one row: one bucket
-    joined = blocks.withColumn("seed", F.lit(0)).join(F.broadcast(first), "seed", "left").drop("seed", "part", "top")
+    # the broadcast side is one row: one bucket
+    joined = blocks.join(F.broadcast(first), "bucket", "left").drop("bucket", "part", "top")
     bounded_batches(blocks.sparkSession, 4)
     return joined.mapInArrow(bounded, "block long, ids binary, norms binary, v binary, thetas binary, need double")
 
@@ -198,7 +203,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, bucket_rows: int =
     buckets = staged(packed(ranged, bucket_rows, "bucket"), "topk-buckets")
     asked = staged(quantised(queries).groupBy("vec_id").agg(F.min(F.struct("v", "norm")).alias("q")).select("vec_id", "q.*"), "topk-queries")
     spread = asked.repartition(max(1, -(-asked.count() // block_rows)), "vec_id")
-    blocks = staged(bounds(staged(packed(spread, block_rows, "block"), "topk-packed"), buckets, k), "topk-blocks")
+    longest = longest_bucket(buckets)
+    named = staged(packed(spread, block_rows, "block").withColumn("bucket", F.lit(longest).cast("long")), "topk-packed")
+    blocks = staged(bounds(named, buckets, longest, k), "topk-blocks")
     # every block meets the buckets that can reach its bound, a stripe of the parts in a task
     named = blocks.select("block", "need", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))
     pairs = named.join(buckets.select("part", "bucket", "top"), "part").where("top >= need").select("block", "bucket", F.floor(F.col("part") / STRIPE).alias("stripe"))
