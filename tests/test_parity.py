@@ -1,5 +1,7 @@
 """Every registered query against its DuckDB SQL on the driver's tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -7,7 +9,8 @@ from tests.conftest import SF_CHECK
 from tests.parity import compare
 
 ORACLE_NAMES = sorted(E.oracle_sql())
-ROWS_ONLY = sorted(set(E.queries()) - set(E.oracle_sql()))
+# numbered operators and the pipeline have brute-force tests of their own instead of SQL
+ROWS_ONLY = sorted(n for n in set(E.queries()) - set(E.oracle_sql()) if not re.match(r"op\d+_|pipeline$", n))
 
 
 @pytest.mark.parametrize("name", ORACLE_NAMES)
