@@ -23,9 +23,11 @@ gives an empty result; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -154,28 +156,47 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
     return ordered.mapInArrow(linked, "u long, v long").distinct()
 
 
+def rooted(rows: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+    """``rows(doc_id, fp)`` -> ``(fp, doc_id, root)``: each fingerprint, its smallest doc_id and its component."""
+    each = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "simhash-distinct")
+    roots = connected(links(each.select("fp"), max_bits, block), "simhash-links")
+    found = each.join(roots, each.fp == roots.node, "left").select("fp", "doc_id", F.coalesce("root", "fp").alias("root"))
+    return staged(found, "simhash-roots")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     """``(doc_id, fp, component_id)`` for every row of ``docs``."""
     rows = staged(fingerprints(docs, words), "simhash-rows")
-    each = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "simhash-distinct")
-    roots = connected(links(each.select("fp"), max_bits, block), "simhash-links")
-    rooted = each.join(roots, each.fp == roots.node, "left").select("fp", "doc_id", F.coalesce("root", "fp").alias("root"))
-    rooted = staged(rooted, "simhash-roots")
-    least = staged(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "simhash-components")
-    component = staged(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "simhash-classes")
+    each = rooted(rows, max_bits, block)
+    least = staged(each.groupBy("root").agg(F.min("doc_id").alias("component_id")), "simhash-components")
+    component = staged(each.select("fp", "root").join(least, "root").select("fp", "component_id"), "simhash-classes")
     return rows.join(component, "fp")
 
 
 def near_dedup(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of their component.
+    """One row of each near-duplicate component of ``docs``, with all columns.
 
-    Keeps all columns.  Of rows that repeat a kept doc_id, one stays.
+    The row has the smallest doc_id of the component (null if it has no
+    other), then the smallest fingerprint.  Rows are told apart by doc_id and
+    fingerprint, so different texts that share a doc_id, or have none, stay.
     """
-    found = near_duplicates(docs, words, max_bits)
-    keep = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("keep_id")).distinct()
-    rows = as_row(docs).withColumn("id", F.col("row.doc_id"))
-    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
-    return from_row(kept.dropDuplicates(["id"]))
+    bounded_batches(docs.sparkSession)
+
+    @F.pandas_udf("long")
+    def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
+
+    # written once: the rows that stay are those whose fingerprints were compared
+    rows = as_row(docs).withColumn("fp", hashed(F.col("row.text").cast("string")))
+    rows = staged(rows, "simhash-rows").withColumn("id", F.col("row.doc_id").cast("long"))
+    each = rooted(rows.select(F.col("id").alias("doc_id"), "fp"), max_bits)
+    # null is a value of its own, in columns that one shuffle of the rows serves
+    own = [F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("number")]
+    keep = each.groupBy("root").agg(F.min(F.struct(*own, "fp")).alias("first")).select("first.*")
+    rows = rows.withColumns({"none": F.col("id").isNull(), "number": F.coalesce("id", F.lit(0))})
+    key = ["none", "number", "fp"]
+    return from_row(rows.dropDuplicates(key).join(keep, key, "left_semi"))
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,6 +94,18 @@ def test_edge_rows(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_different_texts_under_null_and_equal_ids_stay(spark):
+    text = lambda k: " ".join(f"w{k}x{i * (k + 3)}" for i in range(40))
+    rows = [(None, text(k)) for k in range(6)]  # null ids, all different
+    rows += [(None, text(0)), (None, text(6)), (5, text(6)), (9, text(6))]  # a repeat; a null id beside a number
+    rows += [(7, text(7)), (7, text(8)), (7, text(8)), (2, text(8))]  # one id, two texts, one of them kept under 2
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, fp string")
+    assert len({simhash.fingerprint(text(k)) for k in range(9)}) == 9
+    want = [(None, text(k)) for k in range(6)] + [(5, text(6)), (7, text(7)), (2, text(8))]
+    got = [(r.doc_id, r.text) for r in simhash.near_dedup(df).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_very_long_text():
     text = " ".join(str(i * 7919 % 1000) for i in range(150_000))
     assert simhash.fingerprint(text) == simhash.fingerprint(text.replace(" ", "\n"))
