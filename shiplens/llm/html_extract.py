@@ -70,7 +70,8 @@ _PLACED_NAMES = set(
 _HEADER_NAMES = set("header masthead".split())
 # comments and processing instructions, or a tag; a quoted value holds no "<", so scanning stays linear
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']++|"[^"<]*"|'[^'<]*'|["'])*+)>""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+# a whole attribute: its name and its value, which may hold anything (an open quote ends with the tag)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>][^\s>]*)))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 # what an element says about the text inside it
 ARTICLE, NEUTRAL, PLACED, HEADER, BOILER = 1, 0, -1, -2, -3
@@ -92,18 +93,25 @@ class Block:
         self.boiler = BOILER in parts or HEADER in parts[:first] or (bool(placed) and placed[-1] == PLACED)
 
 
+def attributes_of(text: str) -> dict[str, str]:
+    """Attributes of a tag by their full names; of a repeated one the first counts."""
+    found: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), a or b or c)
+    return found
+
+
 def _part(tag: str, attributes: str) -> int:
     """What an element says about the text inside it, by its tag, role, class and id."""
     if tag in ("html", "body"):  # their classes speak of the whole page
         return NEUTRAL
     found = [BOILER] if tag in _BOILER_TAGS else [HEADER] if tag == "header" else [PLACED] if tag in _PLACED_TAGS else []
-    for name, a, b, c in _ATTRIBUTE.findall(attributes) if attributes else ():
-        value = a or b or c
-        if name.lower() == "hidden":
+    for name, value in attributes_of(attributes).items() if attributes else ():
+        if name == "hidden":  # whatever its value, as in browsers
             found.append(BOILER)
-        elif name.lower() == "role":
+        elif name == "role":
             found += [BOILER] * (value.lower() in _BOILER_ROLES) + [ARTICLE] * (value.lower() in _ARTICLE)
-        elif value:
+        elif name in ("class", "id"):
             words = {w.lower() for w in _WORDS.findall(value)}
             for names, part in ((_BOILER_NAMES, BOILER), (_HEADER_NAMES, HEADER), (_PLACED_NAMES, PLACED), (_ARTICLE_NAMES, ARTICLE)):
                 if words & names:

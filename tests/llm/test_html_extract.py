@@ -57,6 +57,16 @@ def test_parts_by_name_and_role(page, want):
     assert H.main_text(page, W) == want
 
 
+@pytest.mark.parametrize("mark", ["style='overflow:hidden'", 'aria-hidden="false"', "data-hidden=0", 'title="hidden gems"', "data-id=footer", "data-role='navigation'", "title='a class=ad id=nav'", 'data-x="1" title="hidden'])
+def test_names_inside_other_attributes_say_nothing(mark):
+    assert H.main_text(f"<div {mark}><article {mark}><p {mark}>One <b {mark}>and</b> two.</p></article></div>", W) == "One and two."
+
+
+@pytest.mark.parametrize("mark", ["hidden", "HIDDEN=''", "title='x' hidden", "class = 'ad'", "ID=comments", "data-x=a/b role='navigation'"])
+def test_whole_attributes_are_read(mark):
+    assert H.main_text(f"<article><p>One.</p><div {mark}>Two.</div></article>", W) == "One."
+
+
 def test_page_without_an_article_element():
     long = "A sentence, with words and marks, that goes on for a while. " * 4
     page = f"<body><ul><li><a href=x>Home</a><li><a href=y>News</a></ul><div><p>{long}</p><p>{long}</p></div><p class='footer'>x</p></body>"
