@@ -4,7 +4,8 @@ A page is cut into text blocks at block-level tags.  Each block gets a logit
 for being content: a logistic classifier over the text itself (length, links,
 punctuation, headings), plus evidence from the elements around it (an article
 or main element; menus, headers, footers, asides, forms and the like, by tag,
-role, class and id).  The logits are the terminal capacities of a graph over
+role, class and id), of a weight that text and neighbours together can
+outvote; only a hidden attribute decides alone.  The logits are the terminal capacities of a graph over
 the blocks; blocks next to each other and blocks close in the DOM are joined
 by smoothness edges.  The minimum cut separates content from boilerplate.
 
@@ -17,7 +18,8 @@ inside article or main elements against blocks inside menus, footers and so
 on, by features that don't look at the elements.  Pages are labelled whole.
 
 White space inside a block becomes one space (a line break too), character
-references are decoded, blocks are joined by a line feed in page order.
+references are decoded, blocks are joined by a line feed in page order.  An
+inline element marked as boilerplate is a block of its own, but on its line.
 
 Edge cases: a null or empty html, or one without content blocks, gives an empty
 text; an unclosed comment, script or style hides what follows; unclosed and
@@ -41,8 +43,9 @@ from shiplens.llm.common import bounded_batches, hash_below, read
 
 TRAIN_PAGES = 400
 # logits that the surrounding elements add
-INSIDE_ARTICLE, INSIDE_BOILERPLATE, NO_ARTICLE_OUTSIDE = 5.0, -12.0, -5.0
-NEXT_TO, SIBLING, COUSIN = 0.5, 0.5, 0.25
+# (each but HIDE less than a text's 3 and all its edges together can outvote)
+INSIDE_ARTICLE, INSIDE_PLACED, INSIDE_BOILERPLATE, NO_ARTICLE_OUTSIDE, HIDE = 4.0, -3.5, -4.5, -4.0, -12.0
+NEXT_TO, SIBLING, COUSIN, SAME_LINE = 0.5, 0.5, 0.25, 0.5
 
 # Element names by their part in a page.
 _BLOCK = set(
@@ -68,20 +71,22 @@ _PLACED_NAMES = set(
     "signup skip social subscribe subscription tags teaser toc toolbar widget widgets".split()
 )
 _HEADER_NAMES = set("header masthead".split())
+_MARKED_NAMES = _BOILER_NAMES | _PLACED_NAMES | _HEADER_NAMES
 # comments and processing instructions, or a tag; a quoted value holds no "<", so scanning stays linear
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']++|"[^"<]*"|'[^'<]*'|["'])*+)>""", re.S)
 # a whole attribute: its name and its value, which may hold anything (an open quote ends with the tag)
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>][^\s>]*)))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 # what an element says about the text inside it
-ARTICLE, NEUTRAL, PLACED, HEADER, BOILER = 1, 0, -1, -2, -3
+ARTICLE, NEUTRAL, PLACED, HEADER, BOILER, HIDDEN = 1, 0, -1, -2, -3, -4
 
 
 class Block:
-    __slots__ = ("text", "parent", "grand", "heading", "linked", "article", "boiler")
+    __slots__ = ("text", "parent", "grand", "heading", "linked", "article", "boiler", "evidence", "glue")
 
-    def __init__(self, text, path, linked):
-        self.text, self.linked = text, linked
+    def __init__(self, text, path, linked, glue):
+        # glue: what joins it to the block before on the same line, None at a new line
+        self.text, self.linked, self.glue = text, linked, glue
         self.parent, self.grand = path[-1][1], path[-2][1] if len(path) > 1 else 0
         self.heading = any(e[0] in _HEADING for e in path)
         parts = [e[2] for e in path if e[2]]
@@ -90,7 +95,9 @@ class Block:
         # boilerplate anywhere around it; a header that isn't the article's own; or an element
         # like a form or sidebar, unless the article lies inside that (a page in one form)
         placed = [p for p in parts if p in (ARTICLE, PLACED)]
-        self.boiler = BOILER in parts or HEADER in parts[:first] or (bool(placed) and placed[-1] == PLACED)
+        strong = BOILER in parts or HIDDEN in parts or HEADER in parts[:first]
+        self.boiler = strong or (bool(placed) and placed[-1] == PLACED)
+        self.evidence = HIDE if HIDDEN in parts else INSIDE_BOILERPLATE if strong else INSIDE_PLACED if self.boiler else INSIDE_ARTICLE if self.article else 0.0
 
 
 def attributes_of(text: str) -> dict[str, str]:
@@ -101,18 +108,25 @@ def attributes_of(text: str) -> dict[str, str]:
     return found
 
 
-def _part(tag: str, attributes: str) -> int:
-    """What an element says about the text inside it, by its tag, role, class and id."""
+def _part(tag: str, attributes: str, nested: bool = False) -> int:
+    """What an element says about the text inside it, by its tag, role, class and id.
+
+    An article or main element outranks words inside its own class and id
+    ("comments-open", "has-sidebar"), unless a whole name is such a word and
+    none is an article's, or it is ``nested`` in an article (a related story).
+    """
     if tag in ("html", "body"):  # their classes speak of the whole page
         return NEUTRAL
     found = [BOILER] if tag in _BOILER_TAGS else [HEADER] if tag == "header" else [PLACED] if tag in _PLACED_TAGS else []
     for name, value in attributes_of(attributes).items() if attributes else ():
         if name == "hidden":  # whatever its value, as in browsers
-            found.append(BOILER)
+            found.append(HIDDEN)
         elif name == "role":
             found += [BOILER] * (value.lower() in _BOILER_ROLES) + [ARTICLE] * (value.lower() in _ARTICLE)
         elif name in ("class", "id"):
             words = {w.lower() for w in _WORDS.findall(value)}
+            if tag in _ARTICLE and not nested and (words & _ARTICLE_NAMES or not set(value.lower().split()) & _MARKED_NAMES):
+                continue
             for names, part in ((_BOILER_NAMES, BOILER), (_HEADER_NAMES, HEADER), (_PLACED_NAMES, PLACED), (_ARTICLE_NAMES, ARTICLE)):
                 if words & names:
                     found.append(part)
@@ -128,12 +142,22 @@ def blocks_of(page: str | None) -> list[Block]:
     number = 0
     texts: list[str] = []
     links, linked = 0, 0  # open links, and characters inside them
+    glue: str | None = None
 
-    def close():
-        nonlocal linked
-        text = " ".join("".join(texts).split())
+    def close(inline=False):
+        """End a block; after an ``inline`` end the next block stands on the same line."""
+        nonlocal linked, glue
+        raw = "".join(texts)
+        text = " ".join(raw.split())
         if text:
-            found.append(Block(text, path, linked))
+            if glue == "" and raw[0].isspace():
+                glue = " "
+            found.append(Block(text, path, linked, glue))
+            glue = ""
+        if not inline:
+            glue = None
+        elif glue == "" and raw and raw[-1].isspace():
+            glue = " "
         texts.clear()
         linked = 0
 
@@ -175,16 +199,32 @@ def blocks_of(page: str | None) -> list[Block]:
                         del path[i:]
                         break
             else:
-                if path[-1][0] == "p" or (tag == path[-1][0] and tag in ("li", "td", "th", "tr", "dt", "dd", "option")):
-                    path.pop()
+                i = len(path) - 1
+                while path[i][0] and path[i][0] not in _BLOCK:
+                    i -= 1
+                if path[i][0] == "p" or (tag == path[i][0] and tag in ("li", "td", "th", "tr", "dt", "dd", "option")):
+                    del path[i:]
                 number += 1
-                path.append((tag, number, _part(tag, m[3])))
-        elif not closing and tag not in _VOID and _part(tag, m[3]) < 0:
-            # an inline element that is marked as boilerplate stands as a block of its own
-            close()
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if end:
-                at = end.end()
+                nested = tag in _ARTICLE and any(e[2] == ARTICLE and e[0] == "article" for e in path)
+                path.append((tag, number, _part(tag, m[3], nested)))
+        elif tag in _VOID:
+            continue
+        elif not closing:
+            # an inline element that is marked as boilerplate is a block on the same line
+            part = min(NEUTRAL, _part(tag, m[3]))
+            inside = path[-1][0] and path[-1][0] not in _BLOCK
+            if part < 0:
+                close(inline=True)
+            if part < 0 or inside:
+                path.append((tag, path[-1][1], part))
+        else:
+            i = len(path) - 1
+            while path[i][0] and path[i][0] not in _BLOCK and path[i][0] != tag:
+                i -= 1
+            if path[i][0] == tag:
+                if any(e[2] < 0 for e in path[i:]):
+                    close(inline=True)
+                del path[i:]
     close()
     return found
 
@@ -213,13 +253,7 @@ def logits(blocks: list[Block], weights: list[float]) -> list[float]:
     out = []
     for b in blocks:
         z = max(-3.0, min(3.0, sum(w * f for w, f in zip(weights, text_features(b)))))
-        if b.boiler:
-            z += INSIDE_BOILERPLATE
-        elif b.article:
-            z += INSIDE_ARTICLE
-        elif has_article:
-            z += NO_ARTICLE_OUTSIDE
-        out.append(z)
+        out.append(z + (b.evidence or (NO_ARTICLE_OUTSIDE if has_article else 0.0)))
     return out
 
 
@@ -229,7 +263,7 @@ def smoothness(blocks: list[Block]) -> dict[tuple[int, int], float]:
     last_of: dict[tuple[str, int], int] = {}
     for i, b in enumerate(blocks):
         if i:
-            edges[i - 1, i] = edges.get((i - 1, i), 0.0) + NEXT_TO
+            edges[i - 1, i] = edges.get((i - 1, i), 0.0) + NEXT_TO + (SAME_LINE if b.glue is not None else 0.0)
         for kind, element, weight in (("parent", b.parent, SIBLING), ("grand", b.grand, COUSIN)):
             j = last_of.get((kind, element))
             if j is not None:
@@ -301,7 +335,14 @@ def minimum_cut(terminal: list[float], edges: dict[tuple[int, int], float]) -> l
 def main_text(page: str | None, weights: list[float]) -> str:
     blocks = blocks_of(page)
     labels = minimum_cut(logits(blocks, weights), smoothness(blocks))
-    return "\n".join(b.text for b, content in zip(blocks, labels) if content)
+    out: list[str] = []
+    between: str | None = None  # glue since the last block of content
+    for b, content in zip(blocks, labels):
+        between = None if b.glue is None or between is None else between or b.glue
+        if content:
+            out += ["\n" if between is None else between] * bool(out) + [b.text]
+            between = ""
+    return "".join(out)
 
 
 def train(pages: DataFrame, sample: int = TRAIN_PAGES) -> list[float]:

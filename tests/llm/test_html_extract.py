@@ -67,6 +67,26 @@ def test_whole_attributes_are_read(mark):
     assert H.main_text(f"<article><p>One.</p><div {mark}>Two.</div></article>", W) == "One."
 
 
+LONG = "A sentence that tells, in plain words and at some length, what happened on that day. " * 12
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<article class='post comments-open'><p>Text.</p></article>", "Text."),
+        ("<main class='content has-sidebar'><p>Text.</p></main><div class=sidebar>Side.</div>", "Text."),
+        ("<article class='has-share'><p>One.</p><article class='related-post'><p>Other.</p></article></article>", "One."),
+        ("<article><p>Do <em class='alert'>not</em> go<b>od</b>, <span class='notice'>now</span>.</p></article>", "Do not good, now."),
+        ("<article><p>One.</p><p><span class='share'>Share this</span></p><p>a<i hidden>x <b>y</b> z</i>b <i hidden>x</i> c</p></article>", "One.\nab c"),
+        (f"<article><p>{LONG}</p><div class='notice'>{LONG}</div><p>{LONG}</p></article>", "\n".join([LONG.strip()] * 3)),
+        (f"<article><p>{LONG}</p></article><div class='sidebar'><p>{LONG}</p><p>{LONG}</p></div><footer>x</footer>", LONG.strip()),
+        ("<article><ul><li><span class=tags>a<li>One.</ul><p><span class=share>b<p>Two.</article>", "One.\nTwo."),
+    ],
+)
+def test_text_and_neighbours_can_outvote_names(page, want):
+    assert H.main_text(page, W) == want
+
+
 def test_page_without_an_article_element():
     long = "A sentence, with words and marks, that goes on for a while. " * 4
     page = f"<body><ul><li><a href=x>Home</a><li><a href=y>News</a></ul><div><p>{long}</p><p>{long}</p></div><p class='footer'>x</p></body>"
