@@ -14,6 +14,7 @@ from shiplens.session import stage_table
 # Rows per Arrow batch: bounds what a Python worker holds at once (about
 # 3 MB of ordinary documents; one very long document adds its own size).
 ARROW_ROWS = 1000
+HASHES = 1 << 30
 
 
 def bounded_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
@@ -49,9 +50,14 @@ def crc_fold(key: str, folds: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % F.lit(folds)
 
 
+def hash_value(key: Column) -> Column:
+    """A hash of ``key`` from 0 to ``HASHES`` - 1, the same on every run."""
+    return F.xxhash64(key).bitwiseAND(F.lit(HASHES - 1))
+
+
 def hash_below(key: Column, share: float) -> Column:
     """A row filter that keeps about ``share`` of all keys, the same on every run."""
-    return (F.xxhash64(key).bitwiseAND(F.lit((1 << 30) - 1)) < F.lit(int(share * (1 << 30)))) | F.lit(share >= 1)
+    return (hash_value(key) < F.lit(int(share * HASHES))) | F.lit(share >= 1)
 
 
 def runs(batches: Iterable[pa.RecordBatch], keys: list[str], values: list[str]) -> Iterator[list[np.ndarray]]:

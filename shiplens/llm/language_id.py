@@ -13,7 +13,9 @@ piece holds counts as an unknown piece of one character, so every word has a
 probability.
 
 Learning reads a bounded sample of texts (``TRAIN_ROWS`` in expectation, by a
-hash of doc_id) outside the held-out fold; prediction reads every text whole.
+hash of doc_id) outside the held-out fold, and of each language that has fewer
+in it ``PER_LANGUAGE`` in expectation, one doc_id at least, so every language
+is learned at any size; prediction reads every text whole.
 
 Edge cases: a null text or one without letters is ``und`` with score 0; rows
 without a language are not learned from; a null doc_id counts as not held
@@ -32,11 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiplens.llm.common import bounded_batches, crc_fold, hash_below, read
+from shiplens.llm.common import HASHES, bounded_batches, crc_fold, hash_value, read
 from shiplens.llm.lookup import KeyTable
 from shiplens.llm.pieces import SPACE, default_model_path, is_plain, processor, vocabulary
 
 TRAIN_ROWS = 8000
+PER_LANGUAGE = 500
 SMOOTHING = 0.1
 UNKNOWN = 1e-7
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -123,12 +126,18 @@ def piece_counts(docs: DataFrame, model: str) -> DataFrame:
     return counts.groupBy("lang", "piece").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, rows: int = TRAIN_ROWS, model: str | None = None) -> tuple[list[str], np.ndarray]:
+def fit(docs: DataFrame, rows: int = TRAIN_ROWS, model: str | None = None, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
     """Languages in order, and the pieces' probabilities (a row per id of the vocabulary)."""
     model = model or default_model_path()
     usable = docs.where("lang is not null and doc_id is not null").where(crc_fold("doc_id", 4) != 2)
-    total = usable.count()
-    sample = usable.where(hash_below(F.col("doc_id"), min(1.0, rows / max(total, 1)))).select("text", "lang")
+    usable = usable.select("text", F.col("lang").cast("string").alias("lang"), hash_value(F.col("doc_id")).alias("hash"))
+    # a row for each language, checked against all rows
+    each = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("least")).toArrow().to_pylist()
+    total = sum(r["n"] for r in each)
+    share = {r["lang"]: min(1.0, max(rows / total, per_language / r["n"])) for r in each}
+    below = [(r["lang"], max(int(share[r["lang"]] * HASHES), r["least"] + 1)) for r in each]
+    limits = usable.sparkSession.createDataFrame(below, "lang string, below long")
+    sample = usable.join(F.broadcast(limits), "lang").where("hash < below").select("text", "lang")
     # a row for each language and piece at most
     found = piece_counts(sample, model).toArrow()
     langs, col = np.unique(found.column("lang").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)

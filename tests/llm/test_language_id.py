@@ -57,3 +57,12 @@ def test_edge_rows(spark):
     none, c = L.fit(docs.limit(0))
     assert none == [] and {r.lang_pred for r in L.predicted(docs, none, c).collect()} == {"und"}
     assert L.predicted(docs.limit(0), langs, counts).count() == 0
+
+
+def test_every_language_is_learned_from_a_large_table(spark):
+    rows = [(i, "the plain words of a text", "en") for i in range(3000)]
+    rows += [(i, "ein paar Worte", "de") for i in range(5000, 5004)] + [(6001, "mots", "fr")] * 900
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, counts = L.fit(df, rows=20)
+    assert langs == ["de", "en", "fr"] and (counts.sum(0) > 0).all()
+    assert L.fit(df.limit(0))[0] == []
