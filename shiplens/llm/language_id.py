@@ -84,12 +84,13 @@ class WordModel:
         # ahead[k]: probability mass that reaches k characters past the current start
         ahead = [np.zeros((n, languages)) for _ in range(self.longest + 1)]
         ahead[0] += 1.0
-        logs = np.zeros((n, 1))
+        logs = np.zeros((n, languages))
         for start in range(length):
             mass = ahead.pop(0)
             ahead.append(np.zeros((n, languages)))
             if start % _RESCALE == _RESCALE - 1:
-                scale = mass.max(1, keepdims=True)
+                # one scale per word and language: none underflows behind another
+                scale = np.where(mass > 0, mass, 1.0)
                 mass = mass / scale
                 ahead = [a / scale for a in ahead]
                 logs += np.log(scale)

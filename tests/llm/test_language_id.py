@@ -66,3 +66,10 @@ def test_every_language_is_learned_from_a_large_table(spark):
     langs, counts = L.fit(df, rows=20)
     assert langs == ["de", "en", "fr"] and (counts.sum(0) > 0).all()
     assert L.fit(df.limit(0))[0] == []
+
+
+def test_a_long_run_that_changes_language_counts_whole():
+    probs = np.array([[0.1, 0.1], [0.8, 1e-5], [1e-5, 0.8]])
+    got = L.WordModel([L.SPACE, "a", "b"], probs).log_probs(["a" * 200 + "b" * 400])[0]
+    want = np.log(0.1) + np.array([200 * np.log(0.8) + 400 * np.log(1e-5), 200 * np.log(1e-5) + 400 * np.log(0.8)])
+    assert np.allclose(got, want)
