@@ -60,6 +60,20 @@ def hash_below(key: Column, share: float) -> Column:
     return (hash_value(key) < F.lit(int(share * HASHES))) | F.lit(share >= 1)
 
 
+def byte_slices(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices of at most ``limit`` bytes of a binary column; a longer value stands alone."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column(batch.schema.get_field_index(column))
+        ends = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1].astype(np.int64)
+        first = 0
+        while first < batch.num_rows:
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + limit, side="right")) - 1)
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def runs(batches: Iterable[pa.RecordBatch], keys: list[str], values: list[str]) -> Iterator[list[np.ndarray]]:
     """Groups of a key-sorted stream of non-null integer columns.
 

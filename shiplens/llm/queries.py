@@ -6,6 +6,7 @@ from shiplens.llm import (
     html_extract,
     language_id,
     mixing,
+    phrases,
     piece_codec,
     quality,
     simhash,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_exact_topk": topk_search.op9_exact_topk,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
+    "op11_phrase_collocations": phrases.op11_phrase_collocations,
 }
 
 # The others have no SQL: tests/llm holds them against brute force.
@@ -32,4 +34,5 @@ ORACLE: dict[str, str] = {
     "op2_chat_formatting": chat_format.ORACLE_SQL,
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
     "op9_exact_topk": topk_search.ORACLE_SQL,
+    "op11_phrase_collocations": phrases.ORACLE_SQL,
 }
