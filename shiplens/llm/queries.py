@@ -6,6 +6,7 @@ from shiplens.llm import (
     html_extract,
     language_id,
     mixing,
+    periodic,
     phrases,
     piece_codec,
     quality,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_exact_topk": topk_search.op9_exact_topk,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
     "op11_phrase_collocations": phrases.op11_phrase_collocations,
+    "op12_periodic_runs": periodic.op12_periodic_runs,
 }
 
 # The others have no SQL: tests/llm holds them against brute force.
