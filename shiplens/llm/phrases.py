@@ -345,9 +345,8 @@ def _in_order(words: DataFrame, phrases: DataFrame, side: str) -> DataFrame:
     return passed.join(one.hint("merge"), ["lang", "w1"]).drop("w1")
 
 
-def collocations(docs: DataFrame, least: int = LEAST, subsumed: int = SUBSUMED) -> DataFrame:
-    """``lang, phrase, a, l, r, n, score`` of each candidate that no longer phrase takes the place of."""
-    words, phrases = count_streams(docs, least)
+def scored_phrases(words: DataFrame, phrases: DataFrame, subsumed: int = SUBSUMED) -> DataFrame:
+    """``lang, phrase, a, l, r, score`` of each candidate that no longer phrase takes the place of."""
     heads = _in_order(words, phrases, "l")
     tails = _in_order(words, phrases, "r").drop("a", "k")
     both = heads.join(tails.hint("merge"), ["lang", "phrase"])
@@ -355,10 +354,11 @@ def collocations(docs: DataFrame, least: int = LEAST, subsumed: int = SUBSUMED)
     longer = F.greatest(F.coalesce("l_longer", F.lit(0)), F.coalesce("r_longer", F.lit(0)))
     both = both.where(100 * longer < subsumed * F.col("a"))
     cut = "struct(cast((cast(a as decimal(20,0)) * 2000000) div (cast(l{k} as decimal(20,0)) + r{j}) as bigint) as score, {k} as cut, l{k} as l, r{j} as r)"
-    cuts = [F.when(F.col("k") == size, F.least(*parts) if size > 2 else parts[0]) for size in range(2, LONGEST + 1) if (parts := [F.expr(cut.format(k=k, j=size - k)) for k in range(1, size)])]
-    total = words.where("phrase is null").select("lang", F.col("a").alias("n"))
-    best = both.withColumn("best", F.coalesce(*cuts)).join(total.hint("merge"), "lang")
-    return best.select("lang", "phrase", "a", "best.l", "best.r", "n", "best.score")
+    best = F
+    for size in range(2, LONGEST + 1):
+        cuts = [F.expr(cut.format(k=k, j=size - k)) for k in range(1, size)]
+        best = best.when(F.col("k") == size, F.least(*cuts) if size > 2 else cuts[0])
+    return both.withColumn("best", best).select("lang", "phrase", "a", "best.l", "best.r", "best.score")
 
 
 def top_phrases(scored: DataFrame, top: int = TOP) -> DataFrame:
@@ -371,10 +371,17 @@ def top_phrases(scored: DataFrame, top: int = TOP) -> DataFrame:
     return ranked.where(F.col("rank") <= top).drop("part")
 
 
+def collocations(docs: DataFrame, least: int = LEAST, subsumed: int = SUBSUMED, top: int = TOP) -> DataFrame:
+    """``lang, rank, phrase, a, l, r, n, score``: the best phrases of each language of ``docs(lang, text)``."""
+    words, phrases = count_streams(docs, least)
+    total = words.where("phrase is null").select("lang", F.col("a").alias("n"))
+    ranked = top_phrases(scored_phrases(words, phrases, subsumed), top)
+    return ranked.join(total.hint("merge"), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best collocations of each language over all ``documents``."""
-    columns = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
-    return top_phrases(collocations(read(spark, sf_dir, "documents").select("lang", "text"))).select(columns)
+    return collocations(read(spark, sf_dir, "documents").select("lang", "text"))
 
 
 ORACLE_SQL = r"""
@@ -382,7 +389,8 @@ WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                       '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
   FROM documents
 ), words AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
 grams AS (

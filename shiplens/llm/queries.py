@@ -12,6 +12,7 @@ from shiplens.llm import (
     quality,
     simhash,
     topk_search,
+    toxicity,
     warc,
 )
 
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
     "op11_phrase_collocations": phrases.op11_phrase_collocations,
     "op12_periodic_runs": periodic.op12_periodic_runs,
+    "op13_toxicity": toxicity.op13_toxicity,
 }
 
 # The others have no SQL: tests/llm holds them against brute force.
