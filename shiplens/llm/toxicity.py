@@ -13,7 +13,7 @@ so they count once.  The words of toxic documents that have such a form are T,
 all others and all words of clean documents O.  A toxic document without any
 such word has no known spans and takes no part.  The chain is then trained by
 maximum likelihood: every step is a Spark job over the staged tokens that
-returns the summed gradient, and L-BFGS moves the weights.
+returns the gradient, and L-BFGS moves the weights.
 
 Marginals of T make spans (``TOXIC_AT`` or more, as offsets in code points) and
 the document's score: a logistic function of the sum of their squares and of the
@@ -275,27 +275,30 @@ def loss_and_gradient(vector: np.ndarray, blocks: list[tuple], bits: int) -> tup
 
 
 def _summed(blocks: DataFrame, vector: np.ndarray, bits: int) -> tuple[float, np.ndarray]:
-    """:func:`loss_and_gradient` over all staged blocks; a row per weight and task leaves the tasks."""
+    """:func:`loss_and_gradient` over all staged blocks.
+
+    One row with its part of the gradient leaves each of the few tasks
+    (``TRAIN_PARTS`` files of a bounded sample), so a step shuffles nothing.
+    """
     shared = blocks.sparkSession.sparkContext.broadcast(vector)
 
     def part(batches):
-        loss, gradient = 0.0, np.zeros(len(vector) + 1)
+        loss, gradient = 0.0, np.zeros(len(vector))
         for b in batches:
             for row in zip(*(b.column(i) for i in range(6)), strict=True):
                 raw = [np.frombuffer(x.as_buffer(), t) for x, t in zip(row, (np.int32, bool, bool, np.int32, np.int32, np.int32), strict=True)]
                 one = (*raw[:3], raw[3].reshape(-1, OWN), raw[4].reshape(-1, NEAR), raw[5].reshape(-1, NEAR))
                 more, g = loss_and_gradient(shared.value, [one], bits)
                 loss += more
-                gradient[:-1] += g
-        gradient[-1] = loss
-        at = np.flatnonzero(gradient)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(gradient[at])], names=["at", "g"])
+                gradient += g
+        if loss:
+            yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([gradient.tobytes()], pa.binary())], names=["loss", "gradient"])
 
-    sums = blocks.mapInArrow(part, "at int, g double").groupBy("at").agg(F.sum("g").alias("g")).toArrow()
+    parts = blocks.mapInArrow(part, "loss double, gradient binary").collect()
     shared.unpersist()
-    total = np.zeros(len(vector) + 1)
-    total[sums.column("at").to_numpy()] = sums.column("g").to_numpy()
-    return total[-1], total[:-1]
+    # in one order whatever task ended first, so that the same sample gives the same model
+    parts = sorted((r["loss"], bytes(r["gradient"])) for r in parts)
+    return sum(x for x, _ in parts), sum((np.frombuffer(g) for _, g in parts), np.zeros(len(vector)))
 
 
 def minimised(value, start: np.ndarray, steps: int = STEPS, history: int = HISTORY) -> np.ndarray:
