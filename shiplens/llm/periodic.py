@@ -241,26 +241,28 @@ def longest_run(runs: Column) -> Column:
     return F.array_min(order)
 
 
-def planted(doc_id: Column, text: Column) -> Column:
-    """The words of a tenth of the documents, made periodic from some place on; the text itself of the others.
+def planted(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` with the words of a tenth of the documents made periodic from some place on.
 
     With h = crc32(doc_id as text) and g = floor(h / 10): if h % 10 is 0, word
     i >= a becomes word a + (i - a) % p, with a = g % n and p = 1 + floor((n - a) / (3 + g % 8)).
     A null doc_id has no h.
     """
-    h = F.crc32(doc_id.cast("string").cast("binary"))
-    g = F.floor(h / 10)
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n = F.size(words).cast("long")
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    repeated = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
-    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), F.array_join(repeated, " ")).otherwise(text)
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # a step of its own, so that each text is split once
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, split).alias("words"))
+    n = F.size("words")
+    a = (F.col("g") % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int")
+    period = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    repeated = F.concat(F.slice("words", F.lit(1), a), F.slice(period, F.lit(1), n - a))
+    return rows.select("doc_id", F.when(n > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of every document, its longest run, and digests of its runs and of its text without repeats."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text"))
+    docs = planted(read(spark, sf_dir, "documents").select("doc_id", "text"))
     rows = with_runs(docs).select("doc_id", "periodic", longest_run(F.col("periodic.runs")).alias("best"))
     lines = F.transform("periodic.runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
     return rows.select(
