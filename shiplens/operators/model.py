@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from shiplens.functions.numeric import class_probability
 from shiplens.operators.clean import impute_constant
 from shiplens.operators.features import DELIVERY_ALIASES, LABEL, SELECTED_FEATURES, numeric_and_categorical
+from shiplens.operators.ranking import rank_sum
 from shiplens.operators.schema import present, quoted
 from shiplens.session import remove_path, stage_table
 
@@ -28,6 +28,9 @@ MAX_DEPTH = 5
 MAX_BINS = 32
 SEED = 42
 
+# Digits of a probability that count when rows are ranked: sums of the same votes in another order tie.
+PROBABILITY_DIGITS = 8
+
 # Columns a prediction row carries when present.
 PREDICTION_COLUMNS = [
     "order_id",
@@ -56,7 +59,7 @@ def cardinality_check(df: DataFrame, categorical: Sequence[str], max_categories:
     categorical = list(categorical)
     if not categorical:
         return {}
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
+    row = df.agg(*[F.approx_count_distinct(quoted(c)).alias(c) for c in categorical]).first()
     counts = {c: int(row[c]) for c in categorical}
     too_many = {c: n for c, n in counts.items() if n > max_categories}
     if too_many:
@@ -141,14 +144,14 @@ def evaluate(predictions: DataFrame, label: str = LABEL) -> tuple[float, float]:
 def evaluate_with_count(predictions: DataFrame, label: str = LABEL) -> tuple[float, float, int]:
     """AUC, accuracy and the number of rows evaluated.
 
-    The scored rows are staged as three columns of Parquet: the AUC sorts
-    them, and count and accuracy are one aggregation of the confusion counts.
-    Nothing of the table's size stays in executor memory.
+    The scored rows are staged as three columns of Parquet: the exact AUC
+    (:func:`ranking.rank_sum`) counts them by score, and count and accuracy are one
+    aggregation of the confusion counts.  Nothing of the table's size stays in executor memory.
     """
-    kept = predictions.select(label, "prediction", class_probability("probability").alias("p1"))
+    kept = predictions.select(label, "prediction", F.round(class_probability("probability"), PROBABILITY_DIGITS).alias("p1"))
     scored, path = stage_table(kept, "evaluation")
     try:
-        auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="p1", metricName="areaUnderROC").evaluate(scored)
+        auc = rank_sum(scored, label, "p1").auc
         counts = confusion_counts(scored, label).collect()  # one row per pair of classes
     finally:
         remove_path(predictions.sparkSession, path)

@@ -9,6 +9,10 @@ both engines produce the same bits.
 
 from __future__ import annotations
 
+from shiplens.operators.forest import scoring_sql
+from shiplens.operators.model import MAX_DEPTH, PROBABILITY_DIGITS
+from shiplens.plans.published import sql_source
+
 # Date difference in whole days between the line's ship date and the order date.
 _DAYS = "CAST(date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) AS INTEGER)"
 
@@ -733,14 +737,35 @@ UNION ALL SELECT '(quarantine)', count(*), NULL FROM shipments WHERE {_BAD}""",
 # ---------------------------------------------------------------- jobs and model
 _SPLIT = f"CASE WHEN {_HASH_KEY} < '{format(int(0.8 * 16**8), '08x')}' THEN 'train' ELSE 'test' END"
 _ORDER_SPLIT = f"CASE WHEN {_ORDER_HASH} < '{format(int(0.8 * 16**8), '08x')}' THEN 'train' ELSE 'test' END"
+_MODEL_ROWS = f"""
+m AS (SELECT order_id, customer_id, market, line_number, order_region, shipping_mode, customer_segment, delivery_days, sales, num_orders,
+        late_delivery_risk, {_DISTANCE} AS geo_distance_km FROM shipments)"""
+
+
+def _forest(rows: str, nodes: str) -> str:
+    """CTEs that score the query ``rows`` by the published node table ``nodes``."""
+    texts = ["order_region", "shipping_mode", "customer_segment"]
+    return scoring_sql(rows, sql_source(nodes), texts, ["geo_distance_km", "sales", "delivery_days", "num_orders"], MAX_DEPTH)
+
+
+# exact AUC by rank sum and accuracy, over the scored rows
+_AUC = f"""
+auc_rows AS (SELECT round(prob_class_1, {PROBABILITY_DIGITS}) AS p, late_delivery_risk AS y, prediction FROM forest_scored),
+auc_counts AS (SELECT p, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y = 0) AS neg FROM auc_rows GROUP BY p),
+auc_below AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM auc_counts),
+auc AS (SELECT CAST(sum(pos * (2 * below + neg)) AS DOUBLE) / CAST(2 * sum(pos) * sum(neg) AS DOUBLE) AS auc,
+        (SELECT count(*) FROM auc_rows) AS n, (SELECT avg(CASE WHEN y = prediction THEN 1.0 ELSE 0.0 END) FROM auc_rows) AS accuracy FROM auc_below)"""
+
 register(
     "job_train",
     with_ctes(
         SHIPMENTS_CTE,
+        _MODEL_ROWS,
+        _forest(f"SELECT * FROM m WHERE {_ORDER_SPLIT} = 'test'", "job-forest"),
+        _AUC,
         body=f"""
-SELECT count(*) FILTER (WHERE {_ORDER_SPLIT} = 'train') AS n_train, count(*) FILTER (WHERE {_ORDER_SPLIT} = 'test') AS n_test,
-       true AS metrics_fair
-FROM shipments""",
+SELECT (SELECT count(*) FROM m WHERE {_ORDER_SPLIT} = 'train') AS n_train, n AS n_test, round(auc, 9) AS auc, round(accuracy, 9) AS accuracy
+FROM auc""",
     ),
 )
 register(
@@ -782,48 +807,80 @@ UNION ALL SELECT 'correlations', col_a || '|' || col_b, r FROM ({ORACLE["correla
 UNION ALL SELECT 'histogram', CAST(bin AS VARCHAR), CAST(n AS DOUBLE) FROM ({_DIRTY_HISTOGRAM})""",
 )
 
-_OK = "true AS probability_ok, true AS prediction_ok"
+_FOREST = "late-forest"
+_SCORED = f"prediction, round(prob_class_1, {PROBABILITY_DIGITS}) AS prob_class_1"
+_TEST = _forest(f"SELECT * FROM m WHERE {_SPLIT} = 'test'", _FOREST)
 register(
     "train_late_model",
     with_ctes(
         SHIPMENTS_CTE,
-        f"sp AS (SELECT *, {_SPLIT} AS split FROM shipments)",
+        _MODEL_ROWS,
+        f"sp AS (SELECT *, {_SPLIT} AS split FROM m)",
+        _TEST,
+        _AUC,
         body="""
 SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'test') AS n_test, 100 AS num_trees,
        CAST(count(DISTINCT shipping_mode) FILTER (WHERE split = 'train') + count(DISTINCT customer_segment) FILTER (WHERE split = 'train')
             + count(DISTINCT order_region) FILTER (WHERE split = 'train') + 4 AS INTEGER) AS num_features,
-       true AS metrics_fair
+       (SELECT round(auc, 9) FROM auc) AS auc, (SELECT round(accuracy, 9) FROM auc) AS accuracy
 FROM sp""",
     ),
 )
-register(
-    "score_batch",
-    with_ctes(
-        SHIPMENTS_CTE,
-        body=f"""
-SELECT order_id, customer_id, market, order_region, shipping_mode, customer_segment, delivery_days, sales, {_OK}
-FROM shipments""",
-    ),
+_BATCH = with_ctes(
+    SHIPMENTS_CTE,
+    _MODEL_ROWS,
+    _forest("SELECT * FROM m", _FOREST),
+    body=f"""
+SELECT order_id, customer_id, market, order_region, shipping_mode, customer_segment, delivery_days, sales, {_SCORED}
+FROM forest_scored""",
 )
+register("score_batch", _BATCH)
+register("score_natively", _BATCH)
 register(
     "evaluate_model",
     with_ctes(
-        SHIPMENTS_CTE,
-        body=f"SELECT count(*) AS n_test, true AS auc_fair, true AS accuracy_matches FROM shipments WHERE {_SPLIT} = 'test'",
+        SHIPMENTS_CTE, _MODEL_ROWS, _TEST, _AUC, body="SELECT n AS n_test, round(auc, 9) AS auc, round(accuracy, 9) AS accuracy FROM auc"
     ),
 )
+
+
+def _column_auc(column: str) -> str:
+    return f"""
+SELECT '{column}' AS score, CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives,
+       round(CAST(sum(pos * (2 * below + neg)) AS DOUBLE) / CAST(2 * sum(pos) * sum(neg) AS DOUBLE), 12) AS auc
+FROM (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+      FROM (SELECT {column} AS x, count(*) FILTER (WHERE late_delivery_risk = 1) AS pos, count(*) FILTER (WHERE late_delivery_risk = 0) AS neg
+            FROM dirty WHERE {column} IS NOT NULL GROUP BY 1))"""
+
+
+register("rank_sum_auc", with_ctes(SHIPMENTS_CTE, DIRTY_CTE, body=" UNION ALL ".join(map(_column_auc, ("sales", "num_orders", "delivery_days")))))
 register(
     "confusion_matrix",
     with_ctes(
         SHIPMENTS_CTE,
-        body=f"SELECT late_delivery_risk AS label, count(*) AS n FROM shipments WHERE {_SPLIT} = 'test' GROUP BY 1",
+        _MODEL_ROWS,
+        _TEST,
+        body="SELECT late_delivery_risk AS label, CAST(prediction AS INTEGER) AS prediction, count(*) AS n FROM forest_scored GROUP BY 1, 2",
     ),
 )
-register("score_uploaded_csv", f"SELECT *, {_OK} FROM ({_NORMALIZED}) n")
+_UPLOAD = f"""
+SELECT *, {_haversine_sql("origin_latitude", "origin_longitude", "dest_latitude", "dest_longitude")} AS geo_distance_km,
+       days_for_shipping_real AS delivery_days, order_item_quantity AS num_orders FROM ({_NORMALIZED}) n"""
+register(
+    "score_uploaded_csv",
+    "WITH " + _forest(_UPLOAD, _FOREST) + f"SELECT * EXCLUDE (rid, geo_distance_km, delivery_days, num_orders, prediction, prob_class_1), {_SCORED} FROM forest_scored",
+)
+_STREAM_ROWS = """
+SELECT market, 'unknown' AS order_region, shipping_mode, customer_segment, 0.0 AS geo_distance_km, sales, delivery_days, 1 AS num_orders
+FROM shipments"""
 register(
     "stream_score",
     with_ctes(
         SHIPMENTS_CTE,
-        body="SELECT market, count(*) AS n_rows, count(*) AS n_documented, true AS same_as_batch FROM shipments GROUP BY market",
+        _forest(_STREAM_ROWS, _FOREST),
+        body=f"""
+SELECT market, count(*) AS n_rows, count(*) AS n_documented, CAST(sum(prediction) AS BIGINT) AS n_late,
+       round(CAST(sum(CAST(round(prob_class_1, {PROBABILITY_DIGITS}) AS DECIMAL(18,8))) AS DOUBLE), 3) AS expected_late
+FROM forest_scored GROUP BY market""",
     ),
 )

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
 from shiplens.operators import features, model as ml
 from shiplens.plans.catalog import MODEL_CATEGORICAL, model_table, trained_model
 from tests.conftest import SF_SMALL
@@ -39,16 +38,12 @@ def test_score_predicts_the_likelier_class_and_keeps_rows(spark):
             assert r["prediction"] == (1.0 if r["prob_class_1"] > 0.5 else 0.0)
 
 
-def test_checked_queries_report_no_bad_score(spark):
-    for name in ("score_batch", "score_uploaded_csv"):
-        bad = E.queries()[name](spark, SF_SMALL).where("not (probability_ok and prediction_ok)")
-        assert bad.count() == 0
-
-
 def test_model_is_trained_again_in_a_new_application(spark, monkeypatch):
     from shiplens.plans import catalog
 
     trained = []
+    monkeypatch.setattr(catalog.forest, "node_table", lambda *a: None)
+    monkeypatch.setattr(catalog.published, "publish", lambda *a: None)
     monkeypatch.setattr(catalog, "_train_and_store", lambda *a: trained.append(a) or (None, None, "p"))
     monkeypatch.setattr(catalog, "_MODELS", {("another application", SF_SMALL): ("stale",)})
     assert catalog.trained_model(spark, SF_SMALL)[2] == "p" and catalog.trained_model(spark, SF_SMALL)[2] == "p"
