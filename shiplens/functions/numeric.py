@@ -77,9 +77,27 @@ def money(c: str | Column, scale: int = 2) -> Column:
     return _col(c).cast(f"decimal({18 if scale <= 2 else 28},{scale})")
 
 
+# Amounts from here on are summed as doubles: the fixed-point type would overflow.
+LARGE = 1e17
+
+
 def money_sum(c: str | Column, scale: int = SUM_SCALE) -> Column:
-    """Exact, order-independent sum of an amount with its sub-cent digits, as double."""
-    return F.sum(money(c, scale)).cast("double")
+    """Sum of an amount with its sub-cent digits, as double; null if there is no amount.
+
+    Amounts below ``LARGE`` are added in fixed point, so the sum doesn't depend
+    on their order.  Larger ones, infinities and NaN are added as doubles and
+    propagate: a NaN, or infinities of both signs, make the sum NaN.
+    """
+    x = _col(c)
+    ordinary = F.abs(x.cast("double")) < LARGE  # NaN is greater than any number
+    fixed = F.sum(F.when(ordinary, money(x, scale))).cast("double")
+    rest = F.sum(F.when(~ordinary, x.cast("double")))
+    return F.when(rest.isNull(), fixed).otherwise(rest + F.coalesce(fixed, F.lit(0.0)))
+
+
+def money_mean(c: str | Column) -> Column:
+    """Mean of an amount over the values that :func:`money_sum` adds (NaN and infinities too, nulls not)."""
+    return F.try_divide(money_sum(c), F.count(_col(c)))
 
 
 def class_probability(prob_vector: str | Column, index: int = 1) -> Column:

@@ -43,7 +43,7 @@ def impute_constant(
     text = [c for c in other if isinstance(df.schema[c].dataType, T.StringType)]
 
     def fill(c: str) -> Column:
-        col = F.col(c)
+        col = F.col(quoted(c))
         if c in numeric:
             bad = col.isNull()
             if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
@@ -82,7 +82,7 @@ def impute_median(
     medians = column_medians(df, numeric, exact=exact, rel_error=rel_error)
 
     def fill(c: str) -> Column:
-        col = F.col(c)
+        col = F.col(quoted(c))
         if c in numeric and medians.get(c) is not None:
             m = F.lit(medians[c]).cast(df.schema[c].dataType)
             bad = col.isNull()
@@ -98,4 +98,8 @@ def impute_median(
 
 def drop_nulls(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows where every listed column is present, NaN counting as absent (FLT-5)."""
-    return df.na.drop(how="any", subset=list(cols))
+    kinds = {c: df.schema[c].dataType for c in cols}
+    for c in cols:
+        there = F.col(quoted(c)).isNotNull()
+        df = df.where(there & ~F.isnan(quoted(c)) if isinstance(kinds[c], (T.DoubleType, T.FloatType)) else there)
+    return df

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shiplens.functions.numeric import LATE_THRESHOLD_DAYS, haversine_km, late_flag
 from shiplens.operators.clean import impute_constant
-from shiplens.operators.schema import ensure_columns, present, resolve, split_by_type
+from shiplens.operators.schema import ensure_columns, present, quoted, resolve, split_by_type
 
 # The model's feature list, label and carried identifiers.
 SELECTED_FEATURES = [
@@ -48,7 +48,7 @@ def hash_fraction(key: Column, fraction: float) -> Column:
 
 
 def row_key(cols: Sequence[str]) -> Column:
-    return F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    return F.concat_ws(":", *[F.coalesce(F.col(quoted(c)).cast("string"), F.lit("")) for c in cols])
 
 
 def sample_hash(df: DataFrame, key_cols: Sequence[str], fraction: float) -> DataFrame:
@@ -98,7 +98,7 @@ def feature_table(
     """
     feats = present(df, features)
     cols = present(df, list(feats) + [label] + list(ids))
-    out = df.select(*cols)
+    out = df.select(*[F.col(quoted(c)) for c in cols])
     return impute_constant(out, cols=feats)
 
 

@@ -31,7 +31,8 @@ def approx_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, rel_err
     """Approximate quantile per column in a single pass."""
     if not cols:
         return {}
-    res = df.approxQuantile(list(cols), [q], rel_error)
+    plain = df.select(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(cols)])
+    res = plain.approxQuantile(plain.columns, [q], rel_error)
     return {c: (r[0] if r else None) for c, r in zip(cols, res)}
 
 

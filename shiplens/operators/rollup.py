@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiplens.functions.dates import day_bounds
-from shiplens.functions.numeric import money_sum
+from shiplens.functions.numeric import money_mean, money_sum
 from shiplens.operators.joins import is_small
 from shiplens.operators.schema import quoted, resolve
 from shiplens.session import stage_table
@@ -33,12 +33,13 @@ def market_summary(
 
     Falls back to the next available grouping column (region) when there is
     no market column.  Sales are summed in fixed point so the total does not
-    depend on partitioning.
+    depend on partitioning; NaN, infinities and amounts beyond fixed point follow
+    :func:`functions.numeric.money_sum`, here and in all rollups.
     """
     key = resolve(df, group_aliases)
     if key is None:
         raise ValueError(f"none of {list(group_aliases)} is a column")
-    return df.groupBy(F.col(key).alias(out_key)).agg(
+    return df.groupBy(F.col(quoted(key)).alias(out_key)).agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.avg(days_col).alias("avg_delivery_days"),
         money_sum(sales_col).alias("sum_sales"),
@@ -54,7 +55,7 @@ def region_stats(
     """Per-region order count, mean sales and mean delivery days (AGG-2)."""
     return df.groupBy(key).agg(
         F.count(F.lit(1)).alias("region_order_count"),
-        F.try_divide(money_sum(sales_col), F.count(sales_col)).alias("region_avg_sales"),
+        money_mean(sales_col).alias("region_avg_sales"),
         F.avg(days_col).alias("region_avg_delivery_days"),
     )
 

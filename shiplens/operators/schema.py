@@ -22,7 +22,7 @@ _NAME_RULE = {ord(c): "_" for c in " \t\n\r\f\v\u00a0"} | {ord(c): None for c in
 
 def normalize_name(name: str) -> str:
     """A column name in lower case, without outer white space, by the naming rule."""
-    return name.strip().translate(_NAME_RULE).casefold()
+    return name.strip().translate(_NAME_RULE).lower()
 
 
 def quoted(name: str) -> str:
@@ -57,7 +57,7 @@ def present(df: DataFrame, cols: Iterable[str]) -> list[str]:
 
 def select_present(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Project only the requested columns that exist (SCH-2)."""
-    return df.select(*present(df, cols))
+    return df.select(*[F.col(quoted(c)) for c in present(df, cols)])
 
 
 def resolve(df: DataFrame, aliases: Sequence[str]) -> str | None:
@@ -86,8 +86,8 @@ def ensure_columns(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
 def flatten_struct(df: DataFrame, struct_col: str, prefix: str = "") -> DataFrame:
     """Replace a struct column by its fields (SCH-6)."""
     field_names = df.schema[struct_col].dataType.fieldNames()
-    others = [F.col(c) for c in df.columns if c != struct_col]
-    fields = [F.col(f"{struct_col}.{f}").alias(f"{prefix}{f}") for f in field_names]
+    others = [F.col(quoted(c)) for c in df.columns if c != struct_col]
+    fields = [F.col(quoted(struct_col))[f].alias(f"{prefix}{f}") for f in field_names]
     return df.select(*others, *fields)
 
 
@@ -102,10 +102,10 @@ def split_by_type(df: DataFrame, cols: Sequence[str] | None = None) -> tuple[lis
 def cast_columns(df: DataFrame, types: dict[str, str], lenient: bool = False) -> DataFrame:
     """Cast named columns (PRJ-1); ``lenient`` turns bad values into null."""
     def conv(c: str) -> Column:
+        col = F.col(quoted(c))
         if c not in types:
-            return F.col(c)
-        target = types[c]
-        return (F.col(c).try_cast(target) if lenient else F.col(c).cast(target)).alias(c)
+            return col
+        return (col.try_cast(types[c]) if lenient else col.cast(types[c])).alias(c)
 
     return df.select(*[conv(c) for c in df.columns])
 
@@ -119,7 +119,7 @@ def surrogate_key(cols: Sequence[str | Column]) -> Column:
     ``-``, so different rows never hash the same text: not null and empty,
     nor values that only differ in where a separator falls.
     """
-    values = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    values = [(F.col(quoted(c)) if isinstance(c, str) else c).cast("string") for c in cols]
     return F.md5(F.concat(*[F.coalesce(F.concat(F.char_length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in values]))
 
 

@@ -149,6 +149,32 @@ def q_subcent_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.select("market", "n_orders", "sum_sales").join(again, "market").join(regions, "market")
 
 
+def kind_and_number(c: str) -> list[Column]:
+    """A total that may be NaN or infinite: which of these it is, and the number if it is one."""
+    x = F.col(c)
+    kind = F.when(F.isnan(x), "NaN").when(x == float("inf"), "inf").when(x == -float("inf"), "-inf").otherwise("number")
+    return [kind.alias(f"{c}_kind"), F.when(kind == "number", x).alias(c)]
+
+
+@query("extreme_sums")
+def q_extreme_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals and means with amounts that are NaN, infinite or beyond fixed point, on rollups by nation."""
+    s = fixtures.shipments(spark, sf_dir)
+    kind, odd = F.substring("order_region", 8, 2).cast("int") % 5, F.col("order_key") % 50 == 0
+    amount = (
+        F.when(odd & (kind == 0), F.lit(float("nan"))).when(odd & (kind == 1), F.lit(float("inf")))
+        .when(odd & (kind == 2), F.when(F.col("line_number") % 2 == 0, F.lit(float("inf"))).otherwise(F.lit(-float("inf"))))
+        .when(odd & (kind == 3), F.lit(float(2**60))).otherwise(F.col("sales"))
+    )
+    s = s.withColumn("sales", amount)
+    stats = rollup.region_stats(s)
+    summary = rollup.market_summary(s.drop("market"), out_key="order_region")
+    again = rollup.rollup_of_rollups(summary, key="order_region").select("order_region", F.col("sum_sales").alias("rolled_up"))
+    rows = summary.join(again, "order_region").join(stats, "order_region")
+    parts = [p for c in ("sum_sales", "rolled_up", "region_avg_sales") for p in kind_and_number(c)]
+    return rows.select("order_region", "n_orders", *parts)
+
+
 # ---------------------------------------------------------------- schema
 @query("normalize_columns")
 def q_normalize_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -620,7 +646,7 @@ def window_text(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("event_type").alias("market"),
         "n_events",
-        F.round("avg_sales", 6).alias("avg_sales"),
+        "avg_sales",
         ts_text("window_start").alias("window_start"),
         ts_text("window_end").alias("window_end"),
     )
@@ -640,11 +666,8 @@ ORDER_WINDOW = "30 days"
 
 
 def order_window_text(df: DataFrame) -> DataFrame:
-    # means of cents can lie on half of the last digit kept; the shift moves
-    # them off it, so that the order of summation doesn't decide the rounding
     return df.select(
-        "market", "n_events", F.round("avg_delivery_days", 6).alias("avg_delivery_days"),
-        F.round(F.col("avg_sales") + F.lit(2e-7), 6).alias("avg_sales"),
+        "market", "n_events", F.round("avg_delivery_days", 6).alias("avg_delivery_days"), "avg_sales",
         ts_text("window_start").alias("window_start"), ts_text("window_end").alias("window_end"),
     )
 

@@ -620,7 +620,7 @@ _WINDOWS_CTE = """
 w AS (
   SELECT event_type AS market, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
          time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
-         count(*) AS n_events, round(avg(value), 6) AS avg_sales
+         count(*) AS n_events, CAST(sum(CAST(value AS DECIMAL(28,10))) AS DOUBLE) / count(value) AS avg_sales
   FROM ev GROUP BY 1, 2
 )"""
 
@@ -705,6 +705,32 @@ FROM shipments""",
 )
 
 
+def _kind_and_number(x: str, name: str) -> str:
+    kind = f"CASE WHEN isnan({x}) THEN 'NaN' WHEN {x} = 'inf'::DOUBLE THEN 'inf' WHEN {x} = '-inf'::DOUBLE THEN '-inf' ELSE 'number' END"
+    return f"{kind} AS {name}_kind, CASE WHEN isfinite({x}) THEN {x} END AS {name}"
+
+
+register(
+    "extreme_sums",
+    with_ctes(
+        SHIPMENTS_CTE,
+        """
+odd AS (SELECT order_region, CAST(substr(order_region, 8, 2) AS INTEGER) % 5 AS kind, order_key % 50 = 0 AS odd, line_number, sales FROM shipments),
+ext AS (SELECT order_region, kind, count(*) AS n, count(*) FILTER (WHERE odd) AS n_odd,
+          count(*) FILTER (WHERE odd AND line_number % 2 = 0) AS n_even,
+          CAST(coalesce(sum(CAST(sales AS DECIMAL(28,10))) FILTER (WHERE NOT (odd AND kind < 4)), 0) AS DOUBLE) AS plain
+        FROM odd GROUP BY 1, 2),
+t AS (SELECT order_region, n, CASE
+          WHEN kind = 4 OR n_odd = 0 THEN plain WHEN kind = 0 THEN 'nan'::DOUBLE WHEN kind = 1 THEN 'inf'::DOUBLE
+          WHEN kind = 2 AND n_even = 0 THEN '-inf'::DOUBLE WHEN kind = 2 AND n_even = n_odd THEN 'inf'::DOUBLE WHEN kind = 2 THEN 'nan'::DOUBLE
+          ELSE n_odd * 1152921504606846976.0::DOUBLE + plain END AS total FROM ext)""",
+        body=f"""
+SELECT order_region, n AS n_orders, {_kind_and_number("total", "sum_sales")}, {_kind_and_number("total", "rolled_up")},
+       {_kind_and_number("total / n", "region_avg_sales")}
+FROM t""",
+    ),
+)
+
 # ---------------------------------------------------------------- order windows
 def _order_windows(days: int) -> str:
     # Spark's windows of whole days start at the epoch
@@ -713,7 +739,8 @@ def _order_windows(days: int) -> str:
         SHIPMENTS_CTE,
         f"w AS (SELECT market, {start} AS s, delivery_days, sales FROM shipments)",
         body=f"""
-SELECT market, count(*) AS n_events, round(avg(delivery_days), 6) AS avg_delivery_days, round(avg(sales) + 2e-7, 6) AS avg_sales,
+SELECT market, count(*) AS n_events, round(avg(delivery_days), 6) AS avg_delivery_days,
+       CAST(sum(CAST(sales AS DECIMAL(28,10))) AS DOUBLE) / count(sales) AS avg_sales,
        strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(s + INTERVAL {days} DAY, '%Y-%m-%d %H:%M:%S') AS window_end
 FROM w GROUP BY market, s""",
