@@ -280,10 +280,10 @@ def _summed(blocks: DataFrame, vector: np.ndarray, bits: int) -> tuple[float, np
     One row with its part of the gradient leaves each of the few tasks
     (``TRAIN_PARTS`` files of a bounded sample), so a step shuffles nothing.
     """
-    shared = blocks.sparkSession.sparkContext.broadcast(vector)
+    shared, size = blocks.sparkSession.sparkContext.broadcast(vector), len(vector)
 
     def part(batches):
-        loss, gradient = 0.0, np.zeros(len(vector))
+        loss, gradient = 0.0, np.zeros(size)
         for b in batches:
             for row in zip(*(b.column(i) for i in range(6)), strict=True):
                 raw = [np.frombuffer(x.as_buffer(), t) for x, t in zip(row, (np.int32, bool, bool, np.int32, np.int32, np.int32), strict=True)]
@@ -292,13 +292,16 @@ def _summed(blocks: DataFrame, vector: np.ndarray, bits: int) -> tuple[float, np
                 loss += more
                 gradient += g
         if loss:
-            yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([gradient.tobytes()], pa.binary())], names=["loss", "gradient"])
+            yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([gradient.astype(np.float32).tobytes()], pa.binary())], names=["loss", "gradient"])
 
-    parts = blocks.mapInArrow(part, "loss double, gradient binary").collect()
-    shared.unpersist()
+    parts = blocks.mapInArrow(part, "loss double, gradient binary").toArrow()
+    shared.destroy()
     # in one order whatever task ended first, so that the same sample gives the same model
-    parts = sorted((r["loss"], bytes(r["gradient"])) for r in parts)
-    return sum(x for x, _ in parts), sum((np.frombuffer(g) for _, g in parts), np.zeros(len(vector)))
+    loss, total = 0.0, np.zeros(size)
+    for i in np.argsort(parts.column(0).to_numpy(), kind="stable"):
+        loss += parts.column(0)[int(i)].as_py()
+        total += np.frombuffer(parts.column(1)[int(i)].as_buffer(), np.float32)
+    return loss, total
 
 
 def minimised(value, start: np.ndarray, steps: int = STEPS, history: int = HISTORY) -> np.ndarray:
