@@ -467,15 +467,18 @@ def q_sink_csv_market_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("agg_documents")
 def q_agg_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shiplens.plans import jobs
+    from shiplens.sinks import snapshots
     from shiplens.sinks.files import aggregate_documents, write_documents
 
     summary = rollup.market_summary(fixtures.shipments(spark, sf_dir))
     docs = aggregate_documents(summary, "market")
     path = scratch(spark, "documents")
-    write_documents(docs, path)
-    write_documents(docs, path)  # a rerun replaces its documents
-    back = spark.read.schema(docs.schema).json(path)
-    return back.drop("ts", "run", "day")
+    write_documents(docs, path, run="today")
+    write_documents(docs, path, run="today")  # a rerun replaces its documents
+    write_documents(docs.where("n_orders < 0"), path, run="empty")  # another run replaces nothing
+    snapshots.compact(spark, path, partition_by=["day"])
+    return jobs.read_documents(spark, path).drop("ts", "run", "day")
 
 
 @query("agg_readback")
@@ -538,17 +541,19 @@ def q_job_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("job_score")
 def q_job_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOB-3 run twice over one input: the stored documents are those of one run."""
+    """JOB-3 twice over one input, then over new data at its path: the documents of both runs, each once."""
     from shiplens.plans import jobs
 
     _, _, model_path = trained_model(spark, sf_dir)
     data, out, docs = (scratch(spark, f"score-{x}") for x in ("input", "predictions", "documents"))
-    model_table(spark, sf_dir).write.parquet(data)
-    for _ in range(2):
-        jobs.score(spark, data, model_path, out, docs)
+    table = model_table(spark, sf_dir)
+    for rows, times in ((table, 2), (table.where("split = 'test'"), 1)):
+        rows.write.mode("overwrite").parquet(data)
+        for _ in range(times):
+            jobs.score(spark, data, model_path, out, docs)
     stored = jobs.read_documents(spark, docs)
     return stored.groupBy("market").agg(
-        F.sum("n_orders").cast("long").alias("n_orders"), F.round(F.sum("sum_sales"), 2).alias("sum_sales")
+        F.countDistinct("run").alias("n_runs"), F.sum("n_orders").cast("long").alias("n_orders"), F.round(F.sum("sum_sales"), 2).alias("sum_sales")
     )
 
 
@@ -559,8 +564,8 @@ def q_job_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shiplens.sinks.files import write_documents
 
     path = scratch(spark, "report-documents")
-    write_documents(fixtures.agg_history(spark, sf_dir), path, fmt="parquet")
-    r = jobs.report(spark, spark.read.parquet(path), "2024-01-05", "2024-01-20", latest=50)
+    write_documents(fixtures.agg_history(spark, sf_dir), path, run="history", fmt="parquet")
+    r = jobs.report(spark, jobs.read_documents(spark, path, "parquet"), "2024-01-05", "2024-01-20", latest=50)
     none = F.lit(None).cast("double")
     orders = F.col("n_orders").cast("double").alias("n_orders")
     sales = F.round("sum_sales", 2).alias("value")

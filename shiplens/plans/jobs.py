@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shiplens.operators import features, model as ml, profile, rollup, schema
 from shiplens.session import stage_table
+from shiplens.sinks import snapshots
 from shiplens.sinks.files import Sink, aggregate_documents, fan_out, write_documents, write_jdbc, write_parquet
 from shiplens.sources import lines
 from shiplens.sources.tables import read_csv
@@ -90,13 +91,23 @@ def score(
     if documents_path:
         key = schema.resolve(stored, rollup.GROUP_ALIASES)
         docs = aggregate_documents(rollup.market_summary(stored, out_key=key), key)
-        write_documents(docs, documents_path, run=run_name(input_path))
+        write_documents(docs, documents_path, run=run_name(spark, input_path))
     return stored
 
 
-def run_name(input_path: str) -> str:
-    """Name of a batch run: scoring the same input again replaces its documents."""
-    return hashlib.sha1(input_path.rstrip("/").encode()).hexdigest()[:16]
+def run_name(spark: SparkSession, input_path: str) -> str:
+    """Name of a batch run: the input's path and version (its size, number of files and time of writing).
+
+    Scoring the same data again replaces its documents; new data at the same
+    path is a new run, and the documents of the old data stay.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(input_path)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(path)
+    done = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    written = [fs.getFileStatus(p).getModificationTime() for p in (path, done) if fs.exists(p)]
+    version = (input_path.rstrip("/"), size.getLength(), size.getFileCount(), *written)
+    return hashlib.sha1(repr(version).encode()).hexdigest()[:16]
 
 
 def jdbc_sink(jdbc: dict) -> Sink:
@@ -260,10 +271,11 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "json", schema_=No
     """SRC-6: stored aggregate documents with ``ts`` as a UTC timestamp."""
     from shiplens.functions.dates import epoch_or_iso_to_ts
 
-    reader = spark.read.format(fmt)
-    if schema_ is not None:
-        reader = reader.schema(schema_)
-    df = reader.load(path)
+    if snapshots.exists(spark, path):
+        df = snapshots.read_runs(spark, path, fmt, schema_)
+    else:
+        reader = spark.read.format(fmt)
+        df = (reader.schema(schema_) if schema_ is not None else reader).load(path)
     if "ts" in df.columns and dict(df.dtypes)["ts"] not in ("timestamp",):
         df = df.withColumn("ts", epoch_or_iso_to_ts("ts"))
     return df.withColumn("n_orders", F.col("n_orders").cast("long"))

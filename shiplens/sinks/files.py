@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiplens.functions.dates import ingest_time
-from shiplens.session import remove_path
+from shiplens.sinks.snapshots import write_run
 
 
 def write_parquet_batch(df: DataFrame, path: str, batch_id: int, col: str = "batch_id") -> None:
@@ -79,22 +79,18 @@ def aggregate_documents(
     return agg.select(*base, *extra)
 
 
-def write_documents(
-    df: DataFrame, path_or_target: str, fmt: str = "json", options: dict | None = None, run: str = "default"
-) -> None:
+def write_documents(df: DataFrame, path_or_target: str, run: str, fmt: str = "json", options: dict | None = None) -> None:
     """Store documents with any DataFrame writer format (json by default).
 
-    File formats are partitioned by ``run`` and by the ``day`` of ``ts``.  A
-    run's name identifies what was rolled up: writing it again replaces that
-    run's documents and no others, so a rerun never doubles a total, and a
-    range of days is read from its own folders.  A document-store connector
-    is chosen by ``fmt`` and ``options`` alone, so the job has no client
-    library and no per-row inserts; it should write by a key it upserts.
+    File formats become a run of :mod:`sinks.snapshots`, partitioned by the
+    ``day`` of ``ts``.  A run's name identifies what was rolled up: writing it
+    again replaces that run's documents at once and no others, so a rerun never
+    doubles a total, a failed write loses nothing, and earlier runs stay as
+    history.  A document-store connector is chosen by ``fmt`` and ``options``
+    alone, so the job has no client library and no per-row inserts; it should write by a key it upserts.
     """
     if fmt in ("json", "parquet", "orc", "csv"):
-        stored = df.withColumns({"run": F.lit(run), "day": F.to_date("ts")})
-        remove_path(df.sparkSession, f"{path_or_target.rstrip('/')}/run={run}")
-        stored.write.format(fmt).mode("append").options(**(options or {})).partitionBy("run", "day").save(path_or_target)
+        write_run(df.withColumn("day", F.to_date("ts")), path_or_target, run, fmt, options, partition_by=["day"])
     else:
         df.write.format(fmt).mode("append").options(**(options or {})).save()
 
