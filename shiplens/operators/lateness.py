@@ -5,35 +5,60 @@ event time seen among rows that arrived strictly before it -- what a
 watermark of that delay would drop.
 
 The running maximum is a prefix scan over arrival order.  A window without
-``partitionBy`` would funnel every row through one task, so the scan is done
-in three bounded steps:
-
-1. one row per arrival key (``max(ts)``; partial aggregation absorbs hot keys);
-2. the keys are range-partitioned by sampled quantiles (so sparse or outlying
-   arrival numbers still give even ranges) and staged with their range's
-   number; the per-range maxima (one row per range, so safe to broadcast) get
-   their own prefix maximum;
-3. inside each range a window over the *distinct keys* of that range adds the
-   maximum of earlier keys of the same range.
-
-The per-key answer is then joined back to the rows on the arrival key with
-:func:`rollup.join_group_stats`, which salts a hot arrival key and keeps rows
-without an arrival number apart.  The input is read twice: once for the
-per-key maxima, once for the join.
+``partitionBy`` would funnel every row through one task, so the rows are cut
+into ranges of the arrival number:
+
+1. the input is computed once and staged; a bounded sample of its arrival
+   numbers gives the bounds of the ranges;
+2. each range's greatest time (one row per range, so safe to broadcast) becomes
+   the greatest time of all earlier ranges;
+3. the rows are shuffled once, by range, and a window inside each range adds the
+   maximum of its smaller arrival numbers.
+
+An arrival number that fills ranges on its own gets a range for itself, cut
+into as many pieces as it fills: its rows arrived together, so each needs only
+what the earlier ranges hold.  No answer is joined back to rows by key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiplens.operators.rollup import join_group_stats
+from shiplens.operators.schema import quoted
 from shiplens.session import stage_table
 
-# Distinct arrival keys a range should hold, and the most ranges there are;
-# both shape the plan only.
-KEYS_PER_RANGE = 1_000_000
-MAX_RANGES = 100_000
+# Rows a range should hold, the most ranges there are, and the arrival numbers
+# sampled per range; all shape the plan only.
+ROWS_PER_RANGE = 1_000_000
+MAX_RANGES = 50_000
+SAMPLED_PER_RANGE = 20
+
+
+def range_bounds(keys: DataFrame, key: str, rows: int, ranges: int) -> dict[int, int]:
+    """Upper bounds of about equal ranges of a long column, with how often each was met as a bound.
+
+    At most about ``SAMPLED_PER_RANGE * ranges`` numbers reach the driver, picked by a hash of the row.
+    """
+    if ranges < 2:
+        return {}
+    share = min(1.0, SAMPLED_PER_RANGE * ranges / max(rows, 1))
+    row_hash = F.xxhash64(key, F.monotonically_increasing_id()).bitwiseAND(F.lit((1 << 30) - 1))
+    sample = np.sort(keys.where(row_hash < F.lit(int(share * (1 << 30)))).select(key).toArrow().column(0).to_numpy())
+    if not len(sample):
+        return {}
+    at = (np.arange(1, ranges) * len(sample)) // ranges
+    return dict(Counter(sample[at].tolist()))
+
+
+def _position(bounds: Column, n: int, key: Column) -> Column:
+    """How many of the ``n`` sorted numbers ``bounds`` are below ``key``: binary search as one expression."""
+    steps = [1 << b for b in reversed(range(n.bit_length()))]
+    below = lambda at: F.coalesce(F.get(bounds, at) < key, F.lit(False))
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda pos, step: pos + F.when(below(pos + step - 1), step).otherwise(0))
 
 
 def late_events(
@@ -41,7 +66,7 @@ def late_events(
     arrival_col: str,
     ts_col: str = "ts",
     delay_seconds: int = 30,
-    keys_per_range: int = KEYS_PER_RANGE,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add ``prior_max_ts`` and ``is_late`` to every row.
 
@@ -49,25 +74,33 @@ def late_events(
     rows sharing a value arrived together.  A row without one has no earlier
     rows: its ``prior_max_ts`` is null and it isn't late.
     """
-    key = F.col(arrival_col).cast("long")
-    per_key = df.where(key.isNotNull()).groupBy(key.alias("__k")).agg(F.max(ts_col).alias("__kmax"), F.count(F.lit(1)).alias("__n"))
-    # staged: read for its size, for the ranges and for the scan
-    per_key, _ = stage_table(per_key, "arrivals")
-    ranges = max(1, min(MAX_RANGES, -(-per_key.count() // keys_per_range)))
-    keyed, _ = stage_table(per_key.repartitionByRange(ranges, "__k").withColumn("__b", F.spark_partition_id()), "arrival-ranges")
-
-    # step 2: greatest time in all earlier ranges (one row per range)
-    range_max = keyed.groupBy("__b").agg(F.max("__kmax").alias("__bmax"))
-    earlier_ranges = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    range_prefix = range_max.select("__b", F.max("__bmax").over(earlier_ranges).alias("__before_b"))
-
-    # step 3: greatest time among earlier keys inside the same range
-    earlier_keys = Window.partitionBy("__b").orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
-    within = keyed.select("__k", "__b", "__n", F.max("__kmax").over(earlier_keys).alias("__before_k"))
-    prior = within.join(F.broadcast(range_prefix), "__b").select(
-        "__k", "__n", F.greatest("__before_k", "__before_b").alias("prior_max_ts")
-    )
-    # rows back onto their key; a hot arrival key is salted over several tasks
-    out = join_group_stats(df.withColumn("__k", key), prior, "__k", count_col="__n").drop("__k", "__n")
+    columns = [F.col(quoted(c)) for c in df.columns]
+    staged, _ = stage_table(df.withColumn("__k", F.col(quoted(arrival_col)).cast("long")), "arrivals")
+    keyed = staged.where("__k is not null")
+    n = keyed.count()
+    met = range_bounds(keyed, "__k", n, max(1, min(MAX_RANGES, -(-n // rows_per_range))))
+    bounds = sorted(met)
+    number, pieces = F.lit(0), F.lit(1)
+    if bounds:
+        # built from text in one call; the optimizer folds it to a literal
+        array = lambda xs: F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>")
+        keyed = keyed.withColumn("__pos", _position(array(bounds), len(bounds), F.col("__k")))
+        # a bound met several times is a number that fills ranges on its own
+        fills = F.coalesce(F.get(array(met[b] if met[b] > 1 else 0 for b in bounds), F.col("__pos")), F.lit(0))
+        alone = (fills > 0) & (F.get(array(bounds), F.col("__pos")) == F.col("__k"))
+        number, pieces = 2 * F.col("__pos") + alone.cast("int"), F.when(alone, fills).otherwise(1)
+    piece = F.pmod(F.xxhash64(*columns, F.spark_partition_id()), pieces)
+    ranged = keyed.withColumns({"__range": number, "__piece": piece})
+
+    # greatest time of all earlier ranges (one row per range)
+    earlier_ranges = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    per_range = ranged.groupBy("__range").agg(F.max(quoted(ts_col)).alias("__max"))
+    carried = per_range.select("__range", F.max("__max").over(earlier_ranges).alias("__carried"))
+
+    # greatest time of smaller numbers inside the range
+    smaller = Window.partitionBy("__range", "__piece").orderBy("__k").rangeBetween(Window.unboundedPreceding, -1)
+    rows = ranged.withColumn("__inside", F.max(quoted(ts_col)).over(smaller)).join(F.broadcast(carried), "__range")
+    scanned = rows.select(*columns, F.greatest("__inside", "__carried").alias("prior_max_ts"))
+    apart = staged.where("__k is null").select(*columns, F.lit(None).cast(scanned.schema["prior_max_ts"].dataType).alias("prior_max_ts"))
     lag = F.col("prior_max_ts") - F.make_interval(secs=F.lit(delay_seconds))
-    return out.withColumn("is_late", F.coalesce(F.col(ts_col) < lag, F.lit(False)))
+    return scanned.unionByName(apart).withColumn("is_late", F.coalesce(F.col(quoted(ts_col)) < lag, F.lit(False)))

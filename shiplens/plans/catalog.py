@@ -749,6 +749,62 @@ def q_stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_text(res)
 
 
+@query("stream_state_audit")
+def q_stream_state_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that an append query emitted, and those still open in its state: together all windows."""
+    from shiplens.streaming.late import open_windows
+    from shiplens.streaming.windows import run_available, windowed_stats
+
+    out = windowed_stats(events_stream(spark, sf_dir), "ts", key="event_type", window="1 hour",
+                         watermark="30 seconds", days_col=None, sales_col="value")
+    base = scratch(spark, "stream-audit")
+    emitted = run_available(out, f"{base}/out", f"{base}/checkpoint", mode="append")
+    still = open_windows(spark, f"{base}/checkpoint", key="event_type", days=False)
+    state = F.lit("open").alias("state")
+    return window_text(emitted).withColumn("state", F.lit("emitted")).unionByName(window_text(still).select("*", state))
+
+
+LATE_FILES, LATE_DELAY = 4, "1800 days"
+
+
+@query("stream_late_split")
+def q_stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged lines on event time in four files that arrive one by one: windows, late lines and quarantine add up.
+
+    Runs under a processing-time trigger until all files are read, then stops.
+    """
+    from shiplens.plans import jobs
+    from shiplens.streaming.late import read_windows
+    from shiplens.sinks import snapshots
+
+    keyed, staged_path = stage_table(keyed_lines(spark, sf_dir), "late-lines")
+    path = scratch(spark, "late-line-files")
+    for i in range(LATE_FILES):
+        part = keyed.where(F.col("order_key") % LATE_FILES == i)
+        lines.damaged_lines(part, F.col("order_key")).coalesce(1).write.mode("append").text(path)
+    remove_path(spark, staged_path)
+    base = scratch(spark, "late-split")
+    q = jobs.stream_late_windows(
+        spark, path, base, f"{base}/checkpoint", window=ORDER_WINDOW, watermark=LATE_DELAY,
+        trigger={"processingTime": "1 second"}, source_options={"maxFilesPerTrigger": 1}, compact_every=2,
+    )
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    none = F.lit(None).cast("string")
+    opened = read_windows(spark, base).select(
+        F.lit("window").alias("kind"), "market", ts_text("window_start").alias("window_start"), "n_events", "avg_sales",
+        F.round("avg_delivery_days", 6).alias("avg_delivery_days"),
+    )
+    count = F.count(F.lit(1)).alias("n_events")
+    late_rows = snapshots.read_runs(spark, f"{base}/late", "parquet").groupBy("market").agg(count)
+    bad = snapshots.read_runs(spark, f"{base}/quarantine", "parquet").agg(count)
+    parts = [opened, late_rows.select(F.lit("late").alias("kind"), "market", none.alias("window_start"), "n_events"),
+             bad.select(F.lit("quarantine").alias("kind"), none.alias("market"), none.alias("window_start"), "n_events")]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 # Rate limit of the line streams: a micro-batch has a fixed cost (planning,
 # commit log, sink writes), so each one should carry several files.  The
 # line files number the join's output partitions, so batches still grow

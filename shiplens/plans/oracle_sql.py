@@ -761,6 +761,36 @@ UNION ALL SELECT '(quarantine)', count(*), NULL FROM shipments WHERE {_BAD}""",
     ),
 )
 
+register(
+    "stream_state_audit",
+    with_ctes(
+        EVENTS_CTE,
+        _WINDOWS_CTE,
+        body=_WINDOW_SELECT.replace(
+            "SELECT market,",
+            "SELECT CASE WHEN window_end <= (SELECT max(ts) - INTERVAL 30 SECOND FROM ev) THEN 'emitted' ELSE 'open' END AS state, market,",
+        ),
+    ),
+)
+register(
+    "stream_late_split",
+    with_ctes(
+        SHIPMENTS_CTE,
+        f"""
+good AS (SELECT order_key % 4 AS f, market, order_ts, sales, delivery_days,
+           epoch_ms(CAST(floor(epoch(order_ts) / {86400 * 30}) * {86400 * 30} * 1000 AS BIGINT)) AS s
+         FROM shipments WHERE NOT {_BAD}),
+wm AS (SELECT a.f, (SELECT max(order_ts) FROM good g WHERE g.f < a.f) - INTERVAL 1800 DAY AS w FROM (SELECT unnest([0, 1, 2, 3]) AS f) a),
+split AS (SELECT g.*, coalesce(s + INTERVAL 30 DAY <= wm.w, false) AS late FROM good g JOIN wm ON wm.f = g.f)""",
+        body=f"""
+SELECT 'window' AS kind, market, strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n_events,
+       CAST(sum(CAST(sales AS DECIMAL(28,10))) AS DOUBLE) / count(sales) AS avg_sales, round(avg(delivery_days), 6) AS avg_delivery_days
+FROM split WHERE NOT late GROUP BY market, s
+UNION ALL SELECT 'late', market, NULL, count(*), NULL, NULL FROM split WHERE late GROUP BY market
+UNION ALL SELECT 'quarantine', NULL, NULL, count(*), NULL, NULL FROM shipments WHERE {_BAD}""",
+    ),
+)
+
 # ---------------------------------------------------------------- jobs and model
 _SPLIT = f"CASE WHEN {_HASH_KEY} < '{format(int(0.8 * 16**8), '08x')}' THEN 'train' ELSE 'test' END"
 _ORDER_SPLIT = f"CASE WHEN {_ORDER_HASH} < '{format(int(0.8 * 16**8), '08x')}' THEN 'train' ELSE 'test' END"

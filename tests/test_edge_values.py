@@ -116,7 +116,7 @@ def test_late_events_with_outlying_and_missing_arrivals(spark):
     rnd = random.Random(9)
     rows = [(i, rnd.randint(0, 5000)) for i in range(1, 400)] + [(10**15, 100), (None, 7), (None, 10**6)]
     df = spark.createDataFrame(rows, "arrival long, t long").withColumn("ts", F.timestamp_seconds("t"))
-    out = lateness.late_events(df, "arrival", "ts", delay_seconds=30, keys_per_range=20)
+    out = lateness.late_events(df, "arrival", "ts", delay_seconds=30, rows_per_range=20)
     got = Counter((r["arrival"], r["t"], r["is_late"]) for r in out.collect())
     want = Counter()
     for a, t in rows:

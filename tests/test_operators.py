@@ -185,7 +185,7 @@ def test_late_events_matches_brute_force(spark):
     rows = [(rnd.randint(0, 300), rnd.randint(0, 10_000)) for _ in range(2000)]
     rows += [(150, 5)] * 500  # a hot arrival key
     df = spark.createDataFrame(rows, "arrival long, t long").withColumn("ts", F.timestamp_seconds("t"))
-    out = lateness.late_events(df, "arrival", "ts", delay_seconds=30, keys_per_range=16)
+    out = lateness.late_events(df, "arrival", "ts", delay_seconds=30, rows_per_range=16)
     got = sorted((r["arrival"], r["t"], r["is_late"]) for r in out.collect())
     expect = []
     for a, t in rows:
