@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shiplens import fixtures
 from shiplens.functions.dates import parse_timestamp
@@ -341,6 +342,62 @@ def q_density_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.density_curve(fixtures.shipments(spark, sf_dir), "delivery_days", 50)
 
 
+@query("density_binned")
+def q_density_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.binned_density(fixtures.shipments(spark, sf_dir), "sales", 50, cells=512)
+
+
+@query("quantile_sketches")
+def q_quantile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches stored per market and order day, merged per market on read.
+
+    The sketches hold up to 32,768 values each before they compress, so the
+    quantiles of the small tables are exact.
+    """
+    from shiplens.operators.sketches import merged_quantiles, quantile_sketches
+
+    s = fixtures.dirty_shipments(spark, sf_dir).withColumn("part", F.col("order_key") % 16)
+    path = scratch(spark, "sketches")
+    quantile_sketches(s, ["market", "part"], ["sales", "delivery_days"], k=32768).write.parquet(path)
+    return merged_quantiles(spark.read.parquet(path), ["market"], ["sales", "delivery_days"], [0.1, 0.5, 0.99])
+
+
+# Powers and products of the numeric columns: a table too wide for one aggregate per pair.
+WIDE_POWERS = (1, 2, 3, 4, 5)
+
+
+def wide_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.dirty_shipments(spark, sf_dir)
+    base = {c: F.col(c).cast("double") / F.lit(1000.0 if c == "sales" else 10.0) for c in PROFILED}
+    return df.select(*[F.pow(x, F.lit(float(p))).alias(f"{c}_{p}") for c, x in base.items() for p in WIDE_POWERS])
+
+
+@query("wide_correlations")
+def q_wide_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = wide_numbers(spark, sf_dir)
+    return profile.correlation_matrix(df, df.columns)
+
+
+@query("csv_quarantine")
+def q_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV lines of the order export, some cut short, with a word for a number or a field too many: good and bad add up."""
+    from shiplens.sources.tables import read_csv_tagged
+
+    s = fixtures.shipments(spark, sf_dir).select("order_id", "customer_id", "sales", "num_orders", "market", "order_key")
+    k = F.col("order_key")
+    line = F.concat_ws(",", "order_id", "customer_id", "sales", "num_orders", "market")
+    bad = (
+        F.when(k % 50 == 0, F.concat_ws(",", "order_id", "customer_id", "sales"))
+        .when(k % 97 == 0, F.concat_ws(",", "order_id", "customer_id", F.lit("n/a"), "num_orders", "market"))
+        .when(k % 89 == 0, F.concat(line, F.lit(",extra")))
+        .otherwise(line)
+    )
+    path = scratch(spark, "damaged-csv")
+    s.select(bad.alias("value")).write.text(path)
+    tagged = read_csv_tagged(spark, path, T.StructType.fromDDL("order_id string, customer_id string, sales double, num_orders int, market string"), header=False)
+    return tagged.groupBy("status", "market").agg(F.count(F.lit(1)).alias("n_lines"), money_sum("sales").alias("sum_sales"), F.count("raw").alias("n_raw"))
+
+
 # ---------------------------------------------------------------- sampling
 @query("sample_hash")
 def q_sample_hash(spark: SparkSession, sf_dir: str) -> DataFrame:

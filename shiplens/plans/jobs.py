@@ -17,7 +17,7 @@ from shiplens.session import stage_table
 from shiplens.sinks import snapshots
 from shiplens.sinks.files import Sink, aggregate_documents, fan_out, write_documents, write_jdbc, write_parquet
 from shiplens.sources import lines
-from shiplens.sources.tables import read_csv
+from shiplens.sources.tables import read_csv, read_csv_tagged
 from shiplens.streaming import late, scoring, windows
 
 KEY_COLUMNS = ["order_id", "customer_id"]
@@ -124,13 +124,22 @@ class MissingInputs(ValueError):
         super().__init__(f"the upload lacks required columns: {columns}")
 
 
-def score_csv(spark: SparkSession, csv_path: str, model_path: str, csv_schema=None) -> DataFrame:
+def score_csv(spark: SparkSession, csv_path: str, model_path: str, csv_schema=None, quarantine_path: str | None = None) -> DataFrame:
     """SRC-7: every row and column of an uploaded CSV with its prediction and probability.
 
     Empty cells are filled for the model; absent columns raise :class:`MissingInputs`.
+    With ``quarantine_path`` (needs ``csv_schema``) lines that don't read as
+    the schema are stored there as they came, and the others are scored.
     """
     model = ml.load_model(model_path)
-    raw = read_csv(spark, csv_path, schema=csv_schema, infer_schema=csv_schema is None)
+    if quarantine_path is not None:
+        if csv_schema is None:
+            raise ValueError("a quarantine needs a schema that lines can fail")
+        tagged = read_csv_tagged(spark, csv_path, csv_schema)
+        write_parquet(tagged.where("status = 'quarantine'").select("raw"), quarantine_path)
+        raw = tagged.where("status = 'ok'").drop("status", "raw")
+    else:
+        raw = read_csv(spark, csv_path, schema=csv_schema, infer_schema=csv_schema is None)
     uploaded = schema.normalize_columns(raw)
     df = features.add_delivery_features(uploaded)
     missing = ml.missing_inputs(model, df)
@@ -267,18 +276,9 @@ def report(
 
 
 def profile_table(df: DataFrame, histogram_col: str | None = None, numeric: Sequence[str] | None = None) -> dict:
-    """JOB-7: counts, missingness, correlations, histogram and density of a table."""
+    """JOB-7: counts, missingness, correlations, histogram and density of a table, in two scans."""
     num, _ = schema.split_by_type(df)
-    num = list(numeric) if numeric is not None else num
-    out = {
-        "counts": profile.profile_counts(df),
-        "missing": profile.profile_missing(df),
-        "correlations": profile.correlation_matrix(df, num) if num else None,
-    }
-    if histogram_col:
-        out["histogram"] = profile.histogram(df, histogram_col)
-        out["density"] = profile.density_curve(df, histogram_col)
-    return out
+    return profile.combined_profile(df, list(numeric) if numeric is not None else num, histogram_col)
 
 
 def pick_days(documents: DataFrame, date_from: str, date_to: str) -> DataFrame:

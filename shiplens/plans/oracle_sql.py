@@ -483,6 +483,62 @@ FROM grid, x GROUP BY grid.point, grid.g, grid.h, grid.n""",
     ),
 )
 
+register(
+    "density_binned",
+    with_ctes(
+        SHIPMENTS_CTE,
+        """
+st AS (SELECT count(*) AS n, min(sales) AS lo, max(sales) AS hi, stddev_samp(sales) AS sd FROM shipments),
+prm AS (SELECT n, lo, hi, (hi - lo) / 511 AS cell, (hi - lo) / 49 AS step, sd * pow(n, -1.0 / 5.0) AS h FROM st),
+placed AS (SELECT (sales - lo) / cell AS u, least(floor((sales - lo) / cell), 510) AS c FROM shipments, prm),
+sums AS (SELECT CAST(c AS INTEGER) AS c, count(*) AS n, sum(u - c) AS f FROM placed GROUP BY 1),
+w AS (SELECT e, sum(w) AS w FROM (SELECT c AS e, n - f AS w FROM sums UNION ALL SELECT c + 1, f FROM sums) GROUP BY e),
+far AS (SELECT CAST(p.range AS INTEGER) AS point, prm.lo + p.range * prm.step AS x, ((prm.lo + p.range * prm.step) - (prm.lo + w.e * prm.cell)) / prm.h AS d, w.w, prm.n, prm.h
+        FROM range(50) p, prm, w)""",
+        body="""
+SELECT point, x, round(sum(CASE WHEN abs(d) <= 6 THEN exp(-0.5 * d * d) * w ELSE 0 END) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 9) AS density
+FROM far GROUP BY point, x""",
+    ),
+)
+register(
+    "quantile_sketches",
+    with_ctes(
+        SHIPMENTS_CTE,
+        DIRTY_CTE,
+        body=" UNION ALL ".join(
+            f"SELECT market, '{c}' AS column_name, count({c}) AS n, {q}::DOUBLE AS q, CAST(quantile_disc({c}, {q}) AS DOUBLE) AS value FROM dirty GROUP BY market"
+            for c in ("sales", "delivery_days")
+            for q in (0.1, 0.5, 0.99)
+        ),
+    ),
+)
+
+
+def _wide_correlations() -> str:
+    base = {"delivery_days": 10, "sales": 1000, "num_orders": 10, "benefit_per_order": 10}
+    number = {c: f"(CASE WHEN isnan(CAST({c} AS DOUBLE)) THEN NULL ELSE CAST({c} AS DOUBLE) END / {d}.0)" for c, d in base.items()}
+    cols = [(f"{c}_{p}", f"pow({number[c]}, {p})") for c in base for p in (1, 2, 3, 4, 5)]
+    wide = "w AS (SELECT " + ", ".join(f"{x} AS {name}" for name, x in cols) + " FROM dirty)"
+    aggs = [(a, b, f"c{i}_{j}") for i, (a, _) in enumerate(cols) for j, (b, _) in enumerate(cols) if i <= j]
+    r = "r AS (SELECT " + ", ".join(f"corr({a}, {b}) AS {name}" for a, b, name in aggs) + " FROM w)"
+    rows = [(a, b, name) for a, b, name in aggs] + [(b, a, name) for a, b, name in aggs if a != b]
+    table = ", ".join(f"{{'col_a': '{a}', 'col_b': '{b}', 'r': round({name}, 6)}}" for a, b, name in rows)
+    return with_ctes(SHIPMENTS_CTE, DIRTY_CTE, wide, r, body=f"SELECT x.col_a, x.col_b, x.r FROM (SELECT unnest([{table}]) AS x FROM r)")
+
+
+register("wide_correlations", _wide_correlations())
+register(
+    "csv_quarantine",
+    with_ctes(
+        SHIPMENTS_CTE,
+        "t AS (SELECT *, order_key % 50 = 0 OR order_key % 97 = 0 OR order_key % 89 = 0 AS bad FROM shipments)",
+        body="""
+SELECT 'ok' AS status, market, count(*) AS n_lines, CAST(sum(CAST(sales AS DECIMAL(28,10))) AS DOUBLE) AS sum_sales, 0 AS n_raw
+FROM t WHERE NOT bad GROUP BY market
+UNION ALL SELECT 'quarantine', NULL, count(*), NULL, count(*) FROM t WHERE bad""",
+    ),
+)
+
 _HASH_KEY = "substr(md5(concat_ws(':', coalesce(order_id, ''), coalesce(CAST(line_number AS VARCHAR), ''))), 1, 8)"
 
 register(
