@@ -17,15 +17,21 @@ hash of doc_id) outside the held-out fold, and of each language that has fewer
 in it ``PER_LANGUAGE`` in expectation, one doc_id at least, so every language
 is learned at any size; prediction reads every text whole.
 
-Edge cases: a null text or one without letters is ``und`` with score 0; rows
-without a language are not learned from; a null doc_id counts as not held
-out and is not learned from; equal probabilities go to the language first in
-alphabetical order; without any learnable row every text is ``und``.
+Edge cases: a null text or one without letters is ``und`` with score 0 (a
+letter is what ``str.isalpha`` calls one: no digit of any script, no fraction and
+no circled number); rows without a language are not learned from; a null doc_id
+counts as not held out and is not learned from; equal probabilities go to the
+language first in alphabetical order; without any learnable row every text is ``und``;
+more than ``MAX_LANGUAGES`` languages are refused, as the model has a column for each;
+a text of any length is read whole; repeated rows have equal results and an
+empty table gives no rows; other columns pass through unread, and an added
+column may not have the name of one that is there (error).
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +48,10 @@ TRAIN_ROWS = 8000
 PER_LANGUAGE = 500
 SMOOTHING = 0.1
 UNKNOWN = 1e-7
-_LETTERS = re.compile(r"[^\W\d_]+")
+MAX_LANGUAGES = 500
+# word characters that are neither digits nor letters: fractions, circled and Roman numbers
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 _BASE = np.uint64(0x100000001B3)
 _RESCALE = 8
 _CACHE = 300_000
@@ -132,8 +141,10 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS, model: str | None = None, per_l
     model = model or default_model_path()
     usable = docs.where("lang is not null and doc_id is not null").where(crc_fold("doc_id", 4) != 2)
     usable = usable.select("text", F.col("lang").cast("string").alias("lang"), hash_value(F.col("doc_id")).alias("hash"))
-    # a row for each language, checked against all rows
-    each = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("least")).toArrow().to_pylist()
+    # a row for each language; one too many is enough to refuse
+    each = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("least")).limit(MAX_LANGUAGES + 1).toArrow().to_pylist()
+    if len(each) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
     total = sum(r["n"] for r in each)
     share = {r["lang"]: min(1.0, max(rows / total, per_language / r["n"])) for r in each}
     below = [(r["lang"], max(int(share[r["lang"]] * HASHES), r["least"] + 1)) for r in each]
@@ -150,6 +161,8 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS, model: str | None = None, per_l
 def predicted(docs: DataFrame, langs: list[str], counts: np.ndarray, model: str | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``lang_score``; other columns pass through unread."""
     model = model or default_model_path()
+    if clash := {"lang_pred", "lang_score", "_lang"} & set(docs.columns):
+        raise ValueError(f"the rows have columns {sorted(clash)} of their own")
     if not langs:
         return docs.withColumns({"lang_pred": F.lit("und"), "lang_score": F.lit(0.0)})
     bounded_batches(docs.sparkSession)

@@ -3,6 +3,8 @@
 import zlib
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from shiplens.llm import language_id as L
 
@@ -73,3 +75,23 @@ def test_a_long_run_that_changes_language_counts_whole():
     got = L.WordModel([L.SPACE, "a", "b"], probs).log_probs(["a" * 200 + "b" * 400])[0]
     want = np.log(0.1) + np.array([200 * np.log(0.8) + 400 * np.log(1e-5), 200 * np.log(1e-5) + 400 * np.log(0.8)])
     assert np.allclose(got, want)
+
+
+def test_numbers_are_no_letters(spark):
+    import re
+    import sys
+
+    every = "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
+    assert "".join(re.findall(L._LETTERS, every)) == "".join(c for c in every if c.isalpha())
+    docs = spark.createDataFrame([(1, "½ ② x²³ ⅷ"), (2, "½②²"), (3, "٣ 12 _")], "doc_id long, text string")
+    found = {r.doc_id: r.lang_pred for r in L.predicted(docs, ["en"], np.ones((len(L.vocabulary(L.default_model_path())), 1))).collect()}
+    assert found == {1: "en", 2: "und", 3: "und"}
+
+
+def test_too_many_languages_and_clashing_names_are_refused(spark):
+    docs = spark.range(3).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.lit("en").alias("_lang"))
+    with pytest.raises(ValueError, match="of their own"):
+        L.predicted(docs, ["en"], np.ones((1, 1)))
+    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"), F.col("id").cast("string").alias("lang"))
+    with pytest.raises(ValueError, match="languages"):
+        L.fit(many)
