@@ -3,8 +3,12 @@
 Records arrive as a VARIANT column, each with its own layout.  The nested
 field paths of a record (its schema without the value types) are hashed; the
 fingerprint selects a declarative mapping, and the mapping turns the record
-into canonical turns ``array<struct<role, text>>``.  Unknown layouts get null
-turns, so a caller sees them and nothing is guessed.
+into canonical turns ``array<struct<role, text>>``.  A fingerprint that isn't
+listed selects the mapping with the most required paths that the record has:
+extra fields (names, ids, weights) change nothing, and content given as a
+list of parts is the text of its parts.  A record that has no layout's paths is unknown:
+its turns and its formatted string are null, and its fingerprint is returned, so
+a caller sees what to map and nothing is guessed.
 
 Canonical turns are written as one string per record::
 
@@ -22,8 +26,8 @@ in proportion to its turns.
 Edge cases: a null role or text is empty; turns of a conversation are ordered
 by turn (null first), then role, then text, so ties and repeated rows have a
 fixed order and all count; a null conversation id is a conversation of its
-own; a record without turns has an empty output; an empty table gives an
-empty result; other columns aren't read.
+own; a record without turns has an empty output; a text of any length is kept
+whole; an empty table gives an empty result; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -55,13 +59,35 @@ class Listed:
 
     def turns(self, record: Column) -> Column:
         kind = f"array<struct<`{self.role}`:string,`{self.text}`:string>>"
-        role = lambda t: F.coalesce(t[self.role], F.lit(""))
-        named = lambda t: reduce(lambda e, kv: F.when(role(t) == kv[0], kv[1]).otherwise(e), self.roles.items(), role(t))
         return F.transform(
             F.variant_get(record, f"$.{self.path}", kind),
-            lambda t: F.struct(named(t).alias("role"), F.coalesce(t[self.text], F.lit("")).alias("text")),
+            lambda t: F.struct(self._named(t[self.role]).alias("role"), F.coalesce(t[self.text], F.lit("")).alias("text")),
         )
 
+    def _named(self, role: Column) -> Column:
+        role = F.coalesce(role, F.lit(""))
+        return reduce(lambda e, kv: F.when(role == kv[0], kv[1]).otherwise(e), self.roles.items(), role)
+
+    def present(self, record: Column) -> Column:
+        """Whether every element of the list has a role and a text, among whatever else."""
+        items = F.try_variant_get(record, f"$.{self.path}", "array<variant>")
+        has = lambda t, name: F.try_variant_get(t, f"$.{name}", "variant").isNotNull()
+        return F.coalesce((F.size(items) > 0) & F.forall(items, lambda t: has(t, self.role) & has(t, self.text)), F.lit(False))
+
+    def loose_turns(self, record: Column) -> Column:
+        """Turns of a record with more fields than the layout lists; a text may be a list of parts."""
+
+        def text(t: Column) -> Column:
+            parts = F.try_variant_get(t, f"$.{self.text}", "array<variant>")
+            plain = lambda p: F.when(F.schema_of_variant(p) == "STRING", F.try_variant_get(p, "$", "string"))
+            of = lambda p: F.coalesce(F.try_variant_get(p, "$.text", "string"), plain(p), F.lit(""))
+            joined = F.array_join(F.transform(parts, of), "")
+            return F.when(parts.isNotNull(), joined).otherwise(F.coalesce(F.try_variant_get(t, f"$.{self.text}", "string"), F.lit("")))
+
+        items = F.try_variant_get(record, f"$.{self.path}", "array<variant>")
+        role = lambda t: self._named(F.try_variant_get(t, f"$.{self.role}", "string"))
+        return F.transform(items, lambda t: F.struct(role(t).alias("role"), text(t).alias("text")))
+
 
 @dataclass(frozen=True)
 class Fixed:
@@ -76,6 +102,14 @@ class Fixed:
 
         return F.array(*[F.struct(F.lit(role).alias("role"), text(paths).alias("text")) for role, paths in self.parts])
 
+    def present(self, record: Column) -> Column:
+        """Whether the record has all paths, each a plain value or null."""
+        there = [F.try_variant_get(record, f"$.{p}", "variant") for _, paths in self.parts for p in paths]
+        return reduce(lambda a, b: a & b, [t.isNotNull() & ~F.schema_of_variant(t).rlike("^(ARRAY|OBJECT)<") for t in there])
+
+    def loose_turns(self, record: Column) -> Column:
+        return self.turns(record)
+
 
 _SHAREGPT = {"human": "user", "gpt": "assistant"}
 _QA = (("user", ("prompt",)), ("assistant", ("response",)))
@@ -125,6 +159,9 @@ def fingerprint(record: Column) -> Column:
 def canonical_turns(record: Column, layouts=LAYOUTS) -> Column:
     """Turns of a VARIANT record by the mapping its fingerprint selects; null for unknown layouts."""
     found, own = F.lit(None).cast(TURNS), fingerprint(record)
+    # unlisted fingerprints: of the layouts whose paths the record has, the one with the most
+    for paths, mapping in sorted(layouts, key=lambda x: len(x[0])):
+        found = F.when(mapping.present(record), mapping.loose_turns(record)).otherwise(found)
     for paths, mapping in layouts:
         known = hashlib.sha256(layout_shape(paths).encode()).hexdigest()
         found = F.when(own == known, mapping.turns(record)).otherwise(found)
@@ -146,23 +183,29 @@ def unescaped(text: Column) -> Column:
 
 
 def formatted(records: DataFrame, key: str, record: str = "record") -> DataFrame:
-    """``(key, formatted, loss_spans)`` for each row of ``records``; ``key`` is unique.
+    """``(key, formatted, loss_spans, unknown_layout)`` for each row of ``records``; ``key`` is unique, of any name.
 
-    ``loss_spans`` are half-open code point ranges of ``formatted``.
+    ``loss_spans`` are half-open code point ranges of ``formatted``.  Of an
+    unknown layout both are null and ``unknown_layout`` is its fingerprint.
     """
-    turns = records.select(key, F.posexplode_outer(canonical_turns(F.col(record))).alias("pos", "turn"))
+    own = F.col(f"`{key}`").alias("__key")
+    known = records.select(own, F.col(f"`{record}`").alias("__record")).withColumn("__turns", canonical_turns(F.col("__record")))
+    unknown = F.when(F.col("__turns").isNull(), fingerprint(F.col("__record"))).alias("__unknown")
+    turns = known.select("__key", unknown, F.posexplode_outer("__turns").alias("pos", "turn"))
     head = F.concat(F.lit(START), escaped(F.col("turn.role")), F.lit(SEP))
-    rows = turns.select(key, "pos", F.col("turn.role").alias("role"), head.alias("head"), escaped(F.col("turn.text")).alias("body"))
+    rows = turns.select("__key", "__unknown", "pos", F.col("turn.role").alias("role"), head.alias("head"), escaped(F.col("turn.text")).alias("body"))
     rows = rows.withColumn("size", F.char_length("head") + F.char_length("body") + len(END))
-    upto = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = Window.partitionBy("__key").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("end", F.sum("size").over(upto) - len(END))
     piece = F.when(F.col("pos").isNotNull(), F.struct("pos", F.concat("head", "body", F.lit(END)).alias("piece"), "role", (F.col("end") - F.char_length("body")).alias("start"), "end"))
-    gathered = rows.groupBy(key).agg(F.array_sort(F.collect_list(piece)).alias("t"))
+    gathered = rows.groupBy("__key").agg(F.array_sort(F.collect_list(piece)).alias("t"), F.max("__unknown").alias("__unknown"))
     learned = F.filter("t", lambda t: t.role == LOSS_ROLE)
+    recognised = F.col("__unknown").isNull()
     return gathered.select(
-        key,
-        F.array_join(F.transform("t", lambda t: t.piece), "").alias("formatted"),
-        F.transform(learned, lambda t: F.struct(t.start.alias("start"), t.end.alias("end"))).alias("loss_spans"),
+        F.col("__key").alias(key),
+        F.when(recognised, F.array_join(F.transform("t", lambda t: t.piece), "")).alias("formatted"),
+        F.when(recognised, F.transform(learned, lambda t: F.struct(t.start.alias("start"), t.end.alias("end")))).alias("loss_spans"),
+        F.col("__unknown").alias("unknown_layout"),
     )
 
 
@@ -189,12 +232,12 @@ def conversation_records(conversations: DataFrame) -> DataFrame:
 
 
 def digests(chats: DataFrame, key: str) -> DataFrame:
-    """Counts and digests read back from ``chats(key, formatted, loss_spans)``."""
+    """Counts and digests read back from ``chats(key, formatted, loss_spans)``; null for unknown layouts."""
     rows = chats.withColumns({"turns": turns_of(F.col("formatted")), "loss": loss_text(F.col("formatted"), F.col("loss_spans"))})
     lines = F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
     return rows.select(
         key,
-        F.size("turns").cast("long").alias("n_turns"),
+        F.when(F.col("turns").isNotNull(), F.size("turns")).cast("long").alias("n_turns"),
         F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
         F.char_length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),

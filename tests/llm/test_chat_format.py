@@ -21,6 +21,15 @@ LAYOUTS = [
     ('{"instruction":"do","input":"this","output":"a"}', T(("user", "do\n\nthis"), ("assistant", "a"))),
     ('{"instruction":"do","output":"a"}', T(("user", "do"), ("assistant", "a"))),
     ('{"question":"q","answer":"a"}', T(("user", "q"), ("assistant", "a"))),
+    ('{"id":7,"messages":[{"role":"user","content":"q","name":"n"},{"role":"assistant","content":"a","weight":0.5}],"source":{"x":[1]}}', T(("user", "q"), ("assistant", "a"))),
+    ('{"messages":[{"role":"user","content":[{"type":"text","text":"one "},{"type":"image","url":"u"},{"type":"text","text":"two"},"!"]}]}', T(("user", "one two!"))),
+    ('{"messages":[{"role":"user","content":null,"tool_calls":[]}]}', T(("user", ""))),
+    ('{"id":"x","conversations":[{"from":"human","value":"q","weight":1},{"from":"gpt","value":"a"}]}', T(("user", "q"), ("assistant", "a"))),
+    ('{"prompt":"q","response":"a","score":3}', T(("user", "q"), ("assistant", "a"))),
+    ('{"prompt":"q","response":"a","system":"s","score":3}', T(("system", "s"), ("user", "q"), ("assistant", "a"))),
+    ('{"instruction":"do","input":"this","output":"a","id":1}', T(("user", "do\n\nthis"), ("assistant", "a"))),
+    ('{"messages":[{"role":"user","content":"q"},{"role":"user"}],"id":1}', None),
+    ('{"prompt":["q"],"response":"a"}', None),
     ('{"unknown":{"layout":[1.5,2]}}', None),
     ('{"messages":"not a list"}', None),
 ]
@@ -94,3 +103,13 @@ def test_sql_states_the_escaped_length(spark, text):
     got = con.execute(f"SELECT {C._sql_size('t')} FROM (SELECT ? AS t)", [text]).fetchall()[0][0]
     want = len(spark.range(1).select(C.escaped(F.lit(text)).alias("e")).first().e)
     assert got == want
+
+
+def test_unknown_layouts_are_null_with_their_fingerprint_and_keys_have_any_name(spark):
+    rows = [(1, '{"messages":[]}'), (2, '{"odd":1}'), (3, '{"prompt":"q","response":"a"}'), (None, '{"odd":"x"}')]
+    for key in ("pos", "role", "size", "end", "k.e y"):
+        df = spark.createDataFrame(rows, f"`{key}` int, j string").select(f"`{key}`", F.parse_json("j").alias("record"))
+        got = {r[0]: r for r in C.formatted(df, key).collect()}
+        assert got[1].formatted == "" and got[1].loss_spans == [] and got[1].unknown_layout is None
+        assert got[2].formatted is None and got[2].loss_spans is None and got[2].unknown_layout == got[None].unknown_layout
+        assert got[2].unknown_layout and got[3].formatted.startswith(C.START)
