@@ -5,12 +5,13 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
 from shiplens.llm import html_extract as H
 from tests.conftest import SF_CHECK
 
-W = [0.4, 0.33, -6.4, -1.1, 3.1]
+W = H.Model()
 
 
 def cost(z, edges, label):
@@ -121,4 +122,77 @@ def test_edge_rows(spark):
     w = H.train(df)
     got = H.extracted(df.withColumnRenamed("url", "text_"), w).collect()
     assert len(got) == 4 and got[0].text == "" and got[2].text == got[3].text
-    assert H.train(df.limit(0)) == [0.0] * 5 and H.extracted(df.limit(0), w).count() == 0
+    assert H.train(df.limit(0)) == H.Model() and H.extracted(df.limit(0), w).count() == 0
+    with pytest.raises(ValueError, match="of their own"):
+        H.extracted(df.withColumn("text", df.url), w)
+
+
+STORY = "The share price fell on Monday, after the company said that it would sell less than planned. " * 3
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        (f"<article><section id='social-history'><p>{STORY}</p></section></article>", STORY.strip()),
+        ("<article><div class='share-price'><p>The share price fell.</p></div></article>", "The share price fell."),
+        (f"<div id='content'><div class='modal-verbs'><p>{STORY}</p></div></div>", STORY.strip()),
+        (f"<body><form id=aspnet><div><a href=/>Home</a> <a href=/x>News</a></div><div><p>{STORY}</p><p>{STORY}</p></div></form></body>", "\n".join([STORY.strip()] * 2)),
+        ("<article><p>One, two.</p><div class='cookie-notice'>We use cookies.</div><div class='ad-slot-left'>Buy now.</div></article>", "One, two."),
+    ],
+)
+def test_one_word_of_a_name_does_not_decide(page, want):
+    assert H.main_text(page, W) == want
+
+
+def test_pages_without_any_mark_are_judged_by_the_prior(spark):
+    page = f"<body><ul><li><a href=x>Home</a><li><a href=y>News</a></ul><div><p>{STORY}</p><p>Short one.</p><p>{STORY}</p></div></body>"
+    df = spark.createDataFrame([(i, page) for i in range(20)], "page_id long, html string")
+    model = H.train(df)
+    assert model == H.Model()
+    assert {r.text for r in H.extracted(df, model).collect()} == {"\n".join([STORY.strip(), "Short one.", STORY.strip()])}
+
+
+def unmarked(page):
+    """The page with its telling elements turned into plain ones."""
+    page = re.sub(r"<(/?)(nav|article|footer|main|aside|header)\b[^>]*>", r"<\1div>", page)
+    return re.sub(r"<div class=[^>]*>", "<div>", page)
+
+
+def accuracy(pages, model, how):
+    """Share of blocks labelled as the marked page says, on pages whose marks are taken away from every other one."""
+    right = total = 0
+    for k, page in enumerate(pages):
+        truth = [b.article and not b.boiler for b in H.blocks_of(page)]
+        blocks = H.blocks_of(unmarked(page) if k % 2 else page)
+        assert [b.text for b in blocks] == [b.text for b in H.blocks_of(page)]
+        if how == "cut":
+            label = model.labels(blocks)
+        elif how == "classifier":
+            label = [z > 0 for z in model.logits(blocks)]
+        else:  # the elements alone
+            label = [b.article and not b.boiler for b in blocks]
+        right += sum(a == b for a, b in zip(label, truth))
+        total += len(truth)
+    return right / total
+
+
+def test_the_cut_beats_the_classifier_and_the_marks_alone(spark):
+    df = spark.read.parquet(f"{SF_CHECK}/pages.parquet").select("page_id", "html")
+    model = H.train(df)
+    pages = [r.html for r in df.orderBy("page_id").collect()]
+    found = {how: accuracy(pages, model, how) for how in ("cut", "classifier", "marks")}
+    assert found["cut"] > found["classifier"] > found["marks"], found
+    assert found["cut"] > 0.93 and found["classifier"] < 0.9, found
+
+
+def test_fit_equals_plain_newton(spark):
+    df = spark.read.parquet(f"{SF_CHECK}/pages.parquet").select("page_id", "html").where("page_id < 40")
+    rows = df.selectExpr("html", "xxhash64(page_id, 'hide') % 2 = 0 as hide").collect()
+    parts = [H.training_rows(r.html, r.hide) for r in rows]
+    x, y = np.vstack([p[0] for p in parts]), np.concatenate([p[1] for p in parts]).astype(float)
+    prior = np.array(H.PRIOR)
+    w = prior.copy()
+    for _ in range(H.STEPS):
+        g, h = H.newton_sums(x, y, w)
+        w = w + np.linalg.solve(h + H.RIDGE * np.eye(len(w)), g - H.RIDGE * (w - prior))
+    assert np.allclose(H.train(df, sample=10**6).weights, w, atol=1e-5)
