@@ -7,29 +7,67 @@ from shiplens.llm import mixing as M
 from tests.conftest import SF_CHECK
 
 
-def plain_rates(t, p, share, steps=3000):
-    """Projected gradient on dense arrays, in the same metric."""
+def plain_rates(t, p, share, steps):
+    """Projected gradient with momentum on dense arrays, in the same metric."""
     a = (t[:, None] * p).T
     wanted = share * t.sum()
     inverse = np.linalg.pinv(np.einsum("i,ia,ib->ab", t, p, p), rcond=1e-10)
-    w = np.ones(len(t))
+    w = before = np.ones(len(t))
+    momentum, best = 1.0, np.inf
     for _ in range(steps):
-        w = np.maximum(0, w - p @ (inverse @ (a @ w - wanted)))
+        rest = a @ w - wanted
+        if rest @ inverse @ rest > best:
+            momentum = 1.0
+        best = rest @ inverse @ rest
+        after = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        y = w + (momentum - 1) / after * (w - before)
+        momentum = after
+        before, w = w, np.maximum(0, y - p @ (inverse @ (a @ y - wanted)))
     return w, a, wanted
 
 
-@pytest.mark.parametrize("share", [[0.5, 0.3, 0.2], [0.98, 0.01, 0.01], [1.0, 0.0, 0.0]])
-def test_rates_equal_dense_projected_gradient(spark, share):
+def some_posteriors(spark, n=120):
     rng = np.random.default_rng(4)
-    t = rng.integers(1, 500, 120).astype(float)
-    p = rng.dirichlet([0.15] * 3, 120)
+    t = rng.integers(1, 500, n).astype(float)
+    p = rng.dirichlet([0.15] * 3, n)
     df = spark.createDataFrame([(float(a), *map(float, b)) for a, b in zip(t, p)], "_tokens double, _p0 double, _p1 double, _p2 double")
-    steps = M.fit_rates(df, dict(zip("abc", share)), max_steps=25)
-    got = np.array([r.w for r in df.select(M.rate_expression(steps).alias("w")).collect()])
-    w, a, wanted = plain_rates(t, p, np.array(share), len(steps))
-    assert got.min() >= 0 and np.allclose(got, w, atol=1e-8)
-    worst = np.abs(a @ np.ones(len(t)) - wanted).max()
-    assert np.abs(a @ got - wanted).max() < (1e-3 if share[0] < 0.9 else 0.5) * worst
+    return df, t, p
+
+
+@pytest.mark.parametrize("share", [[0.5, 0.3, 0.2], [0.9, 0.06, 0.04]])
+def test_rates_equal_dense_projected_gradient(spark, share):
+    df, t, p = some_posteriors(spark)
+    fit = M.fit_rates(df, dict(zip("abc", share)), max_steps=40, stage_every=7)
+    got = np.array([r.w for r in df.select(M.rate_pair(fit.steps, 3)["w"].alias("w")).collect()])
+    w, a, wanted = plain_rates(t, p, np.array(share), len(fit.steps))
+    assert got.min() >= 0 and np.allclose(got, w, atol=1e-6)
+    assert np.allclose((a @ got - wanted) / wanted.sum(), fit.missed, atol=1e-9)
+
+
+def test_far_targets_are_reached_or_told(spark):
+    df, t, p = some_posteriors(spark, 400)
+    for share in ([0.97, 0.02, 0.01], [0.01, 0.01, 0.98]):
+        fit = M.fit_rates(df, dict(zip("abc", share)))
+        assert fit.reached and np.abs(fit.missed).max() <= M.TOLERANCE
+    # every document has some of every domain, so a domain can't be left out whole
+    out = M.fit_rates(df, {"a": 1.0, "b": 0.0, "c": 0.0}, max_steps=60)
+    assert not out.reached and np.abs(out.missed).max() > M.TOLERANCE
+
+
+def test_targets_out_of_reach_are_raised_or_warned(spark):
+    docs = spark.createDataFrame([(i, "the thing and more") for i in range(30)], "doc_id long, text string")
+    labelled = docs.selectExpr("text", "'a' as domain")
+    with pytest.raises(M.OutOfReach, match="b -0.5"):
+        M.rated(docs, labelled, {"a": 0.5, "b": 0.5}, strict=True)
+    with pytest.warns(UserWarning, match="targets missed"):
+        M.rated(docs, labelled, {"a": 0.5, "b": 0.5})
+
+
+def test_a_rare_domain_is_sampled(spark):
+    rows = [(i, "t", "en") for i in range(3000)] + [(5000 + i, "t", "de") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["domain"]: r["count"] for r in M.labelled_sample(docs, docs.select("doc_id"), rows=200, per_domain=20).groupBy("domain").count().collect()}
+    assert got["de"] == 12 and 120 < got["en"] < 300
 
 
 def test_query_meets_the_targets(spark):
