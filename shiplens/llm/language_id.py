@@ -31,7 +31,6 @@ column may not have the name of one that is there (error).
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,16 +48,18 @@ PER_LANGUAGE = 500
 SMOOTHING = 0.1
 UNKNOWN = 1e-7
 MAX_LANGUAGES = 500
-# word characters that are neither digits nor letters: fractions, circled and Roman numbers
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+# runs of letters, and of numbers that aren't decimal digits: fractions, circled and Roman ones
+_RUNS = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x100000001B3)
 _RESCALE = 8
 _CACHE = 300_000
 
 
 def words_of(text: str | None) -> list[str]:
-    return _LETTERS.findall((text or "").lower())
+    runs = _RUNS.findall((text or "").lower())
+    if all(map(str.isalpha, runs)):
+        return runs
+    return [w for run in runs for w in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 def _key(piece: str) -> int:
@@ -166,7 +167,7 @@ def predicted(docs: DataFrame, langs: list[str], counts: np.ndarray, model: str
     if not langs:
         return docs.withColumns({"lang_pred": F.lit("und"), "lang_score": F.lit(0.0)})
     bounded_batches(docs.sparkSession)
-    plain = [i for i, p in enumerate(vocabulary(model)) if is_plain(model, i) and (p == SPACE or _LETTERS.fullmatch(p.removeprefix(SPACE)))]
+    plain = [i for i, p in enumerate(vocabulary(model)) if is_plain(model, i) and (p == SPACE or p.removeprefix(SPACE).isalpha())]
     smooth = counts[plain] + SMOOTHING
     probs = smooth / smooth.sum(0)
     shared = docs.sparkSession.sparkContext.broadcast(([vocabulary(model)[i] for i in plain], probs))
