@@ -78,7 +78,8 @@ def node_table(spark: SparkSession, model_path: str, model: PipelineModel) -> Da
 
 
 # Forests of at most this many nodes become nested CASE columns inside generated
-# code; larger ones would outgrow a generated method and walk arrays of nodes.
+# code; larger ones would outgrow a generated method and walk arrays of nodes
+# instead, which is several times slower than the model's own transform.
 CASE_NODES = 400
 
 
@@ -173,7 +174,7 @@ def scoring_sql(rows: str, nodes: str, texts: Sequence[str], numbers: Sequence[s
     """CTEs ending in ``forest_scored``: the rows of query ``rows`` with ``prob_class_1``, by walking the stored ``nodes``.
 
     ``nodes`` is a table or a table function call; ``texts`` and ``numbers`` name the raw inputs.
-    Sums of votes are rounded to 12 digits, below which the order of adding shows.
+    The order of adding votes shows below 12 digits: round once, to fewer, before comparing.
     """
     cases = [f"WHEN '{c}' THEN CASE WHEN f.{c} = n.category THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END" for c in texts]
     cases += [f"WHEN '{c}' THEN CAST(f.{c} AS DOUBLE)" for c in numbers]
@@ -189,11 +190,11 @@ def scoring_sql(rows: str, nodes: str, texts: Sequence[str], numbers: Sequence[s
             f"ELSE n.right_node END AS node FROM walk{k} w JOIN forest_nodes n ON n.tree = w.tree AND n.node = w.node JOIN forest_rows f ON f.rid = w.rid)"
         )
     ctes.append(
-        f"forest_votes AS (SELECT rid, round(sum(p1) / count(*), 12) AS prob_class_1 FROM walk{depth} w "
+        f"forest_votes AS (SELECT rid, sum(p1) / count(*) AS prob_class_1 FROM walk{depth} w "
         "JOIN forest_nodes n ON n.tree = w.tree AND n.node = w.node GROUP BY rid)"
     )
     ctes.append(
-        "forest_scored AS (SELECT f.*, v.prob_class_1, CASE WHEN v.prob_class_1 > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction "
+        "forest_scored AS (SELECT f.*, v.prob_class_1, CASE WHEN round(v.prob_class_1, 12) > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction "
         "FROM forest_rows f JOIN forest_votes v ON v.rid = f.rid)"
     )
     return ",\n".join(ctes)

@@ -941,16 +941,19 @@ SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHER
 FROM sp""",
     ),
 )
-_BATCH = with_ctes(
-    SHIPMENTS_CTE,
-    _MODEL_ROWS,
-    _forest("SELECT * FROM m", _FOREST),
-    body=f"""
+def _batch(nodes: str) -> str:
+    return with_ctes(
+        SHIPMENTS_CTE,
+        _MODEL_ROWS,
+        _forest("SELECT * FROM m", nodes),
+        body=f"""
 SELECT order_id, customer_id, market, order_region, shipping_mode, customer_segment, delivery_days, sales, {_SCORED}
 FROM forest_scored""",
-)
-register("score_batch", _BATCH)
-register("score_natively", _BATCH)
+    )
+
+
+register("score_batch", _batch(_FOREST))
+register("score_natively", _batch("late-trees"))
 register(
     "evaluate_model",
     with_ctes(
