@@ -162,7 +162,7 @@ def fit_rates(posteriors: DataFrame, targets: dict[str, float], budget: float |
     inverse = np.linalg.pinv(metric, rcond=1e-10)
     steps: list[Step] = []
     rows, fresh, momentum, best = posteriors.select("_tokens", *p), [], 1.0, np.inf
-    start, beta = None, 0.0
+    start, still = None, 0
     for k in range(max_steps + 1):
         # totals of the rates, and of their last change: the totals of any point ahead follow
         pair = rate_pair(fresh, n, start)
@@ -172,7 +172,8 @@ def fit_rates(posteriors: DataFrame, targets: dict[str, float], budget: float |
         totals = np.array(now.first(), float)
         at, before = totals[:n], totals[n:]
         missed = (at - wanted) / wanted.sum()
-        if np.abs(missed).max() <= TOLERANCE or k == max_steps or (k and np.abs(at - before).max() < 1e-3 * TOLERANCE * wanted.sum() and not beta):
+        still = still + 1 if k and np.abs(at - before).max() < 1e-3 * TOLERANCE * wanted.sum() else 0
+        if np.abs(missed).max() <= TOLERANCE or k == max_steps or still == 2:
             break
         # the residual in its own metric; when it grows, the momentum starts anew
         value = (at - wanted) @ inverse @ (at - wanted)

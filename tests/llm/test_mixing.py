@@ -37,7 +37,7 @@ def some_posteriors(spark, n=120):
 @pytest.mark.parametrize("share", [[0.5, 0.3, 0.2], [0.9, 0.06, 0.04]])
 def test_rates_equal_dense_projected_gradient(spark, share):
     df, t, p = some_posteriors(spark)
-    fit = M.fit_rates(df, dict(zip("abc", share)), max_steps=40, stage_every=7)
+    fit = M.fit_rates(df.coalesce(1), dict(zip("abc", share)), max_steps=20, stage_every=7)
     got = np.array([r.w for r in df.select(M.rate_pair(fit.steps, 3)["w"].alias("w")).collect()])
     w, a, wanted = plain_rates(t, p, np.array(share), len(fit.steps))
     assert got.min() >= 0 and np.allclose(got, w, atol=1e-6)
@@ -46,11 +46,11 @@ def test_rates_equal_dense_projected_gradient(spark, share):
 
 def test_far_targets_are_reached_or_told(spark):
     df, t, p = some_posteriors(spark, 400)
-    for share in ([0.97, 0.02, 0.01], [0.01, 0.01, 0.98]):
-        fit = M.fit_rates(df, dict(zip("abc", share)))
-        assert fit.reached and np.abs(fit.missed).max() <= M.TOLERANCE
+    df = df.coalesce(1)
+    fit = M.fit_rates(df, dict(zip("abc", [0.97, 0.02, 0.01])))
+    assert fit.reached and np.abs(fit.missed).max() <= M.TOLERANCE and len(fit.steps) > 60
     # every document has some of every domain, so a domain can't be left out whole
-    out = M.fit_rates(df, {"a": 1.0, "b": 0.0, "c": 0.0}, max_steps=60)
+    out = M.fit_rates(df, {"a": 1.0, "b": 0.0, "c": 0.0}, max_steps=10)
     assert not out.reached and np.abs(out.missed).max() > M.TOLERANCE
 
 
