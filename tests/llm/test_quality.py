@@ -51,3 +51,42 @@ def test_edge_rows(spark):
     assert len(got) == 5 and all(0 <= r.quality_score <= 1 for r in got)
     none = Q.fit(docs.limit(0), labels.limit(0))
     assert not none.any() and Q.scored(docs, none).first().quality_score == 0.5
+
+
+def plain_ftrl(rows, bits, epochs):
+    """The published per-coordinate update, one weight at a time."""
+    z, n = {}, {}
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        if abs(zi) <= Q.L1:
+            return 0.0
+        return -(zi - np.sign(zi) * Q.L1) / ((Q.BETA + np.sqrt(n.get(i, 0.0))) / Q.ALPHA + Q.L2)
+
+    for _ in range(epochs):
+        for index, value, label in rows:
+            x = [*zip(index.tolist(), value.tolist()), (1 << bits, 1.0)]
+            w = {i: weight(i) for i, _ in x}
+            p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in x)))
+            for i, v in x:
+                g = (p - label) * v
+                sigma = (np.sqrt(n.get(i, 0.0) + g * g) - np.sqrt(n.get(i, 0.0))) / Q.ALPHA
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z}
+
+
+def test_training_and_scores_equal_plain_loops(spark):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice(["good", "plain", "!!", "buy", "now", "words"], rng.integers(0, 12))) for _ in range(60)]
+    labels = [int("buy" not in t) for t in texts]
+    hashes, bits = Q._Hashes(), 10
+    rows = [(*Q.features(t, hashes, bits), y) for t, y in zip(texts, labels)]
+    got = Q.train_ftrl(rows, bits, epochs=3)
+    want = plain_ftrl(rows, bits, 3)
+    assert np.allclose([got[i] for i in want], list(want.values()), atol=1e-12)
+    assert not np.delete(got, list(want)).any() and any(want.values())
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r, (index, value, _) in zip(Q.scored(df, got, bits=bits).collect(), rows):
+        z = sum(got[i] * v for i, v in zip(index, value)) + got[-1]
+        assert abs(r.quality_score - 1 / (1 + np.exp(-z))) < 1e-6
