@@ -349,7 +349,7 @@ def q_density_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("quantile_sketches")
 def q_quantile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sketches stored per market and order day, merged per market on read.
+    """Sketches stored per market and part of the orders, merged per market on read.
 
     The sketches hold up to 32,768 values each before they compress, so the
     quantiles of the small tables are exact.
