@@ -7,7 +7,8 @@ columns of ``documents``.
 
 Edge cases are those of the operators: null and empty texts are scored,
 grouped and encoded like any other; a null doc_id is a value of its own;
-empty tables give empty stages; extra columns pass through.
+empty tables give empty stages; extra columns pass through all stages but
+the last, which returns its own columns; a text of any length stays whole.
 """
 
 from __future__ import annotations
