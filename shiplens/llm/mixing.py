@@ -1,6 +1,6 @@
 """Mixing to target weights with soft domain membership.
 
-A multinomial logistic classifier over hashed words, trained on a bounded sample
+A multinomial logistic classifier, trained on a bounded sample
 of a labelled table, gives each document posterior shares over the domains.  Document rates
 are then fitted by distributed projected-gradient least squares:
 
@@ -40,9 +40,8 @@ import warnings
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +54,11 @@ STEPS, STAGE_EVERY = 400, 25
 # Of all tokens: the most that a domain may be off its target.
 TOLERANCE = 1e-6
 SEED = 7
-FEATURES = 1 << 12
+
+# Choices: letter sequences and symbols whose frequency tells languages and kinds of
+# text apart; a feature is the share of characters in them.  Hashed words in their place
+# drove the pipeline's executors over their memory (see the README).
+SEQUENCES = ("th", "wh", "ing", "ch", "ei", "sch", "ß", "ü", "é", "è", "ou", "eau", "ó", "ñ", "ción", "|", "!", "%")
 
 
 def _text() -> Column:
@@ -63,44 +66,54 @@ def _text() -> Column:
 
 
 def with_features(docs: DataFrame) -> DataFrame:
-    """``docs(text, ...)`` with ``_tokens`` (words) and ``_features`` (hashed lower-case words, shares of the text)."""
-    words = F.filter(F.split(F.lower(_text()), r"[^\p{L}]+"), lambda w: w != "")
-    rows = docs.withColumns({"_tokens": F.regexp_count(_text(), F.lit(r"[^ \t-\r]+")).cast("double"), "_words": words})
-    hashed = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=FEATURES).transform(rows)
-    return Normalizer(inputCol="_counts", outputCol="_features", p=1.0).transform(hashed).drop("_words", "_counts")
-
-
-@dataclass
-class Classifier:
-    """Domains with labelled rows, in order, and the model over them (None for fewer than two)."""
+    """``docs(text, ...)`` with ``_tokens`` (words) and ``_f0..`` (share of characters in each sequence)."""
+    size = F.greatest(F.char_length(_text()), F.lit(1))
+    shares = {
+        f"_f{k}": 100.0 * (F.char_length(_text()) - F.char_length(F.replace(_text(), F.lit(s), F.lit("")))) / size
+        for k, s in enumerate(SEQUENCES)
+    }
+    return docs.withColumns({"_tokens": F.regexp_count(_text(), F.lit(r"[^ \t-\r]+")).cast("double")} | shares)
 
-    seen: list[int]
-    model: LogisticRegressionModel | None
 
+def train(labelled: DataFrame, domains: list[str]) -> np.ndarray | None:
+    """Logits of each domain: a row of feature weights and the bias; None without labels.
 
-def train(labelled: DataFrame, domains: list[str]) -> Classifier:
-    """The domain classifier; ``labelled(text, domain)`` is expected to be a bounded sample."""
+    ``labelled(text, domain)`` is expected to be a bounded sample.
+    """
     position = F.array_position(F.array(*map(F.lit, domains)), F.col("domain"))
-    rows = with_features(labelled).withColumn("_d", (position - 1).cast("int")).where("_d >= 0")
-    rows = staged(rows.select("_d", "_features"), "mixing-train")
-    seen = [r["_d"] for r in rows.select("_d").distinct().sort("_d").collect()]  # domains at most
-    if len(seen) < 2:
-        return Classifier(seen, None)
-    label = F.array_position(F.array(*map(F.lit, seen)), F.col("_d")) - 1
-    fit = LogisticRegression(featuresCol="_features", probabilityCol="_p", family="multinomial", regParam=1e-3, maxIter=60)
-    return Classifier(seen, fit.fit(rows.withColumn("label", label.cast("double"))))
-
-
-def with_posteriors(docs: DataFrame, classifier: Classifier, domains: list[str]) -> DataFrame:
+    rows = with_features(labelled).withColumn("label", (position - 1).cast("double")).where("label >= 0")
+    rows = staged(rows.select("label", *[f"_f{k}" for k in range(len(SEQUENCES))]), "mixing-train")
+    seen = [int(r.label) for r in rows.select("label").distinct().sort("label").collect()]  # domains at most
+    weights = np.zeros((len(domains), len(SEQUENCES) + 1))
+    absent = [d for d in range(len(domains)) if d not in seen]
+    weights[absent, -1] = -np.inf
+    if not seen:
+        return None
+    if len(seen) > 1:
+        vectors = VectorAssembler(inputCols=[f"_f{k}" for k in range(len(SEQUENCES))], outputCol="features").transform(rows)
+        model = LogisticRegression(family="multinomial", regParam=1e-3, maxIter=60).fit(vectors)
+        fitted = np.hstack([model.coefficientMatrix.toArray(), model.interceptVector.toArray()[:, None]])
+        weights[seen] = fitted[seen]
+    return weights
+
+
+def with_posteriors(docs: DataFrame, weights: np.ndarray | None, domains: list[str]) -> DataFrame:
     """``docs`` with ``_tokens`` and ``_p0..``, the posterior of each domain."""
     rows = with_features(docs)
-    shares = {f"_p{d}": F.lit(0.0) for d in range(len(domains))}
-    if classifier.model is not None:
-        rows = classifier.model.transform(rows).withColumn("_all", vector_to_array("_p")).drop("rawPrediction", "prediction", "_p")
-        shares |= {f"_p{d}": F.col("_all")[i] for i, d in enumerate(classifier.seen)}
-        return rows.withColumns(shares).drop("_all", "_features")
-    even = classifier.seen or range(len(domains))
-    return rows.withColumns(shares | {f"_p{d}": F.lit(1.0 / len(even)) for d in even}).drop("_features")
+    if weights is None:
+        weights = np.zeros((len(domains), len(SEQUENCES) + 1))
+    logits = {}
+    for d, row in enumerate(weights.tolist()):
+        if row[-1] != -np.inf:
+            logits[d] = sum((F.col(f"_f{k}") * w for k, w in enumerate(row[:-1])), F.lit(row[-1]))
+    rows = rows.withColumns({f"_l{d}": e for d, e in logits.items()})
+    top = F.greatest(*[F.col(f"_l{d}") for d in logits]) if len(logits) > 1 else F.col(f"_l{next(iter(logits))}")
+    rows = rows.withColumn("_top", top).withColumns({f"_e{d}": F.exp(F.col(f"_l{d}") - F.col("_top")) for d in logits})
+    total = sum((F.col(f"_e{d}") for d in logits), F.lit(0.0))
+    rows = rows.withColumn("_all", total)
+    rows = rows.withColumns({f"_p{d}": F.col(f"_e{d}") / F.col("_all") if d in logits else F.lit(0.0) for d in range(len(domains))})
+    extra = ["_top", "_all", *[f"_f{k}" for k in range(len(SEQUENCES))], *[f"_{x}{d}" for d in logits for x in "le"]]
+    return rows.drop(*extra)
 
 
 @dataclass(frozen=True)
@@ -220,10 +233,10 @@ def rated(
     """
     targets = targets or TARGETS
     n = len(targets)
-    classifier = train(labelled, sorted(targets))
+    weights = train(labelled, sorted(targets))
     row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]).alias("row")
     packed = docs.select(row, F.col("doc_id").alias("id"), "text")
-    found = staged(with_posteriors(packed, classifier, sorted(targets)).select("row", "id", "_tokens", *[f"_p{d}" for d in range(n)]), "mixing-posteriors")
+    found = staged(with_posteriors(packed, weights, sorted(targets)).select("row", "id", "_tokens", *[f"_p{d}" for d in range(n)]), "mixing-posteriors")
     fit = fit_rates(found, targets)
     if not fit.reached:
         told = ", ".join(f"{d} {m:+.6f}" for d, m in zip(sorted(targets), fit.missed))
