@@ -11,8 +11,11 @@ reads every text whole.
 
 Edge cases: a null or blank text has no n-grams, so its score is that of the
 bias alone; labels that are null take no part; a doc_id with several labels
-is learned once per label; without any label every score is 0.5; a null
-doc_id is never labelled and counts as not held out.
+is learned once per different label, so repeated label rows change nothing; of
+several texts under one doc_id the smallest is learned; without any label
+every score is 0.5; a null doc_id is never labelled and counts as not held
+out; texts of any length are read whole; an empty table gives no rows; a
+column of the input named ``quality_score`` is replaced, other extra columns pass through.
 """
 
 from __future__ import annotations
@@ -86,12 +89,15 @@ def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS,
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, shards: int = SHARDS, bits: int = BITS) -> np.ndarray:
     """Weights learned from ``labels(doc_id, quality)`` of documents outside the held-out fold."""
     usable = labels.where("quality is not null and doc_id is not null").where(crc_fold("doc_id", 5) != 0)
-    usable = usable.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("label"))
+    # a label counts once per document, however often its row repeats
+    usable = usable.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("label")).distinct()
     total = usable.count()
-    # at most about `rows` labels are sampled, so this side of the join is small by construction
+    # about `rows` different (doc_id, label) pairs are sampled, so this side of the join is small by construction
     sample = usable.where(hash_below(F.col("doc_id"), min(1.0, rows / max(total, 1))))
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id")
+    # one text for each sampled pair, so a shard's rows follow the sample and not a repeated doc_id
+    texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     ordered = texts.select(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard"), "doc_id", "text", "label")
     ordered = ordered.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "label", "text")
 

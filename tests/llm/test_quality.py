@@ -53,6 +53,17 @@ def test_edge_rows(spark):
     assert not none.any() and Q.scored(docs, none).first().quality_score == 0.5
 
 
+def test_repeated_rows_of_a_document_change_nothing(spark):
+    docs = [(i, f"word{i % 5} !! {'x' * (i % 3)}") for i in range(60)]
+    labels = [(i, i % 2) for i in range(60)]
+    hot = [(7, docs[7][1])] * 500 + [(7, "zzz, a later text")] * 500
+    made = [
+        Q.fit(spark.createDataFrame(d, "doc_id long, text string"), spark.createDataFrame(x, "doc_id long, quality int"))
+        for d, x in ((docs, labels), (docs + hot, labels + [(7, 1)] * 1000))
+    ]
+    assert np.array_equal(*made) and made[0].any()
+
+
 def plain_ftrl(rows, bits, epochs):
     """The published per-coordinate update, one weight at a time."""
     z, n = {}, {}
