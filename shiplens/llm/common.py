@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 
 from shiplens.session import stage_table
 
-# Rows per Arrow batch: bounds what a Python worker holds at once (about
-# 3 MB of ordinary documents; one very long document adds its own size).
+# Rows and bytes of an Arrow batch: together they bound what a Python worker
+# holds at once (one very long document adds its own size).
 ARROW_ROWS = 1000
+ARROW_BYTES = 4 << 20
 HASHES = 1 << 30
 
 
-def bounded_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Limit the rows of an Arrow batch for the Python stages of this session."""
+def bounded_batches(spark: SparkSession, rows: int = ARROW_ROWS, size: int = ARROW_BYTES) -> None:
+    """Limit the rows and bytes of an Arrow batch for the Python stages of this session."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
