@@ -2,8 +2,10 @@
 
 Writing: equal payloads (same SHA-1, SHA-256 and length) are grouped; the
 record of the smallest page_id is a ``response`` with the payload, the others
-are ``revisit`` records that refer to it.  Each task writes its records as one
-archive of gzip members under a name of its own attempt, and only the archives
+are ``revisit`` records that refer to it.  A task that reads pages passes a
+payload on only while no smaller page_id with the same payload has passed it,
+so the rows that become revisits are shuffled without theirs.  Each task writes
+its records as one archive of gzip members under a name of its own attempt, and only the archives
 in the committed manifest are read, so a failed or speculative attempt
 leaves nothing that counts.
 
@@ -15,13 +17,15 @@ A candidate also has to end in a valid trailer, followed by another member or
 the end of the file.
 
 Paths may be any URI that ``pyarrow.fs`` opens (local or shared files, hdfs,
-s3, gs); they are made from ``spark.checkpoint.dir`` unless given.
+s3, gs); they are made from ``spark.checkpoint.dir`` unless given.  A folder
+without a scheme lies on Spark's default file system, archives and manifest alike.
 
 Edge cases: a null html is an empty payload; empty payloads are equal payloads;
-a null page_id yields to any other and writes a record without a page
-number; rows that repeat the response's page_id and payload are responses
-too; a null url writes no target; an empty table writes no archive and reads
-back no rows; extra columns aren't read.
+a null page_id yields to any other, is a response if the payload has no
+other, and writes a record without a page number; rows that repeat the
+response's page_id and payload are responses too; a null url writes no target;
+a payload of any length is one record, held whole by one task at a time; an
+empty table writes no archive and reads back no rows; extra columns aren't read.
 """
 
 from __future__ import annotations
@@ -29,11 +33,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
-import os
 import uuid
 import zlib
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,23 +50,44 @@ _MAGIC = b"\x1f\x8b\x08"
 _CHUNK = 1 << 18
 _PREFIX = "urn:page:"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+_LAST = 2**63 - 1
+_ROW = "page_id long, url string, payload binary, sha1 string, sha256 string, size int"
 _MANIFEST = "path string, bytes long, records long"
 _RECORD = "path string, offset long, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 
 
 def _open(uri: str):
-    fs, path = pa.fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{os.path.abspath(uri)}")
-    return fs, path
+    """File system and path of a URI with a scheme (of a file as Hadoop writes it, nothing escaped)."""
+    if uri.startswith("file://"):
+        return pa.fs.LocalFileSystem(), uri.removeprefix("file://")
+    return pa.fs.FileSystem.from_uri(uri)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI with a scheme: Spark's default file system where it names none."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(jpath).toString()
+    return uri if "://" in uri else uri.replace(":/", ":///", 1)
 
 
 def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, is_response: bool) -> bytes:
-    """One gzip member holding one WARC record."""
+def response_bytes(page_id: int | None, url: str | None, payload: bytes) -> bytes:
+    """One gzip member holding one response record."""
+    return _member(page_id, url, payload, None, base32_sha1(payload), len(payload))
+
+
+def revisit_bytes(page_id: int | None, url: str | None, refers_to: int | None, digest: str, size: int) -> bytes:
+    """One gzip member holding one revisit record of a payload with that digest and length."""
+    return _member(page_id, url, None, refers_to, digest, size)
+
+
+def _member(page_id: int | None, url: str | None, payload: bytes | None, refers_to: int | None, digest: str, size: int) -> bytes:
+    is_response = payload is not None
     kind = "response" if is_response else "revisit"
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + payload if is_response else http
     clean = None if url is None else url.replace("\r", "%0D").replace("\n", "%0A")
     name = f"{_PREFIX}{page_id}" if page_id is not None else f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {kind}')}"
@@ -71,7 +96,7 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to
         ("WARC-Record-ID", f"<{name}>"),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
         ("WARC-Target-URI", clean),
-        ("WARC-Payload-Digest", f"sha1:{base32_sha1(payload)}"),
+        ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("WARC-Profile", None if is_response else _PROFILE),
         ("WARC-Refers-To", None if is_response or refers_to is None else f"<{_PREFIX}{refers_to}>"),
         ("Content-Type", "application/http; msgtype=response"),
@@ -82,38 +107,68 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to
     return packer.compress(head.encode("utf-8", "surrogatepass") + block + b"\r\n\r\n") + packer.flush()
 
 
+def fingerprinted(pages: DataFrame) -> DataFrame:
+    """``pages(page_id, url, html)`` with each payload's digests and length."""
+    body = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
+    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), body.alias("payload"))
+    return rows.withColumns({"sha1": F.sha1("payload"), "sha256": F.sha2("payload", 256), "size": F.length("payload")})
+
+
+def without_repeats(rows: DataFrame) -> DataFrame:
+    """``rows`` with a null payload where an earlier row of the task has an equal one and a smaller page_id.
+
+    Such a row can't be the response.  What a task holds besides its batch is
+    one digest and page_id for each of its payloads.
+    """
+
+    def passed(batches):
+        least: dict[bytes, int] = {}
+        for b in batches:
+            keep = []
+            for page_id, sha256 in zip(b.column("page_id").to_pylist(), b.column("sha256").to_pylist()):
+                key, number = bytes.fromhex(sha256), _LAST if page_id is None else page_id
+                keep.append(number <= least.get(key, _LAST))
+                least[key] = min(number, least.get(key, _LAST))
+            payload = pc.if_else(pa.array(keep, pa.bool_()), b.column("payload"), pa.scalar(None, b.column("payload").type))
+            yield b.set_column(b.schema.get_field_index("payload"), "payload", payload)
+
+    bounded_batches(rows.sparkSession, 200)
+    return rows.mapInArrow(passed, _ROW)
+
+
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Write ``pages(page_id, url, html)`` under ``folder``; returns the manifest, written beside them."""
     spark = pages.sparkSession
-    bounded_batches(spark, 200)
-    body = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), body.alias("payload"))
-    rows = rows.withColumns({"sha1": F.sha1("payload"), "sha256": F.sha2("payload", 256), "size": F.length("payload")})
+    folder = qualified(spark, folder).rstrip("/")
+    rows = fingerprinted(pages)
     key = ["sha1", "sha256", "size"]
-    # written first: then both sides of the join are plain shuffles, and a payload
-    # that a third of the pages share is split by the adaptive skew join
+    # written first, so the join reads it from files of known size; the rows of a payload
+    # that a third of the pages share are narrow, and the adaptive skew join can split them
     first = staged(rows.groupBy(*key).agg(F.min("page_id").alias("first_id")), "warc-first")
-    planned = rows.join(first, key).select("page_id", "url", "payload", "first_id")
-    fs, root = _open(f"{folder.rstrip('/')}/archives")
+    planned = without_repeats(rows).join(first, key).select("page_id", "url", "payload", "first_id", "sha1", "size")
+    fs, root = _open(f"{folder}/archives")
     fs.create_dir(root, recursive=True)
 
     def written(batches):
-        uri = f"{folder.rstrip('/')}/archives/{uuid.uuid4().hex}.warc.gz"
+        uri = f"{folder}/archives/{uuid.uuid4().hex}.warc.gz"
         out, records, size = None, 0, 0
         for b in batches:
-            for page_id, url, payload, first_id in zip(*(c.to_pylist() for c in b.columns)):
+            for page_id, url, payload, first_id, sha1, length in zip(*(c.to_pylist() for c in b.columns)):
                 if out is None:
                     fs, path = _open(uri)
                     out = fs.open_output_stream(path, compression=None)
-                member = record_bytes(page_id, url, payload, first_id, page_id == first_id)
+                if page_id == first_id:
+                    member = response_bytes(page_id, url, payload)
+                else:
+                    member = revisit_bytes(page_id, url, first_id, base64.b32encode(bytes.fromhex(sha1)).decode(), length)
                 out.write(member)
                 records, size = records + 1, size + len(member)
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_pydict({"path": [uri], "bytes": [size], "records": [records]})
 
-    planned.mapInArrow(written, _MANIFEST).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/manifest")
-    return spark.read.schema(_MANIFEST).parquet(f"{folder.rstrip('/')}/manifest")
+    planned.mapInArrow(written, _MANIFEST).write.mode("overwrite").parquet(f"{folder}/manifest")
+    return spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
 
 
 def _inflated(source, size: int, start: int, least: int | None = None) -> tuple[bytes, int] | None:

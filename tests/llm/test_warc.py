@@ -7,6 +7,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from shiplens.llm import warc as W
 
@@ -45,13 +46,13 @@ def test_archives_are_gzip_members_of_warc_records(spark, tmp_dir):
 
 
 def test_magic_inside_a_payload_is_no_record():
-    inner = W.record_bytes(9, "u", b"inner", None, True)
+    inner = W.response_bytes(9, "u", b"inner")
     rng = random.Random(0)
     noise = bytes(rng.randrange(256) for _ in range(4000))
     # stored, not compressed: the inner member's bytes show up in the archive as they are
     stored = zlib.compressobj(0, zlib.DEFLATED, 31)
-    outer = stored.compress(gzip.decompress(W.record_bytes(1, "u", noise + inner + noise, None, True))) + stored.flush()
-    data = outer + W.record_bytes(2, "u", b"x" + W._MAGIC * 5, None, True)
+    outer = stored.compress(gzip.decompress(W.response_bytes(1, "u", noise + inner + noise))) + stored.flush()
+    data = outer + W.response_bytes(2, "u", b"x" + W._MAGIC * 5)
     assert inner[:40] in data
     for split in (50, 977, 4096, len(data)):
         found = [f["warc-record-id"] for s in range(0, len(data), split) for _, f, _ in W.owned_records(io.BytesIO(data), len(data), s, min(len(data), s + split))]
@@ -59,7 +60,7 @@ def test_magic_inside_a_payload_is_no_record():
 
 
 def test_damaged_member_is_skipped():
-    a, b, c = (W.record_bytes(i, "u", b"payload" * 50, None, True) for i in (1, 2, 3))
+    a, b, c = (W.response_bytes(i, "u", b"payload" * 50) for i in (1, 2, 3))
     broken = bytearray(b)
     broken[60] ^= 255
     data = a + bytes(broken) + c
@@ -73,3 +74,29 @@ def test_empty_table(spark, tmp_dir):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     made = W.write_archives(empty, tmp_dir + "/none")
     assert W.read_archives(made).count() == 0 and not os.listdir(tmp_dir + "/none/archives")
+
+
+def test_payloads_of_revisits_are_not_passed_on(spark):
+    rows = [(i, "u", "the page that a third of all rows hold") for i in range(300)] + [(i, "u", f"page {i}") for i in range(300, 900)] + [(None, "u", "page 301")] * 5
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4, "page_id").sortWithinPartitions("page_id")
+    passed = W.without_repeats(W.fingerprinted(df)).select("page_id", (F.col("payload").isNotNull()).alias("whole")).collect()
+    assert len(passed) == len(rows)
+    # in page order each task passes the shared payload once
+    assert sum(r.whole for r in passed if r.page_id is not None and r.page_id < 300) <= 4
+    assert all(r.whole for r in passed if r.page_id is not None and r.page_id >= 300)
+
+
+def test_hot_payload_in_any_order_keeps_the_smallest_page(spark, tmp_dir):
+    rng = random.Random(4)
+    rows = [(i, "u", "hot") for i in range(200)] + [(0, "u", "hot")]
+    rng.shuffle(rows)
+    archives = W.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), tmp_dir)
+    got = W.read_archives(archives).collect()
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in got if r.page_id == 0) == [(0, "response", None)] * 2
+    assert len(got) == 201 and all((r.record_type, r.refers_to, r.payload_bytes) == ("revisit", 0, 3) for r in got if r.page_id)
+
+
+def test_folders_are_qualified(spark, tmp_dir):
+    assert W.qualified(spark, tmp_dir) == f"file://{tmp_dir}" == W.qualified(spark, f"file:{tmp_dir}")
+    archives = W.write_archives(spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string"), f"{tmp_dir}/a b")
+    assert all(r.path.startswith("file://") for r in archives.collect()) and W.read_archives(archives).count() == 1
