@@ -8,8 +8,9 @@ bound, ``theta``.  In a bucket with largest length L, a vector can only reach
 the bound if its cosine to the query is at least theta / (|q| L), the local
 threshold:
 
-* above 1, nothing in the bucket can: the bucket is skipped, and pairs of
-  query block and bucket without any open query are never formed;
+* above 1, nothing in the bucket can: the bucket is skipped.  Buckets lie in
+  at most ``STRATA`` strata by length, and a block is only paired with those up
+  to the last one it can reach, so skipped pairs are never formed but in that one;
 * if it is high, coordinate pruning: with cosine >= t, the unit vector's value
   in the query's largest coordinate lies within an interval around it, and
   only vectors inside the interval are kept;
@@ -27,7 +28,8 @@ Edge cases: a vector that is null or holds a null or non-finite component
 takes no part, nor does a null vec_id; a shorter vector counts as ending in
 zeros; rows that repeat a query's vec_id are its own and no candidates of it;
 other repeated rows are candidates each; of several query rows
-with one vec_id the least vector is searched; queries without candidates have no
+with one vec_id the least vector is searched; vectors may be of any length, and
+a bucket is as wide as its longest; queries without candidates have no
 rows; an empty table gives an empty result; other columns aren't read.
 """
 
@@ -36,7 +38,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shiplens.llm.common import bounded_batches, read, staged
@@ -49,6 +51,7 @@ COORDINATE_FROM = 0.6  # local threshold from which a coordinate prunes better t
 _MARGIN = 1e-9
 _HIT_NAMES = ["query_id", "vec_id", "score"]
 STRIPE = 32  # parts that one task visits for a query block, longest vectors first
+STRATA = 4096  # groups of consecutive parts whose largest norms tell how far a query block has to look
 
 
 def _floor(x):
@@ -174,8 +177,21 @@ def longest_bucket(buckets: DataFrame) -> int:
     return -1 if row is None else row["bucket"]
 
 
-def bounds(blocks: DataFrame, buckets: DataFrame, longest: int, k: int) -> DataFrame:
-    """``blocks`` with ``thetas``, from the bucket they name, and the least length needed."""
+def stratum(parts: int) -> Column:
+    """The stratum of a part: ``STRATA`` at most, of consecutive parts."""
+    return F.expr(f"part * {min(STRATA, parts)} div {parts}")
+
+
+def strata_tops(buckets: DataFrame, parts: int) -> np.ndarray:
+    """The largest norm in each stratum (none: minus infinity); at most ``STRATA`` numbers reach the driver."""
+    tops = np.full(min(STRATA, parts), -np.inf)
+    for r in buckets.groupBy(stratum(parts).alias("stratum")).agg(F.max("top").alias("top")).collect():
+        tops[r["stratum"]] = r["top"]
+    return tops
+
+
+def bounds(blocks: DataFrame, buckets: DataFrame, longest: int, k: int, tops: np.ndarray) -> DataFrame:
+    """``blocks`` with ``thetas``, from the bucket they name, the least length needed and the number of strata to visit."""
     first = buckets.where(F.col("bucket") == longest).select("bucket", *[F.col(c).alias(f"c_{c}") for c in ("ids", "norms", "v")])
 
     def bounded(batches):
@@ -186,13 +202,22 @@ def bounds(blocks: DataFrame, buckets: DataFrame, longest: int, k: int) -> DataF
                     block.search(r["c_ids"], r["c_norms"], r["c_v"])
                 with np.errstate(divide="ignore", invalid="ignore"):
                     need = np.where(block.thetas > 0, block.thetas / block.norms * (1 - _MARGIN), -np.inf)
-                out = {c: [r[c]] for c in ("block", "ids", "norms", "v")} | {"thetas": [block.thetas.tobytes()], "need": [float(need.min())]}
-                yield pa.RecordBatch.from_pydict(out)
+                reach = int(np.flatnonzero(tops >= need.min()).max(initial=-1)) + 1
+                out = {c: [r[c]] for c in ("block", "ids", "norms", "v")}
+                yield pa.RecordBatch.from_pydict(out | {"thetas": [block.thetas.tobytes()], "need": [float(need.min())], "reach": [reach]})
 
     # the broadcast side is one row: one bucket
     joined = blocks.join(F.broadcast(first), "bucket", "left").drop("bucket", "part", "top")
     bounded_batches(blocks.sparkSession, 4)
-    return joined.mapInArrow(bounded, "block long, ids binary, norms binary, v binary, thetas binary, need double")
+    return joined.mapInArrow(bounded, "block long, ids binary, norms binary, v binary, thetas binary, need double, reach long")
+
+
+def open_pairs(blocks: DataFrame, buckets: DataFrame, parts: int) -> DataFrame:
+    """``(block, bucket, stripe)`` where the bucket has a vector as long as the block needs."""
+    reached = blocks.where("reach > 0").select("block", "need", F.explode(F.expr("sequence(0L, reach - 1)")).alias("stratum"))
+    layers = buckets.select(stratum(parts).alias("stratum"), "part", "bucket", "top")
+    pairs = reached.join(layers, "stratum").where("top >= need")
+    return pairs.select("block", "bucket", F.floor(F.col("part") / STRIPE).alias("stripe"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, bucket_rows: int = BUCKET_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -205,10 +230,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, bucket_rows: int =
     spread = asked.repartition(max(1, -(-asked.count() // block_rows)), "vec_id")
     longest = longest_bucket(buckets)
     named = staged(packed(spread, block_rows, "block").withColumn("bucket", F.lit(longest).cast("long")), "topk-packed")
-    blocks = staged(bounds(named, buckets, longest, k), "topk-blocks")
+    blocks = staged(bounds(named, buckets, longest, k, strata_tops(buckets, parts)), "topk-blocks")
     # every block meets the buckets that can reach its bound, a stripe of the parts in a task
-    named = blocks.select("block", "need", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))
-    pairs = named.join(buckets.select("part", "bucket", "top"), "part").where("top >= need").select("block", "bucket", F.floor(F.col("part") / STRIPE).alias("stripe"))
+    pairs = open_pairs(blocks, buckets, parts)
     found = buckets.select("bucket", *[F.col(c).alias(f"c_{c}") for c in ("top", "ids", "norms", "v")]).join(pairs, "bucket").join(blocks, "block")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = found.repartition(n, "block", "stripe").sortWithinPartitions("block", "stripe", F.col("c_top").desc())

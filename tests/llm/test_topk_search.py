@@ -80,3 +80,30 @@ def test_products_beyond_double_precision(spark):
 def test_many_equal_vectors(spark):
     rows = [(i, [0.5, 0.25]) for i in range(300)]
     assert search(spark, rows, bucket_rows=16, block_rows=2) == brute(rows)
+
+
+@pytest.mark.parametrize("strata", [1, 3, 4096])
+def test_blocks_meet_the_buckets_they_can_reach_and_no_others(spark, monkeypatch, strata):
+    monkeypatch.setattr(S, "STRATA", strata)
+    parts = 40
+    rng = np.random.default_rng(5)
+    tops = np.sort(rng.lognormal(0, 1, parts))[::-1].tolist()
+    held = [(p, p << 24, tops[p]) for p in range(parts) if p % 7 != 3]  # some parts are empty
+    buckets = spark.createDataFrame(held, "part long, bucket long, top double")
+    found = S.strata_tops(buckets, parts)
+    assert len(found) == min(strata, parts)
+    needs = [-math.inf, 0.0, tops[20], tops[0], tops[0] * 2, math.inf]
+    rows = [(i, x, int(np.flatnonzero(found >= x).max(initial=-1)) + 1) for i, x in enumerate(needs)]
+    blocks = spark.createDataFrame(rows, "block long, need double, reach long")
+    got = sorted((r.block, r.bucket, r.stripe) for r in S.open_pairs(blocks, buckets, parts).collect())
+    assert got == sorted((i, b, p // S.STRIPE) for i, x in enumerate(needs) for p, b, top in held if top >= x)
+    # what the last stratum holds too much is all that is formed in vain
+    assert all(reach == 0 for _, need, reach in rows if need > tops[0])
+
+
+def test_few_strata_lose_no_hit(spark, monkeypatch):
+    monkeypatch.setattr(S, "STRATA", 2)
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(300, 6)) * rng.lognormal(0, 1.5, (300, 1))
+    rows = [(i, x) for i, x in enumerate(v.tolist())]
+    assert search(spark, rows, bucket_rows=16, block_rows=2) == brute(rows)
