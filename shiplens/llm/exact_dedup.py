@@ -5,12 +5,15 @@
    while a bucket holds more than ``capacity`` entries, it is split by one
    more bit of the hash, and the directory doubles when a bucket as deep as
    itself splits.
-2. Each task collapses the equal texts of an Arrow batch (so a text that a
-   third of all rows hold travels once per batch), and the collapsed entries
-   are shuffled to the bucket that the directory names.
+2. Each task collapses the equal texts of an Arrow batch, and the collapsed
+   entries are shuffled to the bucket that the directory names.  A task keeps
+   the texts it has seen lately, up to ``RESIDENT_BYTES``: an entry equal to one
+   of them, byte by byte, travels without its text and names the entry that
+   carried it.  So a text that a third of all rows hold travels once per task
+   (a text longer than half of ``RESIDENT_BYTES`` once per batch).
 3. The owner task of a bucket reads its entries in key order.  Entries with
    one key form a chain; their bytes are compared, and each different text
-   of a chain gets its own number.  The entries are written to the shared
+   of a chain gets its own number, as do the entries that name it.  The entries are written to the shared
    folder as the index: one folder per bucket, beside the directory.
 4. Group sizes and the row that stays come from the index without its texts.
 
@@ -33,6 +36,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,18 +44,20 @@ from shiplens.llm.common import as_row, bounded_batches, from_row, read, staged
 from shiplens.session import remove_at_exit, scratch_path
 
 CAPACITY = 10_000
+RESIDENT_BYTES = 8 << 20
 # The directory has at most 2**MAX_DEPTH entries; beyond, buckets are larger.
 MAX_DEPTH = 16
 KEY_BITS = 64
 _SPACE = b" \t\n\x0b\x0c\r"
 _NO_ID = 2**63 - 1
 
-_ENTRY = "bucket int, key long, text binary, sha string, chars int, least long, members array<struct<doc_id:bigint,chars:int>>"
+_ENTRY = "bucket int, key long, text binary, origin long, sha string, chars int, least long, members array<struct<doc_id:bigint,chars:int>>"
 _ARROW = pa.schema(
     [
         ("bucket", pa.int32()),
         ("key", pa.int64()),
         ("text", pa.binary()),
+        ("origin", pa.int64()),
         ("sha", pa.string()),
         ("chars", pa.int32()),
         ("least", pa.int64()),
@@ -69,6 +75,29 @@ def _key(sha: bytes, key_bits: int = KEY_BITS) -> int:
     return int.from_bytes(sha[:8], "big") >> (64 - key_bits) << (64 - key_bits)
 
 
+class _Carried:
+    """Numbers of the texts that a task has sent; those seen lately are kept, in two generations of ``limit`` bytes in all."""
+
+    def __init__(self, first: int, limit: int):
+        self.next, self.half = first, limit // 2
+        self.young, self.old, self.bytes = {}, {}, 0
+
+    def number(self, text: bytes) -> tuple[int, bool]:
+        """The number of ``text``, and whether it has to be sent (again)."""
+        known = self.young.get(text)
+        if known is not None:
+            return known, False
+        known = self.old.get(text)
+        number = self.next if known is None else known
+        self.next += known is None
+        if self.bytes + len(text) > self.half:
+            self.young, self.old, self.bytes = {}, self.young, 0
+        if len(text) <= self.half:
+            self.young[text] = number
+            self.bytes += len(text)
+        return number, known is None
+
+
 class Directory:
     """Extendible-hash directory: the top ``depth`` bits of a key name its bucket."""
 
@@ -115,7 +144,7 @@ def build_directory(docs: DataFrame, capacity: int, key_bits: int, max_depth: in
     return Directory(counts, capacity, max_depth)
 
 
-def build_index(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_BITS, max_depth: int = MAX_DEPTH) -> DataFrame:
+def build_index(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_BITS, max_depth: int = MAX_DEPTH, resident: int = RESIDENT_BYTES) -> DataFrame:
     """The index over ``docs``: ``(bucket, key, chain, sha, members, ...)``, written to shared files."""
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -123,6 +152,7 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_B
     directory = build_directory(docs, capacity, key_bits, max_depth)
 
     def collapsed(batches):
+        carried = _Carried(TaskContext.get().partitionId() << 40, resident)
         for b in batches:
             entries: dict[bytes, list] = {}
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -134,23 +164,28 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_B
                 chars = max(n for _, n in members)
                 least = min((d for d, n in members if n == chars and d is not None), default=_NO_ID)
                 listed = [{"doc_id": d, "chars": n} for d, n in members]
-                rows.append({"bucket": directory.bucket(key), "key": key - (1 << 63), "text": text, "sha": sha.hex(), "chars": chars, "least": least, "members": listed})
+                origin, send = carried.number(text)
+                sent = {"text": text if send else None, "origin": origin}
+                rows.append(sent | {"bucket": directory.bucket(key), "key": key - (1 << 63), "sha": sha.hex(), "chars": chars, "least": least, "members": listed})
             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
     def chained(batches):
-        key, text, chain = None, None, 0
+        key, text, chain, number = None, None, 0, {}
         for b in batches:
             chains = []
-            for k, t in zip(b.column("key").to_pylist(), b.column("text").to_pylist()):
-                # a key's entries come ordered by their bytes: another text is the chain's next link
-                chain = 0 if k != key else chain + (t != text)
-                key, text = k, t
-                chains.append(chain)
+            for k, t, origin in zip(b.column("key").to_pylist(), b.column("text").to_pylist(), b.column("origin").to_pylist()):
+                if k != key:
+                    key, text, chain, number = k, t, 0, {}
+                if t is not None:
+                    # a key's texts come ordered by their bytes, before the entries that name them: another text is the next link
+                    chain, text = chain + (t != text), t
+                    number[origin] = chain
+                chains.append(number[origin])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(chains, pa.int32())], names=[*b.schema.names, "chain"])
 
     buckets = max(directory.entries) + 1
     owners = min(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    owned = docs.mapInArrow(collapsed, _ENTRY).repartition(owners, "bucket").sortWithinPartitions("bucket", "key", "text")
+    owned = docs.mapInArrow(collapsed, _ENTRY).repartition(owners, "bucket").sortWithinPartitions("bucket", "key", F.col("text").asc_nulls_last())
     path = scratch_path(spark, f"llm-exact-index-{uuid.uuid4().hex[:12]}")
     remove_at_exit(spark, path)
     owned.mapInArrow(chained, _ENTRY + ", chain int").write.partitionBy("bucket").parquet(f"{path}/buckets")

@@ -58,7 +58,29 @@ def test_index_is_written_per_bucket_with_its_texts(spark):
     index = X.build_index(df, capacity=4)
     assert index.select("bucket").distinct().count() > 3
     assert sum(len(r.members) for r in index.collect()) == len(ROWS)
-    assert {bytes(r.text) for r in index.collect()} == {re.sub("[\x20\x09-\x0d]", "", t or "").encode() for _, t in ROWS}
+    assert {bytes(r.text) for r in index.where("text is not null").collect()} == {re.sub("[\x20\x09-\x0d]", "", t or "").encode() for _, t in ROWS}
+
+
+@pytest.mark.parametrize("resident,key_bits", [(X.RESIDENT_BYTES, 64), (X.RESIDENT_BYTES, 3), (200, 3), (0, 3)])
+def test_a_hot_text_travels_once_per_task(spark, monkeypatch, resident, key_bits):
+    monkeypatch.setattr(X, "bounded_batches", lambda s: s.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10"))
+    rows = [(i, "the hot text" + " " * (i % 5) if i % 3 == 0 else f"text {i % 40}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    index = X.build_index(df, key_bits=key_bits, resident=resident).collect()
+    hot = [r for r in index if r.sha == hashlib.sha256(b"thehottext").hexdigest()]
+    assert len(hot) >= 20 * 0.9 and len({(r.key, r.chain) for r in hot}) == 1
+    sent = sum(r.text is not None for r in hot)
+    assert sent == len(hot) if resident == 0 else sent == 3
+    got = X.duplicate_groups(df, key_bits=key_bits, resident=resident).select("doc_id", "keep_id", "group_size", "kept", "sha").collect()
+    assert sorted([tuple(r) for r in got], key=str) == plain(rows)
+
+
+def test_carried_texts_are_bounded():
+    c = X._Carried(0, 100)
+    seen = [c.number(b"hot") if i % 2 else c.number(b"%040d" % i) for i in range(200)]
+    assert sum(send for _, send in seen[1::2]) == 1  # a text seen all along stays
+    assert all(send for _, send in seen[::2]) and len(c.young) + len(c.old) <= 6
+    assert c.number(b"x" * 51)[1] and c.number(b"x" * 51)[1]  # too long to be kept
 
 
 def test_stage_keeps_one_row_and_all_columns(spark):
