@@ -177,6 +177,12 @@ def longest_bucket(buckets: DataFrame) -> int:
     return -1 if row is None else row["bucket"]
 
 
+def part_count(buckets: DataFrame) -> int:
+    """Parts as they were written: a session may deal rows to more partitions than were asked for."""
+    last = buckets.agg(F.max("part").alias("last")).first()["last"]
+    return 1 if last is None else last + 1
+
+
 def stratum(parts: int) -> Column:
     """The stratum of a part: ``STRATA`` at most, of consecutive parts."""
     return F.expr(f"part * {min(STRATA, parts)} div {parts}")
@@ -223,12 +229,12 @@ def open_pairs(blocks: DataFrame, buckets: DataFrame, parts: int) -> DataFrame:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, bucket_rows: int = BUCKET_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` of the best ``k`` of ``vectors`` for each of ``queries``."""
     rows = staged(quantised(vectors), "topk-vectors")
-    parts = max(1, -(-2 * rows.count() // bucket_rows))
-    ranged = rows.repartitionByRange(parts, F.col("norm").desc(), "vec_id").sortWithinPartitions(F.col("norm").desc(), "vec_id")
+    asked_parts = max(1, -(-2 * rows.count() // bucket_rows))
+    ranged = rows.repartitionByRange(asked_parts, F.col("norm").desc(), "vec_id").sortWithinPartitions(F.col("norm").desc(), "vec_id")
     buckets = staged(packed(ranged, bucket_rows, "bucket"), "topk-buckets")
     asked = staged(quantised(queries).groupBy("vec_id").agg(F.min(F.struct("v", "norm")).alias("q")).select("vec_id", "q.*"), "topk-queries")
     spread = asked.repartition(max(1, -(-asked.count() // block_rows)), "vec_id")
-    longest = longest_bucket(buckets)
+    longest, parts = longest_bucket(buckets), part_count(buckets)
     named = staged(packed(spread, block_rows, "block").withColumn("bucket", F.lit(longest).cast("long")), "topk-packed")
     blocks = staged(bounds(named, buckets, longest, k, strata_tops(buckets, parts)), "topk-blocks")
     # every block meets the buckets that can reach its bound, a stripe of the parts in a task

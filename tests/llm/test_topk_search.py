@@ -90,6 +90,7 @@ def test_blocks_meet_the_buckets_they_can_reach_and_no_others(spark, monkeypatch
     tops = np.sort(rng.lognormal(0, 1, parts))[::-1].tolist()
     held = [(p, p << 24, tops[p]) for p in range(parts) if p % 7 != 3]  # some parts are empty
     buckets = spark.createDataFrame(held, "part long, bucket long, top double")
+    assert S.part_count(buckets) == parts and S.part_count(buckets.limit(0)) == 1
     found = S.strata_tops(buckets, parts)
     assert len(found) == min(strata, parts)
     needs = [-math.inf, 0.0, tops[20], tops[0], tops[0] * 2, math.inf]
