@@ -1,0 +1,43 @@
+"""Work of one task and bytes on storage stay bounded where tables grow."""
+
+import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+from shiplens.plans import catalog
+from shiplens.sinks import files
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    """The tables that shipments read: 60 orders of 10 lines."""
+    base = spark.range(600).select((F.col("id") % 60).alias("k"), (F.col("id") / 60).cast("int").alias("n"))
+    frames = {
+        "lineitem": base.selectExpr(
+            "k as l_orderkey", "k % 7 as l_suppkey", "n as l_linenumber", "cast(n as double) as l_quantity", "k * 10.5D as l_extendedprice",
+            "0.05D as l_discount", "date_add(date'2020-01-01', cast(k * 3 + n as int)) as l_shipdate"),
+        "orders": base.where("n = 0").selectExpr(
+            "k as o_orderkey", "k % 9 as o_custkey", "date_add(date'2020-01-01', cast(k * 2 as int)) as o_orderdate", "'1-URGENT' as o_orderpriority"),
+        "customer": spark.range(9).selectExpr("id as c_custkey", "id % 2 as c_nationkey", "'BUILDING' as c_mktsegment"),
+        "nation": spark.range(2).selectExpr("id as n_nationkey", "concat('N', id) as n_name", "id as n_regionkey"),
+        "region": spark.range(2).selectExpr("id as r_regionkey", "concat('R', id) as r_name"),
+    }
+    for name, df in frames.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_line_files_are_compressed_and_bounded(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 2).selectExpr("concat('line ', id) as value")
+    out = str(tmp_path / "lines")
+    files.write_lines(df, out, lines_per_file=100)
+    names = glob.glob(f"{out}/part-*")
+    assert len(names) == 10 and all(n.endswith(".gz") for n in names)
+    assert sorted(r[0] for r in spark.read.text(out).collect()) == sorted(r[0] for r in df.collect())
+
+
+def test_order_lines_are_stored_compressed(spark, tables):
+    out = catalog.write_line_files(spark, tables)
+    assert all(n.endswith(".gz") for n in glob.glob(f"{out.removeprefix('file:')}/part-*"))
+    assert spark.read.text(out).count() == 600
