@@ -1,6 +1,7 @@
 """Work of one task and bytes on storage stay bounded where tables grow."""
 
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,3 +42,11 @@ def test_order_lines_are_stored_compressed(spark, tables):
     out = catalog.write_line_files(spark, tables)
     assert all(n.endswith(".gz") for n in glob.glob(f"{out.removeprefix('file:')}/part-*"))
     assert spark.read.text(out).count() == 600
+
+
+def test_damaged_lines_of_the_window_job_are_stored_compressed(spark, tables, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(catalog, "scratch", lambda s, name: seen.setdefault(name, os.path.join(tables, name)))
+    rows = {r["market"]: r["n_events"] for r in catalog.QUERIES["job_stream_windows"](spark, tables).collect()}
+    assert all(n.endswith(".gz") for n in glob.glob(f"{seen['damaged-lines']}/part-*"))
+    assert rows["(quarantine)"] == 20 and sum(rows.values()) == 600
