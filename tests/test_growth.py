@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shiplens.plans import catalog
-from shiplens.sinks import files
+from shiplens.sinks import files, snapshots
 
 
 @pytest.fixture
@@ -50,3 +50,26 @@ def test_damaged_lines_of_the_window_job_are_stored_compressed(spark, tables, mo
     rows = {r["market"]: r["n_events"] for r in catalog.QUERIES["job_stream_windows"](spark, tables).collect()}
     assert all(n.endswith(".gz") for n in glob.glob(f"{seen['damaged-lines']}/part-*"))
     assert rows["(quarantine)"] == 20 and sum(rows.values()) == 600
+
+
+def test_deliveries_of_late_lines_are_many_files_and_one_batch_each(spark, tables, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(catalog, "scratch", lambda s, name: seen.setdefault(name, os.path.join(tables, name)))
+    write = files.write_lines
+    monkeypatch.setattr(files, "write_lines", lambda df, path: write(df, path, lines_per_file=20))
+    rows = catalog.QUERIES["stream_late_split"](spark, tables).collect()
+    assert sum(r["n_events"] for r in rows) == 600
+    for i in range(catalog.LATE_FILES):
+        assert len(glob.glob(f"{seen['late-line-files']}/d{i}/part-*.gz")) > 1
+    assert snapshots.read_runs(spark, f"{seen['late-split']}/watermarks", "parquet").count() == catalog.LATE_FILES
+
+
+def test_compaction_writes_files_by_stored_bytes(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    for run in ("a", "b"):
+        snapshots.write_run(spark.range(0, 20000, 1, 4).selectExpr("id", "sha2(cast(id as string), 256) as x"), path, run)
+    monkeypatch.setattr(snapshots, "COMPACT_BYTES", 1 << 20)
+    snapshots.compact(spark, path, "parquet")
+    part = snapshots.manifest(spark, path)[1][0]["part"]
+    assert len(glob.glob(f"{path}/data/part={part}/**/*.parquet", recursive=True)) > 1
+    assert snapshots.read_runs(spark, path, "parquet").count() == 40000
