@@ -6,6 +6,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from shiplens import session
+from shiplens.operators import model as ml
 from shiplens.plans import catalog
 from shiplens.sinks import files, snapshots
 
@@ -73,3 +75,21 @@ def test_compaction_writes_files_by_stored_bytes(spark, tmp_path, monkeypatch):
     part = snapshots.manifest(spark, path)[1][0]["part"]
     assert len(glob.glob(f"{path}/data/part={part}/**/*.parquet", recursive=True)) > 1
     assert snapshots.read_runs(spark, path, "parquet").count() == 40000
+
+
+def test_no_task_of_a_fit_reads_more_rows_than_stated(spark, monkeypatch):
+    monkeypatch.setattr(ml, "ROWS_PER_TASK", 100)
+    counted = []
+
+    def scan(session_, path):
+        df = session.scan_by_file(session_, path)
+        counted.extend(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        return df
+
+    monkeypatch.setattr(ml, "scan_by_file", scan)
+    table = spark.range(0, 1000, 1, 2).selectExpr(
+        "id as order_id", "cast(id % 13 as double) as sales", "cast(id % 9 as int) as delivery_days", "concat('m', id % 3) as shipping_mode",
+        "cast(id % 9 > 5 as int) as late_delivery_risk", "if(id % 5 = 0, 'test', 'train') as split")
+    res = ml.train_late_model(table, allow_leak=True, num_trees=3)
+    assert (res.n_train, res.n_test) == (800, 200)
+    assert len(counted) == 10 and max(counted) <= 100
