@@ -6,7 +6,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from shiplens.operators import forest, model as ml, prefix, ranking
+from shiplens.operators import features, forest, model as ml, prefix, ranking
+from shiplens.plans import catalog
 from shiplens.plans.catalog import model_table, trained_model
 from tests.conftest import SF_SMALL
 
@@ -34,6 +35,41 @@ def test_native_columns_equal_the_pipeline(spark, tmp_dir, case_nodes):
     assert all(w[:2] == g[:2] and abs(w[2] - g[2]) < 1e-12 for w, g in zip(want, got))
 
 
+def test_query_scores_natively_with_every_tree(spark):
+    model, _, _ = trained_model(spark, SF_SMALL)
+    got = catalog.q_score_natively(spark, SF_SMALL)
+    want = catalog.scores(ml.score(model, model_table(spark, SF_SMALL)))
+    assert got.columns == [c for c in want.columns if c in got.columns] and set(got.columns) == set(want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_columns_per_tree_equal_the_pipeline(spark, tmp_dir):
+    # spaces in names, quotes and backslashes in categories; empty, unseen and NaN inputs when scoring
+    train = spark.range(0, 600, 1, 2).selectExpr(
+        "id", "cast(id * 7 % 31 as double) as `a b`", "cast(id % 11 as int) as n",
+        r"""element_at(array("it's", r"back\slash", 'ünder', 'plain'), cast(id % 4 as int) + 1) as `kind of`""",
+        f"cast(id * 7 % 31 + id % 11 + id % 4 > 20 as int) as {features.LABEL}", "if(id % 5 = 0, 'test', 'train') as split")
+    res = ml.train_late_model(train, features=["a b", "n", "kind of"], num_trees=30)
+    path = os.path.join(tmp_dir, "m")
+    ml.save_model(res.model, path)
+    odd = train.withColumns({
+        "a b": F.when(F.col("id") % 7 == 0, float("nan")).when(F.col("id") % 7 == 1, float("-inf")).otherwise(F.col("`a b`")),
+        "n": F.when(F.col("id") % 9 == 0, None).otherwise(F.col("n")),
+        "kind of": F.when(F.col("id") % 13 == 0, None).when(F.col("id") % 13 == 1, "new").otherwise(F.col("`kind of`")),
+    })
+    forest_columns = forest.votes(forest.node_table(spark, path, res.model))
+    assert len(forest_columns.trees) == 30 and len(forest_columns.tests) > 10
+    scored = forest.scored_by(ml.fill_inputs(res.model, odd), forest_columns)
+    assert scored.columns == [*odd.columns, "prob_class_1", "prediction"]
+    want = {r["id"]: (r["prob_class_1"], r["prediction"]) for r in ml.score(res.model, odd, keep=["id"]).collect()}
+    got = {r["id"]: (r["prob_class_1"], r["prediction"]) for r in scored.select("id", "prob_class_1", "prediction").collect()}
+    assert len(got) == 600 and got.keys() == want.keys() and len(set(got.values())) > 20
+    for k, (p, predicted) in want.items():
+        assert abs(got[k][0] - p) < 1e-12 and (abs(p - 0.5) < 1e-9 or got[k][1] == predicted)
+    # a caller may keep one of the results only
+    assert {r["id"]: r["p"] for r in scored.selectExpr("id", "prob_class_1 as p").collect()} == {k: v[0] for k, v in got.items()}
+
+
 def test_sql_over_stored_nodes_equals_native_columns(spark, tmp_dir):
     model, _, path = trained_model(spark, SF_SMALL)
     nodes = forest.node_table(spark, path, model)
